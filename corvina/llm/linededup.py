@@ -69,6 +69,6 @@ def line_dedup(df: DataFrame, host: str = "source", text: str = "text", ratio: f
     return wide.select(
         *rest,
         F.expr(f"if(_cv_gone IS NULL, _cv_t, {kept})").alias(text),
-        (F.length("_cv_t") - F.length(F.translate("_cv_t", "\n", "")) + 1).cast("long").alias("n_lines"),
+        (F.length("_cv_t") - F.length(F.replace("_cv_t", F.lit("\n"))) + 1).cast("long").alias("n_lines"),
         F.coalesce(F.size("_cv_gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )

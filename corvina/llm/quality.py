@@ -7,10 +7,14 @@ rejected. Counts of the whole text give a second, base verdict.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, extra_columns, n_word_chars, quoted, word_array
+from .common import SPACES, extra_columns, n_word_chars, quoted, without, word_array
 
 SYMBOLS = "#*$%&|<>"
 NOISE = SYMBOLS + "!?=~^{}[]\\_"
@@ -37,22 +41,25 @@ BOILERPLATE = (
 MIN_WORDS = 50
 
 
-def _bare(text: Column) -> Column:
-    return F.translate(text, SPACES, "")
+WORD_CHAR = r"[^\x20\x09-\x0D]"
+
 
+def line_passes(line: Column, furnished: Column) -> Column:
+    """Whether a line stays; furnished: whether a boilerplate phrase stands anywhere in its text.
 
-def line_passes(line: Column) -> Column:
-    """Whether a line stays. A line without a word passes: it holds no text to remove."""
-    bare = F.length(_bare(line))
-    noise = F.length(line) - F.length(F.translate(line, NOISE, ""))
-    marks = F.length(line) - F.length(F.translate(line, SEPARATORS, ""))
+    A line without a word passes: it holds no text to remove.
+    """
+    bare = F.length(without(line, SPACES))
+    noise = F.regexp_count(line, F.lit("[" + re.escape(NOISE) + "]"))
+    marks = F.regexp_count(line, F.lit("[" + re.escape(SEPARATORS) + "]"))
     punctuation = line.rlike(ENDS) & (noise * 10 <= bare)
-    navigation = (marks >= 3) & (marks * 40 >= bare)
-    low = F.lower(line)
-    boilerplate = F.lit(False)
-    for phrase in BOILERPLATE:
-        boilerplate = boilerplate | low.contains(phrase)
-    return (bare == 0) | (punctuation & ~navigation & ~boilerplate)
+    navigation = marks * 40 >= F.greatest(bare, F.lit(120))
+    return ~line.rlike(WORD_CHAR) | (punctuation & ~navigation & ~(furnished & _has_phrase(line)))
+
+
+def _has_phrase(text: Column) -> Column:
+    low = F.lower(text)
+    return reduce(or_, (low.contains(phrase) for phrase in BOILERPLATE))
 
 
 def _lines(text: Column) -> Column:
@@ -70,13 +77,17 @@ def quality(df: DataFrame, text: str = "text", min_left: float = 0.5) -> DataFra
     of a very long text is that of sorting its word triples.
     """
     made = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "cleaned_text", "kept")
-    rest = [quoted(c) for c in extra_columns(df, *made, "_cv_t", "_cv_w", "_cv_lines", "_cv_sorted", "_cv_at")]
+    rest = [quoted(c) for c in extra_columns(df, *made, "_cv_t")]
     one = df.select(*rest, F.coalesce(quoted(text), F.lit("")).alias("_cv_t"))
+    # The outer lambda binds the flag once for all lines of a text.
+    cleaned = F.transform(
+        F.array(_has_phrase(F.col("_cv_t"))), lambda furnished: F.array_join(F.filter(_lines(F.col("_cv_t")), lambda x: line_passes(x, furnished)), "\n")
+    )
     two = one.select(
         "*",
         word_array(F.col("_cv_t")).alias("_cv_w"),
-        F.filter(_lines(F.col("_cv_t")), lambda x: F.length(_bare(x)) > 0).alias("_cv_lines"),
-        F.array_join(F.filter(_lines(F.col("_cv_t")), line_passes), "\n").alias("cleaned_text"),
+        F.filter(_lines(F.col("_cv_t")), lambda x: x.rlike(WORD_CHAR)).alias("_cv_lines"),
+        F.get(cleaned, F.lit(0)).alias("cleaned_text"),
     )
     # Word triples with their places, sorted, so that equal triples are neighbours.
     n = "greatest(size(_cv_w) - 2, 0)"
@@ -100,15 +111,17 @@ def quality(df: DataFrame, text: str = "text", min_left: float = 0.5) -> DataFra
         F.expr(f"sort_array(transform(filter(_cv_sorted, (x, i) -> {same}), x -> x.`3`))").alias("_cv_at"),
     )
     covered = "aggregate(zip_with(_cv_at, slice(_cv_at, 2, size(_cv_at)), (a, b) -> least(3, coalesce(b - a, 3))), 0L, (s, x) -> s + x)"
-    five = four.select(
+    # A generator, below which no later filter on the verdict is pushed: there it would evaluate the arrays anew for each of their elements.
+    whole = F.struct(
         *rest,
-        "cleaned_text",
-        "n_words",
+        F.col("cleaned_text"),
+        F.col("n_words"),
         n_word_chars(F.col("_cv_t")).alias("word_chars"),
-        (F.length("_cv_t") - F.length(F.translate("_cv_t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        "n_dup_lines",
+        (F.length("_cv_t") - F.length(without(F.col("_cv_t"), SYMBOLS))).cast("long").alias("n_symbols"),
+        F.col("n_dup_lines"),
         F.expr(covered).alias("n_repeat_words"),
     )
+    five = four.select(F.inline(F.array(whole)))
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     left = n_word_chars(F.col("cleaned_text")) >= F.col("word_chars") * F.lit(min_left)
     return five.select(*rest, *made[:5], failed.alias("base_failed"), "cleaned_text", (~failed & left).alias("kept"))

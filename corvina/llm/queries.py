@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import linededup, minhash, quality
+from . import bpe, decontam, linededup, minhash, quality
 from .common import table
 
 
@@ -13,6 +14,19 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_dedup(docs).select("doc_id", "source", "text", "n_lines", "n_dropped")
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item that it leaks."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id").drop("a", "b")
+
+
+def op4_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(bpe.decode(bpe.encode(docs, ranks), ranks))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_dedup(docs, size=4, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
@@ -106,6 +120,8 @@ FROM b
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_byte_level_bpe": op4_byte_level_bpe,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
