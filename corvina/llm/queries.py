@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, decontam, linededup, minhash, quality
+from . import bpe, decontam, licenses, linededup, minhash, pii, quality, sharding, toxicity, warc
 from .common import table
 
 
@@ -14,6 +15,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_dedup(docs).select("doc_id", "source", "text", "n_lines", "n_dropped")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.joined_labels(licenses.license_scan(docs))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document and benchmark item that it leaks."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -27,17 +33,45 @@ def op4_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(docs, ranks), ranks))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.digest(pii.personal_data(docs))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_dedup(docs, size=4, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The law of these shards is rows: counts are at most one apart."""
+    docs = table(spark, sf_dir, "documents")
+    whole = F.coalesce("text", F.lit(""))
+    sized = docs.select("doc_id", "source", (F.octet_length(whole) + 8).cast("long").alias("size"), F.crc32(whole).cast("long").alias("text_crc32"))
+    placed = sharding.interleave(sized, shards=24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    sample = toxicity.labelled_sample(docs, table(spark, sf_dir, "labels"), "doc_id", "text", toxicity.SAMPLE, toxicity.SAMPLE_CHARS)
+    scored = toxicity.toxicity(docs, toxicity.train(sample))
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return quality.quality(docs).select(*columns)
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the archives to the shared folder, then reads them back."""
+    folder = warc.shared_folder(spark)
+    written = warc.write_warc(table(spark, sf_dir, "pages"), folder)
+    return warc.read_warc(written, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 OP1_SQL = r"""
 WITH lines AS (
   SELECT doc_id, source, text, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at,
@@ -118,12 +152,26 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM b
 """
 
+OP10_SQL = r"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS b, sha256(coalesce(html, '')) AS d FROM pages),
+m AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS f FROM p)
+SELECT page_id, b::BIGINT AS payload_bytes, d AS payload_digest,
+       CASE WHEN b >= 100 AND page_id <> f THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN b >= 100 AND page_id <> f THEN f END AS refers_to
+FROM m
+"""
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_license_scan": op2_license_scan,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_byte_level_bpe": op4_byte_level_bpe,
+    "op5_pii": op5_pii,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_sharding": op7_sharding,
+    "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
+    "op10_warc": op10_warc,
 }
 
-ORACLES = {"op1_line_dedup": OP1_SQL, "op6_minhash_near_dedup": OP6_SQL, "op9_quality_rules": OP9_SQL}
+ORACLES = {"op1_line_dedup": OP1_SQL, "op6_minhash_near_dedup": OP6_SQL, "op9_quality_rules": OP9_SQL, "op10_warc": OP10_SQL}
