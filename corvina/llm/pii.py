@@ -181,6 +181,10 @@ def personal_data(df: DataFrame, text: str = "text", rounds: int = 3, min_values
 def digest(df: DataFrame) -> DataFrame:
     """Counts by kind, base_sha256 and spans as text, beside the other columns."""
     told = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
-    counts = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+
+    def of(kind: str):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [of(k) for k in KINDS]
     rest = [quoted(c) for c in extra_columns(df, "base", "spans")]
     return df.select(*rest, *counts, F.sha2(told(F.col("base")), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))

@@ -83,7 +83,7 @@ class Field:
         p[np.arange(steps)[:, None] >= n] = 0
         return p.T, a.T, b.T
 
-    def fit(self, f: np.ndarray, y: np.ndarray, n: np.ndarray, steps: int = 80, rate: float = 0.3, decay: float = 1e-4) -> None:
+    def fit(self, f: np.ndarray, y: np.ndarray, n: np.ndarray, steps: int = 60, rate: float = 0.3, decay: float = 1e-4) -> None:
         """Adam on the mean log-likelihood; f: (sequences, steps, features), y: (sequences, steps) of 0 and 1."""
         live = np.arange(f.shape[1]) < n[:, None]
         flat = f[live].ravel()
@@ -143,8 +143,8 @@ def train(docs: list[tuple[str, int]], seed: int = 7) -> Field:
         for s in sequences(text):
             fs = [known.get(w := low[a:b]) or known.setdefault(w, features(w)) for a, b in s]
             y = [int(toxic and not marks.isdisjoint(f)) for f in fs]
-            (with_label if any(y) else without).append((fs[:64], y[:64]))
-    pick = rng.permutation(len(with_label))[:4000], rng.permutation(len(without))[:8000]
+            (with_label if any(y) else without).append((fs[:48], y[:48]))
+    pick = rng.permutation(len(with_label))[:4000], rng.permutation(len(without))[:14000]
     chosen = [with_label[i] for i in pick[0]] + [without[i] for i in pick[1]]
     f, n = padded([c[0] for c in chosen])
     y = np.zeros(f.shape[:2])
@@ -206,9 +206,8 @@ class Scorer(dict):
         out = []
         for text, a, k in zip(texts, first, ends, strict=True):
             mine = p[a : a + k]
-            top = np.sort(mine)[-3:]
             hit = np.flatnonzero(mine >= 0.5)
-            out.append((float(1 - np.prod(1 - top)), self._places(text, hit) if len(hit) else []))
+            out.append((float(mine.max(initial=0.0)), self._places(text, hit) if len(hit) else []))
         return out
 
     @staticmethod
@@ -249,8 +248,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str,
 def toxicity(df: DataFrame, field: Field, text: str = "text") -> DataFrame:
     """df, without its text, with score (0 to 1), predicted (1 from 0.5 on) and toxic_spans.
 
-    The score is one minus the product of the doubts of the three tokens with
-    the largest marginals; spans are runs of tokens with a marginal of 0.5 or
+    The score is the largest marginal of a token; spans are runs of tokens with a marginal of 0.5 or
     more, in characters, end exclusive. A null or empty text scores 0. Whole
     texts are scored, row by row: repeated rows score alike, other columns are
     passed on whatever they hold, and those of the names made are replaced.

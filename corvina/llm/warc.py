@@ -187,7 +187,7 @@ def _writer(folder: str):
                         return
                 done = True
 
-            with files.open_output_stream(started) as out:
+            with files.open_output_stream(started, compression=None) as out:
                 write_archive(some(), out)
             if written:
                 files.move(started, f"{root}/{name}")  # a whole file or none; a repeated task writes the same names
@@ -213,7 +213,7 @@ def _reader(folder: str):
         for b in batches:
             for name in b.column(0).to_pylist():
                 rows, held = [], 0
-                with files.open_input_stream(f"{root}/{name}") as source:
+                with files.open_input_stream(f"{root}/{name}", compression=None) as source:
                     for raw in read_archive(source):
                         r = parse(raw)
                         f = r["fields"]
