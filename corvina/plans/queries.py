@@ -543,3 +543,62 @@ def stream_ingest(spark, d):
 def windowed_counts(spark, d):
     out = incremental.windowed_counts(_t(spark, d, "events"), "ts", "1 hour", "10 minutes", "event_type")
     return out.select(F.col("window.start").alias("start"), "event_type", "n")
+
+
+# Schemas and further text operators.
+
+
+@query("""SELECT record_id, path, rule FROM (
+SELECT o_orderkey::VARCHAR AS record_id, 'o_orderstatus' AS path, 'enum' AS rule FROM orders WHERE o_orderstatus NOT IN ('O', 'F')
+UNION ALL SELECT o_orderkey::VARCHAR, 'o_totalprice', 'range' FROM orders WHERE o_totalprice NOT BETWEEN 1000 AND 400000
+UNION ALL SELECT o_orderkey::VARCHAR, 'missing', 'required' FROM orders WHERE o_orderkey % 100 = 0)""")
+def f1_violations(spark, d):
+    from ..schemas import violations
+
+    o = _t(spark, d, "orders").withColumn("missing", F.when(F.col("o_orderkey") % 100 != 0, "x"))
+    return violations(o, "o_orderkey", ["missing"], {"o_orderstatus": ("O", "F")}, {"o_totalprice": (1000, 400000)})
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_returnflag = 'R' THEN 'REJECT_GATE' WHEN l_linestatus = 'F' AND l_returnflag = 'A' THEN 'ACCEPT' WHEN l_linestatus = 'O' AND l_returnflag = 'N' THEN 'REVIEW' ELSE 'REJECT_DUAL' END AS verdict FROM lineitem""")
+def e10_audit_verdict(spark, d):
+    li = _t(spark, d, "lineitem")
+    gate = gates.chain(caption=gates.caption_gate(F.when(F.col("l_returnflag") == "R", "log fold change").otherwise("Pearson r = 0.1")), range_sanity=gates.range_gate(F.col("l_discount")))
+    accept = (F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "A")
+    review = (F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "N")
+    outcome = gates.consensus(F.when(accept | review, "pass").otherwise("fail"), F.when(accept, "pass").otherwise("fail"))
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", gates.audit_verdict(gate, outcome).alias("verdict"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size % 6 = 0 THEN 'generic_microbe_term' WHEN p_size % 6 = 1 THEN 'missing_subject_node' WHEN p_size % 6 = 2 THEN 'subject_wordpiece_fragment' END AS reason,
+CASE WHEN p_size % 6 > 2 THEN 'genus' || p_partkey END AS canonical FROM part""")
+def t5_clean_subject(spark, d):
+    from ..functions import spans
+
+    p = _t(spark, d, "part")
+    g = F.concat(F.lit("Genus"), F.col("p_partkey").cast("string"))
+    six = F.col("p_size") % 6
+    raw = F.when(six == 0, "certain Gram-negative bacteria").when(six == 1, " abundance levels ").when(six == 2, F.concat(F.lit("##"), g)).when(six == 3, F.concat(F.lit(" ("), g, F.lit("  abundance)"))).when(six == 4, F.concat(g, F.lit("-containing capsules"))).otherwise(F.concat(g, F.lit(" 2")))
+    return p.select("p_partkey", spans.clean_subject(raw).alias("c")).select("p_partkey", "c.reason", "c.canonical")
+
+
+@query("""SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'disease_relation_language' WHEN 1 THEN 'disease_clause_like' WHEN 2 THEN 'generic_disease_term' END AS reason,
+CASE WHEN p_size % 5 = 3 THEN lower(split_part(p_type, ' ', 1)) || ' cancer' WHEN p_size % 5 = 4 THEN 'obesity' END AS canonical, p_size % 5 > 2 AS eligible FROM part""")
+def t6_clean_disease(spark, d):
+    from ..functions import spans
+
+    p = _t(spark, d, "part")
+    metal, five = F.split_part("p_type", F.lit(" "), F.lit(1)), F.col("p_size") % 5
+    raw = F.when(five == 0, F.concat(F.lit("increased "), metal)).when(five == 1, F.concat(metal, F.lit(" in which there is more of a thing"))).when(five == 2, "the Disease").when(five == 3, F.concat(F.lit("in patients with the "), metal, F.lit(" cancer cases")))
+    raw = F.when(five == 4, F.concat(F.lit("high "), metal, F.lit(" in obesity"))).otherwise(raw)
+    raw2 = p.select("p_partkey", F.when(five == 2, "disease").otherwise(raw).alias("raw"))
+    c = spans.clean_text_disease(F.col("raw"))
+    out = raw2.select("p_partkey", c.alias("c")).select("p_partkey", "c.reason", "c.canonical")
+    return out.withColumn("eligible", F.coalesce(spans.eligible_disease(F.col("canonical")), F.lit(False)))
+
+
+@query("""WITH m AS (SELECT 'part ' || p_partkey AS canonical_feature, p_brand AS body_location, p_container AS modality, p_partkey AS ord FROM (SELECT *, CASE WHEN p_size % 2 = 0 THEN 'CT' ELSE ' mri ' END AS p_container FROM part))
+SELECT canonical_feature AS source_node, 'BodyLocation' AS target_node_type, lower(body_location) AS target_node, 'MEASURED_AT' AS rel_type FROM m UNION SELECT canonical_feature, 'ImagingModality', upper(trim(modality)), 'ACQUIRED_VIA' FROM m""")
+def a9_backbone(spark, d):
+    p = _t(spark, d, "part")
+    m = p.select(F.lit("RadiomicFeature").alias("node_type"), F.concat(F.lit("part "), F.col("p_partkey").cast("string")).alias("canonical_feature"), F.col("p_brand").alias("body_location"), F.when(F.col("p_size") % 2 == 0, "CT").otherwise(" mri ").alias("modality"), F.lit("1").alias("pmid"), F.col("p_partkey").alias("ord"))
+    return edges.backbone(m).select("source_node", "target_node_type", "target_node", "rel_type")
