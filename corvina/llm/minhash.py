@@ -25,9 +25,9 @@ from .components import components
 #: 32 bands of 5 slots: a pair at 0.8 is missed by all bands in 3 of 1,000,000 cases.
 BANDS, ROWS = 32, 5
 SLOTS = BANDS * ROWS
-#: Two bits of each slot are compared before a pair's texts are fetched. At a
-#: similarity of 0.8, 32 of 320 bits differ, with a deviation of 6.4: this is 6 of them away.
-MAX_BITS = 71
+#: Two bits of each slot are compared before the texts of a pair of no hub are fetched. At a
+#: similarity of 0.8, 32 of 320 bits differ, with a deviation of 6.4: this is 4.5 of them away.
+MAX_BITS = 61
 CHUNK = 150_000
 
 U = np.uint64
@@ -137,7 +137,9 @@ def _signed(b: pa.RecordBatch, sets: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*keep, pa.array(sizes), pa.array(digest, pa.binary()), *lists], ["id", "k1", "k2", "n", "digest", "bits", "bands"])
 
 
-def _confirmer(size: int, percent: int):
+def _comparer(size: int, with_rest: bool):
+    """Counts of both full sets and of what they share, and, if asked, what a has and b has not."""
+
     def run(batches):
         hashes, sets = WordHashes(), {}
 
@@ -149,76 +151,98 @@ def _confirmer(size: int, percent: int):
             return sets[digest]
 
         for b in batches:
-            out = []
+            counts, rests = [], []
             for i in range(b.num_rows):
-                a, c = (of(b.column(d)[i].as_py(), b.column(t)[i].as_py()) for d, t in (("a", "ta"), ("b", "tb")))
-                both = len(np.intersect1d(a, c, assume_unique=True))
-                if 100 * both >= percent * (len(a) + len(c) - both):
-                    out.append(i)
-            if out:
-                yield pa.RecordBatch.from_arrays([b.column(x).take(pa.array(out)) for x in ("a", "b")], ["a", "b"])
+                x, y = (of(b.column(d)[i].as_py(), b.column(t)[i].as_py()) for d, t in (("a", "ta"), ("b", "tb")))
+                both = np.intersect1d(x, y, assume_unique=True)
+                counts.append((len(x), len(y), len(both)))
+                rests.append(np.setdiff1d(x, both, assume_unique=True).view(np.int64) if with_rest else np.empty(0, np.int64))
+            made = [pa.array([c[i] for c in counts], pa.int64()) for i in range(3)]
+            ends = pa.array(np.concatenate([[0], np.cumsum([len(r) for r in rests])]), pa.int32())
+            rest = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*rests, np.empty(0, np.int64)])))
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), *made, rest], ["a", "b", "na", "nb", "both", "rest"])
 
     return run
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs(a, b) of class digests whose full shingle sets are similar enough."""
+def _compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, with_rest: bool) -> DataFrame:
+    """(a, b, na, nb, both, rest) of pairs(a, b) of class digests, from the full sets of their texts."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
     keys = classes.join(ends, "digest", "left_semi").select("digest", "key.k1", "key.k2")
-    texts = docs.select("k.k1", "k.k2", "text").join(keys, ["k1", "k2"]).groupBy("digest").agg(F.min("text").alias("t"))
-    texts = scratch(texts)
+    texts = scratch(docs.select("k.k1", "k.k2", "text").join(keys, ["k1", "k2"]).groupBy("digest").agg(F.min("text").alias("t")))
     a, b = (texts.select(F.col("digest").alias(x), F.col("t").alias("t" + x)) for x in "ab")
-    return pairs.join(a, "a").join(b, "b").select("a", "ta", "b", "tb").mapInArrow(_confirmer(size, percent), "a binary, b binary")
-
-
-def _alike(percent: int):
-    """SQL: two members can reach the similarity, by their sizes and by two bits of every slot."""
-    bits = " + ".join(f"bit_count(x.bits[{i}] ^ y.bits[{i}])" for i in range(2 * SLOTS // 64))
-    return f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) AND {bits} <= {MAX_BITS}"
+    schema = "a binary, b binary, na bigint, nb bigint, both bigint, rest array<bigint>"
+    return pairs.join(a, "a").join(b, "b").select("a", "ta", "b", "tb").mapInArrow(_comparer(size, with_rest), schema)
 
 
-def _linked(classes: DataFrame, docs: DataFrame, size: int, percent: int, rounds: int = 2) -> DataFrame:
+def _linked(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(digest, root) of the classes that have links, root standing for a component.
 
-    A band's bucket is never expanded into all of its pairs. In each round one
-    member of a bucket, that with the most bucket mates, is held against the
-    rest; what links to it is one component. In the end only members of a
-    bucket that are still in different components are held against each other:
-    together this decides every pair that shares a band.
+    A bucket is never expanded into all of its pairs. Its hub, the member with
+    the most bucket mates, is compared with every other member, which gives most
+    links; so is then the member nearest to what its mates have in common. Let
+    R be the hub's shingles and those that many of its mates share besides, x
+    and y two mates in different components still, c(x) the shingles of x in R,
+    and t the similarity asked for. x and y are linked only if
+    (1 + t) (min(c(x), c(y)) + o) >= t (|x| + |y|), o being the shingles outside
+    R that both have. So either they share one of these, or the inequality
+    holds with o = 0: equi-joins on the hub and the shingle, and on the hub and
+    the sizes that remain, find all of these pairs. What copies have of their own
+    they seldom share, so they are few.
     """
-    bands = classes.select("digest", "n", "bits", F.posexplode("bands").alias("band", "h"))
+    bands = classes.select("digest", F.posexplode("bands").alias("band", "h"))
     shared = bands.groupBy("band", "h").agg(F.count("*").alias("c")).where("c > 1")
     members = scratch(bands.join(shared, ["band", "h"]))
     degree = members.groupBy("digest").agg(F.sum("c").alias("degree"))
-    members = members.join(degree, "digest").withColumn("root", F.col("digest"))
-    done: DataFrame | None = None
-    links: DataFrame | None = None
-    alike = F.expr(_alike(percent))
-    for k in range(rounds + 1):
-        ends = members.groupBy("band", "h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band", "h")
-        left = scratch(members.join(ends, ["band", "h"], "left_semi"))
-        if not left.limit(1).count():
-            break
-        if k < rounds:
-            # Later hubs come from outside the component of the bucket's most connected member.
-            top = left.groupBy("band", "h").agg(F.max_by("root", F.struct("degree", "digest")).alias("top"))
-            pool = left if k == 0 else left.join(top, ["band", "h"]).where("root <> top")
-            y = pool.groupBy("band", "h").agg(F.max_by(F.struct("digest", "n", "bits", "root"), F.struct("degree", "digest")).alias("y")).select("band", "h", "y.*")
-            met = left.alias("x").join(y.alias("y"), ["band", "h"]).where(F.expr("x.root <> y.root")).where(alike)
-        else:
-            met = left.alias("x").join(left.alias("y"), ["band", "h"]).where(F.expr("x.root < y.root")).where(alike)
-        pairs = met.select(F.least("x.digest", "y.digest").alias("a"), F.greatest("x.digest", "y.digest").alias("b")).distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = scratch(pairs)
-        done = pairs if done is None else done.unionByName(pairs)
-        found = _confirmed(pairs, classes, docs, size, percent)
-        links = scratch(found if links is None else links.unionByName(found))
-        roots = components(links).select(F.col("node").alias("digest"), F.col("root").alias("r"))
-        members = members.drop("root").join(roots, "digest", "left").withColumn("root", F.coalesce("r", "digest")).drop("r")
-    if links is None:
-        return classes.select("digest", F.col("digest").alias("root")).limit(0)
-    return components(links).select(F.col("node").alias("digest"), "root")
+    hubs = members.join(degree, "digest").groupBy("band", "h").agg(F.max(F.struct("degree", "digest")).alias("top")).select("band", "h", F.col("top.digest").alias("b"))
+    pairs = members.join(hubs, ["band", "h"]).where("digest <> b").select(F.col("digest").alias("a"), "b").distinct()
+    star = scratch(_compared(scratch(pairs), classes, docs, size, True))
+    enough = f"100 * both >= {percent} * (na + nb - both)"
+    links = star.where(enough).select("a", "b")
+
+    def rooted(df: DataFrame, links: DataFrame) -> DataFrame:
+        """df with the roots of a and b, for hubs whose mates are in several components."""
+        roots = scratch(components(links))
+        ra, rb = (roots.select(F.col("node").alias(x), F.col("root").alias("r" + x)) for x in "ab")
+        both = df.join(ra, "a", "left").join(rb, "b", "left").withColumns({"ra": F.coalesce("ra", "a"), "rb": F.coalesce("rb", "b")})
+        return both.join(both.where("ra <> rb").select("b").distinct(), "b", "left_semi")
+
+    open_ = rooted(star, links)
+    outside = open_.select("a", "b", F.explode("rest").alias("s"))
+    mates = open_.groupBy("b").agg(F.count("*").alias("mates"))
+    common = outside.groupBy("b", "s").agg(F.count("*").alias("n")).join(mates, "b").where("n >= 3 AND n * 4 >= mates").select("b", "s")
+    commons = common.groupBy("b").agg(F.collect_set("s").alias("common"))  # four times a set's size at most
+    inside = open_.join(commons, "b", "left").withColumn("own", F.when(F.col("common").isNull(), F.col("rest")).otherwise(F.array_except("rest", "common")))
+    inside = scratch(inside.select("a", "b", "na", (F.col("na") - F.size("own")).alias("c"), "own", F.col("ra").alias("root")))
+    # The nearest mate is the second hub.
+    nearest = inside.groupBy("b").agg(F.max(F.struct("c", "a", "root")).alias("m")).select("b", F.col("m.a").alias("y"), F.col("m.root").alias("ry"))
+    second = inside.join(nearest, "b").where("root <> ry").select(F.least("a", "y").alias("a"), F.greatest("a", "y").alias("b")).distinct()
+    known = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    second = scratch(second.join(known, ["a", "b"], "left_anti"))
+    links = scratch(links.unionByName(_compared(second, classes, docs, size, False).where(enough).select("a", "b")))
+    known = known.unionByName(second)
+    bits = classes.select(F.col("digest").alias("a"), "bits")
+    left = scratch(rooted(inside.drop("root"), links).join(bits, "a").select("a", "b", "na", "c", "own", F.col("ra").alias("root"), "rb", "bits"))
+    differ = " + ".join(f"bit_count(x.bits[{i}] ^ y.bits[{i}])" for i in range(2 * SLOTS // 64))
+    alike = F.expr(f"x.root <> y.root AND 100 * least(x.na, y.na) >= {percent} * greatest(x.na, y.na) AND {differ} <= {MAX_BITS}")
+    # Pairs that share a shingle outside R: only shingles that reach over components are looked at.
+    apart = left.select("a", "b", "na", "c", "root", "bits", F.explode("own").alias("s"))
+    across = apart.groupBy("b", "s").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("b", "s")
+    apart = apart.join(across, ["b", "s"], "left_semi")
+    met = apart.alias("x").join(apart.alias("y"), ["b", "s"]).where("x.a < y.a").where(alike)
+    met = met.groupBy("b", "x.a", F.col("y.a").alias("z")).agg(F.count("*").alias("o"), F.min(F.least("x.c", "y.c")).alias("c"), F.min(F.col("x.na") + F.col("y.na")).alias("n"))
+    one = met.where(f"(c + o) * {100 + percent} >= {percent} * n").select("a", F.col("z").alias("b"))
+    # Pairs within R, by the sizes that remain for a mate outside the hub's component.
+    most = F.least(F.floor(F.col("c") * (100 + percent) / percent - F.col("na")), F.floor(F.col("na") * 100 / percent)).cast("long")
+    least = F.ceil(F.col("na") * percent / 100).cast("long")
+    sized = left.where("root <> rb").where(most >= least).select("a", "b", "na", "root", "bits", F.explode(F.sequence(least, most)).alias("s"))
+    within = left.select("a", "b", "na", "c", "root", "bits", F.col("na").alias("s"))
+    fits = F.expr(f"y.c * {100 + percent} >= {percent} * (x.na + y.na)")
+    met = sized.alias("x").join(within.alias("y"), ["b", "s"]).where(alike & fits)
+    two = met.select(F.least("x.a", "y.a").alias("a"), F.greatest("x.a", "y.a").alias("b"))
+    rest = scratch(one.unionByName(two).distinct().join(known, ["a", "b"], "left_anti"))
+    more = _compared(rest, classes, docs, size, False).where(enough).select("a", "b")
+    return components(scratch(links.unionByName(more))).select(F.col("node").alias("digest"), "root")
 
 
 def _classes(docs: DataFrame, size: int) -> DataFrame:
@@ -255,12 +279,12 @@ def near_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size:
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component"))
     # One row for each text: rows with the same content share their set.
     by_class = rooted.join(smallest, "root").select("digest", "component")
-    by_text = full.select("k1", "k2", "n", "digest").distinct().join(by_class, "digest").select(F.col("k1").alias("_cv_1"), F.col("k2").alias("_cv_2"), "n", "component")
+    by_text = full.select("k1", "k2", "n", "digest").distinct().join(by_class, "digest").select(F.col("k1").alias("_cv_1"), F.col("k2").alias("_cv_2"), F.col("n").alias("_cv_n"), F.col("component").alias("_cv_c"))
     rest = [quoted(c) for c in extra_columns(df, *made)]
     keyed = df.select(*rest, content_key(quoted(text)).alias("_cv_k"))
     joined = keyed.join(by_text, (F.col("_cv_k.k1") == F.col("_cv_1")) & (F.col("_cv_k.k2") == F.col("_cv_2")), "left")
     own = quoted(doc_id).cast("long")
-    component = F.when(F.col("n").isNull(), own).otherwise(F.col("component"))
+    component = F.when(F.col("_cv_n").isNull(), own).otherwise(F.col("_cv_c"))
     return joined.select(
-        *rest, F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"), component.alias("component_id"), F.coalesce(own.eqNullSafe(component), F.lit(True)).alias("kept")
+        *rest, F.coalesce("_cv_n", F.lit(0)).cast("long").alias("n_shingles"), component.alias("component_id"), F.coalesce(own.eqNullSafe(component), F.lit(True)).alias("kept")
     )
