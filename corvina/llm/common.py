@@ -15,9 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(df: DataFrame) -> DataFrame:
+def scratch(df: DataFrame, rows: int | None = None) -> DataFrame:
     """df written to the shared checkpoint folder and read from there.
 
+    With rows, it is read by as many tasks as its count needs at that many rows
+    each, and not by one for each partition that wrote it: otherwise a small
+    table would leave a file per pair of partitions in every later shuffle.
+
     The folder is the one that the session names in spark.checkpoint.dir; a
     session without one (tests on one machine) gets a temporary folder. A lost
     executor costs nothing that was written before.
@@ -26,7 +30,10 @@ def scratch(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="corvina-"))
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if rows is None:
+        return out
+    return out.coalesce(max(spark.sparkContext.defaultParallelism, -(-out.count() // rows)))
 
 
 def extra_columns(df: DataFrame, *made: str) -> list[str]:

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from .common import scratch
 
+#: Edges that a task reads, about.
+EDGES = 100_000
+
 
 def union_find(edges: list[tuple]) -> dict:
     """Each node's smallest reachable node."""
@@ -57,11 +60,11 @@ def components(edges: DataFrame) -> DataFrame:
     """
     kind = edges.schema["a"].dataType.simpleString()
     e = edges.where("a IS NOT NULL AND b IS NOT NULL").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    nodes = scratch(e.select(F.explode(F.array("u", "v")).alias("node")).distinct())
-    e = scratch(e.where("u <> v").mapInArrow(_contract, f"u {kind}, v {kind}").distinct())
+    loops = e.where("u = v").select(F.col("u").alias("node"))
+    e = scratch(e.where("u <> v").mapInArrow(_contract, f"u {kind}, v {kind}"), EDGES)
     while True:
         deep = e.join(e.select(F.col("u").alias("v"), F.col("v").alias("w")), "v", "left_semi").limit(1).count()
-        many = 0 if deep else e.groupBy("u").count().where("count > 1").limit(1).count()
+        many = 0 if deep else e.groupBy("u").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where("lo <> hi").limit(1).count()
         if not deep and not many:
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -70,6 +73,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = _smallest(e)
         small = e.join(least, "u")
         e = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        e = scratch(e.where("u <> v").distinct().mapInArrow(_contract, f"u {kind}, v {kind}").distinct())
-    roots = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+        e = scratch(e.where("u <> v").mapInArrow(_contract, f"u {kind}, v {kind}"), EDGES)
+    # Every node but the roots hangs on its root; a node with nothing but loops is its own.
+    both = e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")))
+    return both.unionByName(loops.select("node", F.col("node").alias("root"))).groupBy("node").agg(F.min("root").alias("root"))

@@ -29,6 +29,8 @@ SLOTS = BANDS * ROWS
 #: similarity of 0.8, 32 of 320 bits differ, with a deviation of 6.4: this is 4.5 of them away.
 MAX_BITS = 61
 CHUNK = 150_000
+#: Rows that a task reads of pairs and of tables with texts or shingles, about.
+PAIRS, WIDE = 50_000, 5_000
 
 U = np.uint64
 
@@ -169,7 +171,7 @@ def _compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
     """(a, b, na, nb, both, rest) of pairs(a, b) of class digests, from the full sets of their texts."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
     keys = classes.join(ends, "digest", "left_semi").select("digest", "key.k1", "key.k2")
-    texts = scratch(docs.select("k.k1", "k.k2", "text").join(keys, ["k1", "k2"]).groupBy("digest").agg(F.min("text").alias("t")))
+    texts = scratch(docs.select("k.k1", "k.k2", "text").join(keys, ["k1", "k2"]).groupBy("digest").agg(F.min("text").alias("t")), WIDE)
     a, b = (texts.select(F.col("digest").alias(x), F.col("t").alias("t" + x)) for x in "ab")
     schema = "a binary, b binary, na bigint, nb bigint, both bigint, rest array<bigint>"
     return pairs.join(a, "a").join(b, "b").select("a", "ta", "b", "tb").mapInArrow(_comparer(size, with_rest), schema)
@@ -192,17 +194,17 @@ def _linked(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     """
     bands = classes.select("digest", F.posexplode("bands").alias("band", "h"))
     shared = bands.groupBy("band", "h").agg(F.count("*").alias("c")).where("c > 1")
-    members = scratch(bands.join(shared, ["band", "h"]))
+    members = scratch(bands.join(shared, ["band", "h"]), PAIRS)
     degree = members.groupBy("digest").agg(F.sum("c").alias("degree"))
     hubs = members.join(degree, "digest").groupBy("band", "h").agg(F.max(F.struct("degree", "digest")).alias("top")).select("band", "h", F.col("top.digest").alias("b"))
     pairs = members.join(hubs, ["band", "h"]).where("digest <> b").select(F.col("digest").alias("a"), "b").distinct()
-    star = scratch(_compared(scratch(pairs), classes, docs, size, True))
+    star = scratch(_compared(scratch(pairs, PAIRS), classes, docs, size, True), WIDE)
     enough = f"100 * both >= {percent} * (na + nb - both)"
     links = star.where(enough).select("a", "b")
 
     def rooted(df: DataFrame, links: DataFrame) -> DataFrame:
         """df with the roots of a and b, for hubs whose mates are in several components."""
-        roots = scratch(components(links))
+        roots = scratch(components(links), PAIRS)
         ra, rb = (roots.select(F.col("node").alias(x), F.col("root").alias("r" + x)) for x in "ab")
         both = df.join(ra, "a", "left").join(rb, "b", "left").withColumns({"ra": F.coalesce("ra", "a"), "rb": F.coalesce("rb", "b")})
         return both.join(both.where("ra <> rb").select("b").distinct(), "b", "left_semi")
@@ -213,16 +215,16 @@ def _linked(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     common = outside.groupBy("b", "s").agg(F.count("*").alias("n")).join(mates, "b").where("n >= 3 AND n * 4 >= mates").select("b", "s")
     commons = common.groupBy("b").agg(F.collect_set("s").alias("common"))  # four times a set's size at most
     inside = open_.join(commons, "b", "left").withColumn("own", F.when(F.col("common").isNull(), F.col("rest")).otherwise(F.array_except("rest", "common")))
-    inside = scratch(inside.select("a", "b", "na", (F.col("na") - F.size("own")).alias("c"), "own", F.col("ra").alias("root")))
+    inside = scratch(inside.select("a", "b", "na", (F.col("na") - F.size("own")).alias("c"), "own", F.col("ra").alias("root")), WIDE)
     # The nearest mate is the second hub.
     nearest = inside.groupBy("b").agg(F.max(F.struct("c", "a", "root")).alias("m")).select("b", F.col("m.a").alias("y"), F.col("m.root").alias("ry"))
     second = inside.join(nearest, "b").where("root <> ry").select(F.least("a", "y").alias("a"), F.greatest("a", "y").alias("b")).distinct()
     known = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = scratch(second.join(known, ["a", "b"], "left_anti"))
-    links = scratch(links.unionByName(_compared(second, classes, docs, size, False).where(enough).select("a", "b")))
+    second = scratch(second.join(known, ["a", "b"], "left_anti"), PAIRS)
+    links = scratch(links.unionByName(_compared(second, classes, docs, size, False).where(enough).select("a", "b")), PAIRS)
     known = known.unionByName(second)
     bits = classes.select(F.col("digest").alias("a"), "bits")
-    left = scratch(rooted(inside.drop("root"), links).join(bits, "a").select("a", "b", "na", "c", "own", F.col("ra").alias("root"), "rb", "bits"))
+    left = scratch(rooted(inside.drop("root"), links).join(bits, "a").select("a", "b", "na", "c", "own", F.col("ra").alias("root"), "rb", "bits"), WIDE)
     differ = " + ".join(f"bit_count(x.bits[{i}] ^ y.bits[{i}])" for i in range(2 * SLOTS // 64))
     alike = F.expr(f"x.root <> y.root AND 100 * least(x.na, y.na) >= {percent} * greatest(x.na, y.na) AND {differ} <= {MAX_BITS}")
     # Pairs that share a shingle outside R: only shingles that reach over components are looked at.
@@ -240,9 +242,9 @@ def _linked(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     fits = F.expr(f"y.c * {100 + percent} >= {percent} * (x.na + y.na)")
     met = sized.alias("x").join(within.alias("y"), ["b", "s"]).where(alike & fits)
     two = met.select(F.least("x.a", "y.a").alias("a"), F.greatest("x.a", "y.a").alias("b"))
-    rest = scratch(one.unionByName(two).distinct().join(known, ["a", "b"], "left_anti"))
+    rest = scratch(one.unionByName(two).distinct().join(known, ["a", "b"], "left_anti"), PAIRS)
     more = _compared(rest, classes, docs, size, False).where(enough).select("a", "b")
-    return components(scratch(links.unionByName(more))).select(F.col("node").alias("digest"), "root")
+    return components(scratch(links.unionByName(more), PAIRS)).select(F.col("node").alias("digest"), "root")
 
 
 def _classes(docs: DataFrame, size: int) -> DataFrame:
