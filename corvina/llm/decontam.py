@@ -26,6 +26,9 @@ UNITS = frozenset(
 )
 WORD, NUMBER, UNIT, CAPITAL, STOP, MARK = range(6)
 NUM_CODE, UNIT_CODE, NAME_CODE = U(0x1), U(0x2), U(0x3)
+#: Readings of capitalised words: none is a name, those inside sentences are, all are with each sentence's
+#: first on its own (as in Then Tom), all are and the first belongs to a run that it begins (as in Tom Smith).
+NO_NAMES, INNER, FIRST_ALONE, FIRST_JOINED = READINGS = range(4)
 WINDOW = 5
 #: Benchmark windows held in memory at once; a larger benchmark is taken in blocks.
 BLOCK_WINDOWS = 2_000_000
@@ -69,11 +72,15 @@ class Reader:
                 text = text.replace(q, " ")
         raw = text.encode("utf-8", "replace")
         low = text.lower().encode("utf-8", "replace")
-        if len(low) != len(raw):
-            low = raw.lower()
         b = np.frombuffer(raw, np.uint8)
         if not len(b):
             return np.empty(0, np.int8), np.empty(0, U)
+        if len(low) == len(raw):
+            upper = b != np.frombuffer(low, np.uint8)
+        else:  # letters whose small form has another length, like that of the dotted I, stay as they are but count as capitals
+            sizes = [(c, len(c.encode("utf-8", "replace"))) for c in text]
+            low = b"".join(x if len(x := c.lower().encode("utf-8", "replace")) == n else c.encode("utf-8", "replace") for c, n in sizes)
+            upper = np.repeat(np.array([c.lower() != c for c, _ in sizes]), [n for _, n in sizes])
         word = self.word[b]
         word[1:-1] |= self.joint[b[1:-1]] & word[:-2] & self.digit[b[2:]]
         edge = np.flatnonzero(np.diff(np.concatenate([[False], word, [False]]).view(np.int8)))
@@ -83,8 +90,14 @@ class Reader:
         start, end = start[order], end[order]
         code = self.codes(low, start, end)
         first = b[start]
-        kind = np.where(self.digit[first], NUMBER, np.where(self.upper[first], CAPITAL, WORD)).astype(np.int8)
-        # A unit in capitals is as good as one in small letters; upper-case letters beyond ASCII begin no name.
+        capital = self.upper[first]
+        beyond = np.flatnonzero(first >= 128)
+        if len(beyond) and upper.any():
+            at, lead = start[beyond], first[beyond]
+            width = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+            capital[beyond] = np.any([upper[np.minimum(at + i, len(b) - 1)] & (i < width) for i in range(4)], axis=0)
+        kind = np.where(self.digit[first], NUMBER, np.where(capital, CAPITAL, WORD)).astype(np.int8)
+        # A unit in capitals is as good as one in small letters.
         at = np.minimum(np.searchsorted(self.units, code), len(self.units) - 1)
         kind[(self.units[at] == code) & (kind != NUMBER)] = UNIT
         mark = ~self.word[first]
@@ -93,15 +106,30 @@ class Reader:
         return kind, code
 
 
-def has_names(kind: np.ndarray) -> bool:
-    return bool(((kind[1:] == CAPITAL) & (kind[:-1] != STOP)).any())
+def initial(kind: np.ndarray) -> np.ndarray:
+    """Whether each token begins a sentence."""
+    return np.concatenate([[True], kind[:-1] == STOP])
 
 
-def template(kind: np.ndarray, code: np.ndarray, names: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def readings(kind: np.ndarray) -> list[int]:
+    """The readings that make a template of their own from these tokens."""
+    capital, first = kind == CAPITAL, initial(kind)
+    out = [NO_NAMES]
+    if (capital & ~first).any():
+        out.append(INNER)
+    if (capital & first).any():
+        out.append(FIRST_ALONE)
+        if ((capital & first)[:-1] & capital[1:]).any():
+            out.append(FIRST_JOINED)
+    return out
+
+
+def template(kind: np.ndarray, code: np.ndarray, names: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(codes, slots, values) of read tokens: template codes, whether each is a slot, and a hash of what fills it.
 
-    With names, capitalised words inside a sentence are slots too; a run of
-    names is one slot. Without, a name is an ordinary word in lower case.
+    names is one of READINGS. Capitalised words that it takes for names are
+    slots too; a run of names is one slot. Any other is an ordinary word in
+    lower case.
     """
     value = code
     number = kind == NUMBER
@@ -113,12 +141,17 @@ def template(kind: np.ndarray, code: np.ndarray, names: bool) -> tuple[np.ndarra
         code = np.where(number, NUM_CODE, np.where(unit, UNIT_CODE, code))
         slot = number | unit
         drop = drop | ((kind == MARK) & ~after_number)
-    if names:
-        name = (kind == CAPITAL) & ~np.concatenate([[True], kind[:-1] == STOP])
+    if names != NO_NAMES:
+        begins = initial(kind)
+        name = kind == CAPITAL
+        if names == INNER:
+            name &= ~begins
         code = np.where(name, NAME_CODE, code)
         slot = slot | name
         # A run of names is one slot, filled by all of them.
         first = name & ~np.concatenate([[False], name[:-1]])
+        if names == FIRST_ALONE:
+            first |= name & np.concatenate([[False], begins[:-1]])
         if first.any():
             filled = np.zeros(int(first.sum()), U)
             np.add.at(filled, (np.cumsum(first) - 1)[name], mix(value[name] + U(1)))
@@ -140,19 +173,26 @@ def windows(codes: np.ndarray, size: int) -> np.ndarray:
 
 
 class Benchmark:
-    """A block of items: their windows sorted by hash, for both readings of names."""
+    """A block of items: their windows sorted by hash, for each reading of names."""
 
     def __init__(self, items: list[tuple], size: int):
         self.size, self.ids = size, [i for i, _ in items]
         self.readings = []
-        for names in (False, True):
-            read, parts, slots, values = Reader(), [], [], []
-            for k, (_, text) in enumerate(items):
-                c, s, v = template(*read(text or ""), names)
-                w = windows(c, size)
+        read = Reader()
+        tokens = [read(text or "") for _, text in items]
+        #: Whether an item has a name that only the last reading joins: then documents are read so too, whatever they hold.
+        self.joined = any(FIRST_JOINED in readings(kind) for kind, _ in tokens)
+        for names in READINGS:
+            parts, slots, values = [], [], []
+            for k, token in enumerate(tokens):
+                c, s, v = template(*token, names)
+                w, at = windows(c, size), np.arange(max(0, len(c) - size + 1))
+                if names >= FIRST_ALONE:  # a window of nothing but slots says nothing where any sentence begins with one
+                    told = ~s[at[:, None] + np.arange(size)].all(1)
+                    w, at = w[told], at[told]
                 slots.append(s)
                 values.append(v)
-                parts.append((w, np.full(len(w), k), np.arange(len(w))))
+                parts.append((w, np.full(len(w), k), at))
             h, item, at = (np.concatenate([p[i] for p in parts]) if parts else np.empty(0, np.int64) for i in range(3))
             order = np.argsort(h, kind="stable")
             n = np.array([len(p[0]) for p in parts], np.int64)
@@ -162,9 +202,13 @@ class Benchmark:
         """item index -> (windows found, windows, slots compared, slots filled otherwise)."""
         found: dict = {}
         tokens = read(text)
-        for names, (h, item, at, n, slots, values) in zip((False, True), self.readings, strict=True):
-            if not len(h) or not len(tokens[0]) or names and not has_names(tokens[0]):
-                continue  # without names, both readings of the document are the same
+        if not len(tokens[0]):
+            return found
+        own = readings(tokens[0])
+        for names, (h, item, at, n, slots, values) in zip(READINGS, self.readings, strict=True):
+            # A reading that changes nothing in the document has been tried with the one before.
+            if not len(h) or names not in own and not (names == FIRST_JOINED and self.joined and FIRST_ALONE in own):
+                continue
             codes, slot, value = template(*tokens, names)
             w = windows(codes, self.size)
             lo = np.searchsorted(h, w)
@@ -281,8 +325,10 @@ def contaminated(
     A document leaks an item if at least share of the item's windows of size
     template tokens stand together in it (shifts may differ by a fifth of the
     item) and no value of the item's slots stands for two values there. a and b
-    are a hash of the text. Both readings of names, as slots and as words, are
-    tried. An item of fewer than size template tokens, or a null or empty text
+    are a hash of the text. Four readings of capitalised words are tried: as
+    words; as names inside sentences; and as names everywhere, with a sentence's
+    first word as a name of its own or as part of the run that it begins. In the
+    last two, windows of nothing but slots don't count. An item of fewer than size template tokens, or a null or empty text
     on either side, matches nothing; repeated rows give repeated rows; empty
     tables give an empty result; other columns are not looked at.
 
