@@ -225,42 +225,48 @@ class Benchmark:
                 if one in found and found[one][0] == found[one][1]:
                     continue
                 mine = its == one
-                got = self._placed(pos[mine], ats[mine], n[one], share)
-                if got is None:
-                    continue
-                p, a = got
-                compared, other, clash = self._slots(p, a, slots[one], values[one], slot, value)
-                if clash:
-                    continue
-                cover = len(np.unique(a))
-                if one not in found or cover > found[one][0]:
-                    found[one] = (cover, int(n[one]), compared, other)
+                for p, a in self._placed(pos[mine], ats[mine], n[one], share):
+                    cover = len(np.unique(a))
+                    if one in found and cover <= found[one][0]:
+                        break
+                    compared, other, clash = self._slots(p, a, slots[one], values[one], slot, value)
+                    if not clash:
+                        found[one] = (cover, int(n[one]), compared, other)
+                        break
         return found
 
     @staticmethod
     def _placed(pos: np.ndarray, at: np.ndarray, n: int, share: float):
-        """The windows that lie together where most of the item's windows are found, if that is enough of them."""
+        """The windows of each stretch that has enough of the item's windows together, those with the most first."""
         need = share * n
         if len(np.unique(at)) < need:
-            return None
+            return
         shift = pos - at
         order = np.argsort(shift, kind="stable")
         pos, at, shift = pos[order], at[order], shift[order]
         slack = max(2, int(n) // 5)
-        best, seen, lo = None, {}, 0
-        most = 0
-        for hi in range(len(shift)):
-            seen[at[hi]] = seen.get(at[hi], 0) + 1
-            while shift[hi] - shift[lo] > slack:
-                seen[at[lo]] -= 1
-                if not seen[at[lo]]:
-                    del seen[at[lo]]
-                lo += 1
-            if len(seen) > most:
-                most, best = len(seen), (lo, hi + 1)
-        if most < need:
-            return None
-        return pos[best[0] : best[1]], at[best[0] : best[1]]
+        # A stretch begins with each shift and holds those up to slack beyond it.
+        start = np.flatnonzero(np.concatenate([[True], shift[1:] != shift[:-1]]))
+        end = np.searchsorted(shift, shift[start] + slack, "right")
+        many, ats = np.zeros(len(start), np.int64), at.tolist()
+        seen: dict = {}
+        lo = hi = 0
+        for i, (a, b) in enumerate(zip(start.tolist(), end.tolist(), strict=True)):
+            for x in ats[lo:a]:
+                seen[x] -= 1
+                if not seen[x]:
+                    del seen[x]
+            for x in ats[hi:b]:
+                seen[x] = seen.get(x, 0) + 1
+            lo, hi = a, b
+            many[i] = len(seen)
+        for i in np.argsort(-many, kind="stable"):
+            if many[i] < need:
+                return
+            a, b = start[i], end[i]
+            # It ends where it has all of its different windows.
+            b = a + np.unique(at[a:b], return_index=True)[1].max() + 1
+            yield pos[a:b], at[a:b]
 
     def _slots(self, pos, at, item_slot, item_value, doc_slot, doc_value) -> tuple[int, int, bool]:
         """(slots compared, slots filled otherwise than in the item, whether one value of the item stands for several)."""
@@ -324,7 +330,8 @@ def contaminated(
 
     A document leaks an item if at least share of the item's windows of size
     template tokens stand together in it (shifts may differ by a fifth of the
-    item) and no value of the item's slots stands for two values there. a and b
+    item) and no value of the item's slots stands for two values there; every such
+    stretch of the document is looked at until one is consistent. a and b
     are a hash of the text. Four readings of capitalised words are tried: as
     words; as names inside sentences; and as names everywhere, with a sentence's
     first word as a name of its own or as part of the run that it begins. In the

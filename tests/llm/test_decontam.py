@@ -42,3 +42,19 @@ def test_through_spark(spark):
     bench = spark.createDataFrame([(9, TOM)], "item_id bigint, text string")
     assert [r.id for r in decontam.contaminated(df, bench).collect()] == [1]
     assert [r.doc_id for r in decontam.decontaminate(df, bench).collect()] == [2]
+
+
+def test_a_consistent_stretch_after_a_clashing_one():
+    item = "If there are 12 boxes with 7 apples in each then the 12 boxes hold how many apples in all of the 12 boxes together"
+    clash, other = item.replace("12", "30", 1), "and here some words of no interest stand between one question and the next "
+    assert not found(item, clash) and not found(item, (clash + " " + other) * 3)
+    for doc in (clash + " " + other + item, (clash + " " + other) * 3 + item, item + " " + other + clash):
+        assert found(item, doc)[3] == 0
+    assert found(item, clash + " " + other + item.replace("12", "30"))[3] == 3
+
+
+def test_a_document_with_a_clashing_variant_goes(spark):
+    item = "If there are 12 boxes with 7 apples in each then the 12 boxes hold how many apples in all of the 12 boxes together"
+    df = spark.createDataFrame([(1, item.replace("12", "30", 1) + " and then " + item), (2, item.replace("12", "30", 1))], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(9, item)], "item_id bigint, text string")
+    assert [r.doc_id for r in decontam.decontaminate(df, bench).collect()] == [2]
