@@ -268,7 +268,7 @@ SELECT pmid, disease, sentence_count, CASE WHEN tops = 1 THEN top ELSE 'unrelate
 def a2_within_paper(spark, d):
     e = _t(spark, d, "events").select(
         F.col("user_id").cast("string").alias("pmid"), F.lit("m").alias("microbe"), F.lit("Microbe").alias("subject_node_type"), F.lit("s").alias("subject_node"),
-        (F.col("event_id") % 3).cast("string").alias("disease"), F.col("event_type").alias("final_label"), F.substring("props", 1, 9).alias("sentence"),
+        (F.col("event_id") % 3).cast("string").alias("disease"), F.col("event_type").alias("final_label"), F.col("props").alias("sentence"),
         F.lit("NA").alias("impact_factor"), F.lit("NA").alias("quartile"), F.col("event_id").alias("ord"),
     )
     return relations.aggregate_within_paper(e).select("pmid", "disease", "sentence_count", "final_label", "evidence")
