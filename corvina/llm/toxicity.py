@@ -27,6 +27,8 @@ N_FEATURES = 6
 LONGEST = 256
 #: Labelled documents that are fitted to at most, of either label, and their longest text in characters.
 SAMPLE, SAMPLE_CHARS = 1200, 1 << 16
+#: Sequences are fitted to in pieces of so many tokens, and to so many pieces at most with a toxic token and without one.
+PIECE, TOXIC_PIECES, OTHER_PIECES = 48, 4000, 14000
 BATCH_CHARS = 4_000_000
 
 
@@ -130,7 +132,11 @@ def padded(seqs: list[list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(docs: list[tuple[str, int]], seed: int = 7) -> Field:
-    """A field fitted to (text, toxic) pairs; without toxic or without clean ones it finds nothing toxic."""
+    """A field fitted to (text, toxic) pairs; without toxic or without clean ones it finds nothing toxic.
+
+    Sequences are cut into pieces of PIECE tokens, each with its own labels; at
+    most TOXIC_PIECES with a toxic token and OTHER_PIECES others are drawn.
+    """
     field = Field()
     marks = token_labels(docs)
     if not marks or len({t for _, t in docs}) < 2:
@@ -143,8 +149,10 @@ def train(docs: list[tuple[str, int]], seed: int = 7) -> Field:
         for s in sequences(text):
             fs = [known.get(w := low[a:b]) or known.setdefault(w, features(w)) for a, b in s]
             y = [int(toxic and not marks.isdisjoint(f)) for f in fs]
-            (with_label if any(y) else without).append((fs[:48], y[:48]))
-    pick = rng.permutation(len(with_label))[:4000], rng.permutation(len(without))[:14000]
+            for at in range(0, len(fs), PIECE):
+                piece = fs[at : at + PIECE], y[at : at + PIECE]
+                (with_label if any(piece[1]) else without).append(piece)
+    pick = rng.permutation(len(with_label))[:TOXIC_PIECES], rng.permutation(len(without))[:OTHER_PIECES]
     chosen = [with_label[i] for i in pick[0]] + [without[i] for i in pick[1]]
     f, n = padded([c[0] for c in chosen])
     y = np.zeros(f.shape[:2])
