@@ -52,7 +52,6 @@ TAG_TEXT = re.compile(r"(?:spdx[^0-9a-z]+license[^0-9a-z]+identifier|license[^0-
 PART = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.:-]*\+?")
 #: Precedence, weakest first.
 RANK = {"or": 1, "and": 2, "with": 3}
-MAX_PARTS = 256
 #: All bytes that end a word become a space, A-Z become small letters.
 _FOLD = bytes(
     32 if b <= 0x2F or 0x3A <= b <= 0x40 or 0x5B <= b <= 0x60 or 0x7B <= b <= 0x7F else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)
@@ -123,14 +122,44 @@ def parse(parts: list[str]) -> tuple | None:
     return out[0] if len(out) == 1 and not operand else None
 
 
+def well_formed(parts: list[str]) -> int:
+    """How many parts the longest prefix has that parse() takes."""
+    longest = depth = 0
+    operand = True
+    for i, part in enumerate(parts, 1):
+        if operand != (part not in (")",) and part.lower() not in RANK):
+            break
+        if part == "(":
+            depth += 1
+        elif part == ")":
+            depth -= 1
+            if depth < 0:
+                break
+        else:
+            operand = part.lower() in RANK
+        if not operand and not depth:
+            longest = i
+    return longest
+
+
 def identifiers(tree) -> set[str]:
     """The identifiers that a tree names; an exception stays with its licence, as in gpl-2.0 with x."""
-    if isinstance(tree, str):
-        return {tree}
-    op, left, right = tree
-    if op == "with":
-        return {f"{a} with {b}" for a in identifiers(left) for b in identifiers(right)}
-    return identifiers(left) | identifiers(right)
+    todo, done = [(tree, False)], []
+    while todo:  # a stack of its own, as a tree may be as deep as its line is long
+        node, ready = todo.pop()
+        if isinstance(node, str):
+            done.append({node})
+        elif not ready:
+            todo += [(node, True), (node[2], False), (node[1], False)]
+        else:
+            right, left = done.pop(), done.pop()
+            if node[0] == "with":
+                done.append({f"{a} with {b}" for a in left for b in right})
+            else:
+                few, many = sorted((left, right), key=len)
+                many |= few
+                done.append(many)
+    return done[0]
 
 
 def expressions(text: str) -> list[tuple[str, tuple | str | None]]:
@@ -149,12 +178,8 @@ def expressions(text: str) -> list[tuple[str, tuple | str | None]]:
             parts.append(m[0])
             end = m.end()
             closed.append(end)
-            if len(parts) == MAX_PARTS:
-                break
-        while parts and (tree := parse(parts)) is None:
-            parts.pop()
-            closed.pop()
-        found.append((line[: closed[-1]], tree) if parts else ("", None))
+        n = well_formed(parts)
+        found.append((line[: closed[n - 1]], parse(parts[:n])) if n else ("", None))
     return found
 
 
