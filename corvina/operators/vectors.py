@@ -1,12 +1,19 @@
-"""Retrieval by inner product, in DataFrame expressions on double precision."""
+"""Retrieval by inner product in double precision: blocks of a query set against all vectors, as matrix products."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Concepts compared at a time; a larger query set is taken in blocks.
+#: Concepts compared at a time, about; a larger query set is taken in blocks.
 BLOCK = 256
+#: Scores that are nearer than this may be equal once rounded.
+MARGIN = 2e-6
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -18,23 +25,56 @@ def norm(a: Column) -> Column:
     return F.when(length > 0, F.transform(a, lambda x: x / length)).otherwise(a)
 
 
+def _best_of_partition(ids: list, queries: np.ndarray, k: int):
+    """Scores batches by one matrix product each and keeps, per concept, what can still be among its k best."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            vectors = b.column(1)
+            rows = np.flatnonzero(~np.asarray(vectors.is_null()))
+            flat = np.asarray(vectors.drop_null().flatten(), np.float64)
+            if not len(rows):
+                continue
+            scores = queries @ flat.reshape(len(rows), -1).T
+            if len(rows) > k:  # rounding may make equal what isn't: a margin below the k-th
+                least = np.partition(scores, len(rows) - k, axis=1)[:, len(rows) - k, None] - MARGIN
+                which, at = np.nonzero(scores >= least)
+            else:
+                which, at = np.nonzero(np.ones_like(scores, bool))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([ids[i] for i in which], b.schema.field(2).type), b.column(0).take(pa.array(rows[at])), pa.array(scores[which, at])], ["concept", "vector", "score"]
+            )
+
+    return run
+
+
 def top_k(concepts: DataFrame, vectors: DataFrame, k: int = 20, floor: float | None = None, concept: str = "concept_id", vector: str = "vec_id", decimals: int = 6) -> DataFrame:
     """(concept, vector, score, rank): the k best vectors of each concept, then those from the floor on.
 
-    concepts are a stated query set with embeddings: BLOCK of them at a time are
-    held beside every row. Each partition keeps its own best before the
-    ranking, so that what is shuffled is k rows per concept and partition. Ties
-    go to the smaller id.
+    concepts are a stated query set with embeddings, dealt by a hash of their
+    ids into blocks of about BLOCK: only one block is held, by the driver and in
+    a task, beside one batch of vectors, and its pass over all vectors is one
+    matrix product per batch. What is shuffled is about k rows per concept and
+    batch. Vectors without an embedding score nothing; all have one length.
+    Scores are rounded to decimals, ties go to the smaller id.
     """
-    ids = [r[0] for r in concepts.select(concept).distinct().orderBy(concept).toLocalIterator()]
+    blocks = max(1, -(-concepts.count() // BLOCK))
+    dealt = concepts.select(concept, "embedding", F.pmod(F.xxhash64(concept), F.lit(blocks)).alias("_b"))
+    kinds = {f.name: f.dataType for f in (*concepts.schema, *vectors.schema)}
+    schema = T.StructType([T.StructField("concept", kinds[concept]), T.StructField("vector", kinds[vector]), T.StructField("score", T.DoubleType())])
+    plain = vectors.select(F.col(vector), F.col("embedding").cast("array<double>").alias("e"), F.lit(None).cast(kinds[concept]).alias("like"))
     out = None
-    for lo in range(0, max(1, len(ids)), BLOCK):
-        block = concepts.where(F.col(concept).isin(*ids[lo : lo + BLOCK])).select(concept, F.col("embedding").alias("_q"))
-        scored = vectors.join(F.broadcast(block)).select(concept, vector, F.round(dot(F.col("_q"), F.col("embedding")), decimals).alias("score"))
-        ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy(concept).orderBy(F.col("score").desc(), vector)))
-        best = ranked.where(F.col("rank") <= k)  # a limit per group, which Spark applies before the shuffle too
-        out = best if out is None else out.unionByName(best)
-    return out if floor is None else out.where(F.col("score") >= floor)
+    for i in range(blocks):
+        block = dealt.where((F.col("_b") == i) & F.col("embedding").isNotNull()).collect()
+        if block:
+            best = plain.mapInArrow(_best_of_partition([r[0] for r in block], np.array([r[1] for r in block], float), k), schema)
+            out = best if out is None else out.unionByName(best)
+    if out is None:
+        out = concepts.sparkSession.createDataFrame([], schema)
+    scored = out.select(F.col("concept").alias(concept), F.col("vector").alias(vector), F.round("score", decimals).alias("score"))
+    ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy(concept).orderBy(F.col("score").desc(), vector)))
+    best = ranked.where(F.col("rank") <= k)  # a limit per group, which Spark applies before the shuffle too
+    return best if floor is None else best.where(F.col("score") >= floor)
 
 
 def centroids(vectors: DataFrame, label: str = "label") -> DataFrame:
