@@ -1,9 +1,10 @@
 """Toxic spans by a linear-chain conditional random field over two states.
 
 Token labels come from document labels: a token of a toxic document is toxic if
-one of its features is all but confined to toxic documents. The field is fitted
+one of its features is far commoner in toxic documents than in clean ones. The field is fitted
 to a bounded sample of labelled documents; forward-backward marginals give the
-offending spans, and the largest of them a document's score.
+offending spans, and their sum beside the number of tokens a document's score,
+by a logistic curve fitted to the same sample.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ from .common import extra_columns, quoted
 TOKEN = re.compile(r"\w+|[.!?\n]")
 BUCKETS = 1 << 18
 N_FEATURES = 6
-#: A sequence is a sentence; a longer one goes on in a new sequence.
-LONGEST = 256
+#: A sequence is a sentence. Of a longer one LONGEST tokens are told at a time, from a stretch that reaches
+#: OVERLAP tokens further on both sides: what stands beyond has no weight that could be seen.
+LONGEST, OVERLAP = 256, 32
 #: Labelled documents that are fitted to at most, of either label, and their longest text in characters.
 SAMPLE, SAMPLE_CHARS = 1200, 1 << 16
 #: Sequences are fitted to in pieces of so many tokens, and to so many pieces at most with a toxic token and without one.
@@ -33,7 +35,8 @@ BATCH_CHARS = 4_000_000
 
 
 def features(word: str) -> list[int]:
-    """Hash buckets of a word in lower case: the whole, its beginnings and its end."""
+    """Hash buckets of a word, in lower case: the whole, its beginnings and its end."""
+    word = word.lower()
     parts = ("w" + word, "3" + word[:3], "4" + word[:4], "5" + word[:5], "6" + word[:6], "s" + word[-4:])
     return [crc32(p.encode("utf-8", "replace")) % BUCKETS for p in parts]
 
@@ -59,6 +62,8 @@ class Field:
         self.w = np.zeros(BUCKETS)
         self.bias = -4.0
         self.t = np.zeros((2, 2))
+        #: Weights of aggregates(); before fitting, nothing is toxic.
+        self.level = np.array([-30.0, 0.0, 0.0])
 
     def marginals(self, e: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(p, forward, backward) of state 1; e: (sequences, steps) of scores, n: lengths. Beyond a length all is 0."""
@@ -85,40 +90,68 @@ class Field:
         p[np.arange(steps)[:, None] >= n] = 0
         return p.T, a.T, b.T
 
-    def fit(self, f: np.ndarray, y: np.ndarray, n: np.ndarray, steps: int = 60, rate: float = 0.3, decay: float = 1e-4) -> None:
-        """Adam on the mean log-likelihood; f: (sequences, steps, features), y: (sequences, steps) of 0 and 1."""
+    def gradient(self, f: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """That of the mean log-likelihood per token, by weights, bias and transitions; f: (sequences, steps, features), y: (sequences, steps) of 0 and 1."""
         live = np.arange(f.shape[1]) < n[:, None]
-        flat = f[live].ravel()
         pair = live[:, 1:]
+        e = (self.w[f].sum(2) + self.bias) * live
+        p, a, b = self.marginals(e, n)
+        off = (y - p)[live]
+        x, t = np.exp(np.clip(e[:, 1:], -30, 30)), np.exp(self.t)
+        a0, b0 = a[:, :-1], b[:, 1:]
+        xi = [[(a0 if i else 1 - a0) * t[i, j] * (x * b0 if j else 1 - b0) for j in (0, 1)] for i in (0, 1)]
+        norm = xi[0][0] + xi[0][1] + xi[1][0] + xi[1][1]
+        pairs = np.array([[(xi[i][j] / norm)[pair].sum() for j in (0, 1)] for i in (0, 1)])
         truth = np.array([[((y[:, :-1] == i) & (y[:, 1:] == j) & pair).sum() for j in (0, 1)] for i in (0, 1)], float)
-        size = BUCKETS + 5
-        m, v, total = np.zeros(size), np.zeros(size), live.sum()
+        return np.concatenate([np.bincount(f[live].ravel(), np.repeat(off, f.shape[2]), BUCKETS), [off.sum()], (truth - pairs).ravel()]) / live.sum()
+
+    def fit(self, f: np.ndarray, y: np.ndarray, n: np.ndarray, steps: int = 60, rate: float = 0.3, decay: float = 1e-4) -> None:
+        """Adam on the mean log-likelihood."""
+        m, v = np.zeros(BUCKETS + 5), np.zeros(BUCKETS + 5)
         for k in range(1, steps + 1):
-            e = (self.w[f].sum(2) + self.bias) * live
-            p, a, b = self.marginals(e, n)
-            off = (y - p)[live]
-            x, t = np.exp(np.clip(e[:, 1:], -30, 30)), np.exp(self.t)
-            a0, b0 = a[:, :-1], b[:, 1:]
-            xi = [[(a0 if i else 1 - a0) * t[i, j] * (x * b0 if j else 1 - b0) for j in (0, 1)] for i in (0, 1)]
-            norm = xi[0][0] + xi[0][1] + xi[1][0] + xi[1][1]
-            pairs = np.array([[(xi[i][j] / norm)[pair].sum() for j in (0, 1)] for i in (0, 1)])
-            g = np.concatenate([np.bincount(flat, np.repeat(off, f.shape[2]), BUCKETS), [off.sum()], (truth - pairs).ravel()]) / total
             now = np.concatenate([self.w, [self.bias], self.t.ravel()])
-            g -= decay * np.concatenate([self.w, np.zeros(5)]) / 10
+            g = self.gradient(f, y, n) - decay * np.concatenate([self.w, np.zeros(5)]) / 10
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
             now += rate * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-8)
             self.w, self.bias, self.t = now[:BUCKETS], float(now[BUCKETS]), now[BUCKETS + 1 :].reshape(2, 2)
 
+    def score(self, p: np.ndarray) -> float:
+        """A document's score from the marginals of its tokens."""
+        return float(1 / (1 + np.exp(-(self.level @ aggregates(p))))) if len(p) else 0.0
+
+    def fit_level(self, marginals: list[np.ndarray], toxic: list[int], steps: int = 30, decay: float = 0.1) -> None:
+        """Newton's method on the log-likelihood of the documents' labels."""
+        x, y = np.array([aggregates(p) for p in marginals]), np.array(toxic, float)
+        w = np.zeros(3)
+        for _ in range(steps):
+            q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            w += np.linalg.solve((x * (q * (1 - q))[:, None]).T @ x + decay * np.eye(3), x.T @ (y - q) - decay * w)
+        self.level = w
+
+
+def aggregates(p: np.ndarray) -> np.ndarray:
+    """What a document's score is told from: a constant, the sum of its squared marginals, in which many small ones count little, and its length."""
+    return np.array([1.0, np.log(float(p @ p) + 0.1), np.log(len(p) + 10.0)])
+
+
+def token_labels(docs: list[tuple[str, int]], least: int = 8, ratio: float = 0.15, most: int = 5) -> set[int]:
+    """Feature buckets that are far commoner in toxic documents of a labelled sample than in clean ones.
 
-def token_labels(docs: list[tuple[str, int]], least: int = 8, ratio: float = 0.02) -> set[int]:
-    """Feature buckets that are all but confined to toxic documents of a labelled sample."""
+    A document counts a bucket up to most times. A bucket is marked with least
+    counts in toxic documents or more, and if its rate in clean documents is no more than
+    ratio of that in toxic ones.
+    """
     by = (Counter(), Counter())
     sizes = [0, 0]
     known: dict[str, list[int]] = {}
     for text, toxic in docs:
-        words = {w for w in TOKEN.findall(text.lower()) if w not in ".!?\n"}
+        words = Counter(w for w in TOKEN.findall(text) if w not in ".!?\n")
+        own: Counter = Counter()
+        for w, n in words.items():
+            for k in known.get(w) or known.setdefault(w, features(w)):
+                own[k] += n
         sizes[toxic] += 1
-        by[toxic].update({k for w in words for k in (known.get(w) or known.setdefault(w, features(w)))})
+        by[toxic].update({k: min(n, most) for k, n in own.items()})
     clean, toxic = by
     return {k for k, c in toxic.items() if c >= least and (clean[k] + 0.5) / (sizes[0] + 1) <= ratio * c / max(1, sizes[1])}
 
@@ -132,7 +165,7 @@ def padded(seqs: list[list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(docs: list[tuple[str, int]], seed: int = 7) -> Field:
-    """A field fitted to (text, toxic) pairs; without toxic or without clean ones it finds nothing toxic.
+    """A field and a document level fitted to (text, toxic) pairs; without toxic or without clean ones nothing is toxic.
 
     Sequences are cut into pieces of PIECE tokens, each with its own labels; at
     most TOXIC_PIECES with a toxic token and OTHER_PIECES others are drawn.
@@ -145,9 +178,8 @@ def train(docs: list[tuple[str, int]], seed: int = 7) -> Field:
     with_label, without = [], []
     known: dict[str, list[int]] = {}
     for text, toxic in docs:
-        low = text.lower() if len(text.lower()) == len(text) else text
         for s in sequences(text):
-            fs = [known.get(w := low[a:b]) or known.setdefault(w, features(w)) for a, b in s]
+            fs = [known.get(w := text[a:b]) or known.setdefault(w, features(w)) for a, b in s]
             y = [int(toxic and not marks.isdisjoint(f)) for f in fs]
             for at in range(0, len(fs), PIECE):
                 piece = fs[at : at + PIECE], y[at : at + PIECE]
@@ -159,11 +191,13 @@ def train(docs: list[tuple[str, int]], seed: int = 7) -> Field:
     for i, (_, one) in enumerate(chosen):
         y[i, : len(one)] = one
     field.fit(f, y, n)
+    scorer = Scorer(field)
+    field.fit_level([p for text, _ in docs for p in scorer.marginals([text])], [t for _, t in docs])
     return field
 
 
 class Scorer(dict):
-    """word in lower case -> its score; forgets all when too large."""
+    """word -> its score; forgets all when too large."""
 
     def __init__(self, field: Field):
         self.field = field
@@ -174,56 +208,59 @@ class Scorer(dict):
         self[word] = e = float(self.field.w[features(word)].sum()) + self.field.bias
         return e
 
-    def spans(self, texts: list[str | None]) -> list[tuple[float, list[tuple[int, int]]]]:
-        """(score, offending spans) of each text."""
+    def marginals(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The marginal of each token of each text, 0 for sentence ends."""
         es, ends, marks = [], [], []
         for text in texts:
-            text = text or ""
-            low = text.lower() if len(text.lower()) == len(text) else text
-            tokens = TOKEN.findall(low)
+            tokens = TOKEN.findall(text or "")
             es.append(np.fromiter(map(self.__getitem__, tokens), np.float64, len(tokens)))
             marks.append(np.fromiter(map(".!?\n".__contains__, tokens), bool, len(tokens)))
             ends.append(len(tokens))
         if not sum(ends):
-            return [(0.0, [])] * len(texts)
+            return [np.zeros(0)] * len(texts)
         e, mark = np.concatenate(es), np.concatenate(marks)
         doc = np.repeat(np.arange(len(texts)), ends)
-        # A sequence begins after a mark, with a document, and LONGEST tokens after the last one began.
-        new = np.concatenate([[True], mark[:-1] | (doc[1:] != doc[:-1])])
-        run = np.arange(len(e)) - np.maximum.accumulate(np.where(new, np.arange(len(e)), 0))
-        new |= run % LONGEST == 0
         at = np.flatnonzero(~mark)
         p = np.zeros(len(e))
         if len(at):
-            seq = np.cumsum(new)[at]
+            # A sequence begins after a mark and with a document.
+            seq = np.cumsum(np.concatenate([[True], mark[:-1] | (doc[1:] != doc[:-1])]))[at]
             start = np.flatnonzero(np.concatenate([[True], seq[1:] != seq[:-1]]))
             n = np.diff(np.concatenate([start, [len(at)]]))
+            # Stretches of long sequences: what each tells, and what it looks at.
+            parts = -(-n // LONGEST)
+            of = np.repeat(np.arange(len(n)), parts)
+            told = (np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)) * LONGEST
+            lo, hi = np.maximum(told - OVERLAP, 0), np.minimum(told + LONGEST + OVERLAP, n[of])
+            first, last = told - lo, np.minimum(told + LONGEST, n[of]) - lo
+            start, n = start[of] + lo, hi - lo
             order = np.argsort(n, kind="stable")
-            lo = 0
-            while lo < len(order):  # sequences of about the same length together
-                top = max(8, int(n[order[lo]] * 1.3))
-                hi = min(int(np.searchsorted(n[order], top, "right")), lo + 20_000)
-                some = order[lo:hi]
-                steps = int(n[some[-1]])
-                index = np.minimum(start[some][:, None] + np.arange(steps), len(at) - 1)
-                live = np.arange(steps) < n[some][:, None]
-                got, _, _ = self.field.marginals(np.where(live, e[at[index]], 0.0), n[some])
-                p[at[index[live]]] = got[live]
-                lo = hi
-        first = np.cumsum(ends) - ends
+            k = 0
+            while k < len(order):  # sequences of about the same length together
+                top = max(8, int(n[order[k]] * 1.3))
+                end = min(int(np.searchsorted(n[order], top, "right")), k + 20_000)
+                some = order[k:end]
+                steps = np.arange(int(n[some[-1]]))
+                index = np.minimum(start[some][:, None] + steps, len(at) - 1)
+                got, _, _ = self.field.marginals(np.where(steps < n[some][:, None], e[at[index]], 0.0), n[some])
+                mine = (steps >= first[some][:, None]) & (steps < last[some][:, None])
+                p[at[index[mine]]] = got[mine]
+                k = end
+        return np.split(p, np.cumsum(ends)[:-1])
+
+    def spans(self, texts: list[str | None]) -> list[tuple[float, list[tuple[int, int]]]]:
+        """(score, offending spans) of each text."""
         out = []
-        for text, a, k in zip(texts, first, ends, strict=True):
-            mine = p[a : a + k]
-            hit = np.flatnonzero(mine >= 0.5)
-            out.append((float(mine.max(initial=0.0)), self._places(text, hit) if len(hit) else []))
+        for text, p in zip(texts, self.marginals(texts), strict=True):
+            hit = np.flatnonzero(p >= 0.5)
+            out.append((self.field.score(p), self._places(text, hit) if len(hit) else []))
         return out
 
     @staticmethod
     def _places(text: str, hit: np.ndarray) -> list[tuple[int, int]]:
-        low = text.lower() if len(text.lower()) == len(text) else text
         wanted, spans = set(hit.tolist()), []
         last = -2
-        for i, m in enumerate(TOKEN.finditer(low)):
+        for i, m in enumerate(TOKEN.finditer(text)):
             if i in wanted:
                 if i == last + 1:
                     spans[-1] = (spans[-1][0], m.end())
@@ -256,10 +293,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str,
 def toxicity(df: DataFrame, field: Field, text: str = "text") -> DataFrame:
     """df, without its text, with score (0 to 1), predicted (1 from 0.5 on) and toxic_spans.
 
-    The score is the largest marginal of a token; spans are runs of tokens with a marginal of 0.5 or
-    more, in characters, end exclusive. A null or empty text scores 0. Whole
-    texts are scored, row by row: repeated rows score alike, other columns are
-    passed on whatever they hold, and those of the names made are replaced.
+    The score aggregates the marginals of all tokens; spans are runs of tokens
+    with a marginal of 0.5 or more, in characters, end exclusive, and a clean
+    document may have one. A text without tokens, null or empty, scores 0. Whole
+    texts are scored, row by row, in time in proportion to their length: repeated
+    rows score alike, other columns are passed on whatever they hold, those of
+    the names made are replaced, and an empty table gives an empty result.
     """
     rest = extra_columns(df, text, "score", "predicted", "toxic_spans")
     wide = df.select(*[quoted(c) for c in rest], quoted(text).alias("_cv_text"))
