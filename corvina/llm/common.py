@@ -71,3 +71,21 @@ def content_key(text: Column) -> Column:
     """128 bits of a text's content as a struct of two longs; null counts as empty."""
     whole = F.coalesce(text, F.lit(""))
     return F.struct(F.xxhash64(whole).alias("k1"), F.xxhash64(F.lit(1), whole, F.lit(7)).alias("k2"))
+
+
+#: Rows that a broadcast side has at most, and parts that a hot key is dealt into beyond that.
+BROADCAST_ROWS, SALT = 50_000, 32
+
+
+def met(big: DataFrame, small: DataFrame, keys: list[str], spread: str, how: str = "inner", weight: int | None = None) -> DataFrame:
+    """big joined with small on keys, whatever share of big one key holds.
+
+    small, of short rows, is counted, unless its weight in such rows is known. Up
+    to BROADCAST_ROWS it goes to all tasks; else big's rows are dealt into SALT
+    parts by the hash of the column spread, and small is repeated for each part.
+    """
+    if (small.count() if weight is None else weight) <= BROADCAST_ROWS:
+        return big.join(F.broadcast(small), keys, how)
+    dealt = big.withColumn("_s", F.pmod(F.xxhash64(spread), F.lit(SALT)))
+    parts = small.withColumn("_s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALT - 1).cast("bigint"))))
+    return dealt.join(parts, [*keys, "_s"], how).drop("_s")

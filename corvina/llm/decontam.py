@@ -1,20 +1,27 @@
 """Benchmark decontamination by template canonicalisation.
 
 Numbers, units and names become typed placeholders, so that a question with
-other values in it has the same template. Windows of a document's template are
-looked up among the windows of the benchmark's templates; where enough of an
+other values in it has the same template. Windows of the documents' templates
+are joined by hash with windows of the benchmark's templates; where enough of an
 item's windows lie together, the fillings of its slots are aligned and must be
 consistent: one value of the item always stands for one value in the document.
+
+A document that leaks an item holds one at least of the item's rarest windows,
+of which so many are taken that the others would not be enough. Only these
+probes meet the documents; all windows of an item are looked at in the pairs
+that they find. Bloom filters of bounded size, of the probes and of all windows, hold back
+what can have no partner before anything is shuffled.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import quoted
+from .common import content_key, met, quoted, scratch
 from .minhash import U, mix
 
 #: Fixed words for units of measure, as they follow a number.
@@ -30,8 +37,9 @@ NUM_CODE, UNIT_CODE, NAME_CODE = U(0x1), U(0x2), U(0x3)
 #: first on its own (as in Then Tom), all are and the first belongs to a run that it begins (as in Tom Smith).
 NO_NAMES, INNER, FIRST_ALONE, FIRST_JOINED = READINGS = range(4)
 WINDOW = 5
-#: Benchmark windows held in memory at once; a larger benchmark is taken in blocks.
-BLOCK_WINDOWS = 2_000_000
+#: Bits of a Bloom filter: about so many for each window, a power of two and MOST_BITS (16 MB) at most.
+#: With more windows than that more documents' windows pass it, and the join is still exact.
+BITS_EACH, MOST_BITS, PROBES_EACH = 16, 1 << 27, 3
 
 
 #: Marks that stand around words.
@@ -172,198 +180,306 @@ def windows(codes: np.ndarray, size: int) -> np.ndarray:
     return mix(h)
 
 
-class Benchmark:
-    """A block of items: their windows sorted by hash, for each reading of names."""
+def keyed(hashes: np.ndarray, size: int, names: int) -> np.ndarray:
+    """Hashes of windows of a size in a reading; those of another size or reading differ."""
+    return mix(hashes + U(16 * size + names + 1))
 
-    def __init__(self, items: list[tuple], size: int):
-        self.size, self.ids = size, [i for i, _ in items]
-        self.readings = []
-        read = Reader()
-        tokens = [read(text or "") for _, text in items]
-        #: Whether an item has a name that only the last reading joins: then documents are read so too, whatever they hold.
-        self.joined = any(FIRST_JOINED in readings(kind) for kind, _ in tokens)
-        for names in READINGS:
-            parts, slots, values = [], [], []
-            for k, token in enumerate(tokens):
-                c, s, v = template(*token, names)
-                w, at = windows(c, size), np.arange(max(0, len(c) - size + 1))
-                if names >= FIRST_ALONE:  # a window of nothing but slots says nothing where any sentence begins with one
-                    told = ~s[at[:, None] + np.arange(size)].all(1)
-                    w, at = w[told], at[told]
-                slots.append(s)
-                values.append(v)
-                parts.append((w, np.full(len(w), k), at))
-            h, item, at = (np.concatenate([p[i] for p in parts]) if parts else np.empty(0, np.int64) for i in range(3))
-            order = np.argsort(h, kind="stable")
-            n = np.array([len(p[0]) for p in parts], np.int64)
-            self.readings.append((h[order].astype(U), item[order].astype(np.int64), at[order].astype(np.int64), n, slots, values))
-
-    def hits(self, text: str, read: Reader, share: float) -> dict:
-        """item index -> (windows found, windows, slots compared, slots filled otherwise)."""
-        found: dict = {}
-        tokens = read(text)
-        if not len(tokens[0]):
-            return found
-        own = readings(tokens[0])
-        for names, (h, item, at, n, slots, values) in zip(READINGS, self.readings, strict=True):
-            # A reading that changes nothing in the document has been tried with the one before.
-            if not len(h) or names not in own and not (names == FIRST_JOINED and self.joined and FIRST_ALONE in own):
-                continue
+
+def filled(slot: np.ndarray, value: np.ndarray, size: int) -> np.ndarray:
+    """For each window the fillings of its places, 0 where there is no slot."""
+    v = np.where(slot, value | U(1), U(0))
+    return v[np.arange(max(0, len(v) - size + 1))[:, None] + np.arange(size)]
+
+
+def item_windows(tokens: tuple, names: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, fillings, places) of an item's windows in a reading; a shorter item is one window.
+
+    A window of nothing but slots says nothing where any sentence begins with
+    one, so it is left out in the last two readings.
+    """
+    codes, slot, value = template(*tokens, names)
+    size = min(size, len(codes))
+    if not size:
+        return np.empty(0, U), np.empty((0, 0), U), np.empty(0, np.int64)
+    h, v, at = keyed(windows(codes, size), size, names), filled(slot, value, size), np.arange(len(codes) - size + 1)
+    if names >= FIRST_ALONE:
+        told = ~(v != 0).all(1)
+        h, v, at = h[told], v[told], at[told]
+    return h, v, at
+
+
+def document_windows(tokens: tuple, sizes: list[int]):
+    """(reading, size, hashes, fillings by places) of a document, in all readings, as the item may differ in any."""
+    own = readings(tokens[0]) if len(tokens[0]) else []
+    raw: dict = {}
+    for names in READINGS if own else ():
+        if names in own:  # else the reading before has the same template
             codes, slot, value = template(*tokens, names)
-            w = windows(codes, self.size)
-            lo = np.searchsorted(h, w)
-            there = np.flatnonzero(h[np.minimum(lo, len(h) - 1)] == w)
-            if not len(there):
-                continue
-            lo = lo[there]
-            hi = np.searchsorted(h, w[there], "right")
-            times = hi - lo
-            pos = np.repeat(there, times)
-            k = np.repeat(lo, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            its, ats = item[k], at[k]
-            for one in np.unique(its):
-                if one in found and found[one][0] == found[one][1]:
-                    continue
-                mine = its == one
-                for p, a in self._placed(pos[mine], ats[mine], n[one], share):
-                    cover = len(np.unique(a))
-                    if one in found and cover <= found[one][0]:
-                        break
-                    compared, other, clash = self._slots(p, a, slots[one], values[one], slot, value)
-                    if not clash:
-                        found[one] = (cover, int(n[one]), compared, other)
-                        break
-        return found
-
-    @staticmethod
-    def _placed(pos: np.ndarray, at: np.ndarray, n: int, share: float):
-        """The windows of each stretch that has enough of the item's windows together, those with the most first."""
-        need = share * n
-        if len(np.unique(at)) < need:
+            raw = {size: windows(codes, size) for size in sizes if len(codes) >= size}
+        for size, h in raw.items():
+            yield names, size, keyed(h, size, names), lambda at, s=slot, v=value, n=size: filled_at(s, v, n, at)
+
+
+def filled_at(slot: np.ndarray, value: np.ndarray, size: int, at: np.ndarray) -> np.ndarray:
+    place = at[:, None] + np.arange(size)
+    return np.where(slot[place], value[place] | U(1), U(0))
+
+
+def placed(pos: np.ndarray, at: np.ndarray, need: float, slack: int):
+    """Indices of the windows of each stretch that has enough of the item's windows together, those with the most first."""
+    if len(np.unique(at)) < need:
+        return
+    shift = pos - at
+    order = np.argsort(shift, kind="stable")
+    at, shift = at[order], shift[order]
+    # A stretch begins with each shift and holds those up to slack beyond it.
+    start = np.flatnonzero(np.concatenate([[True], shift[1:] != shift[:-1]]))
+    end = np.searchsorted(shift, shift[start] + slack, "right")
+    many, ats = np.zeros(len(start), np.int64), at.tolist()
+    seen: dict = {}
+    lo = hi = 0
+    for i, (a, b) in enumerate(zip(start.tolist(), end.tolist(), strict=True)):
+        for x in ats[lo:a]:
+            seen[x] -= 1
+            if not seen[x]:
+                del seen[x]
+        for x in ats[hi:b]:
+            seen[x] = seen.get(x, 0) + 1
+        lo, hi = a, b
+        many[i] = len(seen)
+    for i in np.argsort(-many, kind="stable"):
+        if many[i] < need:
             return
-        shift = pos - at
-        order = np.argsort(shift, kind="stable")
-        pos, at, shift = pos[order], at[order], shift[order]
-        slack = max(2, int(n) // 5)
-        # A stretch begins with each shift and holds those up to slack beyond it.
-        start = np.flatnonzero(np.concatenate([[True], shift[1:] != shift[:-1]]))
-        end = np.searchsorted(shift, shift[start] + slack, "right")
-        many, ats = np.zeros(len(start), np.int64), at.tolist()
-        seen: dict = {}
-        lo = hi = 0
-        for i, (a, b) in enumerate(zip(start.tolist(), end.tolist(), strict=True)):
-            for x in ats[lo:a]:
-                seen[x] -= 1
-                if not seen[x]:
-                    del seen[x]
-            for x in ats[hi:b]:
-                seen[x] = seen.get(x, 0) + 1
-            lo, hi = a, b
-            many[i] = len(seen)
-        for i in np.argsort(-many, kind="stable"):
-            if many[i] < need:
-                return
-            a, b = start[i], end[i]
-            # It ends where it has all of its different windows.
-            b = a + np.unique(at[a:b], return_index=True)[1].max() + 1
-            yield pos[a:b], at[a:b]
-
-    def _slots(self, pos, at, item_slot, item_value, doc_slot, doc_value) -> tuple[int, int, bool]:
-        """(slots compared, slots filled otherwise than in the item, whether one value of the item stands for several)."""
-        i = (at[:, None] + np.arange(self.size)).ravel()
-        d = (pos[:, None] + np.arange(self.size)).ravel()
-        pairs = np.unique(np.stack([i, d], 1), axis=0)
-        pairs = pairs[item_slot[pairs[:, 0]] & doc_slot[pairs[:, 1]]]
-        # Each slot of the item is aligned once, by the most common shift that has it.
-        shift = pairs[:, 1] - pairs[:, 0]
-        values, counts = np.unique(pos - at, return_counts=True)
-        pairs = pairs[np.argsort(np.abs(shift - values[counts.argmax()]), kind="stable")]
-        _, one = np.unique(pairs[:, 0], return_index=True)
-        pairs = pairs[one]
-        a, b = item_value[pairs[:, 0]], doc_value[pairs[:, 1]]
-        stands: dict = {}
-        for x, y in zip(a.tolist(), b.tolist(), strict=True):
-            stands.setdefault(x, set()).add(y)
-        return len(pairs), int((a != b).sum()), any(len(v) > 1 for v in stands.values())
-
-
-def _blocks(benchmark: DataFrame, item_id: str, text: str, size: int, most: int):
-    """Benchmark items in blocks of bounded size, streamed to the driver one after another."""
-    rows = benchmark.select(quoted(item_id).cast("long"), quoted(text)).orderBy(F.lit(1), quoted(item_id).cast("long"), quoted(text)).toLocalIterator()
-    block, held = [], 0
-    for i, t in rows:
-        block.append((i, t))
-        held += max(1, len(t or "") // 3)
-        if held >= most:
-            yield Benchmark(block, size)
-            block, held = [], 0
-    if block:
-        yield Benchmark(block, size)
-
-
-def _finder(bench: Benchmark, share: float):
+        a, b = start[i], end[i]
+        # It ends where it has all of its different windows.
+        yield order[a : a + np.unique(at[a:b], return_index=True)[1].max() + 1]
+
+
+def slots(pos: np.ndarray, at: np.ndarray, item: np.ndarray, doc: np.ndarray) -> tuple[int, int, bool]:
+    """(slots compared, slots filled otherwise than in the item, whether one value of the item stands for several) of matched windows."""
+    step = np.arange(item.shape[1])
+    i, d = (at[:, None] + step).ravel(), (pos[:, None] + step).ravel()
+    a, b = item.ravel(), doc.ravel()
+    slot = a != 0
+    i, d, a, b = i[slot], d[slot], a[slot], b[slot]
+    # Each slot of the item is aligned once, by the shift nearest to the most common one that has it.
+    shifts, counts = np.unique(pos - at, return_counts=True)
+    order = np.lexsort((d, i, np.abs(d - i - shifts[counts.argmax()])))
+    i, a, b = i[order], a[order], b[order]
+    _, one = np.unique(i, return_index=True)
+    a, b = a[one], b[one]
+    stands: dict = {}
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        stands.setdefault(x, set()).add(y)
+    return len(a), int((a != b).sum()), any(len(v) > 1 for v in stands.values())
+
+
+def consistent(item: tuple, doc: tuple, share: float) -> tuple[int, int, int, int] | None:
+    """(windows found, windows, slots compared, slots filled otherwise) of an item (hashes, fillings, places) in a document
+    (hashes, fillings, places): of the first stretch, by its windows, that is consistent."""
+    h, item_v, item_at = item
+    doc_h, doc_v, doc_at = doc
+    order = np.argsort(h, kind="stable")
+    lo, hi = np.searchsorted(h[order], doc_h), np.searchsorted(h[order], doc_h, "right")
+    times = hi - lo
+    d = np.repeat(np.arange(len(doc_h)), times)
+    k = order[np.repeat(lo, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)]
+    pos, at = doc_at[d], item_at[k]
+    for part in placed(pos, at, share * len(h), max(2, len(h) // 5)):
+        compared, other, clash = slots(pos[part], at[part], item_v[k[part]], doc_v[d[part]])
+        if not clash:
+            return len(np.unique(at[part])), len(h), compared, other
+    return None
+
+
+def leak(item: str, text: str, size: int = WINDOW, share: float = 0.8) -> tuple[int, int, int, int] | None:
+    """What consistent() says of one item in one text, by the reading with the most windows; None if the text doesn't leak it."""
+    read = Reader()
+    item_tokens, tokens = read(item), read(text)
+    if not len(item_tokens[0]):
+        return None
+    own = [item_windows(item_tokens, names, size) for names in READINGS]
+    sizes = sorted({x[1].shape[1] for x in own if len(x[0])})
+    best = None
+    for names, width, h, fill in document_windows(tokens, sizes):
+        if len(own[names][0]) and own[names][1].shape[1] == width:
+            found = consistent(own[names], (h, fill(np.arange(len(h))), np.arange(len(h))), share)
+            if found and (best is None or found[0] > best[0]):
+                best = found
+    return best
+
+
+# Bloom filters.
+
+
+def _places(h: np.ndarray, bits: int) -> list[np.ndarray]:
+    return [mix(h + U(0xA24BAED4963EE407 * (i + 1) % 2**64)) & U(bits - 1) for i in range(PROBES_EACH)]
+
+
+def _bloom(hashes: DataFrame, bits: int) -> np.ndarray:
+    """A filter of the hashes in column h, made in parts and joined bit by bit."""
+
+    def run(batches):
+        for b in batches:
+            at = np.unique(np.concatenate(_places(np.asarray(b.column(0)).view(U), bits)))
+            word, first = np.unique(at >> U(6), return_index=True)
+            value = np.bitwise_or.reduceat(U(1) << (at & U(63)), first) if len(at) else at
+            yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(value.view(np.int64))], ["word", "value"])
+
+    out = np.zeros(bits >> 6, U)
+    rows = hashes.select("h").mapInArrow(run, "word bigint, value bigint").groupBy("word").agg(F.bit_or("value")).collect()
+    if rows:
+        word, value = (np.array(x, np.int64) for x in zip(*rows, strict=True))
+        out[word] = value.view(U)
+    return out
+
+
+def _passes(h: np.ndarray, bloom: np.ndarray) -> np.ndarray:
+    """Indices of the hashes that a filter lets pass."""
+    left = np.arange(len(h))
+    for i in range(PROBES_EACH):
+        at = mix(h[left] + U(0xA24BAED4963EE407 * (i + 1) % 2**64)) & U((len(bloom) << 6) - 1)
+        left = left[(bloom[(at >> U(6)).astype(np.int64)] >> (at & U(63)) & U(1)) == 1]
+    return left
+
+
+# Both sides, and their join.
+
+
+def _items(benchmark: DataFrame, item_id: str, text: str, size: int) -> DataFrame:
+    """(k, item_id, names, size, h, v, at) of each item and reading with windows, h, v and at being arrays, written once."""
+
     def run(batches):
         read = Reader()
         for b in batches:
-            rows, items, found = [], [], []
-            texts = b.column("text")
+            rows: list = []
             for r in range(b.num_rows):
-                text = texts[r].as_py()
-                if text:
-                    for k, x in bench.hits(text, read, share).items():
-                        rows.append(r)
-                        items.append(bench.ids[k])
-                        found.append(x)
-            columns = [b.column(c).take(pa.array(rows, pa.int64())) for c in ("id", "a", "b")]
+                tokens = read(b.column(1)[r].as_py() or "")
+                if not len(tokens[0]):
+                    continue
+                for names in READINGS:
+                    h, v, at = item_windows(tokens, names, size)
+                    if len(h):
+                        rows.append((r, names, v.shape[1], h.view(np.int64), v.view(np.int64).ravel(), at))
+            ids = b.column(0).take(pa.array([x[0] for x in rows], pa.int64()))
+            kinds = (pa.int32(), pa.int32(), *[pa.list_(pa.int64())] * 3)
+            made = [pa.array([x[i + 1] for x in rows], t) for i, t in enumerate(kinds)]
+            number = pa.array([x[0] for x in rows], pa.int64())
+            yield pa.RecordBatch.from_arrays([ids, b.column(2).take(number), *made], ["item_id", "k", "names", "size", "h", "v", "at"])
+
+    kind = benchmark.select(quoted(item_id)).schema[0].dataType
+    made = T.StructType.fromDDL("k bigint, names int, size int, h array<bigint>, v array<bigint>, at array<bigint>")
+    numbered = scratch(benchmark.select(quoted(item_id).alias("item_id"), quoted(text).alias("text"), F.monotonically_increasing_id().alias("k")))
+    return scratch(numbered.mapInArrow(run, T.StructType([T.StructField("item_id", kind), *made])))
+
+
+def _probes(items: DataFrame, share: float) -> DataFrame:
+    """(k, names, h): of each item and reading so many of its rarest windows that the others are fewer than share of all."""
+    each = items.select("k", "names", F.size("h").alias("n"), F.explode("h").alias("h")).groupBy("k", "names", "n", "h").agg(F.count("*").alias("times"))
+    rare = each.groupBy("h").agg(F.count("*").alias("items"))
+    down = Window.partitionBy("k", "names").orderBy(F.col("items").desc(), "h")
+    return each.join(rare, "h").withColumn("so_far", F.sum("times").over(down)).where(F.col("so_far") >= F.col("n") * F.lit(share)).select("k", "names", "h")
+
+
+def _reader(sizes: list[int], probe_bloom: np.ndarray, bloom: np.ndarray):
+    """What may have a partner of each document, reading and size that holds what may be a probe."""
+
+    def run(batches):
+        read = Reader()
+        for b in batches:
+            rows: list = []
+            texts = b.column(b.num_columns - 1)
+            for r in range(b.num_rows):
+                tokens = read(texts[r].as_py() or "")
+                for names, size, h, fill in document_windows(tokens, sizes):
+                    some = _passes(h, probe_bloom)
+                    if len(some):
+                        at = _passes(h, bloom)
+                        rows.append((r, names, size, h[some].view(np.int64), h[at].view(np.int64), fill(at).view(np.int64).ravel(), at))
+            of = pa.array([x[0] for x in rows], pa.int64())
+            kinds = (pa.int32(), pa.int32(), *[pa.list_(pa.int64())] * 4)
+            made = [pa.array([x[i + 1] for x in rows], t) for i, t in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*(c.take(of) for c in b.columns[:-1]), *made], [*b.schema.names[:-1], "names", "size", "probes", "h", "v", "at"])
+
+    return run
+
+
+def _checker(share: float, n_keys: int):
+    """Rows of pairs: the keys, the size, then h, v and at of the item and of the document."""
+
+    def run(batches):
+        arrays = lambda b, r, first, size: (
+            np.asarray(b.column(first)[r].values).view(U),
+            np.asarray(b.column(first + 1)[r].values).view(U).reshape(-1, size),
+            np.asarray(b.column(first + 2)[r].values),
+        )
+        for b in batches:
+            rows, found = [], []
+            for r in range(b.num_rows):
+                size = b.column(n_keys)[r].as_py()
+                got = consistent(arrays(b, r, n_keys + 1, size), arrays(b, r, n_keys + 4, size), share)
+                if got:
+                    rows.append(r)
+                    found.append(got)
+            keys = [c.take(pa.array(rows, pa.int64())) for c in b.columns[:n_keys]]
             counts = [pa.array([x[i] for x in found], pa.int64()) for i in range(4)]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(items, pa.int64()), *counts], ["id", "a", "b", "item_id", "n_found", "n_windows", "n_slots", "n_changed"]
-            )
+            yield pa.RecordBatch.from_arrays([*keys, *counts], [*b.schema.names[:n_keys], "n_found", "n_windows", "n_slots", "n_changed"])
 
     return run
 
 
+def _leaks(docs: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, size: int, share: float) -> DataFrame:
+    """(the columns of docs but its last, the text; item_id, n_found, n_windows, n_slots, n_changed) of each row of docs and item."""
+    items = _items(benchmark, item_id, item_text, size)
+    keys = docs.columns[:-1]
+    kind = items.schema["item_id"].dataType
+    result = T.StructType([*docs.schema.fields[:-1], T.StructField("item_id", kind), *T.StructType.fromDDL("n_found bigint, n_windows bigint, n_slots bigint, n_changed bigint")])
+    about = items.agg(F.collect_set("size"), F.sum(F.size("h"))).first()
+    if not about[1]:
+        return docs.sparkSession.createDataFrame([], result)
+    probes = scratch(_probes(items, share))
+    bits = lambda n: min(MOST_BITS, max(64, 1 << (BITS_EACH * n - 1).bit_length()))
+    blooms = _bloom(probes, bits(probes.count())), _bloom(items.select(F.explode("h").alias("h")), bits(about[1]))
+    made = T.StructType.fromDDL("names int, size int, probes array<bigint>, h array<bigint>, v array<bigint>, at array<bigint>")
+    seen = docs.mapInArrow(_reader(sorted(about[0]), *blooms), T.StructType([*docs.schema.fields[:-1], *made]))
+    seen = scratch(seen.withColumn("row", F.monotonically_increasing_id()))  # fixed once it is written
+    # The hash join of template windows, and the windows of the pairs that it finds.
+    hits = met(seen.select("row", F.explode(F.array_distinct("probes")).alias("h")), probes, ["h"], "row")
+    pairs = hits.select("row", "k", "names").distinct()
+    pairs = met(pairs, items.select("k", "names", F.col("item_id").alias("item"), F.col("h").alias("ih"), F.col("v").alias("iv"), F.col("at").alias("iat")), ["k", "names"], "row", weight=about[1])
+    sides = pairs.drop("names").join(seen, "row").select(*keys, "row", "k", F.col("item").alias("item_id"), "names", "size", "ih", "iv", "iat", "h", "v", "at")
+    fixed = [*docs.schema.fields[:-1], *T.StructType.fromDDL("row bigint, k bigint").fields, T.StructField("item_id", kind), T.StructField("names", T.IntegerType())]
+    checked = sides.mapInArrow(_checker(share, len(fixed)), T.StructType([*fixed, *result.fields[-4:]]))
+    return checked.select(*keys, "row", "k", "item_id", "names", *result.names[-4:])
+
+
 def contaminated(
     df: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = WINDOW, share: float = 0.8
 ) -> DataFrame:
-    """One row (id, a, b, item_id, n_found, n_windows, n_slots, n_changed) per document and item it leaks.
+    """One row (id, item_id, n_found, n_windows, n_slots, n_changed) per document and item it leaks; ids keep their types.
 
     A document leaks an item if at least share of the item's windows of size
     template tokens stand together in it (shifts may differ by a fifth of the
     item) and no value of the item's slots stands for two values there; every such
-    stretch of the document is looked at until one is consistent. a and b
-    are a hash of the text. Four readings of capitalised words are tried: as
-    words; as names inside sentences; and as names everywhere, with a sentence's
-    first word as a name of its own or as part of the run that it begins. In the
-    last two, windows of nothing but slots don't count. An item of fewer than size template tokens, or a null or empty text
-    on either side, matches nothing; repeated rows give repeated rows; empty
-    tables give an empty result; other columns are not looked at.
-
-    The benchmark is the query set: it is taken in blocks of bounded size, and
-    each block passes over all documents without a shuffle.
+    stretch of the document is looked at until one is consistent. Four readings
+    of capitalised words are tried: as words; as names inside sentences; and as
+    names everywhere, with a sentence's first word as a name of its own or as
+    part of the run that it begins; the reading with the most windows is told. In the
+    last two, windows of nothing but slots don't count. An item of fewer tokens
+    than size is one window of all its tokens. A null or empty text, or one
+    without tokens, matches nothing on either side; repeated rows give repeated
+    rows; empty tables give an empty result; other columns are not looked at.
+
+    Documents are read once, and their windows shuffled only where they may have
+    a partner. Hot windows and items are dealt out by rows of documents.
     """
-    docs = df.select(
-        quoted(doc_id).cast("long").alias("id"),
-        F.xxhash64(quoted(text)).alias("a"),
-        F.xxhash64(F.lit(1), quoted(text), F.lit(7)).alias("b"),
-        quoted(text).alias("text"),
-    )
-    schema = "id bigint, a bigint, b bigint, item_id bigint, n_found bigint, n_windows bigint, n_slots bigint, n_changed bigint"
-    found = None
-    for block in _blocks(benchmark, item_id, item_text, size, BLOCK_WINDOWS):
-        part = docs.mapInArrow(_finder(block, share), schema)
-        found = part if found is None else found.unionByName(part)
-    return found if found is not None else df.sparkSession.createDataFrame([], schema)
-
-
-def _keeper(bench: Benchmark, share: float, column: int):
-    def run(batches):
-        read = Reader()
-        for b in batches:
-            texts = (x.as_py() for x in b.column(column))
-            yield b.filter(pa.array([not (t and bench.hits(t, read, share)) for t in texts], pa.bool_()))
-
-    return run
+    docs = df.select(quoted(doc_id).alias("id"), F.monotonically_increasing_id().alias("of"), quoted(text).alias("text"))
+    found = _leaks(docs, benchmark, item_id, item_text, size, share)
+    if "k" not in found.columns:
+        return found.drop("of")
+    counts = ("n_found", "n_windows", "n_slots", "n_changed")
+    best = found.groupBy("of", "k").agg(F.max_by(F.struct("id", "item_id", *counts), F.struct("n_found", -F.col("names"))).alias("x"))
+    return best.select("x.*")
 
 
 def decontaminate(
@@ -371,9 +487,16 @@ def decontaminate(
 ) -> DataFrame:
     """df without the rows whose text leaks an item, by the rules of contaminated().
 
-    Rows are judged where they are, without a shuffle; those with a null text stay.
+    Equal texts share their verdict, by 128 bits of their content; rows with a
+    null text stay, other columns are passed on whatever they hold.
     """
-    column = [c.lower() for c in df.columns].index(text.lower())
-    for block in _blocks(benchmark, item_id, item_text, size, BLOCK_WINDOWS):
-        df = df.mapInArrow(_keeper(block, share, column), df.schema)
-    return df
+    key = content_key(quoted(text))
+    found = _leaks(df.select(key.alias("key"), quoted(text).alias("text")), benchmark, item_id, item_text, size, share)
+    gone = scratch(found.select(F.col("key.k1").alias("_cv_1"), F.col("key.k2").alias("_cv_2")).distinct())
+    return without_keys(df, key, gone)
+
+
+def without_keys(df: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
+    """df without the rows whose key is listed in gone(_cv_1, _cv_2); rows stay where they are if the list is short."""
+    gone = F.broadcast(gone) if gone.count() <= 500_000 else gone
+    return df.join(gone, (key["k1"] == F.col("_cv_1")) & (key["k2"] == F.col("_cv_2")), "left_anti")

