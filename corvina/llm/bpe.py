@@ -10,20 +10,22 @@ pre-token is then merged by the ranks on its own; decoding joins raw bytes.
 from __future__ import annotations
 
 import base64
-from concurrent.futures import ThreadPoolExecutor
+import heapq
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
-import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import extra_columns, quoted
+from .common import extra_columns, quoted, scratch
 
 CHUNK, OVERLAP = 1 << 14, 1 << 9
+#: From so many bytes on a pre-token is merged by a heap; pre-tokens that are held for the next time, and their longest.
+HEAP_BYTES, HELD, HELD_CHARS = 256, 300_000, 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -31,24 +33,75 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
+def merged(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The ids of a pre-token: of all neighbours those of the lowest rank, the leftmost at a tie, are joined until none has a rank."""
+    if len(raw) >= HEAP_BYTES:
+        return _merged_long(raw, ranks)
+    none = len(ranks) + (1 << 30)
+    cut = list(range(len(raw) + 1))
+    pair = [ranks.get(raw[i : i + 2], none) for i in range(len(raw) - 1)]
+    while pair:
+        least = min(pair)
+        if least == none:
+            break
+        i = pair.index(least)
+        del cut[i + 1], pair[i]
+        if i:
+            pair[i - 1] = ranks.get(raw[cut[i - 1] : cut[i + 1]], none)
+        if i < len(pair):
+            pair[i] = ranks.get(raw[cut[i] : cut[i + 2]], none)
+    return [ranks[raw[x:y]] for x, y in zip(cut, cut[1:], strict=False)]
+
+
+def _merged_long(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same with a heap of neighbours, in n log n steps."""
+    n = len(raw)
+    end, back = list(range(1, n + 1)), list(range(-1, n - 1))  # of the part that begins at a place: its end, and the beginning of the one before
+    heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(raw[i : i + 2])) is not None]
+    heapq.heapify(heap)
+    alive = [True] * n
+    while heap:
+        _, i, stop = heapq.heappop(heap)
+        if not alive[i] or end[i] >= n or end[end[i]] != stop:
+            continue
+        alive[end[i]] = False
+        end[i] = stop
+        if stop < n:
+            back[stop] = i
+            if (r := ranks.get(raw[i : end[stop]])) is not None:
+                heapq.heappush(heap, (r, i, end[stop]))
+        if i and (r := ranks.get(raw[back[i] : stop])) is not None:
+            heapq.heappush(heap, (r, back[i], stop))
+    return [ranks[raw[i : end[i]]] for i in range(n) if alive[i]]
+
+
 class Pieces(dict):
     """pre-token -> its ids; forgets all when too large. A long pre-token is not held."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.merged = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._encode_single_piece
+    def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
 
     def __missing__(self, piece: str) -> list[int]:
         raw = piece.encode("utf-8", "replace")
         rank = self.ranks.get(raw)
-        ids = [rank] if rank is not None else self.merged(raw)
-        if len(piece) < 64:
-            if len(self) > 200_000:
+        ids = [rank] if rank is not None else merged(raw, self.ranks)
+        if len(piece) < HELD_CHARS:
+            if len(self) > HELD:
                 self.clear()
             self[piece] = ids
         return ids
 
 
+_known: dict[str, Pieces] = {}
+
+
+def pieces_of(ranks_path: str) -> Pieces:
+    """One for all tasks that a worker runs after one another."""
+    if ranks_path not in _known:
+        _known[ranks_path] = Pieces(read_ranks(ranks_path))
+    return _known[ranks_path]
+
+
 def _ends(pattern, text: str, start: int, end: int) -> list[int]:
     """The boundaries of the pre-tokens of text[start:end], from start on. Only those are listed that the cut at end can't have moved."""
     chunk = text[start:end]
@@ -57,13 +110,10 @@ def _ends(pattern, text: str, start: int, end: int) -> list[int]:
     return ends if end == len(text) else ends[: max(1, len(ends) - 2)]
 
 
-def boundaries(pattern, text: str, chunk: int = CHUNK, overlap: int = OVERLAP, pool: ThreadPoolExecutor | None = None) -> list[int]:
+def boundaries(pattern, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
     """All pre-token boundaries of a text, by chunks that are cut independently and stitched."""
     n = len(text)
-    starts = list(range(0, n, chunk)) or [0]
-    cut = [(s, min(n, s + chunk + overlap)) for s in starts]
-    run = pool.map if pool is not None else map
-    parts = list(run(lambda x: _ends(pattern, text, *x), cut))
+    parts = [_ends(pattern, text, s, min(n, s + chunk + overlap)) for s in range(0, n, chunk) or [0]]
     out = parts[0]
     for part in parts[1:]:
         if out and out[-1] == n:
@@ -85,59 +135,138 @@ def boundaries(pattern, text: str, chunk: int = CHUNK, overlap: int = OVERLAP, p
     return out
 
 
-def encode_text(text: str, pieces: Pieces, pattern, chunk: int = CHUNK, overlap: int = OVERLAP, pool=None) -> list[int]:
-    ids: list[int] = []
+def encode_text(text: str, pieces: Pieces, pattern, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
+    """The ids of one text in one task; of a text of one chunk there is nothing to stitch."""
     if len(text) <= chunk:
-        for x in map(pieces.__getitem__, pattern.findall(text)):
-            ids += x
-        return ids
-    ends = boundaries(pattern, text, chunk, overlap, pool)
-    for a, b in zip(ends, ends[1:], strict=False):
-        ids += pieces[text[a:b]]
-    return ids
+        return list(chain.from_iterable(map(pieces.__getitem__, pattern.findall(text))))
+    ends = boundaries(pattern, text, chunk, overlap)
+    return list(chain.from_iterable(pieces[text[a:b]] for a, b in zip(ends, ends[1:], strict=False)))
+
+
+def _lists(values: list[list[int]], kind: pa.DataType) -> pa.ListArray:
+    sizes = np.cumsum([0, *map(len, values)])
+    return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.fromiter(chain.from_iterable(values), np.int64, sizes[-1]), kind))
+
+
+def _encoder(ranks_path: str, pattern: str, chunk: int, overlap: int, at: int):
+    def run(batches):
+        pieces, compiled = pieces_of(ranks_path), regex.compile(pattern)
+        for b in batches:
+            for lo in range(0, b.num_rows, 500):  # so that the ids of few texts are held at once
+                part = b.slice(lo, 500)
+                ids = [encode_text(x.as_py() or "", pieces, compiled, chunk, overlap) for x in part.column(at)]
+                yield pa.RecordBatch.from_arrays([*part.columns, _lists(ids, pa.int32())], [*part.schema.names, "tokens"])
+
+    return run
+
 
+def _chunks(chunk: int, overlap: int):
+    """(row, n, start, last, chunk) of each text."""
+
+    def run(batches):
+        for b in batches:
+            for r in range(b.num_rows):
+                text, row = b.column(1)[r].as_py(), b.column(0)[r].as_py()
+                starts = range(0, len(text), chunk)
+                for n, s in enumerate(starts):
+                    one = [[row], [n], [s], [n == len(starts) - 1], [text[s : s + chunk + overlap]]]
+                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(one, kinds, strict=True)], ["row", "n", "start", "last", "chunk"])
+
+    return run
+
+
+def _cutter(pattern: str, chunk: int, overlap: int):
+    """Adds the boundaries in what a chunk shares with the one before (head) and with the next (tail)."""
 
-def _encoder(ranks_path: str, pattern: str, chunk: int, overlap: int, threads: int, at: int):
     def run(batches):
-        pieces = Pieces(read_ranks(ranks_path), pattern)
         compiled = regex.compile(pattern)
-        pool = ThreadPoolExecutor(threads) if threads > 1 else None
         for b in batches:
-            step = 500  # so that the ids of few texts are held at once
-            for lo in range(0, b.num_rows, step):
-                part = b.slice(lo, step)
-                ids, sizes = [], [0]
-                for x in part.column(at):
-                    one = encode_text(x.as_py() or "", pieces, compiled, chunk, overlap, pool)
-                    ids.append(np.array(one, np.int32))
-                    sizes.append(len(one))
-                flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
-                tokens = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(flat))
-                names = [*part.schema.names, "tokens"]
-                yield pa.RecordBatch.from_arrays([*part.columns, tokens], names)
+            head, tail = [], []
+            for s, x in zip(b.column(2).to_pylist(), b.column(4), strict=True):
+                text = x.as_py()
+                # A whole length means that the text goes on, or ends here: then the last boundaries are sure too, but not known to be.
+                cut = len(text) == chunk + overlap
+                ends = [0] + [m.end() for m in compiled.finditer(text, concurrent=True)]
+                sure = ends[: max(1, len(ends) - 2)] if cut else ends
+                head.append([s + e for e in sure if e <= overlap])
+                tail.append([s + e for e in sure if e >= chunk])
+            yield pa.RecordBatch.from_arrays([*b.columns, _lists(head, pa.int64()), _lists(tail, pa.int64())], [*b.schema.names, "head", "tail"])
 
     return run
 
 
-def encode(
-    df: DataFrame, ranks_path: str, text: str = "text", pattern: str = public_tokenizers.PATTERN, chunk: int = CHUNK, overlap: int = OVERLAP, threads: int = 1
-) -> DataFrame:
+def _piecewise(ranks_path: str, pattern: str):
+    """(row, n, ids) of what a chunk has between its stitches."""
+
+    def run(batches):
+        pieces, compiled = pieces_of(ranks_path), regex.compile(pattern)
+        for b in batches:
+            ids = []
+            for x, s, a, e in zip(b.column(2), *(b.column(i).to_pylist() for i in (3, 4, 5)), strict=True):
+                text, own = x.as_py(), []
+                stop = len(text) if e is None else e - s
+                for m in compiled.finditer(text, a - s, concurrent=True):  # the whole chunk, so that a stitch cuts no look ahead
+                    if m.end() > stop:
+                        break
+                    own += pieces[m[0]]
+                ids.append(own)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _lists(ids, pa.int32())], ["row", "n", "ids"])
+
+    return run
+
+
+def _encode_long(rows: DataFrame, ranks_path: str, pattern: str, chunk: int, overlap: int) -> DataFrame:
+    """(row, tokens) of rows(row, text), all of more than a chunk: a chunk is a row, and the chunks of a text are spread over tasks."""
+    cut = rows.mapInArrow(_chunks(chunk, overlap), "row bigint, n bigint, start bigint, last boolean, chunk string")
+    spread = cut.repartition(rows.sparkSession.sparkContext.defaultParallelism * 4, "row", "n")
+    wide = "row bigint, n bigint, start bigint, last boolean, chunk string, head array<bigint>, tail array<bigint>"
+    parts = scratch(spread.mapInArrow(_cutter(pattern, chunk, overlap), wide))
+    # Neighbours meet at the first boundary that both have in what they share.
+    left = parts.where("not last").select("row", (F.col("n") + 1).alias("n"), "tail")
+    meet = left.join(parts.select("row", "n", "head"), ["row", "n"]).select("row", "n", F.array_min(F.array_intersect("tail", "head")).alias("meet"))
+    meet = scratch(meet)
+    apart = meet.where("meet IS NULL").select("row").distinct()
+    begin = meet.select("row", "n", F.col("meet").alias("begin"))
+    stop = meet.select("row", (F.col("n") - 1).alias("n"), F.col("meet").alias("stop"))
+    stitched = parts.drop("head", "tail").join(apart, "row", "left_anti").join(begin, ["row", "n"], "left").join(stop, ["row", "n"], "left")
+    own = stitched.select("row", "n", "chunk", "start", F.coalesce("begin", F.lit(0)).alias("begin"), "stop")
+    ids = own.mapInArrow(_piecewise(ranks_path, pattern), "row bigint, n bigint, ids array<int>")
+    tokens = ids.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("n", "ids"))).alias("x")).select("row", F.flatten("x.ids").alias("tokens"))
+    # A text with a pre-token that is longer than what chunks share is stitched in one task, as far on as it takes.
+    rest = rows.join(apart, "row", "left_semi").mapInArrow(
+        _encoder(ranks_path, pattern, chunk, overlap, 1), T.StructType([*rows.schema, T.StructField("tokens", T.ArrayType(T.IntegerType(), False))])
+    )
+    return tokens.unionByName(rest.select("row", "tokens"))
+
+
+def encode(df: DataFrame, ranks_path: str, text: str = "text", pattern: str = public_tokenizers.PATTERN, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """df with tokens, an array of the ids of the whole text; such a column of df is replaced.
 
     Equals encoding every match of pattern on its own, without special tokens.
-    A null or empty text has no tokens; repeated rows, nulls elsewhere and an
-    empty table need nothing special. A text longer than chunk characters is
-    cut into chunks that overlap, which threads pre-tokenise side by side; its
-    length is bounded only by what one row can hold. Nothing is shuffled.
+    A text longer than chunk characters is cut into chunks that overlap, each a
+    row of its own: tasks pre-tokenise them side by side, neighbours are stitched
+    where their boundaries meet, and the pieces are encoded side by side too. A text of one
+    chunk stays where it is. A null or empty text has no tokens; repeated rows,
+    nulls elsewhere and an empty table need nothing special. A text's length is
+    bounded only by what one row can hold. Only texts of several chunks are shuffled.
     """
     df = df.select(*[quoted(c) for c in extra_columns(df, "tokens")])
     at = [c.lower() for c in df.columns].index(text.lower())
-    return df.mapInArrow(_encoder(ranks_path, pattern, chunk, overlap, threads, at), T.StructType([*df.schema, T.StructField("tokens", T.ArrayType(T.IntegerType(), False))]))
+    made = T.StructField("tokens", T.ArrayType(T.IntegerType(), False))
+    many: Column = F.coalesce(F.length(quoted(text)) > chunk, F.lit(False))
+    short = df.where(~many).mapInArrow(_encoder(ranks_path, pattern, chunk, overlap, at), T.StructType([*df.schema, made]))
+    long = scratch(df.where(many).withColumn("_cv_row", F.monotonically_increasing_id()))  # fixed once it is written
+    if long.isEmpty():
+        return short
+    tokens = _encode_long(long.select(F.col("_cv_row").alias("row"), quoted(text).alias("text")), ranks_path, pattern, chunk, overlap)
+    both = long.join(tokens, F.col("_cv_row") == F.col("row")).select(*[quoted(c) for c in df.columns], "tokens")
+    return short.unionByName(both)
 
 
 def _decoder(ranks_path: str, at: int):
     def run(batches):
-        ranks = read_ranks(ranks_path)
+        ranks = pieces_of(ranks_path).ranks
         raw = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             raw[rank] = token
@@ -156,7 +285,10 @@ def decode(df: DataFrame, ranks_path: str, tokens: str = "tokens") -> DataFrame:
 
 
 def digests(df: DataFrame) -> DataFrame:
-    """n_tokens and the digests of ids and decoded bytes beside the other columns of an encoded and decoded df."""
+    """n_tokens and the digests of ids and decoded bytes beside the other columns of an encoded and decoded df.
+
+    tokens and decoded are as encode() and decode() make them, never null; no ids have the digests of nothing.
+    """
     ids = F.array_join(F.col("tokens").cast("array<string>"), ",")
     return df.select(
         *[quoted(c) for c in extra_columns(df, "n_tokens", "ids_sha256", "decoded_sha256", "tokens", "decoded", "text")],

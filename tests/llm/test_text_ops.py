@@ -20,7 +20,7 @@ def encoding():
 def test_chunks_are_stitched_as_if_whole(encoding):
     rng = random.Random(1)
     parts = [*"ab1 '\n\t!é日s", "  ", "\n\n", "'s", "aaaa" * 30, " " * 40, "!!!'s", "'re'll"]
-    pieces, pattern = bpe.Pieces(bpe.read_ranks(RANKS), public_tokenizers.PATTERN), regex.compile(public_tokenizers.PATTERN)
+    pieces, pattern = bpe.Pieces(bpe.read_ranks(RANKS)), regex.compile(public_tokenizers.PATTERN)
     for _ in range(1500):
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 300)))
         assert bpe.encode_text(text, pieces, pattern, rng.choice([5, 16, 64]), rng.choice([2, 4, 8])) == encoding.encode_ordinary(text)
@@ -29,7 +29,7 @@ def test_chunks_are_stitched_as_if_whole(encoding):
 def test_bpe_round_trip(spark, corpus, encoding):
     rows = [(d, t) for d, t, _ in corpus] + [(400, "日本 <|endoftext|> é\x00 " + "long " * 20_000)]
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id bigint, text string, tokens string, decoded int")
-    both = bpe.decode(bpe.encode(df, RANKS, threads=2), RANKS)
+    both = bpe.decode(bpe.encode(df, RANKS), RANKS)
     for r in bpe.digests(both.withColumn("raw", both.text)).collect():
         ids = encoding.encode_ordinary(r.raw or "")
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
