@@ -2,7 +2,9 @@
 
 One automaton finds notice phrases and identifier tags in the stream of a
 text's words; what follows a tag is read as a licence expression with AND, OR,
-WITH, + and parentheses, and evaluated to the identifiers it names.
+WITH, + and parentheses. It is evaluated to the identifiers that hold whatever
+is chosen, which AND joins and OR cuts, and to the obligation of the choice that
+asks least: AND takes the stricter side, OR the freer one.
 """
 
 from __future__ import annotations
@@ -50,6 +52,22 @@ BASE_WEIGHT = 0.6
 TAGS = ("spdx license identifier", "license expression")
 TAG_TEXT = re.compile(r"(?:spdx[^0-9a-z]+license[^0-9a-z]+identifier|license[^0-9a-z]+expression)[ \t]*[:=][ \t]*", re.ASCII | re.IGNORECASE)
 PART = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.:-]*\+?")
+#: Obligations, the freest first, and the identifiers of each, without + at the end. Identifiers of no class are
+#: unknown: they are no labels, an expression of nothing else is worth UNKNOWN_WEIGHT, and their obligation is the last.
+CLASSES = {
+    "permissive": r"mit(-0|-cmu|-modern-variant)?|apache-(1\.[01]|2\.0)|0bsd|bsd-[1-4]-clause(-[a-z]+)*|isc|zlib|unlicense|cc0-1\.0|wtfpl|bsl-1\.0|ncsa|x11|curl|libpng(-2\.0)?"
+    r"|postgresql|python-2\.0|psf-2\.0|php-3\.0(1)?|artistic-[12]\.0|afl-[1-3]\.[0-9]|cc-by-[1-4]\.0|ms-pl|ofl-1\.[01]|openssl|unicode-(3\.0|dfs-201[56])|vim|hpnd|ftl|ijg",
+    "weak copyleft": r"lgpl-(2\.[01]|3\.0)(-only|-or-later)?|mpl-(1\.[01]|2\.0)|epl-[12]\.0|cddl-1\.[01]|cpl-1\.0|ms-rl|eupl-1\.[0-2]",
+    "copyleft": r"gpl-[1-3]\.0(-only|-or-later)?|cc-by-sa-[1-4]\.0|osl-[1-3]\.[0-9]|sleepycat",
+    "network copyleft": r"agpl-[13]\.0(-only|-or-later)?|sspl-1\.0",
+    "restricted": r"cc-by-(nc|nd|nc-sa|nc-nd)-[1-4]\.0|busl-1\.1",
+    "own": r"(documentref-[a-z0-9.-]+:)?licenseref-[a-z0-9.-]+",
+}
+OBLIGATIONS = (*CLASSES, "unknown")
+_CLASS = [re.compile(p) for p in CLASSES.values()]
+#: Exceptions that make a copyleft licence a weak one.
+LINKING = re.compile(r"(classpath|gcc|llvm|linux-syscall|openjdk|bison|autoconf|font|u-boot|wxwindows)[a-z-]*(-[0-9.]+)?")
+UNKNOWN_WEIGHT = 0.3
 #: Precedence, weakest first.
 RANK = {"or": 1, "and": 2, "with": 3}
 #: All bytes that end a word become a space, A-Z become small letters.
@@ -142,26 +160,49 @@ def well_formed(parts: list[str]) -> int:
     return longest
 
 
-def identifiers(tree) -> set[str]:
-    """The identifiers that a tree names; an exception stays with its licence, as in gpl-2.0 with x."""
+def obligation(identifier: str) -> int:
+    """The place of an identifier in lower case among OBLIGATIONS."""
+    name = identifier.removesuffix("+")
+    return next((i for i, c in enumerate(_CLASS) if c.fullmatch(name)), len(_CLASS))
+
+
+def evaluate(tree) -> tuple[set[str], set[str], int]:
+    """(identifiers named, those of every choice, the obligation of the freest choice) of a tree.
+
+    An exception stays with its licence, as in gpl-2.0 with x; one for linking
+    makes copyleft weak. Only known identifiers are told.
+    """
     todo, done = [(tree, False)], []
     while todo:  # a stack of its own, as a tree may be as deep as its line is long
         node, ready = todo.pop()
         if isinstance(node, str):
-            done.append({node})
+            kind = obligation(node)
+            told = {node} if kind < len(_CLASS) else set()
+            done.append((told, set(told), kind))
+        elif node[0] == "with":
+            one, exception = evaluate(node[1]), node[2] if isinstance(node[2], str) else ""
+            named = {f"{x} with {exception}" for x in one[0]}
+            done.append((named, {f"{x} with {exception}" for x in one[1]}, min(one[2], 1) if one[2] == 2 and LINKING.fullmatch(exception) else one[2]))
         elif not ready:
             todo += [(node, True), (node[2], False), (node[1], False)]
         else:
-            right, left = done.pop(), done.pop()
-            if node[0] == "with":
-                done.append({f"{a} with {b}" for a in left for b in right})
+            (a, x, i), (b, y, j) = done.pop(), done.pop()
+            few, many = sorted((a, b), key=len)
+            many |= few
+            less, more = sorted((x, y), key=len)
+            if node[0] == "and":
+                more |= less
+                done.append((many, more, max(i, j)))
             else:
-                few, many = sorted((left, right), key=len)
-                many |= few
-                done.append(many)
+                done.append((many, less & more, min(i, j)))
     return done[0]
 
 
+def identifiers(tree) -> set[str]:
+    """The known identifiers that a tree names."""
+    return evaluate(tree)[0]
+
+
 def expressions(text: str) -> list[tuple[str, tuple | str | None]]:
     """(expression, its tree) after each tag: the longest run of parts on the tag's line that is well formed."""
     found = []
@@ -184,15 +225,15 @@ def expressions(text: str) -> list[tuple[str, tuple | str | None]]:
 
 
 def scan(text: str | None, search: ahocorasick.Automaton) -> tuple:
-    """(n_words, n_base, first_word, last_word, base labels, labels, score, expressions) of a text."""
+    """(n_words, n_base, first_word, last_word, base labels, labels, score, expressions, required, obligation) of a text."""
     ws = words(text)
     stream = (b" " + b" ".join(ws) + b" ").decode("latin-1")
-    base, more, n_base, first, last, sure, tags = set(), set(), 0, None, None, 1.0, False
-    counted, at = 0, 0  # words before position at
+    base, more, required, n_base, first, last, sure, tags, strictest = set(), set(), set(), 0, None, None, 1.0, False, None
+    counted, at = 0, 0  # words before position at; matches come by their ends, so a longer one may begin before the last
     for end, phrase in search.iter(stream):
         if phrase in BASE:
             begin = end - len(phrase) - 1
-            counted += stream.count(" ", at, begin)
+            counted += stream.count(" ", at, begin) if begin >= at else -stream.count(" ", begin, at)
             at = begin
             n_base += 1
             first = counted if first is None else min(first, counted)
@@ -207,9 +248,13 @@ def scan(text: str | None, search: ahocorasick.Automaton) -> tuple:
             tags = True
     named = [(e, t) for e, t in expressions(text or "") if t is not None] if tags else []
     for _, tree in named:
-        more |= identifiers(tree)
-        sure = 0.0
-    return len(ws), n_base, first, last, sorted(base), sorted(base | more), round(1 - sure, 6), [e for e, _ in named]
+        known, every, kind = evaluate(tree)
+        more |= known
+        required |= every
+        sure *= 0.0 if known else 1 - UNKNOWN_WEIGHT
+        strictest = kind if strictest is None else max(strictest, kind)
+    told = None if strictest is None else OBLIGATIONS[strictest]
+    return len(ws), n_base, first, last, sorted(base), sorted(base | more), round(1 - sure, 6), [e for e, _ in named], sorted(required), told
 
 
 FIELDS = {
@@ -221,20 +266,29 @@ FIELDS = {
     "labels": pa.list_(pa.string()),
     "score": pa.float64(),
     "expressions": pa.list_(pa.string()),
+    "required": pa.list_(pa.string()),
+    "obligation": pa.string(),
 }
-SCHEMA = "n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels array<string>, labels array<string>, score double, expressions array<string>"
+SCHEMA = (
+    "n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels array<string>, labels array<string>, score double, "
+    "expressions array<string>, required array<string>, obligation string"
+)
 
 
 def license_scan(df: DataFrame, text: str = "text") -> DataFrame:
-    """df, without its text, with n_words, n_base, first_word, last_word, base_labels, labels, score and expressions.
+    """df, without its text, with n_words, n_base, first_word, last_word, base_labels, labels, score, expressions, required and obligation.
 
     n_base counts the places of the base phrases, first_word and last_word are
     the smallest and largest word index where one starts (null without any);
-    labels adds those of notices and of identifiers in well-formed expressions.
-    score is one minus the product of each place's doubt, 1 with a well-formed
-    expression, 0 without anything. A null or empty text has no words and
-    score 0. Rows are scanned on their own and whole, so repeated rows and
-    nulls elsewhere change nothing; columns of the names made are replaced.
+    labels adds those of notices and of known identifiers in well-formed
+    expressions. required has the identifiers that hold whatever is chosen, and
+    obligation, one of OBLIGATIONS, is that of the freest choice, the strictest
+    of all expressions; null without one. score is one minus the product of each
+    place's doubt, 1 with an expression that names a known identifier, 0 without
+    anything. A null or empty text has no words and score 0. Rows are scanned on
+    their own and whole, so repeated rows, ties and nulls elsewhere change
+    nothing, and an empty table gives an empty result; columns of the names made
+    are replaced.
     """
     rest = extra_columns(df, text, *FIELDS)
     wide = df.select(*[quoted(c) for c in rest], quoted(text).alias("_cv_text"))
@@ -253,5 +307,5 @@ def license_scan(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def joined_labels(df: DataFrame) -> DataFrame:
-    """base_labels and labels as comma-joined strings."""
-    return df.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
+    """base_labels, labels and required as comma-joined strings; no labels give an empty one."""
+    return df.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels", "required")})
