@@ -6,10 +6,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import met_where_hot, scratch
 
-#: Edges that a task reads, about.
-EDGES = 100_000
+#: Edges that a task reads, about; a node of more than HOT edges is dealt out.
+EDGES, HOT = 100_000, 500
 
 
 def union_find(edges: list[tuple]) -> dict:
@@ -45,8 +45,11 @@ def _contract(batches):
         yield pa.RecordBatch.from_arrays([pa.array(x, kind), pa.array(r, kind)], ["u", "v"])
 
 
-def _smallest(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("u").agg(F.min("v").alias("m"))
+def _with_least(edges: DataFrame, own: bool) -> DataFrame:
+    """edges(u, v) with m, the smallest v of each u, or u itself if own and smaller."""
+    least = F.least("u", F.min("v")) if own else F.min("v")
+    nodes = scratch(edges.groupBy("u").agg(least.alias("m"), F.count("*").alias("n")), EDGES)
+    return met_where_hot(edges, nodes, ["u"], "v", F.col("n") > HOT).drop("n")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -63,16 +66,14 @@ def components(edges: DataFrame) -> DataFrame:
     loops = e.where("u = v").select(F.col("u").alias("node"))
     e = scratch(e.where("u <> v").mapInArrow(_contract, f"u {kind}, v {kind}"), EDGES)
     while True:
-        deep = e.join(e.select(F.col("u").alias("v"), F.col("v").alias("w")), "v", "left_semi").limit(1).count()
+        deep = e.select("v").distinct().join(e.select(F.col("u").alias("v")).distinct(), "v", "left_semi").limit(1).count()
         many = 0 if deep else e.groupBy("u").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where("lo <> hi").limit(1).count()
         if not deep and not many:
             break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = _smallest(both).select("u", F.least("u", "m").alias("m"))
-        e = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        least = _smallest(e)
-        small = e.join(least, "u")
-        e = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        e = _with_least(both, True).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        # Each larger neighbour of a node hangs on the smallest one; the node does too.
+        e = _with_least(e, False).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         e = scratch(e.where("u <> v").mapInArrow(_contract, f"u {kind}, v {kind}"), EDGES)
     # Every node but the roots hangs on its root; a node with nothing but loops is its own.
     both = e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import content_key, extra_columns, quoted, scratch
+from .common import content_key, extra_columns, met, met_where_hot, quoted, scratch
 from .components import components
 
 #: 32 bands of 5 slots: a pair at 0.8 is missed by all bands in 3 of 1,000,000 cases.
@@ -31,6 +31,8 @@ MAX_BITS = 61
 CHUNK = 150_000
 #: Rows that a task reads of pairs and of tables with texts or shingles, about.
 PAIRS, WIDE = 50_000, 5_000
+#: The members of a bucket that is dealt out.
+HOT = 500
 
 U = np.uint64
 
@@ -124,7 +126,7 @@ def _signed(b: pa.RecordBatch, sets: list[np.ndarray]) -> pa.RecordBatch:
     sizes = np.array([len(s) for s in sets], np.int64)
     sig = superminhash(np.concatenate(sets), np.repeat(np.arange(n), sizes), n)
     slots = mix(sig.view(U) ^ U(0xA0761D6478BD642F)).reshape(n, BANDS, ROWS)
-    band = np.zeros((n, BANDS), U)
+    band = np.tile(np.arange(BANDS, dtype=U), (n, 1))
     for i in range(ROWS):
         band = mix(band * U(0x9E3779B97F4A7C15) + slots[:, :, i])
     two = np.stack([slots.reshape(n, SLOTS) & U(1), slots.reshape(n, SLOTS) >> U(1) & U(1)], 2).astype(np.uint8)
@@ -167,11 +169,14 @@ def _comparer(size: int, with_rest: bool):
     return run
 
 
-def _compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, with_rest: bool) -> DataFrame:
+def _texts(digests: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(digest, t): a text of each class in digests(digest), fetched once."""
+    keys = classes.join(digests, "digest", "left_semi").select("digest", "key.k1", "key.k2")
+    return scratch(docs.select("k.k1", "k.k2", "text").join(keys, ["k1", "k2"]).groupBy("digest").agg(F.min("text").alias("t")), WIDE)
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, size: int, with_rest: bool) -> DataFrame:
     """(a, b, na, nb, both, rest) of pairs(a, b) of class digests, from the full sets of their texts."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
-    keys = classes.join(ends, "digest", "left_semi").select("digest", "key.k1", "key.k2")
-    texts = scratch(docs.select("k.k1", "k.k2", "text").join(keys, ["k1", "k2"]).groupBy("digest").agg(F.min("text").alias("t")), WIDE)
     a, b = (texts.select(F.col("digest").alias(x), F.col("t").alias("t" + x)) for x in "ab")
     schema = "a binary, b binary, na bigint, nb bigint, both bigint, rest array<bigint>"
     return pairs.join(a, "a").join(b, "b").select("a", "ta", "b", "tb").mapInArrow(_comparer(size, with_rest), schema)
@@ -192,13 +197,17 @@ def _linked(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     the sizes that remain, find all of these pairs. What copies have of their own
     they seldom share, so they are few.
     """
-    bands = classes.select("digest", F.posexplode("bands").alias("band", "h"))
-    shared = bands.groupBy("band", "h").agg(F.count("*").alias("c")).where("c > 1")
-    members = scratch(bands.join(shared, ["band", "h"]), PAIRS)
+    # Hashes of different bands differ, as _signed() says.
+    bands = classes.select("digest", F.explode("bands").alias("h"))
+    shared = bands.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
+    members = scratch(bands.join(shared, "h"), PAIRS)
     degree = members.groupBy("digest").agg(F.sum("c").alias("degree"))
-    hubs = members.join(degree, "digest").groupBy("band", "h").agg(F.max(F.struct("degree", "digest")).alias("top")).select("band", "h", F.col("top.digest").alias("b"))
-    pairs = members.join(hubs, ["band", "h"]).where("digest <> b").select(F.col("digest").alias("a"), "b").distinct()
-    star = scratch(_compared(scratch(pairs, PAIRS), classes, docs, size, True), WIDE)
+    top = members.join(degree, "digest").groupBy("h", "c").agg(F.max(F.struct("degree", "digest")).alias("top"))
+    hubs = scratch(top.select("h", F.col("c").alias("n"), F.col("top.digest").alias("b")), PAIRS)
+    pairs = met_where_hot(members.select("h", "digest"), hubs, ["h"], "digest", F.col("n") > HOT)
+    pairs = scratch(pairs.where("digest <> b").select(F.col("digest").alias("a"), "b").distinct(), PAIRS)
+    texts = _texts(members.select("digest").distinct(), classes, docs)
+    star = scratch(_compared(pairs, texts, size, True), WIDE)
     enough = f"100 * both >= {percent} * (na + nb - both)"
     links = star.where(enough).select("a", "b")
 
@@ -207,21 +216,23 @@ def _linked(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
         roots = scratch(components(links), PAIRS)
         ra, rb = (roots.select(F.col("node").alias(x), F.col("root").alias("r" + x)) for x in "ab")
         both = df.join(ra, "a", "left").join(rb, "b", "left").withColumns({"ra": F.coalesce("ra", "a"), "rb": F.coalesce("rb", "b")})
-        return both.join(both.where("ra <> rb").select("b").distinct(), "b", "left_semi")
+        return met(both, scratch(both.where("ra <> rb").select("b").distinct()), ["b"], "a")
 
-    open_ = rooted(star, links)
+    open_ = scratch(rooted(star, links), WIDE)
     outside = open_.select("a", "b", F.explode("rest").alias("s"))
     mates = open_.groupBy("b").agg(F.count("*").alias("mates"))
-    common = outside.groupBy("b", "s").agg(F.count("*").alias("n")).join(mates, "b").where("n >= 3 AND n * 4 >= mates").select("b", "s")
-    commons = common.groupBy("b").agg(F.collect_set("s").alias("common"))  # four times a set's size at most
-    inside = open_.join(commons, "b", "left").withColumn("own", F.when(F.col("common").isNull(), F.col("rest")).otherwise(F.array_except("rest", "common")))
+    often = scratch(outside.groupBy("b", "s").agg(F.count("*").alias("n")).where("n >= 3"), PAIRS)
+    common = met(often, mates, ["b"], "s").where("n * 4 >= mates").select("b", "s")
+    commons = scratch(common.groupBy("b").agg(F.collect_set("s").alias("common")))  # four times a set's size at most
+    weight = commons.agg(F.coalesce(F.sum(F.size("common")), F.lit(0))).first()[0]
+    inside = met(open_, commons, ["b"], "a", "left", weight).withColumn("own", F.when(F.col("common").isNull(), F.col("rest")).otherwise(F.array_except("rest", "common")))
     inside = scratch(inside.select("a", "b", "na", (F.col("na") - F.size("own")).alias("c"), "own", F.col("ra").alias("root")), WIDE)
     # The nearest mate is the second hub.
     nearest = inside.groupBy("b").agg(F.max(F.struct("c", "a", "root")).alias("m")).select("b", F.col("m.a").alias("y"), F.col("m.root").alias("ry"))
-    second = inside.join(nearest, "b").where("root <> ry").select(F.least("a", "y").alias("a"), F.greatest("a", "y").alias("b")).distinct()
+    second = met(inside.select("a", "b", "root"), scratch(nearest), ["b"], "a").where("root <> ry").select(F.least("a", "y").alias("a"), F.greatest("a", "y").alias("b")).distinct()
     known = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     second = scratch(second.join(known, ["a", "b"], "left_anti"), PAIRS)
-    links = scratch(links.unionByName(_compared(second, classes, docs, size, False).where(enough).select("a", "b")), PAIRS)
+    links = scratch(links.unionByName(_compared(second, texts, size, False).where(enough).select("a", "b")), PAIRS)
     known = known.unionByName(second)
     bits = classes.select(F.col("digest").alias("a"), "bits")
     left = scratch(rooted(inside.drop("root"), links).join(bits, "a").select("a", "b", "na", "c", "own", F.col("ra").alias("root"), "rb", "bits"), WIDE)
@@ -231,19 +242,19 @@ def _linked(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     apart = left.select("a", "b", "na", "c", "root", "bits", F.explode("own").alias("s"))
     across = apart.groupBy("b", "s").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("b", "s")
     apart = apart.join(across, ["b", "s"], "left_semi")
-    met = apart.alias("x").join(apart.alias("y"), ["b", "s"]).where("x.a < y.a").where(alike)
-    met = met.groupBy("b", "x.a", F.col("y.a").alias("z")).agg(F.count("*").alias("o"), F.min(F.least("x.c", "y.c")).alias("c"), F.min(F.col("x.na") + F.col("y.na")).alias("n"))
-    one = met.where(f"(c + o) * {100 + percent} >= {percent} * n").select("a", F.col("z").alias("b"))
+    touch = apart.alias("x").join(apart.alias("y"), ["b", "s"]).where("x.a < y.a").where(alike)
+    touch = touch.groupBy("b", "x.a", F.col("y.a").alias("z")).agg(F.count("*").alias("o"), F.min(F.least("x.c", "y.c")).alias("c"), F.min(F.col("x.na") + F.col("y.na")).alias("n"))
+    one = touch.where(f"(c + o) * {100 + percent} >= {percent} * n").select("a", F.col("z").alias("b"))
     # Pairs within R, by the sizes that remain for a mate outside the hub's component.
     most = F.least(F.floor(F.col("c") * (100 + percent) / percent - F.col("na")), F.floor(F.col("na") * 100 / percent)).cast("long")
     least = F.ceil(F.col("na") * percent / 100).cast("long")
     sized = left.where("root <> rb").where(most >= least).select("a", "b", "na", "root", "bits", F.explode(F.sequence(least, most)).alias("s"))
     within = left.select("a", "b", "na", "c", "root", "bits", F.col("na").alias("s"))
     fits = F.expr(f"y.c * {100 + percent} >= {percent} * (x.na + y.na)")
-    met = sized.alias("x").join(within.alias("y"), ["b", "s"]).where(alike & fits)
-    two = met.select(F.least("x.a", "y.a").alias("a"), F.greatest("x.a", "y.a").alias("b"))
+    touch = sized.alias("x").join(within.alias("y"), ["b", "s"]).where(alike & fits)
+    two = touch.select(F.least("x.a", "y.a").alias("a"), F.greatest("x.a", "y.a").alias("b"))
     rest = scratch(one.unionByName(two).distinct().join(known, ["a", "b"], "left_anti"), PAIRS)
-    more = _compared(rest, classes, docs, size, False).where(enough).select("a", "b")
+    more = _compared(rest, texts, size, False).where(enough).select("a", "b")
     return components(scratch(links.unionByName(more), PAIRS)).select(F.col("node").alias("digest"), "root")
 
 

@@ -98,3 +98,35 @@ def test_components(spark):
     df = spark.createDataFrame([*edges, (None, 3)], "a bigint, b bigint").repartition(5)
     assert dict(components(df).collect()) == union_find(edges)
     assert components(df.limit(0)).collect() == []
+
+
+def test_recall_of_pairs_without_a_common_hub(spark):
+    """Pairs around the least similarity, each with words of its own: none has a third text to meet over."""
+    rng = random.Random(12)
+    words = [f"u{i}" for i in range(50_000)]
+    rows = []
+    for i in range(0, 3000, 2):
+        ws = [rng.choice(words) for _ in range(rng.randint(60, 200))]
+        other = list(ws)
+        for _ in range(rng.randint(1, 1 + len(ws) // 40)):
+            other[rng.randrange(len(other))] = rng.choice(words)
+        rows += [(i, " ".join(ws)), (i + 1, " ".join(other))]
+    got = {d: c for d, _, c, _ in found(spark, rows, 4)}
+    sets = [{tuple(w[j : j + 4]) for j in range(len(w) - 3)} for w in (t.split() for _, t in rows)]
+    linked = [i for i in range(0, len(rows), 2) if 100 * len(sets[i] & sets[i + 1]) >= 80 * len(sets[i] | sets[i + 1])]
+    assert 300 < len(linked) < 1400 and all(got[i + 1] == (i if i in linked else i + 1) for i in range(0, len(rows), 2) if i not in linked)
+    assert sum(got[i + 1] == i for i in linked) >= 0.999 * len(linked)
+
+
+def test_hot_nodes_and_buckets_are_dealt_out(spark, corpus, monkeypatch):
+    from corvina.llm import common, components as parts
+
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(parts, "HOT", 2)
+    monkeypatch.setattr(minhash, "HOT", 2)
+    rows = [(d, t) for d, t, _ in corpus]
+    assert found(spark, rows, 4) == brute(rows, 4, 80)
+    rng = random.Random(6)
+    edges = [(0, i) for i in range(1, 60)] + [(rng.randrange(300), rng.randrange(300)) for _ in range(150)]
+    df = spark.createDataFrame(edges, "a bigint, b bigint").repartition(5)
+    assert dict(components(df).collect()) == union_find(edges)
