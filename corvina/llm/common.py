@@ -91,12 +91,12 @@ def met(big: DataFrame, small: DataFrame, keys: list[str], spread: str, how: str
     return dealt.join(parts, [*keys, "_s"], how).drop("_s")
 
 
-def met_where_hot(big: DataFrame, small: DataFrame, keys: list[str], spread: str, hot: Column) -> DataFrame:
+def met_where_hot(big: DataFrame, small: DataFrame, keys: list[str], spread: str, hot: Column, how: str = "inner") -> DataFrame:
     """big joined with small on keys; the rows of small where hot holds, of keys that many rows of big may have, by met()."""
     few = small.where(hot)
     n = few.count()
     if not n:
-        return big.join(small, keys)
+        return big.join(small, keys, how)
     told = met(big, few.withColumn("_hot", F.lit(True)), keys, spread, "left", weight=n)
-    rest = told.where("_hot IS NULL").select(*big.columns).join(small.where(~hot), keys)
+    rest = told.where("_hot IS NULL").select(*big.columns).join(small.where(~hot), keys, how)
     return told.where("_hot").drop("_hot").unionByName(rest)

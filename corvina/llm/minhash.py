@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import content_key, extra_columns, met, met_where_hot, quoted, scratch
 from .components import components
@@ -260,8 +261,8 @@ def _linked(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
 
 def _classes(docs: DataFrame, size: int) -> DataFrame:
     """(k1, k2, id, n, digest, ...) of every row, written once."""
-    signed = "id bigint, k1 bigint, k2 bigint, n bigint, digest binary, bits array<bigint>, bands array<bigint>"
-    return scratch(docs.select("id", "k.k1", "k.k2", "text").mapInArrow(_signer(size), signed))
+    made = T.StructType.fromDDL("k1 bigint, k2 bigint, n bigint, digest binary, bits array<bigint>, bands array<bigint>")
+    return scratch(docs.select("id", "k.k1", "k.k2", "text").mapInArrow(_signer(size), T.StructType([docs.schema["id"], *made])))
 
 
 def near_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -275,11 +276,11 @@ def near_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size:
     linked with nothing and is kept. Rows that repeat an id are both kept if it
     is the smallest; in a component without any id the component_id is null and
     all are kept. Columns n_shingles, component_id and kept of df are replaced.
-    An empty table gives an empty result. Shingles are compared by 64-bit
+    An empty table gives an empty result; ids keep their type. Shingles are compared by 64-bit
     hashes; a pair of classes is decided if one of 32 bands agrees.
     """
     made = ("n_shingles", "component_id", "kept")
-    docs = df.select(quoted(doc_id).cast("long").alias("id"), quoted(text).alias("text"), content_key(quoted(text)).alias("k"))
+    docs = df.select(quoted(doc_id).alias("id"), quoted(text).alias("text"), content_key(quoted(text)).alias("k"))
     signed = _classes(docs, size)
     full = signed.where("digest IS NOT NULL")
     classes = scratch(
@@ -296,7 +297,7 @@ def near_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size:
     rest = [quoted(c) for c in extra_columns(df, *made)]
     keyed = df.select(*rest, content_key(quoted(text)).alias("_cv_k"))
     joined = keyed.join(by_text, (F.col("_cv_k.k1") == F.col("_cv_1")) & (F.col("_cv_k.k2") == F.col("_cv_2")), "left")
-    own = quoted(doc_id).cast("long")
+    own = quoted(doc_id)
     component = F.when(F.col("_cv_n").isNull(), own).otherwise(F.col("_cv_c"))
     return joined.select(
         *rest, F.coalesce("_cv_n", F.lit(0)).cast("long").alias("n_shingles"), component.alias("component_id"), F.coalesce(own.eqNullSafe(component), F.lit(True)).alias("kept")
