@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontam, licenses, linededup, minhash, pii, quality, sharding, toxicity, warc
-from .common import table
+from .common import scratch, table
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,10 +68,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Writes the archives to the shared folder, then reads them back."""
+    """Writes the archives to the shared folder, reads them back, and removes them."""
     folder = warc.shared_folder(spark)
-    written = warc.write_warc(table(spark, sf_dir, "pages"), folder)
-    return warc.read_warc(written, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    written = warc.write_warc(table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
+    read = scratch(warc.read_warc(written, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+    warc.remove_folder(spark, folder)
+    return read
 
 
 OP1_SQL = r"""
@@ -161,6 +165,24 @@ SELECT page_id, b::BIGINT AS payload_bytes, d AS payload_digest,
 FROM m
 """
 
+#: The table of the CRC-32 of octets, made by its polynomial.
+_CRC = [reduce(lambda c, _: c >> 1 ^ (0xEDB88320 if c & 1 else 0), range(8), i) for i in range(256)]
+
+OP7_SQL = f"""
+WITH d AS (
+  SELECT doc_id, source, octet_length(encode(coalesce(text, ''))) + 8 AS size,
+         xor(list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT),
+                         lambda c, b: xor(c >> 8, ({_CRC}::BIGINT[])[1 + (xor(c, b) & 255)]), 4294967295::BIGINT), 4294967295) AS text_crc32
+  FROM documents),
+k AS (SELECT *, md5(concat_ws('|', '42', coalesce(doc_id::VARCHAR, ''), coalesce(doc_id::VARCHAR, ''), coalesce(source, ''), size::VARCHAR, text_crc32::VARCHAR)) AS h FROM d),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY h) - 1 AS rank, count(*) OVER (PARTITION BY source) AS total FROM k),
+p AS (SELECT *, row_number() OVER (ORDER BY (rank * 2 + 1) / (total * 2), source NULLS FIRST, rank) - 1 AS place, count(*) OVER () AS n FROM r),
+s AS (SELECT *, place * 24 // n AS shard FROM p)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS law, shard::INT AS shard,
+       (place - (shard * n + 23) // 24)::BIGINT AS slot, NULL::INT AS grown_shard
+FROM s
+"""
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_license_scan": op2_license_scan,
@@ -174,4 +196,10 @@ QUERIES = {
     "op10_warc": op10_warc,
 }
 
-ORACLES = {"op1_line_dedup": OP1_SQL, "op6_minhash_near_dedup": OP6_SQL, "op9_quality_rules": OP9_SQL, "op10_warc": OP10_SQL}
+ORACLES = {
+    "op1_line_dedup": OP1_SQL,
+    "op6_minhash_near_dedup": OP6_SQL,
+    "op7_sharding": OP7_SQL,
+    "op9_quality_rules": OP9_SQL,
+    "op10_warc": OP10_SQL,
+}

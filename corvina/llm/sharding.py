@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .common import extra_columns, quoted, scratch
 
 #: Rows that are ranked in one task, about; more rows mean more buckets.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 20_000
 
 
 def _ranked(df: DataFrame, key: str | None, bucket: Column, order: list[str], rank: str) -> DataFrame:
@@ -39,23 +39,23 @@ def _ranked(df: DataFrame, key: str | None, bucket: Column, order: list[str], ra
 def interleave(df: DataFrame, shards: int = 24, source: str = "source", doc_id: str = "doc_id", seed: int = 42) -> DataFrame:
     """df with shard (int, from 0) and slot (long, gapless from 0 within a shard).
 
-    A row's place in its source is decided by md5(seed, doc_id, hash of the
-    row); its fractional rank is (rank + 0.5) / rows of the source, and ties
+    A row's place in its source is decided by md5 of the seed, the id and all
+    columns as text, joined by |, nulls as empty; its fractional rank is (rank + 0.5) / rows of the source, and ties
     between sources go by the source's name, nulls first. Shards differ by one
     row at most, and each holds every source in its share of all rows to within
-    one row. Null sources are one source; a null id counts as an empty one; rows
-    that are equal in all columns are exchangeable. An empty table gives an
+    one row. Null sources are one source; rows that are equal in all columns are
+    exchangeable. An empty table gives an
     empty result. Columns shard and slot are replaced.
     """
     rest = extra_columns(df, "shard", "slot")
-    every = F.xxhash64(*[quoted(c) for c in rest])
-    hashed = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(quoted(doc_id).cast("string"), F.lit("")), every.cast("string")))
-    rows = scratch(df.select(*[quoted(c) for c in rest], quoted(source).alias("_cv_s"), hashed.alias("_cv_h"), every.alias("_cv_x")))
+    told = [F.coalesce(quoted(c).cast("string"), F.lit("")) for c in (doc_id, *rest)]
+    hashed = F.md5(F.concat_ws("|", F.lit(str(seed)), *told))
+    rows = scratch(df.select(*[quoted(c) for c in rest], quoted(source).alias("_cv_s"), hashed.alias("_cv_h")))
     totals = rows.groupBy(F.col("_cv_s").alias("_cv_t")).agg(F.count("*").alias("_cv_total"))
     n = rows.count()
-    buckets = max(16, -(-n // BUCKET_ROWS))
+    buckets = max(64, -(-n // BUCKET_ROWS))
     part = F.pmod(F.conv(F.substring("_cv_h", 1, 7), 16, 10).cast("long") * F.lit(buckets) / F.lit(16**7), F.lit(buckets)).cast("long")
-    ranked = _ranked(rows, "_cv_s", part, ["_cv_h", "_cv_x"], "_cv_rank")
+    ranked = _ranked(rows, "_cv_s", part, ["_cv_h"], "_cv_rank")
     share = ranked.join(totals, F.col("_cv_s").eqNullSafe(F.col("_cv_t"))).withColumn("_cv_f", (F.col("_cv_rank") * 2 + 1) / (F.col("_cv_total") * 2))
     share = share.drop("_cv_t", "_cv_total")
     placed = _ranked(share, None, F.floor(F.col("_cv_f") * buckets).cast("long"), ["_cv_f", "_cv_s", "_cv_rank"], "_cv_at")
@@ -66,6 +66,11 @@ def interleave(df: DataFrame, shards: int = 24, source: str = "source", doc_id:
 
 
 def write_shards(df: DataFrame, path: str, shards: int = 24, **how) -> None:
-    """The rows of df in one folder per shard, in the order of their slots."""
-    placed = interleave(df, shards, **how)
-    placed.repartition(shards, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """The rows of df in one folder per shard, in files of about BUCKET_ROWS rows in the order of their slots, names included.
+
+    Nulls, ties, repeated rows and clashing names are as in interleave(); an empty table writes a folder without shards.
+    """
+    placed = interleave(df, shards, **how).withColumn("_cv_part", F.floor(F.col("slot") / BUCKET_ROWS))
+    files = max(1, -(-placed.count() // BUCKET_ROWS) + shards)
+    dealt = placed.repartitionByRange(files, "shard", "_cv_part").sortWithinPartitions("shard", "slot").drop("_cv_part")
+    dealt.write.partitionBy("shard").parquet(path)

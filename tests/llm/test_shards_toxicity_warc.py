@@ -3,6 +3,8 @@ import io
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from corvina.llm import sharding, toxicity, warc
 
 
@@ -26,7 +28,7 @@ def test_shard_ranks_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(sharding, "BUCKET_ROWS", 7)
     df = spark.createDataFrame([(i, f"s{i % 4}") for i in range(301)], "doc_id bigint, source string")
     got = sharding.interleave(df, shards=5)
-    hashed = df.selectExpr("doc_id", "source", "md5(concat_ws('|', '42', cast(doc_id as string), cast(xxhash64(doc_id, source) as string))) AS h").collect()
+    hashed = df.selectExpr("doc_id", "source", "md5(concat_ws('|', '42', cast(doc_id as string), cast(doc_id as string), source)) AS h").collect()
     by = {}
     for r in hashed:
         by.setdefault(r.source, []).append((r.h, r.doc_id))
@@ -93,7 +95,7 @@ def test_held_out_rows_are_never_fitted(spark):
 
 
 PAGES = [(i, f"http://h/{i}", "<html>" + "payload " * 20 + str(i % 7) + "</html>") for i in range(40)]
-PAGES += [(100, None, None), (101, "u", ""), (102, "u", "short"), (103, "u", "short"), (104, "u", "é" * 60), (105, "u", "é" * 60), (None, "u", "é" * 60), (7, "u", PAGES[7][2])]
+PAGES += [(200, "http://h/a b", "x"), (201, "", "y"), (202, "h t\tt%20p\r\nX: é", "z"), (203, "http://h/é?q=%20#a", "z"), (100, None, None), (101, "u", ""), (102, "u", "short"), (103, "u", "short"), (104, "u", "é" * 60), (105, "u", "é" * 60), (None, "u", "é" * 60), (7, "u", PAGES[7][2])]
 
 
 def test_archives_are_read_back_whole(spark, tmp_path, monkeypatch):
@@ -114,6 +116,7 @@ def test_archives_are_read_back_whole(spark, tmp_path, monkeypatch):
     assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == want
     assert all((r.payload or b"").decode() == dict((p[0], p[2] or "") for p in PAGES)[r.page_id] for r in got if r.record_type == "response")
     assert written.agg({"records": "sum"}).first()[0] == len(PAGES) and written.count() > 3
+    assert {(r.page_id, r.url) for r in got} == {(i, u) for i, u, _ in PAGES}
     assert warc.read_warc(warc.write_warc(df.limit(0), folder + "0"), folder + "0").count() == 0
 
 
@@ -127,3 +130,40 @@ def test_archive_has_its_dictionary_in_front():
     few = io.BytesIO()
     warc.write_archive(records[:2], few)
     assert list(warc.read_archive(io.BytesIO(few.getvalue()))) == records[:2]
+
+
+def test_ids_are_of_any_type_and_records_are_told_apart(spark, tmp_path):
+    long = "payload " * 200_000
+    df = spark.createDataFrame([("a/1", "u", long), ("b 2", "u", long), ("b 2", "u", "other"), ("", "u", "no id"), (None, "u", "null id")], "page_id string, url string, html string")
+    folder = f"file://{tmp_path}/ids"
+    written = warc.write_warc(df, folder)
+    got = Counter((r.page_id, r.record_type, r.refers_to) for r in warc.read_warc(written, folder, "string").collect())
+    assert got == Counter([("a/1", "response", None), ("b 2", "revisit", "a/1"), ("b 2", "response", None), ("", "response", None), (None, "response", None)])
+    ids = [warc.parse(raw)["fields"]["WARC-Record-ID"] for f in (tmp_path / "ids").iterdir() if f.suffix == ".zst" for raw in warc.read_archive(io.BytesIO(f.read_bytes()))]
+    assert len(set(ids)) == 5
+
+
+def test_two_attempts_of_a_task_never_share_a_file(spark, tmp_path):
+    df = warc.plan(spark.createDataFrame(PAGES, "page_id bigint, url string, html string")).withColumns({"page_id": F.col("page_id").cast("string"), "refers_to": F.col("refers_to").cast("string")})
+    run, batches = warc._writer(f"file://{tmp_path}/w"), df.toArrow().to_batches()
+    first, second = (next(run(iter(batches))).column(0).to_pylist() for _ in range(2))
+    assert first and not set(first) & set(second)
+
+
+def test_many_repeated_payloads_are_dealt_out(spark, tmp_path, monkeypatch):
+    from corvina.llm import common
+
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(warc, "HOT", 3)
+    test_archives_are_read_back_whole(spark, tmp_path, monkeypatch)
+
+
+def test_shards_are_written_in_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 20)
+    df = spark.createDataFrame([(i, f"s{i % 3}") for i in range(200)], "doc_id bigint, source string")
+    sharding.write_shards(df, f"{tmp_path}/s", 4)
+    back = spark.read.parquet(f"{tmp_path}/s").collect()
+    assert Counter((r.doc_id, r.shard, r.slot) for r in back) == Counter((r.doc_id, r.shard, r.slot) for r in sharding.interleave(df, 4).collect())
+    assert {p.name for p in (tmp_path / "s").iterdir() if p.is_dir()} == {f"shard={i}" for i in range(4)}
+    sharding.write_shards(df.limit(0), f"{tmp_path}/none", 4)
