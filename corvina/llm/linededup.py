@@ -1,7 +1,8 @@
 """Line dedup by site-relative frequency.
 
 For each host, the pages that contain a line are divided by the pages of the
-host; lines above a boilerplate ratio are dropped from the host's pages.
+host; lines above a boilerplate ratio are dropped from the host's pages. Pages
+of a host with the same text are one page: copies alone make no boilerplate.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import extra_columns, quoted
+from .common import content_key, extra_columns, quoted
 
 
 def _keys(text: str) -> str:
@@ -21,13 +22,15 @@ def _keys(text: str) -> str:
 def boilerplate_lines(df: DataFrame, host: str, text: str, ratio: float, min_pages: int) -> DataFrame:
     """(host, h1, h2, pages, total) of the lines above the ratio; a null host is a host of its own.
 
-    Counts are taken over all pages and combined before the shuffle, so a host
-    or a line that holds a third of all rows is no hot task.
+    Counts are taken over all distinct texts of a host, told by 128 bits. Each
+    step combines before its shuffle and the first is dealt by page and line, so a host,
+    a line or a text that holds a third of all rows is no hot task.
     """
-    pages = df.select(quoted(host).alias("host"), F.coalesce(quoted(text), F.lit("")).alias("t"))
-    totals = pages.groupBy("host").agg(F.count("*").alias("total"))
-    lines = pages.select("host", F.explode(F.array_distinct(F.expr(_keys("t")))).alias("l")).where("not l.blank")
-    counts = lines.groupBy("host", "l.h1", "l.h2").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
+    pages = df.select(quoted(host).alias("host"), content_key(quoted(text)).alias("page"), F.coalesce(quoted(text), F.lit("")).alias("t"))
+    totals = pages.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("total"))
+    lines = pages.select("host", "page", F.explode(F.array_distinct(F.expr(_keys("t")))).alias("l")).where("not l.blank")
+    once = lines.select("host", "page", "l.h1", "l.h2").distinct()
+    counts = once.groupBy("host", "h1", "h2").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
     t = totals.withColumnRenamed("host", "of")
     joined = counts.join(t, F.col("host").eqNullSafe(F.col("of"))).drop("of")
     return joined.where(F.col("pages") > F.col("total") * F.lit(ratio))
@@ -38,7 +41,7 @@ def line_dedup(df: DataFrame, host: str = "source", text: str = "text", ratio: f
 
     A line (without surrounding blanks) goes if more than ratio of its host's
     pages and at least min_pages of them contain it; a page counts once however
-    often it repeats the line. Blank lines are never counted or dropped. Adds
+    often it repeats the line, and so do all pages of a host with the same text. Blank lines are never counted or dropped. Adds
     n_lines and n_dropped (long) and replaces the text; no row is dropped, so a
     page of nothing but boilerplate stays with an empty text. A null text is
     empty text with one blank line. Equal rows get equal results, a null host

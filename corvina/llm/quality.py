@@ -18,8 +18,10 @@ from .common import SPACES, extra_columns, n_word_chars, quoted, without, word_a
 
 SYMBOLS = "#*$%&|<>"
 NOISE = SYMBOLS + "!?=~^{}[]\\_"
+#: Marks that end sentences or clauses: Latin and Greek, CJK, Arabic and Urdu, Indic, Armenian, Ethiopic, Burmese, Khmer, Tibetan.
+STOPS = ".!?:;…;。！？｡．؟۔؛।॥։።፧၊။។៕།"
 #: Ends of a line of prose: a mark, perhaps followed by closing quotes or brackets.
-ENDS = r"""[.!?:;…。！？][\s"'”’»)\]]*$"""
+ENDS = "[" + STOPS + r"""][\s"'”’»)\]]*$"""
 #: Marks between the items of a menu.
 SEPARATORS = "|>»•·"
 #: Fixed phrases of page furniture, in lower case.
@@ -77,8 +79,10 @@ def quality(df: DataFrame, text: str = "text", min_left: float = 0.5) -> DataFra
     of a very long text is that of sorting its word triples.
     """
     made = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "cleaned_text", "kept")
-    rest = [quoted(c) for c in extra_columns(df, *made, "_cv_t")]
-    one = df.select(*rest, F.coalesce(quoted(text), F.lit("")).alias("_cv_t"))
+    # All of the row is held in one column meanwhile, so that no name of its own can clash.
+    given = [quoted(c) for c in extra_columns(df, *made)]
+    rest = ["_cv_row"]
+    one = df.select(F.struct(*given).alias("_cv_row"), F.coalesce(quoted(text), F.lit("")).alias("_cv_t"))
     # The outer lambda binds the flag once for all lines of a text.
     cleaned = F.transform(
         F.array(_has_phrase(F.col("_cv_t"))), lambda furnished: F.array_join(F.filter(_lines(F.col("_cv_t")), lambda x: line_passes(x, furnished)), "\n")
@@ -124,4 +128,4 @@ def quality(df: DataFrame, text: str = "text", min_left: float = 0.5) -> DataFra
     five = four.select(F.inline(F.array(whole)))
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     left = n_word_chars(F.col("cleaned_text")) >= F.col("word_chars") * F.lit(min_left)
-    return five.select(*rest, *made[:5], failed.alias("base_failed"), "cleaned_text", (~failed & left).alias("kept"))
+    return five.select("_cv_row.*", *made[:5], failed.alias("base_failed"), "cleaned_text", (~failed & left).alias("kept"))

@@ -82,11 +82,11 @@ WITH lines AS (
          unnest(string_split(coalesce(text, ''), chr(10))) AS line
   FROM documents),
 keyed AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS k FROM lines),
-totals AS (SELECT source, count(*) AS total FROM documents GROUP BY source),
+totals AS (SELECT source, count(DISTINCT coalesce(text, '')) AS total FROM documents GROUP BY source),
 bad AS (
   SELECT k.source, k.k FROM keyed k JOIN totals t ON k.source IS NOT DISTINCT FROM t.source
   WHERE k.k <> '' GROUP BY k.source, k.k
-  HAVING count(DISTINCT k.doc_id) >= 5 AND count(DISTINCT k.doc_id) > 0.02 * any_value(t.total))
+  HAVING count(DISTINCT k.text) >= 5 AND count(DISTINCT k.text) > 0.02 * any_value(t.total))
 SELECT k.doc_id, k.source,
        coalesce(string_agg(k.line, chr(10) ORDER BY k.at) FILTER (WHERE b.k IS NULL), '') AS text,
        count(*) AS n_lines, count(b.k) AS n_dropped
@@ -119,7 +119,7 @@ FROM c LEFT JOIN n ON n.doc_id = c.doc_id
 """
 
 _PASSES = (
-    "length(bare) = 0 OR (regexp_matches(line, '[.!?:;…。！？][\\s\"''”’»)\\]]*$') AND noise * 10 <= length(bare) "
+    f"length(bare) = 0 OR (regexp_matches(line, '[{quality.STOPS}][\\s\"''”’»)\\]]*$') AND noise * 10 <= length(bare) "
     "AND NOT (marks >= 3 AND marks * 40 >= length(bare)) AND NOT ("
     + " OR ".join(f"contains(lower(line), '{p}')" for p in quality.BOILERPLATE)
     + "))"

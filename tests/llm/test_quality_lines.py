@@ -42,9 +42,9 @@ def test_line_dedup_against_brute_force(spark):
     df = spark.createDataFrame([(*r, 7) for r in rows], "doc_id bigint, source string, text string, page int")
     got = linededup.line_dedup(df.repartition(4), ratio=0.2, min_pages=3)
     counts, total = Counter(), Counter()
-    for _, h, t in rows:
+    for h, t in {(h, t or "") for _, h, t in rows}:  # a host's pages of one text are one page
         total[h] += 1
-        counts.update({(h, x.strip(" \t\r")) for x in (t or "").split("\n") if x.strip(" \t\r")})
+        counts.update({(h, x.strip(" \t\r")) for x in t.split("\n") if x.strip(" \t\r")})
     bad = {k for k, c in counts.items() if c >= 3 and c > 0.2 * total[k[0]]}
     want = Counter()
     for d, h, t in rows:
@@ -54,3 +54,16 @@ def test_line_dedup_against_brute_force(spark):
     assert Counter((r.doc_id, r.source, r.text, r.n_lines, r.n_dropped) for r in got.collect()) == want
     assert bad and linededup.line_dedup(df.limit(0)).count() == 0
     assert got.where(F.col("page") == 7).count() == len(rows)
+
+
+def test_copies_alone_make_no_boilerplate(spark):
+    rows = [(i, "h", "one text\nof two lines") for i in range(50)] + [(100 + i, "h", f"own {i}\nshared line") for i in range(20)]
+    got = linededup.line_dedup(spark.createDataFrame(rows, "doc_id bigint, source string, text string"), ratio=0.5, min_pages=5)
+    assert {r.text for r in got.collect()} == {"one text\nof two lines", *(f"own {i}" for i in range(20))}
+
+
+def test_prose_of_other_scripts_stays(spark):
+    lines = ["यह एक वाक्य है।", "هل هذه جملة؟", "یہ ایک جملہ ہے۔", "这是一句话。", "Սա նախադասություն է։", "यह नहीं"]
+    df = spark.createDataFrame([("\n".join(lines), 5)], "text string, _cv_t int")
+    row = quality.quality(df).first()
+    assert row.cleaned_text.split("\n") == lines[:-1] and row._cv_t == 5
