@@ -40,6 +40,8 @@ WINDOW = 5
 #: Bits of a Bloom filter: about so many for each window, a power of two and MOST_BITS (16 MB) at most.
 #: With more windows than that more documents' windows pass it, and the join is still exact.
 BITS_EACH, MOST_BITS, PROBES_EACH = 16, 1 << 27, 3
+#: Characters of documents that are read together, about.
+READ_CHARS = 200_000
 
 
 #: Marks that stand around words.
@@ -74,21 +76,28 @@ class Reader:
         np.cumsum((np.frombuffer(raw, np.uint8).astype(U) + U(1)) * self.up[: len(raw)], out=sums[1:])
         return mix((sums[end] - sums[start]) * self.down[start])
 
-    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        if not text.isascii():
-            for q in QUOTES:
-                text = text.replace(q, " ")
-        raw = text.encode("utf-8", "replace")
-        low = text.lower().encode("utf-8", "replace")
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(kinds, codes, which text) of the tokens of all texts; between two texts there is a sentence end."""
+        raws, lows, odd = [], [], []
+        for i, text in enumerate(texts):
+            if not text.isascii():
+                for q in QUOTES:
+                    text = text.replace(q, " ")
+            raw, low = text.encode("utf-8", "replace"), text.lower().encode("utf-8", "replace")
+            if len(low) != len(raw):  # letters whose small form has another length, like that of the dotted I, stay as they are but count as capitals
+                sizes = [(c, len(c.encode("utf-8", "replace"))) for c in text]
+                low = b"".join(x if len(x := c.lower().encode("utf-8", "replace")) == n else c.encode("utf-8", "replace") for c, n in sizes)
+                odd.append((i, np.repeat(np.array([c.lower() != c for c, _ in sizes]), [n for _, n in sizes])))
+            raws.append(raw)
+            lows.append(low)
+        raw, low = b"\n".join(raws), b"\n".join(lows)
         b = np.frombuffer(raw, np.uint8)
         if not len(b):
-            return np.empty(0, np.int8), np.empty(0, U)
-        if len(low) == len(raw):
-            upper = b != np.frombuffer(low, np.uint8)
-        else:  # letters whose small form has another length, like that of the dotted I, stay as they are but count as capitals
-            sizes = [(c, len(c.encode("utf-8", "replace"))) for c in text]
-            low = b"".join(x if len(x := c.lower().encode("utf-8", "replace")) == n else c.encode("utf-8", "replace") for c, n in sizes)
-            upper = np.repeat(np.array([c.lower() != c for c, _ in sizes]), [n for _, n in sizes])
+            return np.empty(0, np.int8), np.empty(0, U), np.empty(0, np.int64)
+        begin = np.cumsum([0, *(len(r) + 1 for r in raws)])
+        upper = b != np.frombuffer(low, np.uint8)
+        for i, capitals in odd:
+            upper[begin[i] : begin[i + 1] - 1] = capitals
         word = self.word[b]
         word[1:-1] |= self.joint[b[1:-1]] & word[:-2] & self.digit[b[2:]]
         edge = np.flatnonzero(np.diff(np.concatenate([[False], word, [False]]).view(np.int8)))
@@ -111,7 +120,7 @@ class Reader:
         mark = ~self.word[first]
         kind[mark] = STOP
         kind[mark & ((first == 37) | (first == 36))] = MARK
-        return kind, code
+        return kind, code, np.searchsorted(begin, start, "right") - 1
 
 
 def initial(kind: np.ndarray) -> np.ndarray:
@@ -132,8 +141,8 @@ def readings(kind: np.ndarray) -> list[int]:
     return out
 
 
-def template(kind: np.ndarray, code: np.ndarray, names: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(codes, slots, values) of read tokens: template codes, whether each is a slot, and a hash of what fills it.
+def template(kind: np.ndarray, code: np.ndarray, names: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, slots, values, kept) of read tokens: template codes, whether each is a slot, a hash of what fills it, and which tokens are left.
 
     names is one of READINGS. Capitalised words that it takes for names are
     slots too; a run of names is one slot. Any other is an ordinary word in
@@ -167,22 +176,24 @@ def template(kind: np.ndarray, code: np.ndarray, names: int) -> tuple[np.ndarray
             value[first] = filled
             drop = drop | (name & ~first)
     keep = ~drop
-    return code[keep], slot[keep], value[keep]
+    return code[keep], slot[keep], value[keep], keep
 
 
 def windows(codes: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the windows of hashed codes: polynomials of an odd base, mixed."""
     n = len(codes) - size + 1
     if n <= 0:
         return np.empty(0, U)
     h = codes[:n].copy()
     for i in range(1, size):
-        h = mix(h) * U(0x9E3779B97F4A7C15) + codes[i : n + i]
+        h *= U(_BASE)
+        h += codes[i : n + i]
     return mix(h)
 
 
 def keyed(hashes: np.ndarray, size: int, names: int) -> np.ndarray:
     """Hashes of windows of a size in a reading; those of another size or reading differ."""
-    return mix(hashes + U(16 * size + names + 1))
+    return hashes ^ U((16 * size + names + 1) * 0xD6E8FEB86659FD93 % 2**64)
 
 
 def filled(slot: np.ndarray, value: np.ndarray, size: int) -> np.ndarray:
@@ -197,11 +208,12 @@ def item_windows(tokens: tuple, names: int, size: int) -> tuple[np.ndarray, np.n
     A window of nothing but slots says nothing where any sentence begins with
     one, so it is left out in the last two readings.
     """
-    codes, slot, value = template(*tokens, names)
+    codes, slot, value, _ = template(*tokens[:2], names)
     size = min(size, len(codes))
     if not size:
         return np.empty(0, U), np.empty((0, 0), U), np.empty(0, np.int64)
-    h, v, at = keyed(windows(codes, size), size, names), filled(slot, value, size), np.arange(len(codes) - size + 1)
+    at = np.arange(len(codes) - size + 1)
+    h, v = keyed(windows(codes, size), size, names), filled(slot, value, size, at)
     if names >= FIRST_ALONE:
         told = ~(v != 0).all(1)
         h, v, at = h[told], v[told], at[told]
@@ -209,18 +221,24 @@ def item_windows(tokens: tuple, names: int, size: int) -> tuple[np.ndarray, np.n
 
 
 def document_windows(tokens: tuple, sizes: list[int]):
-    """(reading, size, hashes, fillings by places) of a document, in all readings, as the item may differ in any."""
-    own = readings(tokens[0]) if len(tokens[0]) else []
+    """(reading, size, hashes, places, which text, fillings by places) of documents read together, in all readings, as the item may differ in any."""
+    kind, code, of = tokens
+    own = readings(kind) if len(kind) else []
     raw: dict = {}
     for names in READINGS if own else ():
         if names in own:  # else the reading before has the same template
-            codes, slot, value = template(*tokens, names)
-            raw = {size: windows(codes, size) for size in sizes if len(codes) >= size}
-        for size, h in raw.items():
-            yield names, size, keyed(h, size, names), lambda at, s=slot, v=value, n=size: filled_at(s, v, n, at)
-
-
-def filled_at(slot: np.ndarray, value: np.ndarray, size: int, at: np.ndarray) -> np.ndarray:
+            codes, slot, value, kept = template(kind, code, names)
+            text, raw = of[kept], {}
+            for size in sizes:
+                if len(codes) >= size:
+                    at = np.flatnonzero(text[size - 1 :] == text[: len(text) - size + 1])  # no window reaches into the next text
+                    raw[size] = windows(codes, size)[at], at, text[at]
+        for size, (h, at, which) in raw.items():
+            yield names, size, keyed(h, size, names), at, which, lambda at, s=slot, v=value, n=size: filled(s, v, n, at)
+
+
+def filled(slot: np.ndarray, value: np.ndarray, size: int, at: np.ndarray) -> np.ndarray:
+    """The fillings of the windows at some places, 0 where there is no slot."""
     place = at[:, None] + np.arange(size)
     return np.where(slot[place], value[place] | U(1), U(0))
 
@@ -295,15 +313,15 @@ def consistent(item: tuple, doc: tuple, share: float) -> tuple[int, int, int, in
 def leak(item: str, text: str, size: int = WINDOW, share: float = 0.8) -> tuple[int, int, int, int] | None:
     """What consistent() says of one item in one text, by the reading with the most windows; None if the text doesn't leak it."""
     read = Reader()
-    item_tokens, tokens = read(item), read(text)
+    item_tokens, tokens = read([item]), read([text])
     if not len(item_tokens[0]):
         return None
     own = [item_windows(item_tokens, names, size) for names in READINGS]
     sizes = sorted({x[1].shape[1] for x in own if len(x[0])})
     best = None
-    for names, width, h, fill in document_windows(tokens, sizes):
+    for names, width, h, at, _, fill in document_windows(tokens, sizes):
         if len(own[names][0]) and own[names][1].shape[1] == width:
-            found = consistent(own[names], (h, fill(np.arange(len(h))), np.arange(len(h))), share)
+            found = consistent(own[names], (h, fill(at), at), share)
             if found and (best is None or found[0] > best[0]):
                 best = found
     return best
@@ -312,8 +330,8 @@ def leak(item: str, text: str, size: int = WINDOW, share: float = 0.8) -> tuple[
 # Bloom filters.
 
 
-def _places(h: np.ndarray, bits: int) -> list[np.ndarray]:
-    return [mix(h + U(0xA24BAED4963EE407 * (i + 1) % 2**64)) & U(bits - 1) for i in range(PROBES_EACH)]
+def _place(h: np.ndarray, i: int, bits: int) -> np.ndarray:
+    return (mix(h + U(0xA24BAED4963EE407 * i % 2**64)) if i else h) & U(bits - 1)
 
 
 def _bloom(hashes: DataFrame, bits: int) -> np.ndarray:
@@ -321,7 +339,8 @@ def _bloom(hashes: DataFrame, bits: int) -> np.ndarray:
 
     def run(batches):
         for b in batches:
-            at = np.unique(np.concatenate(_places(np.asarray(b.column(0)).view(U), bits)))
+            h = np.asarray(b.column(0)).view(U)
+            at = np.unique(np.concatenate([_place(h, i, bits) for i in range(PROBES_EACH)]))
             word, first = np.unique(at >> U(6), return_index=True)
             value = np.bitwise_or.reduceat(U(1) << (at & U(63)), first) if len(at) else at
             yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(value.view(np.int64))], ["word", "value"])
@@ -338,7 +357,7 @@ def _passes(h: np.ndarray, bloom: np.ndarray) -> np.ndarray:
     """Indices of the hashes that a filter lets pass."""
     left = np.arange(len(h))
     for i in range(PROBES_EACH):
-        at = mix(h[left] + U(0xA24BAED4963EE407 * (i + 1) % 2**64)) & U((len(bloom) << 6) - 1)
+        at = _place(h[left], i, len(bloom) << 6)
         left = left[(bloom[(at >> U(6)).astype(np.int64)] >> (at & U(63)) & U(1)) == 1]
     return left
 
@@ -352,9 +371,9 @@ def _items(benchmark: DataFrame, item_id: str, text: str, size: int) -> DataFram
     def run(batches):
         read = Reader()
         for b in batches:
-            rows: list = []
+            rows = []
             for r in range(b.num_rows):
-                tokens = read(b.column(1)[r].as_py() or "")
+                tokens = read([b.column(1)[r].as_py() or ""])
                 if not len(tokens[0]):
                     continue
                 for names in READINGS:
@@ -381,6 +400,17 @@ def _probes(items: DataFrame, share: float) -> DataFrame:
     return each.join(rare, "h").withColumn("so_far", F.sum("times").over(down)).where(F.col("so_far") >= F.col("n") * F.lit(share)).select("k", "names", "h")
 
 
+def _together(texts: list[str]) -> list[tuple[int, int]]:
+    """Stretches of texts that are read together: arrays of a good length, one long text alone."""
+    out, first, held = [], 0, 0
+    for i, text in enumerate(texts):
+        held += len(text)
+        if held >= READ_CHARS or i == len(texts) - 1:
+            out.append((first, i + 1))
+            first, held = i + 1, 0
+    return out
+
+
 def _reader(sizes: list[int], probe_bloom: np.ndarray, bloom: np.ndarray):
     """What may have a partner of each document, reading and size that holds what may be a probe."""
 
@@ -388,14 +418,21 @@ def _reader(sizes: list[int], probe_bloom: np.ndarray, bloom: np.ndarray):
         read = Reader()
         for b in batches:
             rows: list = []
-            texts = b.column(b.num_columns - 1)
-            for r in range(b.num_rows):
-                tokens = read(texts[r].as_py() or "")
-                for names, size, h, fill in document_windows(tokens, sizes):
+            texts = [x or "" for x in b.column(b.num_columns - 1).to_pylist()]
+            for lo, hi in _together(texts):
+                for names, size, h, at, of, fill in document_windows(read(texts[lo:hi]), sizes):
                     some = _passes(h, probe_bloom)
-                    if len(some):
-                        at = _passes(h, bloom)
-                        rows.append((r, names, size, h[some].view(np.int64), h[at].view(np.int64), fill(at).view(np.int64).ravel(), at))
+                    if not len(some):
+                        continue
+                    hit = np.zeros(hi - lo, bool)
+                    hit[of[some]] = True
+                    mine = np.flatnonzero(hit[of])
+                    mine = mine[_passes(h[mine], bloom)]
+                    v = fill(at[mine]).view(np.int64)
+                    cut, cut_some = np.searchsorted(of[mine], np.flatnonzero(hit)), np.searchsorted(of[some], np.flatnonzero(hit))
+                    parts = (np.split(h[some].view(np.int64), cut_some[1:]), *(np.split(x, cut[1:]) for x in (h[mine].view(np.int64), v, at[mine])))
+                    for r, probes, mh, mv, mat in zip(np.flatnonzero(hit) + lo, *parts, strict=True):
+                        rows.append((r, names, size, probes, mh, mv.ravel(), mat))
             of = pa.array([x[0] for x in rows], pa.int64())
             kinds = (pa.int32(), pa.int32(), *[pa.list_(pa.int64())] * 4)
             made = [pa.array([x[i + 1] for x in rows], t) for i, t in enumerate(kinds)]
