@@ -159,11 +159,13 @@ def mention_supported(confidence: Column, feature: Column, evidence: Column, lea
     return (F.coalesce(confidence, F.lit(0.0)) >= least) & filled(feature) & filled(evidence)
 
 
-def microbe_like(text: Column) -> Column:
-    """Genus and species of a known genus, an abbreviated binomial, or a word ending as microbes do."""
-    words = F.split(normalize(text), " ")
-    return (
-        F.get(words, F.lit(0)).isin(*vocab.GENERA)
-        | F.trim(text).rlike(r"^[A-Z]\.\s?[a-z]{3,}")
-        | F.get(words, F.lit(0)).rlike(r"(?:bacter|coccus|bacillus|bacteria|aceae|monas|ella|spira)(?:ium|um|ia|les)?$")
-    ) & ~contains_any(normalize(text), ("cancer", "disease", "syndrome"))
+def microbe_like(name: Column) -> Column:
+    """Whether a name is a microbe's: no generic term and no running text, but with a part that microbes have, or a binomial of a common genus, or an abbreviated one."""
+
+    def judged(x: Column) -> Column:
+        low = F.lower(x)
+        binomial = F.lower(F.regexp_extract(x, r"^([A-Z][a-z]+)\s[a-z]{2,}$", 1)).isin(*vocab.COMMON_GENERA)
+        known = contains_any(low, vocab.MICROBE_PARTS) | binomial | x.rlike(r"^[A-Z]\.\s?[a-z]{2,}$")
+        return (x != "") & ~low.isin(*vocab.GENERIC_MICROBES) & ~F.get(F.split(low, r"\s+"), F.lit(0)).isin(*vocab.NOT_MICROBE_FIRST) & known
+
+    return _bound(F.trim(F.coalesce(name, F.lit(""))), judged)

@@ -45,9 +45,9 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     df.select(*[F.col(c) if c in df.columns else F.lit("").alias(c) for c in columns]).write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_manifest(spark: SparkSession, path: str, stage: str, params: dict, metrics: dict, outputs: dict, at: str) -> None:
-    """One JSON line on a run."""
-    row = json.dumps({"stage": stage, "generated_at": at, "params": params, "metrics": metrics, "outputs": outputs}, sort_keys=True)
+def write_manifest(spark: SparkSession, path: str, stage: str, params: dict, metrics: dict, outputs: dict, at: str, command: str = "") -> None:
+    """One JSON line on a run, with the command that started it."""
+    row = json.dumps({"stage": stage, "generated_at": at, "params": params, "metrics": metrics, "outputs": outputs, "command": command}, sort_keys=True)
     spark.createDataFrame([(row,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
@@ -122,12 +122,30 @@ def article_text(html: Column) -> Column:
     return F.get(F.transform(F.array(run(html)), cut), F.lit(0))
 
 
-def figure_rows(pages: DataFrame, html: str = "html", pattern: str = r"""(?i)<img[^>]*?\ssrc=["']([^"'>]+\.(?:jpg|jpeg|png|gif))["']""") -> DataFrame:
-    """pages with figure_index, figure_url and caption: images in order, once each, with the caption at the same place; supplementary files are left out."""
-    urls = F.filter(F.array_distinct(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(pattern), 1)), lambda u: ~F.lower(u).rlike("supplement|_s[0-9]+\\."))
-    captions = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r"(?is)<figcaption[^>]*>(.*?)</figcaption>"), 1)
+IMAGE = r"""(?i)<img[^>]*?\ssrc=["']([^"'>]+\.(?:jpg|jpeg|png|gif))["']"""
+CAPTION = r"""(?is)<figcaption[^>]*>(.*?)</figcaption>|<p[^>]+class="[^"]*caption[^"]*"[^>]*>(.*?)</p>"""
+SUPPLEMENT = r"(?i)^(?:M\d+|S\d+|supp|supplementary)"
+
+
+def figure_rows(pages: DataFrame, html: str = "html", pattern: str = IMAGE) -> DataFrame:
+    """pages with figure_index, figure_url, fig_label and caption: images in order, once each, with the caption at the same place; supplementary files are left out.
+
+    The label is the figure's in the file's name, such as Fig6, else the name.
+    Where the pattern finds nothing, images in elements of class fig are taken.
+    """
+    whole = F.coalesce(html, F.lit(""))
+    name = lambda u: F.regexp_extract(u, r"([^/]*)$", 1)
+    found = F.filter(F.array_distinct(F.regexp_extract_all(whole, F.lit(pattern), 1)), lambda u: ~name(u).rlike(SUPPLEMENT))
+    older = F.array_distinct(F.regexp_extract_all(whole, F.lit(r"""(?is)<div[^>]+class="[^"]*\bfig\b[^"]*"[^>]*>.*?<img[^>]*?src=["']([^"'>]+)["']"""), 1))
+    urls = F.when(F.size(found) > 0, found).otherwise(older)
     plain = lambda c: text.collapse(F.regexp_replace(c, "<[^>]+>", " "))
-    return pages.select(*[c for c in pages.columns if c != html], captions.alias("_c"), F.posexplode(urls).alias("figure_index", "figure_url")).withColumn("caption", plain(F.get("_c", F.col("figure_index")))).drop("_c")
+    told = F.zip_with(F.regexp_extract_all(whole, F.lit(CAPTION), 1), F.regexp_extract_all(whole, F.lit(CAPTION), 2), lambda a,
+        b: plain(F.coalesce(F.nullif(a, F.lit("")), b, F.lit(""))))
+    captions = F.filter(told, lambda c: c != "")
+    rows = pages.select(*[c for c in pages.columns if c != html], captions.alias("_c"), F.posexplode(urls).alias("figure_index", "figure_url"))
+    stem = F.regexp_replace(name(F.col("figure_url")), r"\.[^.]*$", "")
+    label = F.regexp_extract(stem, r"(?i)(Fig\d+|f\d+|g\d+)", 1)
+    return rows.withColumns({"fig_label": F.when(label != "", label).otherwise(stem), "caption": F.get("_c", F.col("figure_index"))}).drop("_c")
 
 
 def match_figure(label: Column, labels: Column) -> Column:
