@@ -21,7 +21,8 @@ def paper_index(papers: DataFrame) -> DataFrame:
     last = last_by(papers.where(F.coalesce("pmid", F.lit("")) != ""), ["pmid"])
     year = text.present(F.col("year")).try_cast("int")
     plain = [_filled(F.col(c)).alias(c) for c in ("journal", "title", "pmcid", "issn")]
-    return last.select("pmid", *plain, year.alias("publication_year"), text.impact_factor(F.col("impact_factor")).alias("impact_factor"), text.quartile(F.col("quartile")).alias("quartile"))
+    return last.select("pmid", *plain, year.alias("publication_year"), text.impact_factor(F.col("impact_factor")).alias("impact_factor"),
+        text.quartile(F.col("quartile")).alias("quartile"))
 
 
 def with_papers(df: DataFrame, papers: DataFrame) -> DataFrame:
@@ -73,7 +74,8 @@ def text_edges(mentions: DataFrame, papers: DataFrame, least: float = 0.6) -> Da
 
 def axis_candidates(mentions: DataFrame, least: float = 0.6) -> DataFrame:
     """Subject and phenotype pairs for audit; a disease that may be no node is left out, the row stays."""
-    good = mentions.where(spans.mention_supported(F.col("confidence"), F.col("canonical_feature"), F.col("evidence"), least)).where(_filled(F.col("subject_node")).isNotNull())
+    good = mentions.where(spans.mention_supported(F.col("confidence"), F.col("canonical_feature"), F.col("evidence"),
+        least)).where(_filled(F.col("subject_node")).isNotNull())
     guess = text.subject(F.col("subject_node"), fallback=True)
     given = _filled(F.col("subject_node_type"))
     typed = good.withColumns({"_s": F.when(given.isNotNull(), F.struct(given.alias("type"), F.trim("subject_node").alias("name"))).otherwise(guess)})
@@ -108,11 +110,13 @@ def disease_match(a: Column, b: Column) -> Column:
 def bridge_hypotheses(mentions: DataFrame, relations: DataFrame, least: float = 0.6) -> DataFrame:
     """Relations and mentions of one paper whose diseases match; for audit, never for the graph."""
     good = mentions.where(spans.mention_supported(F.col("confidence"), F.col("canonical_feature"), F.col("evidence"), least)).where("pmid <> ''")
-    m = good.select("pmid", "mention_id", F.trim("canonical_feature").alias("phenotype"), F.col("confidence").alias("mc"), F.col("evidence").alias("me"), text.normalize(F.col("disease")).alias("md"))
+    m = good.select("pmid", "mention_id", F.trim("canonical_feature").alias("phenotype"), F.col("confidence").alias("mc"), F.col("evidence").alias("me"),
+        text.normalize(F.col("disease")).alias("md"))
     given = text.normalize(F.col("subject_node"))
     guess = text.subject(text.normalize(F.col("microbe")), fallback=True)
     who = F.when(given != "", F.struct(_filled(F.col("subject_node_type")).alias("type"), given.alias("name"))).otherwise(guess)
-    r = relations.where("accepted").where("pmid <> ''").select("pmid", text.normalize(F.col("disease")).alias("disease"), who.alias("s"), F.lower("final_label").alias("label"), F.trim(F.coalesce("evidence", F.lit(""))).alias("re"))
+    r = relations.where("accepted").where("pmid <> ''").select("pmid", text.normalize(F.col("disease")).alias("disease"), who.alias("s"),
+        F.lower("final_label").alias("label"), F.trim(F.coalesce("evidence", F.lit(""))).alias("re"))
     r = r.where((F.col("disease") != "") & F.col("s.type").isNotNull() & F.col("s.name").isNotNull())
     both = r.join(m, "pmid").where(disease_match(F.col("md"), F.col("disease")))
     label = F.when(F.col("label").isin("positive", "negative"), 1.0).otherwise(0.5)
@@ -135,10 +139,12 @@ def signed_edges(relations: DataFrame, papers: DataFrame, confidence: float = 0.
     labelled = relations.withColumn("label", F.lower("final_label")).where(F.col("label").isin("positive", "negative"))
     raw = F.coalesce(_filled(F.col("subject_node")), _filled(F.col("microbe")))
     kind = F.coalesce(_filled(F.col("subject_node_type")), F.lit("Microbe"))
-    named = labelled.where("pmid <> ''").withColumns({"subject_node_type": kind, "subject_node": spans.clean_subject(raw, kind)["canonical"], "object_node": spans.clean_text_disease(F.col("disease"))["canonical"]})
+    named = labelled.where("pmid <> ''").withColumns({"subject_node_type": kind, "subject_node": spans.clean_subject(raw, kind)["canonical"],
+        "object_node": spans.clean_text_disease(F.col("disease"))["canonical"]})
     named = named.where(F.col("subject_node").isNotNull() & F.col("object_node").isNotNull()).where(spans.eligible_disease(F.col("object_node")))
     sure = F.col("confidence") if "confidence" in relations.columns else F.lit(None).cast("double")
-    rows = named.select("subject_node_type", "subject_node", "object_node", "label", "pmid", F.trim(F.coalesce("evidence", F.lit(""))).alias("evidence"), sure.alias("confidence"), "ord")
+    rows = named.select("subject_node_type", "subject_node", "object_node", "label", "pmid", F.trim(F.coalesce("evidence", F.lit(""))).alias("evidence"),
+        sure.alias("confidence"), "ord")
     net = signed_evidence(rows, ["subject_node_type", "subject_node", "object_node"], confidence)
     parts = (F.lit("microbe-disease"), *map(F.col, ("subject_node_type", "subject_node", "object_node", "relation_direction")))
     return with_papers(net.withColumns({"edge_id": text.stable_id(*parts), "object_node_type": F.lit("Disease"), "evidence_type": F.lit("text_model_verified")}), papers)
@@ -155,12 +161,14 @@ def verified_proposals(proposals: DataFrame, results: DataFrame) -> DataFrame:
 
 def vision_edges(proposals: DataFrame, results: DataFrame, papers: DataFrame, unverified: bool = False) -> DataFrame:
     """CORRELATES_WITH edges from figure readings that were verified."""
-    read = verified_proposals(proposals, results).withColumns({"_ok": F.coalesce("v.pass_fail", "v.verified", F.lit(False)), "_s": text.subject(F.col("microbe"), fallback=True)})
+    read = verified_proposals(proposals, results).withColumns({"_ok": F.coalesce("v.pass_fail", "v.verified", F.lit(False)),
+        "_s": text.subject(F.col("microbe"), fallback=True)})
     read = read.where((F.col("_ok") | F.lit(unverified)) & F.col("_s.name").isNotNull())
     feature = F.coalesce(_filled(F.col("radiomic_feature")), F.lit("unknown_imaging_phenotype"))
     support = F.coalesce("v.support_fraction", F.lit(0.0))
     told = F.concat(
-        F.lit("Vision proposal "), F.coalesce("proposal_id", F.lit("")), F.lit("; reason="), F.coalesce("v.reason_code", F.lit("none")), F.lit("; distance_metric="), F.coalesce(F.col("v.distance_metric").cast("string"), F.lit("None"))
+        F.lit("Vision proposal "), F.coalesce("proposal_id", F.lit("")), F.lit("; reason="), F.coalesce("v.reason_code", F.lit("none")), F.lit("; distance_metric="),
+            F.coalesce(F.col("v.distance_metric").cast("string"), F.lit("None"))
     )
     r = F.col("candidate_r")
     none = lambda c: F.coalesce(c.cast("string"), F.lit("None"))
@@ -197,8 +205,10 @@ def imaging_nodes(mentions: DataFrame) -> DataFrame:
     """(node_id, label, name, dicom_code) of body locations, in lower case, and modalities, in upper case."""
     place, how = F.lower(F.trim("body_location")), F.upper(F.trim("modality"))
     codes = F.create_map(*[F.lit(x) for pair in vocab.DICOM_CODES.items() for x in pair])
-    places = mentions.select(place.alias("name")).where("name <> ''").distinct().select(F.concat(F.lit("body_location:"), "name").alias("node_id"), F.lit("BodyLocation").alias("label"), "name", F.lit(None).cast("string").alias("dicom_code"))
-    hows = mentions.select(how.alias("name")).where("name <> ''").distinct().select(F.concat(F.lit("modality:"), "name").alias("node_id"), F.lit("ImagingModality").alias("label"), "name", F.coalesce(F.try_element_at(codes, F.col("name")), "name").alias("dicom_code"))
+    places = mentions.select(place.alias("name")).where("name <> ''").distinct().select(F.concat(F.lit("body_location:"), "name").alias("node_id"),
+        F.lit("BodyLocation").alias("label"), "name", F.lit(None).cast("string").alias("dicom_code"))
+    hows = mentions.select(how.alias("name")).where("name <> ''").distinct().select(F.concat(F.lit("modality:"), "name").alias("node_id"),
+        F.lit("ImagingModality").alias("label"), "name", F.coalesce(F.try_element_at(codes, F.col("name")), "name").alias("dicom_code"))
     return places.unionByName(hows)
 
 
@@ -219,7 +229,8 @@ def image_refs(proposals: DataFrame, results: DataFrame) -> DataFrame:
     good = results.where((F.coalesce("verified", F.lit(False)) | F.coalesce("pass_fail", F.lit(False))) & (F.col("proposal_id") != "")).select("proposal_id").distinct()
     mine = proposals.join(good, "proposal_id", "left_semi").where("figure_id <> ''")
     where = F.coalesce(_filled(F.col("pmid")), F.lit(""))
-    rows = mine.withColumns({"pmcid": where, "node_id": F.when(where != "", F.concat(F.lit("imageref:"), where, F.lit(":"), "figure_id")).otherwise(F.concat(F.lit("imageref:"), "figure_id"))})
+    rows = mine.withColumns({"pmcid": where, "node_id": F.when(where != "",
+        F.concat(F.lit("imageref:"), where, F.lit(":"), "figure_id")).otherwise(F.concat(F.lit("imageref:"), "figure_id"))})
     return first_by(rows, ["node_id"], F.col("ord")).select("node_id", "pmcid", "figure_id", "panel_id", "image_path", "modality", "ord")
 
 
@@ -227,13 +238,15 @@ def represented_by(refs: DataFrame, proposals: DataFrame) -> DataFrame:
     """REPRESENTED_BY rows from modalities to figures."""
     last = last_by(refs.select("figure_id", "node_id", "ord"), ["figure_id"]).select("figure_id", "node_id")
     rows = proposals.join(last, "figure_id").where(_filled(F.col("modality")).isNotNull())
-    keys = [F.lit("ImagingModality").alias("source_node_type"), F.upper(F.trim("modality")).alias("source_node"), F.lit("ImageRef").alias("target_node_type"), F.col("node_id").alias("target_node"), F.lit("REPRESENTED_BY").alias("rel_type")]
+    keys = [F.lit("ImagingModality").alias("source_node_type"), F.upper(F.trim("modality")).alias("source_node"), F.lit("ImageRef").alias("target_node_type"),
+        F.col("node_id").alias("target_node"), F.lit("REPRESENTED_BY").alias("rel_type")]
     return rows.groupBy(*keys).agg(F.min_by("pmid", "ord").alias("pmid"))
 
 
 def relationship_rows(edges: DataFrame) -> DataFrame:
     """Edges in the columns of a relationships table, all as text, missing values empty."""
-    named = {"source_node_type": "subject_node_type", "source_node": "subject_node", "target_node_type": "object_node_type", "target_node": "object_node", "rel_type": "graph_rel_type"}
+    named = {"source_node_type": "subject_node_type", "source_node": "subject_node", "target_node_type": "object_node_type", "target_node": "object_node",
+        "rel_type": "graph_rel_type"}
     columns = []
     for c in vocab.RELATIONSHIP_COLUMNS:
         source = c if c in edges.columns else named.get(c)

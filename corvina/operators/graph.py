@@ -26,7 +26,8 @@ def apply_drops(rels: DataFrame, listed: DataFrame, policy: DataFrame) -> DataFr
     a = listed.groupBy(*[F.col(k).alias(f"_{k}") for k in key]).agg(F.max_by("drop_reason", order).alias("_a"))
     order = "ord" if "ord" in policy.columns else "reason"
     b = policy.groupBy(F.col("pmcid").alias("_p"), F.col("source_node").alias("_s"), F.col("rel_type").alias("_r")).agg(F.min_by("reason", order).alias("_b"))
-    out = rels.join(a, (F.col("source_node") == F.col("_source_node")) & (F.col("target_node") == F.col("_target_node")) & (F.col("rel_type") == F.col("_rel_type")), "left")
+    out = rels.join(a, (F.col("source_node") == F.col("_source_node")) & (F.col("target_node") == F.col("_target_node")) & (F.col("rel_type") == F.col("_rel_type")),
+        "left")
     out = out.join(b, (F.col("pmcid") == F.col("_p")) & (F.col("source_node") == F.col("_s")) & (F.col("rel_type") == F.col("_r")), "left")
     reason = F.coalesce(F.concat(F.lit("umls_gate:"), F.col("_a")), F.col("_b"))
     return out.withColumn("drop_reason", reason).select(*rels.columns, "drop_reason")
@@ -58,7 +59,8 @@ def _part(c: Column, needle: str) -> Column:
 def _steps(rels: DataFrame, rel_type: str, prefix: str) -> DataFrame:
     """Edges of a type, as f_type, f, and the other end's columns with a prefix: the feature is the join key."""
     r = rels.where(F.col("rel_type") == rel_type)
-    return r.select(F.col("source_node_type").alias("f_type"), F.col("source_node").alias("f"), F.col("target_node_type").alias(f"{prefix}_type"), F.col("target_node").alias(prefix))
+    return r.select(F.col("source_node_type").alias("f_type"), F.col("source_node").alias("f"), F.col("target_node_type").alias(f"{prefix}_type"),
+        F.col("target_node").alias(prefix))
 
 
 def _correlates(rels: DataFrame) -> DataFrame:
@@ -66,10 +68,23 @@ def _correlates(rels: DataFrame) -> DataFrame:
     return r.select(F.col("source_node").alias("microbe"), F.col("target_node_type").alias("f_type"), F.col("target_node").alias("f"))
 
 
+def _foremost(starts: DataFrame, limit: int, *ends: DataFrame) -> DataFrame:
+    """The edges that the first limit paths in the order of microbes can begin with.
+
+    Every edge whose feature all ends have begins a path at least, so no microbe
+    beyond that of the limit-th such edge is needed: the rest is never expanded.
+    """
+    for e in ends:
+        starts = starts.join(e.select("f_type", "f").distinct(), ["f_type", "f"], "left_semi")
+    last = starts.select("microbe").orderBy("microbe").limit(limit).agg(F.max("microbe").alias("_last"))
+    return starts.join(F.broadcast(last), F.col("microbe") <= F.col("_last")).drop("_last")  # one row
+
+
 def three_hop_paths(rels: DataFrame, limit: int = 200) -> DataFrame:
     """Microbe, feature, disease: one row per path, parallel edges give several."""
     d = _steps(rels, "ASSOCIATED_WITH", "disease").where("disease_type = 'Disease'")
-    paths = _correlates(rels).join(d, ["f_type", "f"]).select("microbe", F.col("f_type").alias("feature_type"), F.col("f").alias("feature"), "disease")
+    paths = _foremost(_correlates(rels), limit, d).join(d, ["f_type", "f"]).select("microbe", F.col("f_type").alias("feature_type"), F.col("f").alias("feature"),
+        "disease")
     return _some(paths, limit, "microbe", "disease")
 
 
@@ -80,7 +95,8 @@ def features_for_disease(rels: DataFrame, disease: str, limit: int = 200) -> Dat
 
 def signed_microbe_disease(rels: DataFrame, limit: int = 200) -> DataFrame:
     r = rels.where("rel_type IN ('POSITIVELY_CORRELATED_WITH', 'NEGATIVELY_CORRELATED_WITH') AND source_node_type = 'Microbe' AND target_node_type = 'Disease'")
-    out = r.select(F.col("source_node").alias("microbe"), F.col("rel_type").alias("direction"), F.col("target_node").alias("disease"), F.col("confidence").try_cast("double").alias("confidence"))
+    out = r.select(F.col("source_node").alias("microbe"), F.col("rel_type").alias("direction"), F.col("target_node").alias("disease"),
+        F.col("confidence").try_cast("double").alias("confidence"))
     return out.orderBy(F.col("confidence").desc_nulls_last(), "microbe", "direction", "disease").limit(limit)
 
 
@@ -92,7 +108,7 @@ def features_at_location(rels: DataFrame, location: str, limit: int = 200) -> Da
 def full_modality_chain(rels: DataFrame, limit: int = 200) -> DataFrame:
     how = _steps(rels, "ACQUIRED_VIA", "modality").where("modality_type = 'ImagingModality'")
     d = _steps(rels, "ASSOCIATED_WITH", "disease").where("disease_type = 'Disease'")
-    chain = _correlates(rels).join(how, ["f_type", "f"]).join(d, ["f_type", "f"])
+    chain = _foremost(_correlates(rels), limit, how, d).join(how, ["f_type", "f"]).join(d, ["f_type", "f"])
     return _some(chain.select("microbe", F.col("f").alias("feature"), "modality", "disease"), limit, "microbe")
 
 
@@ -109,7 +125,8 @@ def entity_search(rels: DataFrame, needle: str, limit: int = 50) -> DataFrame:
 def neighborhood(rels: DataFrame, name: str, limit: int = 100) -> DataFrame:
     """Both directions, one step; a loop is met once."""
     s, t = ("source_node_type", "source_node"), ("target_node_type", "target_node")
-    columns = lambda a, b: [F.col(a[0]).alias("src_label"), F.col(a[1]).alias("src"), F.col("rel_type").alias("rel"), F.col(b[0]).alias("nb_label"), F.col(b[1]).alias("neighbor")]
+    columns = lambda a, b: [F.col(a[0]).alias("src_label"), F.col(a[1]).alias("src"), F.col("rel_type").alias("rel"), F.col(b[0]).alias("nb_label"),
+        F.col(b[1]).alias("neighbor")]
     loop = (F.col(s[0]) == F.col(t[0])) & (F.col(s[1]) == F.col(t[1]))
     out = rels.where(F.col(s[1]) == name).select(*columns(s, t))
     back = rels.where((F.col(t[1]) == name) & ~loop).select(*columns(t, s))
@@ -215,7 +232,8 @@ def import_statements(rels: DataFrame) -> DataFrame:
     """(section, line): constraints, nodes and relationships as statements, to be written in the order of both columns."""
     quoted = lambda c: F.concat(F.lit("'"), text.escape_quotes(F.col(c)), F.lit("'"))
     n = nodes(rels)
-    one = n.select(F.lit(1).alias("section"), F.format_string("CREATE CONSTRAINT %s_name IF NOT EXISTS FOR (n:%s) REQUIRE n.name IS UNIQUE;", F.lower("label"), F.col("label")).alias("line")).distinct()
+    one = n.select(F.lit(1).alias("section"), F.format_string("CREATE CONSTRAINT %s_name IF NOT EXISTS FOR (n:%s) REQUIRE n.name IS UNIQUE;", F.lower("label"),
+        F.col("label")).alias("line")).distinct()
     two = n.select(F.lit(2).alias("section"), F.concat(F.lit("MERGE (:"), "label", F.lit(" {name: "), quoted("name"), F.lit("});")).alias("line"))
     pmid = F.when(F.coalesce("pmid", F.lit("")) != "", F.concat(F.lit("pmid: "), quoted("pmid")))
     sure = F.when(F.coalesce(F.col("confidence").cast("string"), F.lit("")) != "", F.concat(F.lit("confidence: "), F.col("confidence").cast("string")))
@@ -224,7 +242,8 @@ def import_statements(rels: DataFrame) -> DataFrame:
     three = rels.select(
         F.lit(3).alias("section"),
         F.concat(
-            F.lit("MATCH (s:"), "source_node_type", F.lit(" {name: "), quoted("source_node"), F.lit("}), (t:"), "target_node_type", F.lit(" {name: "), quoted("target_node"), F.lit("}) MERGE (s)-[:"), "rel_type", props, F.lit("]->(t);")
+            F.lit("MATCH (s:"), "source_node_type", F.lit(" {name: "), quoted("source_node"), F.lit("}), (t:"), "target_node_type", F.lit(" {name: "),
+                quoted("target_node"), F.lit("}) MERGE (s)-[:"), "rel_type", props, F.lit("]->(t);")
         ).alias("line"),
     )
     return one.unionByName(two).unionByName(three)
@@ -240,22 +259,26 @@ def backfill_provenance(rels: DataFrame, proposals: DataFrame, papers: DataFrame
     key = F.regexp_extract("evidence", r"Vision proposal ([0-9a-fA-F]{16})", 1)
     open_ = (F.col("rel_type") == "CORRELATES_WITH") & (F.coalesce("pmid", F.lit("")) == "")
     filled = lambda c: F.when(F.trim(c.cast("string")) != "", c)
-    p = first_by(proposals, ["proposal_id"], F.col("ord")).select(F.col("proposal_id").alias("_id"), F.col("figure_id").alias("_fig"), F.col("candidate_r").alias("_r"), F.col("image_path").alias("_img"), F.col("pmid").alias("_pp"))
+    p = first_by(proposals, ["proposal_id"], F.col("ord")).select(F.col("proposal_id").alias("_id"), F.col("figure_id").alias("_fig"), F.col("candidate_r").alias("_r"),
+        F.col("image_path").alias("_img"), F.col("pmid").alias("_pp"))
     out = rels.withColumn("_key", F.when(open_ & (key != ""), key)).join(p, F.col("_key") == F.col("_id"), "left")
     file = F.regexp_extract(F.coalesce("_img", F.lit("")), r"([^/]*)$", 1)
-    pmc = F.coalesce(*[F.when(F.regexp_extract(x, r"^(PMC\d+)", 1) != "", F.regexp_extract(x, r"^(PMC\d+)", 1)) for x in (file, F.coalesce("_fig", F.lit("")), F.coalesce("_pp", F.lit("")))])
+    pmc = F.coalesce(*[F.when(F.regexp_extract(x, r"^(PMC\d+)", 1) != "", F.regexp_extract(x, r"^(PMC\d+)", 1)) for x in (file, F.coalesce("_fig", F.lit("")),
+        F.coalesce("_pp", F.lit("")))])
     from_file = F.regexp_extract(file, r"^(\d{6,9})_", 1)
     number = F.coalesce(F.when(from_file != "", from_file), F.when(F.coalesce("_pp", F.lit("")).rlike(r"^\d{6,9}$"), F.col("_pp")))
     out = out.withColumns({"_pmc": pmc, "_pm": number})
     columns = [F.col("pmid").alias("_a"), F.col("pmcid").alias("_b"), F.col("title").alias("_t"), F.col("journal").alias("_j")]
     by_pmc = first_by(papers.where("pmcid <> ''"), ["pmcid"], F.col("ord")).select(*columns)
-    by_pm = first_by(papers.where("pmid <> ''"), ["pmid"], F.col("ord")).select(*[F.col(c).alias(f"{d}2") for c, d in (("pmid", "_a"), ("pmcid", "_b"), ("title", "_t"), ("journal", "_j"))])
+    by_pm = first_by(papers.where("pmid <> ''"), ["pmid"], F.col("ord")).select(*[F.col(c).alias(f"{d}2") for c,
+        d in (("pmid", "_a"), ("pmcid", "_b"), ("title", "_t"), ("journal", "_j"))])
     out = out.join(by_pmc, F.col("_pmc") == F.col("_b"), "left").join(by_pm, F.col("_pm") == F.col("_a2"), "left")
     good = audit.where(F.col("verdict").isNull() | F.col("verdict").isin("ACCEPT", "REVIEW")).where("pmcid <> ''")
     a = good.groupBy(F.col("pmcid").alias("_ap")).agg(F.max_by(F.struct("figure_id", "r_value"), "ord").alias("_audit"))
     out = out.withColumn("_any", F.coalesce("_pmc", "_b2")).join(a, F.col("_any") == F.col("_ap"), "left")
     touched = F.col("_id").isNotNull()
-    fill = lambda c, *more: F.when(touched, F.coalesce(filled(F.col(c)) if c in rels.columns else None, *[filled(m) for m in more])) if c not in rels.columns else F.when(touched, F.coalesce(filled(F.col(c)), *[filled(m) for m in more])).otherwise(F.col(c))
+    fill = lambda c, *more: F.when(touched, F.coalesce(filled(F.col(c)) if c in rels.columns else None,
+        *[filled(m) for m in more])) if c not in rels.columns else F.when(touched, F.coalesce(filled(F.col(c)), *[filled(m) for m in more])).otherwise(F.col(c))
     new = lambda *more: F.when(touched, F.coalesce(*more))
     made = {
         "pmid": fill("pmid", F.col("_pm"), F.col("_a"), F.col("_a2")),

@@ -83,11 +83,13 @@ def extract_mentions(papers: DataFrame, content: str = "content", aliases: Mappi
     s, title = F.col("sentence"), F.coalesce("title", F.lit(""))
     hits = rows.withColumn("_m", alias_matches(text.normalize(s), aliases, fuzzy)).where(F.size("_m") > 0)
     told = hits.withColumns(
-        {"modality": text.modality(s), "body_location": text.body_location(s), "disease": text.disease(s, title), "claim_hint": text.claim_hint(s, title), "_s": text.subject(s)}
+        {"modality": text.modality(s), "body_location": text.body_location(s), "disease": text.disease(s, title), "claim_hint": text.claim_hint(s, title),
+            "_s": text.subject(s)}
     )
     one = told.withColumn("_x", F.explode("_m"))
     part = lambda c, x: F.when(F.col(c).isNotNull(), x).otherwise(0.0)
-    sure = F.lit(0.45) + F.when(F.col("_x.method") == "exact", 0.15).otherwise(0.05) + part("modality", 0.15) + part("body_location", 0.15) + part("disease", 0.10) + part("_s.name", 0.05)
+    sure = F.lit(0.45) + F.when(F.col("_x.method") == "exact", 0.15).otherwise(0.05) + part("modality", 0.15) + part("body_location", 0.15) + part("disease",
+        0.10) + part("_s.name", 0.05)
     index = F.col("sentence_index").cast("string")
     return one.select(
         text.stable_id(F.col("pmid"), index, F.col("_x.start"), F.col("_x.end"), F.col("_x.canonical")).alias("mention_id"),
@@ -150,15 +152,18 @@ def ground(surfaces: DataFrame, groundings: DataFrame, tuis: Sequence[str], deny
         .when(F.col("_g._sim") < floor, low)
         .otherwise("")
     )
-    made = {"cui": F.col("_g.cui"), "tui": F.col("_g.tui"), "similarity": F.coalesce("_g._sim", F.lit(0.0)), "official_name": F.col("_g.official_name"), "drop_reason": reason, "accepted": reason == ""}
+    made = {"cui": F.col("_g.cui"), "tui": F.col("_g.tui"), "similarity": F.coalesce("_g._sim", F.lit(0.0)), "official_name": F.col("_g.official_name"),
+        "drop_reason": reason, "accepted": reason == ""}
     return out.withColumns(made).drop("_k", "_g")
 
 
 def audit_report(grounded: DataFrame) -> DataFrame:
     """(kind, key, n, share) of all rows, drops by reason and the 20 most dropped surfaces."""
-    total = grounded.agg(F.lit("total").alias("kind"), F.lit("").alias("key"), F.count("*").alias("n"), F.round(F.count_if(~F.col("accepted")) / F.greatest(F.count("*"), F.lit(1)), 4).alias("share"))
+    total = grounded.agg(F.lit("total").alias("kind"), F.lit("").alias("key"), F.count("*").alias("n"),
+        F.round(F.count_if(~F.col("accepted")) / F.greatest(F.count("*"), F.lit(1)), 4).alias("share"))
     none = F.lit(None).cast("double").alias("share")
     dropped = grounded.where(~F.col("accepted"))
     reasons = dropped.groupBy(F.lit("reason").alias("kind"), F.col("drop_reason").alias("key")).agg(F.count("*").alias("n"), none)
-    surfaces = dropped.groupBy(F.lit("surface").alias("kind"), F.col("surface").alias("key")).agg(F.count("*").alias("n"), none).orderBy(F.col("n").desc(), "key").limit(20)
+    surfaces = dropped.groupBy(F.lit("surface").alias("kind"), F.col("surface").alias("key")).agg(F.count("*").alias("n"), none).orderBy(F.col("n").desc(),
+        "key").limit(20)
     return total.unionByName(reasons).unionByName(surfaces)

@@ -2,24 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Rows of a range, about, and ranges at most.
+RANGE_ROWS, RANGES = 10_000, 4096
+
 
 def ordinals(df: DataFrame, order: str, name: str) -> DataFrame:
-    """df with the 0-based position of each row in the order of a column that is a total order.
+    """df with the 0-based position of each row in the order of a numeric column that is a total order.
 
-    Rows are dealt by hash of the order's quantised value only for numbers with
-    known bounds; here the bounds come from one aggregation, and the position is
-    the rows of smaller buckets plus the rank within the bucket.
+    Ranges of about as many rows each come from approximate quantiles, so that
+    clustered numbers make no hot range; a position is the rows of smaller
+    ranges plus the rank within the range. Null comes first. An empty table gives
+    an empty result.
     """
-    lo, hi, n = df.agg(F.min(order), F.max(order), F.count("*")).first()
-    buckets = max(1, min(4096, n // 10_000))
-    width = max(1, -(-(int(hi or 0) - int(lo or 0) + 1) // buckets))
-    dealt = df.withColumn("_b", F.floor((F.col(order) - F.lit(int(lo or 0))) / F.lit(width)))
+    n = df.count()
+    k = max(1, min(RANGES, n // RANGE_ROWS))
+    cuts = df.approxQuantile(order, [i / k for i in range(1, k)], 1 / (4 * k)) if k > 1 else []
+    bounds = np.unique(np.array(cuts, float))
+
+    @F.pandas_udf("long")
+    def range_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            yield pd.Series(np.searchsorted(bounds, s.to_numpy(float), "right"))
+
+    dealt = df.withColumn("_b", F.when(F.col(order).isNull(), -1).otherwise(range_of(F.coalesce(F.col(order).cast("double"), F.lit(0.0)))) if len(bounds) else F.lit(0))
     counts = dealt.groupBy("_b").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))  # 4096 rows at most
+    counts = counts.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))  # one row for each range
     within = Window.partitionBy("_b").orderBy(order)
     ranked = dealt.withColumn("_r", F.row_number().over(within)).join(F.broadcast(counts), "_b")
     return ranked.withColumn(name, F.col("_before") + F.col("_r") - 1).drop("_b", "_r", "_before")

@@ -18,9 +18,10 @@ KEY = ("pmid", "subject_node_type", "subject_node", "disease")
 
 
 def first_by(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
-    """The first row of each key in an order that should be total."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    """The first row of each key in an order that should be total, nulls first; one aggregation that combines before the shuffle."""
+    rest = [c for c in df.columns if c not in keys]
+    by = F.struct(*[o.alias(f"_{i}") for i, o in enumerate(order)])
+    return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), by).alias("_r")).select(*keys, "_r.*").select(*df.columns) if rest else df.distinct()
 
 
 def last_by(df: DataFrame, keys: Sequence[str], ord: str = "ord") -> DataFrame:
@@ -70,7 +71,8 @@ def aggregate_within_paper(predictions: DataFrame) -> DataFrame:
         }
     )
     told = F.struct(F.col("_l").alias("l"), F.col("sentence").alias("s"))
-    by_label = rows.groupBy(*KEY, "_l").agg(F.count("*").cast("int").alias("n"), F.collect_set(F.when(F.col("sentence") != "", told)).alias("told"), F.min_by(F.struct("microbe", "impact_factor", "quartile"), "ord").alias("one"), F.min("ord").alias("ord"))
+    by_label = rows.groupBy(*KEY, "_l").agg(F.count("*").cast("int").alias("n"), F.collect_set(F.when(F.col("sentence") != "", told)).alias("told"),
+        F.min_by(F.struct("microbe", "impact_factor", "quartile"), "ord").alias("one"), F.min("ord").alias("ord"))
     out = by_label.groupBy(*KEY).agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("_l", "n")))).alias("vote_counts"),
         F.sum("n").cast("int").alias("sentence_count"),
@@ -111,15 +113,23 @@ def strength_scores(aggregated: DataFrame, keys: Sequence[str] = KEY[1:], defaul
     )
 
 
-def signed_evidence(rows: DataFrame, keys: Sequence[str], confidence: float = 0.7) -> DataFrame:
+def supporting(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, label, pmid, evidence), each once: what stands behind the edges of signed_evidence(), however much it is for one key."""
+    return rows.where(F.col("label").isin(*vocab.REL_BY_LABEL)).select(*keys, "label", "pmid", "evidence").distinct()
+
+
+def signed_evidence(rows: DataFrame, keys: Sequence[str], confidence: float = 0.7, joined: bool = True) -> DataFrame:
     """Cross-paper evidence per key from rows (label, pmid, evidence, confidence, ord): the direction with more rows wins.
 
     Balanced keys are dropped. confidence is the mean of the winning side, best
-    its row of highest confidence, the first at a tie.
+    its row of highest confidence, the first at a tie. With joined, a row holds
+    all papers and sentences of its key; where a key may have more than a row
+    should hold, leave them to supporting().
     """
     plus = F.col("label") == "positive"
     sure = F.coalesce("confidence", F.lit(confidence))
     best = lambda side: F.max_by(F.struct("pmid", "ord"), F.when(side, F.struct(sure, -F.col("ord"))))
+    told = lambda c, mark: F.array_join(F.array_sort(F.collect_set(F.when(F.col(c) != "", F.col(c)))), mark)
     both = (
         rows.where(F.col("label").isin(*vocab.REL_BY_LABEL))
         .groupBy(*keys)
@@ -130,8 +140,7 @@ def signed_evidence(rows: DataFrame, keys: Sequence[str], confidence: float = 0.
             F.avg(F.when(~plus, sure)).alias("cn"),
             best(plus).alias("bp"),
             best(~plus).alias("bn"),
-            F.array_join(F.array_sort(F.collect_set("pmid")), ",").alias("supporting_pmids"),
-            F.array_join(F.array_sort(F.collect_set(F.when(F.col("evidence") != "", F.col("evidence")))), " ||| ").alias("evidence"),
+            *([told("pmid", ",").alias("supporting_pmids"), told("evidence", " ||| ").alias("evidence")] if joined else []),
         )
     )
     net = F.col("positive_support") - F.col("negative_support")
@@ -146,8 +155,7 @@ def signed_evidence(rows: DataFrame, keys: Sequence[str], confidence: float = 0.
         "negative_support",
         F.round(net / (F.col("positive_support") + F.col("negative_support")), 3).alias("net_confidence"),
         F.when(up, F.col("bp.pmid")).otherwise(F.col("bn.pmid")).alias("pmid"),
-        "supporting_pmids",
-        "evidence",
+        *(["supporting_pmids", "evidence"] if joined else []),
     )
 
 
@@ -172,7 +180,8 @@ def merge_corpora(papers: DataFrame, texts: Sequence[str], numbers: Sequence[str
     known = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col(ord)))
     seen = F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct(ord, profile))), lambda x: x[profile]))
     aggregates = [F.when(F.max(F.trim(F.col(c)) != ""), filled(c)).alias(c) for c in texts] + [F.when(F.max(F.col(c).isNotNull()), known(c)).alias(c) for c in numbers]
-    merged = papers.where(F.coalesce("pmid", F.lit("")) != "").groupBy("pmid").agg(*aggregates, F.max("retrieval_date").alias("retrieval_date"), seen.alias("profiles"), F.count("*").alias("n_rows"))
+    merged = papers.where(F.coalesce("pmid", F.lit("")) != "").groupBy("pmid").agg(*aggregates, F.max("retrieval_date").alias("retrieval_date"), seen.alias("profiles"),
+        F.count("*").alias("n_rows"))
     return merged.withColumn("query", F.concat(F.lit("merged:"), F.array_join("profiles", "|")))
 
 
@@ -202,7 +211,8 @@ def relation_input(entity_sentences: DataFrame, papers: DataFrame, mentions: Dat
     index = last_by(papers.where(F.coalesce("pmid", F.lit("")) != "").select("pmid", "impact_factor", "quartile", "ord"), ["pmid"]).drop("ord")
     out = cleaned.join(index, "pmid", "left")
     if mentions is not None:
-        features = mentions.where("canonical_feature <> ''").groupBy("pmid").agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("ord", "canonical_feature"))), lambda x: x["canonical_feature"])).alias("radiomic_features"))
+        features = mentions.where("canonical_feature <> ''").groupBy("pmid").agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("ord",
+            "canonical_feature"))), lambda x: x["canonical_feature"])).alias("radiomic_features"))
         out = out.join(features, "pmid", "left")
     else:
         out = out.withColumn("radiomic_features", F.lit(None).cast("array<string>"))
@@ -240,7 +250,8 @@ def augment(seeds: DataFrame, templates: Sequence[str] = ("Evidence indicates th
     template stands in.
     """
     numbered = ordinals(seeds, "ord", "i")
-    pools = {c: ordinals(seeds.where(F.trim(F.coalesce(c, F.lit(""))) != "").select("ord", c), "ord", "j").select("j", F.col(c).alias(f"new_{c}")) for c in ("microbe", "disease")}
+    pools = {c: ordinals(seeds.where(F.trim(F.coalesce(c, F.lit(""))) != "").select("ord", c), "ord", "j").select("j", F.col(c).alias(f"new_{c}")) for c in ("microbe",
+        "disease")}
     out = numbered
     for c, step in (("microbe", 1), ("disease", 2)):
         n = pools[c].agg(F.count("*").alias(f"n_{c}"))

@@ -7,11 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .relations import first_by
+
 ASSOCIATED = ("positive", "negative", "associated")
 
 
 def gold_binary(label: Column, associated: Sequence[str] = ASSOCIATED) -> Column:
-    """true for an association, false for none; null for unclear and unlabelled rows."""
+    """true for an association, false for none; null for unclear and unlabelled rows. Labels of the gold set are vocab.ASSOCIATED_LABELS."""
     return F.when(label.isin(*associated), True).when(label.isNotNull() & (label != "unclear"), False)
 
 
@@ -22,7 +24,8 @@ def confusion(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     over the rows; divisions by nothing give 0; figures are rounded to 4.
     """
     known = rows.where(F.col("gold").isNotNull())
-    scopes = F.array(F.struct(F.lit("all").alias("scope"), F.lit("").alias("value")), *[F.struct(F.lit(b).alias("scope"), F.coalesce(F.col(b).cast("string"), F.lit("none")).alias("value")) for b in by])
+    scopes = F.array(F.struct(F.lit("all").alias("scope"), F.lit("").alias("value")),
+        *[F.struct(F.lit(b).alias("scope"), F.coalesce(F.col(b).cast("string"), F.lit("none")).alias("value")) for b in by])
     counts = known.select("gold", "predicted", F.explode(scopes).alias("s")).groupBy("s.scope", "s.value").agg(
         F.count_if(F.col("gold") & F.col("predicted")).alias("tp"),
         F.count_if(~F.col("gold") & F.col("predicted")).alias("fp"),
@@ -48,8 +51,10 @@ def label_distribution(rows: DataFrame, label: str = "label") -> DataFrame:
 
 def kappa(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """One row (n, observed, expected, kappa) for two labels per row; nulls are left out, no rows give NaN, chance of 1 gives 1."""
-    both = pairs.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b")).agg(F.count("*").alias("n"))
-    marginal = both.select(F.inline(F.array(F.struct(F.col("a").alias("l"), F.col("n").alias("x"), F.lit(0).cast("bigint").alias("y")), F.struct(F.col("b").alias("l"), F.lit(0).cast("bigint").alias("x"), F.col("n").alias("y")))))
+    both = pairs.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).cast("string").alias("a"),
+        F.col(b).cast("string").alias("b")).agg(F.count("*").alias("n"))
+    marginal = both.select(F.inline(F.array(F.struct(F.col("a").alias("l"), F.col("n").alias("x"), F.lit(0).cast("bigint").alias("y")),
+        F.struct(F.col("b").alias("l"), F.lit(0).cast("bigint").alias("x"), F.col("n").alias("y")))))
     chance = marginal.groupBy("l").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).agg(F.sum(F.col("x").cast("double") * F.col("y")).alias("xy"))
     total = both.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(F.col("a") == F.col("b"), F.col("n"))), F.lit(0)).alias("same"))
     out = total.crossJoin(chance)  # one row each
@@ -60,22 +65,27 @@ def kappa(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return out.select("n", some(po).alias("observed"), some(pe).alias("expected"), F.when(n > 0, F.round(k, 6)).otherwise(k).alias("kappa"))
 
 
-def calibrate(rows: DataFrame, precision: float = 0.9, min_recall: float = 0.0) -> DataFrame:
+def calibrate(rows: DataFrame, precision: float = 0.9, min_recall: float = 0.0, least: float = -1.0, most: float = 1.0) -> DataFrame:
     """Thresholds of a score that reach a precision, best first: (threshold, precision, recall, n_kept).
 
-    rows(score, gold). Thresholds are the distinct scores rounded to 4; rows are
-    kept from the threshold on by their unrounded score. Sums are taken over
-    sorted scores, so that the sweep costs one pass and no pairs.
+    rows(score, gold), scores between least and most. Thresholds are the
+    distinct scores rounded to 4; rows are kept from the threshold on by their
+    unrounded score. Counts are taken by threshold first, combined before the
+    shuffle: of a grid of 10,000 steps a unit no more meet in the task that sums
+    them from above than the grid has, however many rows there are.
     """
     scores = rows.where(F.col("score").isNotNull())
-    grid = scores.select(F.round("score", 4).alias("t")).distinct().select("t", F.lit(None).cast("boolean").alias("gold"), F.lit(1).alias("is_t"))
-    points = scores.groupBy(F.col("score").alias("t")).agg(F.count("*").alias("n"), F.count_if("gold").alias("g"))
-    steps = points.select("t", "n", "g", F.lit(0).alias("is_t")).unionByName(grid.select("t", F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("g"), "is_t"))
-    # At equal values the threshold comes after the scores, from above.
+    # The lowest grid point that a row is kept at reaches up to its score: it may be the one below its own rounding.
+    up = F.round("score", 4)
+    at = F.when(F.col("score") >= up, up).otherwise(F.round(up - 0.0001, 4))
+    counts = scores.groupBy(F.greatest(F.lit(least - 1), F.least(at, F.lit(most))).alias("t")).agg(F.count("*").alias("n"), F.count_if("gold").alias("g"),
+        F.lit(0).alias("is_t"))
+    grid = scores.select(up.alias("t")).distinct().select("t", F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("g"), F.lit(1).alias("is_t"))
+    steps = counts.unionByName(grid)
     down = Window.orderBy(F.col("t").desc(), "is_t").rowsBetween(Window.unboundedPreceding, 0)
     summed = steps.withColumns({"n_kept": F.sum("n").over(down), "tp": F.sum("g").over(down)}).where("is_t = 1")
     positives = scores.agg(F.count_if("gold").alias("all_positive"))
-    out = summed.crossJoin(F.broadcast(positives)).where("n_kept > 0")
+    out = summed.crossJoin(F.broadcast(positives)).where("n_kept > 0")  # one row
     p = F.col("tp") / F.col("n_kept")
     r = F.when(F.col("all_positive") > 0, F.col("tp") / F.col("all_positive")).otherwise(0.0)
     good = out.select(F.col("t").alias("threshold"), p.alias("precision"), r.alias("recall"), "n_kept")
@@ -101,7 +111,7 @@ def gold_strata(strata: Sequence[tuple[str, DataFrame]], key: str = "record_id")
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     first = out.groupBy(F.col(key).alias("_k")).agg(F.min("_i").alias("_f"))
     kept = out.join(first, (F.col(key) == F.col("_k")) & (F.col("_i") == F.col("_f"))).drop("_k", "_f", "_i")
-    return kept.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*[F.col(c).cast("string") for c in sorted(kept.columns)]))).where("_n = 1").drop("_n")
+    return first_by(kept, [key], *[F.col(c).cast("string") for c in sorted(kept.columns)])
 
 
 def override_labels(gold: DataFrame, overrides: DataFrame, key: str = "record_id") -> DataFrame:

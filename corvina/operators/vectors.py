@@ -42,13 +42,15 @@ def _best_of_partition(ids: list, queries: np.ndarray, k: int):
             else:
                 which, at = np.nonzero(np.ones_like(scores, bool))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[i] for i in which], b.schema.field(2).type), b.column(0).take(pa.array(rows[at])), pa.array(scores[which, at])], ["concept", "vector", "score"]
+                [pa.array([ids[i] for i in which], b.schema.field(2).type), b.column(0).take(pa.array(rows[at])), pa.array(scores[which, at])],
+                    ["concept", "vector", "score"]
             )
 
     return run
 
 
-def top_k(concepts: DataFrame, vectors: DataFrame, k: int = 20, floor: float | None = None, concept: str = "concept_id", vector: str = "vec_id", decimals: int = 6) -> DataFrame:
+def top_k(concepts: DataFrame, vectors: DataFrame, k: int = 20, floor: float | None = None, concept: str = "concept_id", vector: str = "vec_id",
+    decimals: int = 6) -> DataFrame:
     """(concept, vector, score, rank): the k best vectors of each concept, then those from the floor on.
 
     concepts are a stated query set with embeddings, dealt by a hash of their

@@ -8,7 +8,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def ingest_new(source: DataFrame, sink: str, checkpoint: str, key: str) -> StreamingQuery:
-    """Appends the rows of a stream to a parquet sink, but for keys that it has already. A batch that is repeated adds nothing."""
+    """Appends the rows of a stream to a parquet sink, but for keys that it has already. A batch that is repeated adds nothing.
+
+    Of the sink only the key column is read, and of that only where a row group
+    may hold a key between the batch's smallest and largest.
+    """
 
     def write(batch: DataFrame, _: int) -> None:
         fresh = batch.dropDuplicates([key]) if batch.columns == [key] else _first(batch, key)
@@ -18,7 +22,8 @@ def ingest_new(source: DataFrame, sink: str, checkpoint: str, key: str) -> Strea
             if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
         else:
-            fresh = fresh.join(seen, key, "left_anti")
+            least, most = batch.agg(F.min(key), F.max(key)).first()
+            fresh = fresh.join(seen.where(F.col(key).between(F.lit(least), F.lit(most))), key, "left_anti")
         fresh.write.mode("append").parquet(sink)
 
     return source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
