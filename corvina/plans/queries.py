@@ -7,7 +7,6 @@ associated with suppliers, returns are negative evidence, and so on.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,25 +16,9 @@ from ..functions import text
 from ..operators import edges, gates, graph, mentions, ordering, relations, scoring, vectors
 from ..sources import files
 from ..streaming import incremental
+from .registry import ORACLES, QUERIES, query, shared_folder, table
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Registers a query under its name, with its SQL."""
-
-    def keep(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return keep
-
-
-def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+_t = table
 
 
 # The graph of the driver's tables.
@@ -49,7 +32,8 @@ def rels(spark: SparkSession, d: str) -> DataFrame:
 
     def shaped(df, st, sn, tt, tn, rel, confidence, pmid=None):
         pmid = F.lit("") if pmid is None else pmid
-        return df.select(st.alias("source_node_type"), sn.alias("source_node"), tt.alias("target_node_type"), tn.alias("target_node"), F.lit(rel).alias("rel_type"), pmid.alias("pmid"), confidence.alias("confidence")).distinct()
+        return df.select(st.alias("source_node_type"), sn.alias("source_node"), tt.alias("target_node_type"), tn.alias("target_node"), F.lit(rel).alias("rel_type"),
+            pmid.alias("pmid"), confidence.alias("confidence")).distinct()
 
     zero = F.lit(None).cast("double")
     cor = lp.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey"))
@@ -83,12 +67,16 @@ _C = "(SELECT * FROM rels WHERE rel_type = 'CORRELATES_WITH')"
 _A = "(SELECT * FROM rels WHERE rel_type = 'ASSOCIATED_WITH')"
 
 
-@query(f"WITH {RELS} SELECT c.source_node AS microbe, c.target_node_type AS feature_type, c.target_node AS feature, a.target_node AS disease FROM {_C} c JOIN {_A} a ON c.target_node = a.source_node ORDER BY microbe, disease, feature_type, feature LIMIT 200")
+@query(f"""
+WITH {RELS} SELECT c.source_node AS microbe, c.target_node_type AS feature_type, c.target_node AS feature, a.target_node AS disease
+  FROM {_C} c JOIN {_A} a ON c.target_node = a.source_node ORDER BY microbe, disease, feature_type, feature LIMIT 200""")
 def g1_three_hop_paths(spark, d):
     return graph.three_hop_paths(rels(spark, d))
 
 
-@query(f"WITH {RELS} SELECT source_node_type AS node_type, source_node AS feature, target_node AS disease FROM {_A} WHERE contains(lower(target_node), '0001') ORDER BY feature, node_type, disease LIMIT 200")
+@query(f"""
+WITH {RELS} SELECT source_node_type AS node_type, source_node AS feature, target_node AS disease FROM {_A}
+  WHERE contains(lower(target_node), '0001') ORDER BY feature, node_type, disease LIMIT 200""")
 def g2_features_for_disease(spark, d):
     return graph.features_for_disease(rels(spark, d), "0001")
 
@@ -129,25 +117,36 @@ def a5_signed_evidence(spark, d):
     return relations.signed_evidence(_evidence(spark, d), ["subject_node_type", "subject_node", "object_node"])
 
 
-@query(f"WITH {_SIGNED} SELECT subject_node AS microbe, graph_rel_type AS direction, object_node AS disease, confidence FROM signed ORDER BY confidence DESC, microbe, direction, disease LIMIT 200")
+@query(f"""
+WITH {_SIGNED} SELECT subject_node AS microbe, graph_rel_type AS direction, object_node AS disease, confidence FROM signed
+  ORDER BY confidence DESC, microbe, direction, disease LIMIT 200""")
 def g3_signed_microbe_disease(spark, d):
     s = a5_signed_evidence(spark, d).withColumns({"object_node_type": F.lit("Disease")})
-    r = s.select(F.col("subject_node_type").alias("source_node_type"), F.col("subject_node").alias("source_node"), F.col("object_node_type").alias("target_node_type"), F.col("object_node").alias("target_node"), F.col("graph_rel_type").alias("rel_type"), "confidence")
+    r = s.select(F.col("subject_node_type").alias("source_node_type"), F.col("subject_node").alias("source_node"), F.col("object_node_type").alias("target_node_type"),
+        F.col("object_node").alias("target_node"), F.col("graph_rel_type").alias("rel_type"), "confidence")
     return graph.signed_microbe_disease(r)
 
 
-@query(f"WITH {RELS} SELECT source_node_type AS node_type, source_node AS feature, target_node AS location FROM rels WHERE rel_type = 'MEASURED_AT' AND lower(target_node) = lower((SELECT min(n_name) FROM nation)) ORDER BY feature, node_type, location LIMIT 200")
+@query(f"""
+WITH {RELS} SELECT source_node_type AS node_type, source_node AS feature, target_node AS location FROM rels
+  WHERE rel_type = 'MEASURED_AT' AND lower(target_node) = lower((SELECT min(n_name) FROM nation))
+  ORDER BY feature, node_type, location LIMIT 200""")
 def g4_features_at_location(spark, d):
     first = _t(spark, d, "nation").agg(F.min("n_name")).first()[0]
     return graph.features_at_location(rels(spark, d), first)
 
 
-@query(f"WITH {RELS} SELECT c.source_node AS microbe, c.target_node AS feature, m.target_node AS modality, a.target_node AS disease FROM {_C} c JOIN (SELECT * FROM rels WHERE rel_type = 'ACQUIRED_VIA') m ON c.target_node = m.source_node JOIN {_A} a ON c.target_node = a.source_node ORDER BY microbe, feature, modality, disease LIMIT 200")
+@query(f"""
+WITH {RELS} SELECT c.source_node AS microbe, c.target_node AS feature, m.target_node AS modality, a.target_node AS disease
+  FROM {_C} c JOIN (SELECT * FROM rels WHERE rel_type = 'ACQUIRED_VIA') m ON c.target_node = m.source_node
+  JOIN {_A} a ON c.target_node = a.source_node ORDER BY microbe, feature, modality, disease LIMIT 200""")
 def g5_full_modality_chain(spark, d):
     return graph.full_modality_chain(rels(spark, d))
 
 
-@query(f"WITH {RELS} SELECT source_node AS microbe, target_node AS feature, confidence, pmid FROM {_C} WHERE contains(evidence, 'Vision proposal') ORDER BY confidence DESC, microbe, feature, pmid LIMIT 200")
+@query(f"""
+WITH {RELS} SELECT source_node AS microbe, target_node AS feature, confidence, pmid FROM {_C}
+  WHERE contains(evidence, 'Vision proposal') ORDER BY confidence DESC, microbe, feature, pmid LIMIT 200""")
 def g6_vision_verified_edges(spark, d):
     return graph.vision_verified_edges(rels(spark, d))
 
@@ -160,7 +159,12 @@ def g7_entity_search(spark, d):
     return graph.entity_search(rels(spark, d), "11")
 
 
-@query(f"WITH {RELS} SELECT * FROM (SELECT source_node_type AS src_label, source_node AS src, rel_type AS rel, target_node_type AS nb_label, target_node AS neighbor FROM rels WHERE source_node = 'part 7' UNION ALL SELECT target_node_type, target_node, rel_type, source_node_type, source_node FROM rels WHERE target_node = 'part 7') ORDER BY rel, neighbor, src_label, src, nb_label LIMIT 100")
+@query(f"""
+WITH {RELS} SELECT *
+  FROM (SELECT source_node_type AS src_label, source_node AS src, rel_type AS rel, target_node_type AS nb_label, target_node AS neighbor
+  FROM rels WHERE source_node = 'part 7'
+  UNION ALL SELECT target_node_type, target_node, rel_type, source_node_type, source_node FROM rels
+  WHERE target_node = 'part 7') ORDER BY rel, neighbor, src_label, src, nb_label LIMIT 100""")
 def g8_neighborhood(spark, d):
     return graph.neighborhood(rels(spark, d), "part 7")
 
@@ -176,7 +180,8 @@ def a10_count_by_type(spark, d):
 
 
 _REC = """
-rec AS (SELECT substr(sha1(source_node || '|' || rel_type || '|' || target_node), 1, 16) AS edge_id, nullif(pmid, '') AS pmid, source_node AS subject_node, target_node AS object_node,
+rec AS (SELECT substr(sha1(source_node || '|' || rel_type || '|' || target_node), 1, 16) AS edge_id, nullif(pmid, '') AS pmid, source_node AS subject_node, target_node
+    AS object_node,
                rel_type AS graph_rel_type, confidence, evidence FROM rels)
 """
 _EDGE = "SELECT edge_id, any_value(subject_node) AS subject_node, any_value(graph_rel_type) AS graph_rel_type, any_value(object_node) AS object_node FROM "
@@ -186,7 +191,10 @@ def _edge_columns(df):
     return df.select("edge_id", "subject_node", "graph_rel_type", "object_node")
 
 
-@query(f"WITH {RELS}, {_REC}, c AS (SELECT * FROM rec WHERE graph_rel_type = 'CORRELATES_WITH'), a AS (SELECT * FROM rec WHERE graph_rel_type = 'ASSOCIATED_WITH') {_EDGE} (SELECT * FROM c WHERE object_node IN (SELECT subject_node FROM a) UNION ALL SELECT * FROM a WHERE subject_node IN (SELECT object_node FROM c)) GROUP BY edge_id")
+@query(f"""
+WITH {RELS}, {_REC}, c AS (SELECT * FROM rec WHERE graph_rel_type = 'CORRELATES_WITH'), a AS (SELECT * FROM rec
+  WHERE graph_rel_type = 'ASSOCIATED_WITH') {_EDGE} (SELECT * FROM c WHERE object_node IN (SELECT subject_node FROM a)
+  UNION ALL SELECT * FROM a WHERE subject_node IN (SELECT object_node FROM c)) GROUP BY edge_id""")
 def g9_record_three_hop(spark, d):
     return _edge_columns(graph.record_three_hop(graph.records(rels(spark, d))))
 
@@ -201,8 +209,12 @@ def g12_record_at_location(spark, d):
     return _edge_columns(graph.record_at_location(graph.records(rels(spark, d))))
 
 
-@query(f"""WITH {RELS}, {_REC}, k AS (SELECT object_node AS k FROM rec WHERE graph_rel_type = 'CORRELATES_WITH' INTERSECT SELECT subject_node FROM rec WHERE graph_rel_type = 'ACQUIRED_VIA' INTERSECT SELECT subject_node FROM rec WHERE graph_rel_type = 'ASSOCIATED_WITH')
-{_EDGE} rec WHERE (graph_rel_type = 'CORRELATES_WITH' AND object_node IN (SELECT k FROM k)) OR (graph_rel_type IN ('ACQUIRED_VIA', 'ASSOCIATED_WITH') AND subject_node IN (SELECT k FROM k)) GROUP BY edge_id""")
+@query(f"""WITH {RELS}, {_REC}, k AS (SELECT object_node AS k FROM rec WHERE graph_rel_type = 'CORRELATES_WITH'
+  INTERSECT SELECT subject_node FROM rec WHERE graph_rel_type = 'ACQUIRED_VIA' INTERSECT SELECT subject_node FROM rec
+  WHERE graph_rel_type = 'ASSOCIATED_WITH')
+{_EDGE} rec WHERE (graph_rel_type = 'CORRELATES_WITH' AND object_node IN (SELECT k
+  FROM k)) OR (graph_rel_type IN ('ACQUIRED_VIA', 'ASSOCIATED_WITH') AND subject_node IN (SELECT k FROM k))
+  GROUP BY edge_id""")
 def g13_record_modality_chain(spark, d):
     return _edge_columns(graph.record_modality_chain(graph.records(rels(spark, d))))
 
@@ -212,31 +224,44 @@ def g14_record_vision_verified(spark, d):
     return _edge_columns(graph.record_vision_verified(graph.records(rels(spark, d))))
 
 
-@query(f"""WITH {RELS} SELECT substr(sha1(source_node || '|' || rel_type || '|' || target_node), 1, 16) AS edge_id, nullif(pmid, '') AS pmid, source_node AS subject_node, target_node AS object_node, rel_type AS graph_rel_type,
-  CASE rel_type WHEN 'ASSOCIATED_WITH' THEN 'TEXT_ASSOCIATION' WHEN 'CORRELATES_WITH' THEN 'VISION_OR_TEXT_CORRELATION' WHEN 'MEASURED_AT' THEN 'BACKBONE_LOCATION' ELSE 'BACKBONE_MODALITY' END AS relation_type,
+@query(f"""WITH {RELS} SELECT substr(sha1(source_node || '|' || rel_type || '|' || target_node), 1, 16) AS edge_id, nullif(pmid, '') AS pmid, source_node AS subject_node,
+    target_node AS object_node, rel_type AS graph_rel_type,
+  CASE rel_type WHEN 'ASSOCIATED_WITH' THEN 'TEXT_ASSOCIATION' WHEN 'CORRELATES_WITH' THEN 'VISION_OR_TEXT_CORRELATION' WHEN 'MEASURED_AT' THEN 'BACKBONE_LOCATION'
+      ELSE 'BACKBONE_MODALITY' END AS relation_type,
   CASE WHEN source_node_type = 'Microbe' THEN source_node END AS microbe, CASE WHEN target_node_type = 'Disease' THEN target_node END AS disease,
   CASE WHEN source_node_type = 'RadiomicFeature' THEN source_node ELSE target_node END AS radiomic_feature, 'radiomic' AS feature_family, confidence FROM rels""")
 def t38_records(spark, d):
-    return graph.records(rels(spark, d)).select("edge_id", "pmid", "subject_node", "object_node", "graph_rel_type", "relation_type", "microbe", "disease", "radiomic_feature", "feature_family", "confidence")
+    return graph.records(rels(spark, d)).select("edge_id", "pmid", "subject_node", "object_node", "graph_rel_type", "relation_type", "microbe", "disease",
+        "radiomic_feature", "feature_family", "confidence")
 
 
-@query(f"WITH {RELS}, {_REC} SELECT edge_id, pmid, subject_node, object_node FROM rec WHERE contains(lower(subject_node), '99') OR contains(coalesce(pmid, ''), '99') OR (graph_rel_type = 'ASSOCIATED_WITH' AND contains(lower(object_node), '99')) OR (graph_rel_type = 'CORRELATES_WITH' AND contains(lower(object_node), '99')) ORDER BY edge_id, pmid NULLS FIRST LIMIT 200")
+@query(f"""
+WITH {RELS}, {_REC} SELECT edge_id, pmid, subject_node, object_node FROM rec
+  WHERE contains(lower(subject_node), '99') OR contains(coalesce(pmid, ''), '99') OR (graph_rel_type = 'ASSOCIATED_WITH' AND contains(lower(object_node), '99'))
+    OR (graph_rel_type = 'CORRELATES_WITH' AND contains(lower(object_node), '99'))
+  ORDER BY edge_id, pmid NULLS FIRST LIMIT 200""")
 def f11_explorer_filter(spark, d):
     return graph.explorer_filter(graph.records(rels(spark, d)), "99").select("edge_id", "pmid", "subject_node", "object_node")
 
 
-@query(f"WITH {RELS}, {_NODES} SELECT section, count(*) AS n, count(DISTINCT line) AS lines FROM (SELECT 1 AS section, label AS line FROM (SELECT DISTINCT label FROM nodes) UNION ALL SELECT 2, label || name FROM nodes UNION ALL SELECT 3, source_node || rel_type || target_node || pmid || coalesce(confidence::VARCHAR, '') FROM rels) GROUP BY section")
+@query(f"""
+WITH {RELS}, {_NODES} SELECT section, count(*) AS n, count(DISTINCT line) AS lines FROM (SELECT 1 AS section, label AS line
+  FROM (SELECT DISTINCT label FROM nodes) UNION ALL SELECT 2, label || name FROM nodes
+  UNION ALL SELECT 3, source_node || rel_type || target_node || pmid || coalesce(confidence::VARCHAR, '') FROM rels)
+  GROUP BY section""")
 def s17_import_statements(spark, d):
     return graph.import_statements(rels(spark, d)).groupBy("section").agg(F.count("*").alias("n"), F.countDistinct("line").alias("lines"))
 
 
 @query("""WITH r AS (SELECT 'supplier ' || l_suppkey AS source_node, 'part ' || l_partkey AS target_node, l_linestatus AS rel_type, l_returnflag AS pmcid FROM lineitem),
 l AS (SELECT DISTINCT source_node, target_node, rel_type FROM r WHERE pmcid = 'R')
-SELECT CASE WHEN l.source_node IS NOT NULL THEN 'umls_gate:returned' WHEN r.pmcid = 'A' AND r.source_node = 'supplier 1' AND r.rel_type = 'F' THEN 'policy' ELSE 'kept' END AS drop_reason, count(*) AS n
+SELECT CASE WHEN l.source_node IS NOT NULL THEN 'umls_gate:returned' WHEN r.pmcid = 'A' AND r.source_node = 'supplier 1' AND r.rel_type = 'F' THEN 'policy'
+    ELSE 'kept' END AS drop_reason, count(*) AS n
 FROM r LEFT JOIN l USING (source_node, target_node, rel_type) GROUP BY 1""")
 def j9_drops(spark, d):
     li = _t(spark, d, "lineitem")
-    r = li.select(F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string")).alias("source_node"), F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("target_node"), F.col("l_linestatus").alias("rel_type"), F.col("l_returnflag").alias("pmcid"))
+    r = li.select(F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string")).alias("source_node"),
+        F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("target_node"), F.col("l_linestatus").alias("rel_type"), F.col("l_returnflag").alias("pmcid"))
     listed = r.where("pmcid = 'R'").select("source_node", "target_node", "rel_type", F.lit("returned").alias("drop_reason"))
     policy = spark.createDataFrame([("A", "supplier 1", "F", "policy")], "pmcid string, source_node string, rel_type string, reason string")
     return graph.apply_drops(r, listed, policy).groupBy(F.coalesce("drop_reason", F.lit("kept")).alias("drop_reason")).agg(F.count("*").alias("n"))
@@ -252,7 +277,8 @@ def ids_orders(spark, d):
 
 @query("""WITH v AS (SELECT user_id, event_type AS l, count(*) AS n, min(event_id) AS f FROM events GROUP BY ALL),
 t AS (SELECT user_id, sum(n) AS total, max(n) AS most, arg_max(l, (n, -f)) AS top FROM v GROUP BY user_id)
-SELECT user_id, most = total AS full_consistency, round(CASE WHEN most = total THEN 0 ELSE (SELECT -sum(n / total * log10(n / total)) FROM v WHERE v.user_id = t.user_id) END, 6) AS label_entropy,
+SELECT user_id, most = total AS full_consistency, round(CASE WHEN most = total THEN 0 ELSE (SELECT -sum(n / total * log10(n / total))
+  FROM v WHERE v.user_id = t.user_id) END, 6) AS label_entropy,
        CASE WHEN most = total THEN top ELSE 'unrelated' END AS final_label, top AS loose_label FROM t""")
 def a3_self_consistency(spark, d):
     e = _t(spark, d, "events").select("user_id", F.col("event_type").alias("label"), F.col("event_id").alias("ord"))
@@ -261,7 +287,8 @@ def a3_self_consistency(spark, d):
     return strict.join(loose, "user_id").select("user_id", "full_consistency", F.round("label_entropy", 6).alias("label_entropy"), "final_label", "loose_label")
 
 
-@query("""WITH v AS (SELECT user_id::VARCHAR AS pmid, (event_id % 3)::VARCHAR AS disease, event_type AS l, count(*) AS n, string_agg(DISTINCT substr(props, 1, 9), ' ||| ' ORDER BY substr(props, 1, 9)) AS told FROM events GROUP BY ALL),
+@query("""WITH v AS (SELECT user_id::VARCHAR AS pmid, (event_id % 3)::VARCHAR AS disease, event_type AS l, count(*) AS n, string_agg(DISTINCT substr(props, 1, 9), ' ||| '
+  ORDER BY substr(props, 1, 9)) AS told FROM events GROUP BY ALL),
 m AS (SELECT pmid, disease, sum(n)::INT AS sentence_count, max(n) AS most FROM v GROUP BY ALL),
 w AS (SELECT m.*, count(*) AS tops, any_value(l) AS top, any_value(told) AS told FROM m JOIN v USING (pmid, disease) WHERE v.n = m.most GROUP BY ALL)
 SELECT pmid, disease, sentence_count, CASE WHEN tops = 1 THEN top ELSE 'unrelated' END AS final_label, CASE WHEN tops = 1 THEN told ELSE '' END AS evidence FROM w""")
@@ -276,11 +303,13 @@ def a2_within_paper(spark, d):
 
 @query("""SELECT p_brand AS subject_node, count(*) AS support_count, sum(CASE WHEN p_size % 3 = 0 THEN 1 ELSE -1 END)::BIGINT AS total_strength_raw,
 round(sum(CASE WHEN p_size % 3 = 0 THEN 1 ELSE -1 END * log10(CASE WHEN p_size % 7 = 0 THEN 3.5 ELSE p_retailprice END)), 3) AS total_strength_if,
-round(sum(CASE WHEN p_size % 3 = 0 THEN 1 ELSE -1 END * log10(CASE WHEN p_size % 7 = 0 THEN 3.5 ELSE p_retailprice END / (CASE WHEN p_size % 5 = 0 THEN 2 ELSE p_size % 5 END))), 3) AS total_strength_ifq
+round(sum(CASE WHEN p_size % 3 = 0 THEN 1 ELSE -1 END * log10(CASE WHEN p_size % 7 = 0 THEN 3.5 ELSE p_retailprice END / (CASE WHEN p_size % 5 = 0 THEN 2
+    ELSE p_size % 5 END))), 3) AS total_strength_ifq
 FROM part WHERE p_size % 4 <> 0 GROUP BY p_brand""")
 def a4_strength_scores(spark, d):
     p = _t(spark, d, "part").select(
-        F.col("p_brand").alias("subject_node"), F.when(F.col("p_size") % 3 == 0, "positive").otherwise("negative").alias("final_label"), (F.col("p_size") % 4 != 0).alias("accepted"),
+        F.col("p_brand").alias("subject_node"), F.when(F.col("p_size") % 3 == 0, "positive").otherwise("negative").alias("final_label"),
+            (F.col("p_size") % 4 != 0).alias("accepted"),
         F.when(F.col("p_size") % 7 == 0, "NA").otherwise(F.col("p_retailprice").cast("string")).alias("impact_factor"),
         F.when(F.col("p_size") % 5 == 0, "NA").otherwise(F.concat(F.lit("Q"), (F.col("p_size") % 5).cast("string"))).alias("quartile"),
     )
@@ -288,27 +317,38 @@ def a4_strength_scores(spark, d):
 
 
 @query("""WITH t AS (SELECT *, max(l_quantity) OVER (PARTITION BY l_orderkey) AS m FROM lineitem)
-SELECT l_orderkey, min(l_partkey * 10 + l_linenumber) AS ord, any_value(m) AS confidence, string_agg(l_shipdate::DATE::VARCHAR, ' || ' ORDER BY l_partkey * 10 + l_linenumber) AS evidence FROM t WHERE l_quantity = m GROUP BY l_orderkey""")
+SELECT l_orderkey, min(l_partkey * 10 + l_linenumber) AS ord, any_value(m) AS confidence, string_agg(l_shipdate::DATE::VARCHAR, ' || '
+  ORDER BY l_partkey * 10 + l_linenumber) AS evidence FROM t WHERE l_quantity = m GROUP BY l_orderkey""")
 def a6_keep_best(spark, d):
-    li = _t(spark, d, "lineitem").select("l_orderkey", (F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("ord"), F.col("l_quantity").alias("confidence"), F.to_date("l_shipdate").cast("string").alias("evidence"))
+    li = _t(spark, d, "lineitem").select("l_orderkey", (F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("ord"), F.col("l_quantity").alias("confidence"),
+        F.to_date("l_shipdate").cast("string").alias("evidence"))
     return relations.keep_best(li, ["l_orderkey"])
 
 
-@query("SELECT l_orderkey, arg_max(l_partkey, (l_extendedprice, -l_linenumber)) AS l_partkey, max(l_extendedprice) AS confidence, arg_max(l_linenumber, (l_extendedprice, -l_linenumber)) AS ord FROM lineitem GROUP BY l_orderkey")
+@query("""
+SELECT l_orderkey, arg_max(l_partkey, (l_extendedprice, -l_linenumber)) AS l_partkey, max(l_extendedprice) AS confidence, arg_max(l_linenumber, (l_extendedprice,
+    -l_linenumber)) AS ord
+  FROM lineitem GROUP BY l_orderkey""")
 def a7_keep_best_by_score(spark, d):
     li = _t(spark, d, "lineitem").select("l_orderkey", "l_partkey", F.col("l_extendedprice").alias("confidence"), F.col("l_linenumber").alias("ord"))
     return relations.keep_best(li, ["l_orderkey"], evidence=None)
 
 
-@query("""WITH u AS (SELECT c_custkey::VARCHAR AS pmid, CASE WHEN c_custkey % 2 = 0 THEN '' ELSE c_name END AS title, NULL::DOUBLE AS impact_factor, '2024-01-01' AS retrieval_date, 'one' AS profile, c_custkey AS ord FROM customer
+@query("""WITH u AS (SELECT c_custkey::VARCHAR AS pmid, CASE WHEN c_custkey % 2 = 0 THEN '' ELSE c_name END AS title, NULL::DOUBLE AS impact_factor, '2024-01-01'
+    AS retrieval_date, 'one' AS profile, c_custkey AS ord
+  FROM customer
 UNION ALL SELECT c_custkey::VARCHAR, upper(c_name), c_acctbal, '2024-02-0' || (1 + c_custkey % 9), 'two', c_custkey + 1000000000 FROM customer WHERE c_custkey % 3 <> 0)
-SELECT pmid, arg_min(title, ord) FILTER (WHERE title <> '') AS title, arg_min(impact_factor, ord) FILTER (WHERE impact_factor IS NOT NULL) AS impact_factor, max(retrieval_date) AS retrieval_date,
+SELECT pmid, arg_min(title, ord) FILTER (WHERE title <> '') AS title, arg_min(impact_factor, ord) FILTER (WHERE impact_factor IS NOT NULL) AS impact_factor,
+    max(retrieval_date) AS retrieval_date,
 'merged:' || string_agg(DISTINCT profile, '|' ORDER BY profile) AS query, count(*) AS n_rows FROM u GROUP BY pmid""")
 def a11_merge_corpora(spark, d):
     c = _t(spark, d, "customer")
     key = F.col("c_custkey").cast("string").alias("pmid")
-    one = c.select(key, F.when(F.col("c_custkey") % 2 == 0, "").otherwise(F.col("c_name")).alias("title"), F.lit(None).cast("double").alias("impact_factor"), F.lit("2024-01-01").alias("retrieval_date"), F.lit("one").alias("profile"), F.col("c_custkey").alias("ord"))
-    two = c.where("c_custkey % 3 <> 0").select(key, F.upper("c_name").alias("title"), F.col("c_acctbal").alias("impact_factor"), F.concat(F.lit("2024-02-0"), (F.col("c_custkey") % 9 + 1).cast("string")).alias("retrieval_date"), F.lit("two").alias("profile"), (F.col("c_custkey") + 1000000000).alias("ord"))
+    one = c.select(key, F.when(F.col("c_custkey") % 2 == 0, "").otherwise(F.col("c_name")).alias("title"), F.lit(None).cast("double").alias("impact_factor"),
+        F.lit("2024-01-01").alias("retrieval_date"), F.lit("one").alias("profile"), F.col("c_custkey").alias("ord"))
+    two = c.where("c_custkey % 3 <> 0").select(key, F.upper("c_name").alias("title"), F.col("c_acctbal").alias("impact_factor"),
+        F.concat(F.lit("2024-02-0"), (F.col("c_custkey") % 9 + 1).cast("string")).alias("retrieval_date"), F.lit("two").alias("profile"),
+            (F.col("c_custkey") + 1000000000).alias("ord"))
     return relations.merge_corpora(one.unionByName(two), ["title"], ["impact_factor"]).select("pmid", "title", "impact_factor", "retrieval_date", "query", "n_rows")
 
 
@@ -339,12 +379,14 @@ def j5_bridge_join(spark, d):
 
 
 @query("""WITH j AS (SELECT p_brand AS issn, max(p_retailprice) AS factor FROM part WHERE p_size > 10 GROUP BY 1)
-SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN p_retailprice ELSE j.factor END AS impact_factor, CASE WHEN p_size % 2 = 0 THEN 'inline' WHEN p_size % 5 = 0 THEN 'missing_issn' WHEN j.issn IS NULL THEN 'issn_not_found' ELSE 'issn' END AS metric_source
+SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN p_retailprice ELSE j.factor END AS impact_factor, CASE WHEN p_size % 2 = 0 THEN 'inline' WHEN p_size % 5 = 0
+    THEN 'missing_issn' WHEN j.issn IS NULL THEN 'issn_not_found' ELSE 'issn' END AS metric_source
 FROM (SELECT *, CASE WHEN p_size % 5 = 0 THEN '' ELSE p_brand END AS issn FROM part) p LEFT JOIN j ON p.issn = j.issn""")
 def s20_journal_metrics(spark, d):
     p = _t(spark, d, "part")
     j = p.where("p_size > 10").select(F.col("p_brand").alias("issn"), F.col("p_retailprice").alias("factor"), F.lit(None).cast("string").alias("quartile"))
-    papers = p.select("p_partkey", F.when(F.col("p_size") % 5 == 0, "").otherwise(F.col("p_brand")).alias("issn"), F.when(F.col("p_size") % 2 == 0, F.col("p_retailprice")).alias("impact_factor"), F.lit("NA").alias("quartile"))
+    papers = p.select("p_partkey", F.when(F.col("p_size") % 5 == 0, "").otherwise(F.col("p_brand")).alias("issn"),
+        F.when(F.col("p_size") % 2 == 0, F.col("p_retailprice")).alias("impact_factor"), F.lit("NA").alias("quartile"))
     return edges.journal_metrics(papers, j).select("p_partkey", "impact_factor", "metric_source")
 
 
@@ -355,18 +397,25 @@ _LAB = "lab AS (SELECT d.doc_id, d.lang, d.source, l.quality = 1 AS gold, d.n_ch
 
 def _labelled(spark, d):
     docs, lab = _t(spark, d, "documents"), _t(spark, d, "labels")
-    return lab.join(docs, "doc_id").select("doc_id", "lang", "source", (F.col("quality") == 1).alias("gold"), (F.col("n_chars") > 2000).alias("predicted"), "toxic", "quality")
+    return lab.join(docs, "doc_id").select("doc_id", "lang", "source", (F.col("quality") == 1).alias("gold"), (F.col("n_chars") > 2000).alias("predicted"), "toxic",
+        "quality")
 
 
-@query(f"""WITH {_LAB}, g AS (SELECT CASE WHEN grouping(lang) = 0 THEN 'lang' WHEN grouping(source) = 0 THEN 'source' ELSE 'all' END AS scope, coalesce(lang, source, '') AS value,
+@query(f"""WITH {_LAB}, g AS (SELECT CASE WHEN grouping(lang) = 0 THEN 'lang' WHEN grouping(source) = 0 THEN 'source' ELSE 'all' END AS scope, coalesce(lang, source, '')
+    AS value,
 count(*) FILTER (WHERE gold AND predicted) AS tp, count(*) FILTER (WHERE NOT gold AND predicted) AS fp, count(*) FILTER (WHERE gold AND NOT predicted) AS fn, count(*) FILTER (WHERE NOT gold AND NOT predicted) AS tn
-FROM lab GROUP BY GROUPING SETS ((), (lang), (source))), r AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS p, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS r FROM g)
+FROM lab
+  GROUP BY GROUPING SETS ((), (lang), (source))), r AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS p, CASE WHEN tp + fn > 0 THEN tp / (tp + fn)
+    ELSE 0 END AS r
+  FROM g)
 SELECT scope, value, tp, fp, fn, tn, round(p, 4) AS precision, round(r, 4) AS recall, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 4) AS f1 FROM r""")
 def a12_confusion(spark, d):
     return scoring.confusion(_labelled(spark, d), ["lang", "source"])
 
 
-@query("""WITH n AS (SELECT count(*) AS n, count(*) FILTER (WHERE quality = toxic) / count(*) AS po, (sum(quality) / count(*)) * (sum(toxic) / count(*)) + (1 - sum(quality) / count(*)) * (1 - sum(toxic) / count(*)) AS pe FROM labels JOIN documents USING (doc_id))
+@query("""WITH n AS (SELECT count(*) AS n, count(*) FILTER (WHERE quality = toxic) / count(*) AS po,
+    (sum(quality) / count(*)) * (sum(toxic) / count(*)) + (1 - sum(quality) / count(*)) * (1 - sum(toxic) / count(*)) AS pe
+  FROM labels JOIN documents USING (doc_id))
 SELECT n, round(po, 6) AS observed, round(pe, 6) AS expected, round((po - pe) / (1 - pe), 6) AS kappa FROM n""")
 def a14_kappa(spark, d):
     return scoring.kappa(_labelled(spark, d), "quality", "toxic")
@@ -395,7 +444,8 @@ def v1_top_k(spark, d):
     return vectors.top_k(concepts, e, 20, 0.1)
 
 
-@query("""WITH m AS (SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings), a AS (SELECT label, i, avg(x) AS x FROM m GROUP BY ALL)
+@query("""WITH m AS (SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS x
+  FROM embeddings), a AS (SELECT label, i, avg(x) AS x FROM m GROUP BY ALL)
 SELECT label, round(max(x) / sqrt(sum(x * x)), 5) AS largest FROM a GROUP BY label""")
 def v5_centroids(spark, d):
     return vectors.centroids(_t(spark, d, "embeddings")).select("label", F.round(F.array_max("embedding"), 5).alias("largest"))
@@ -407,7 +457,8 @@ def w10_stratified_sample(spark, d):
     return scoring.stratified_sample(_t(spark, d, "documents").select("doc_id", "lang"), "lang", "doc_id", {"en": 50, "de": 20})
 
 
-@query("SELECT p_partkey, CASE WHEN p_size < 10 THEN 'small' WHEN p_size < 20 THEN 'medium' ELSE 'cheap' END AS stratum FROM part WHERE p_size < 20 OR p_retailprice < 1200")
+@query("""
+SELECT p_partkey, CASE WHEN p_size < 10 THEN 'small' WHEN p_size < 20 THEN 'medium' ELSE 'cheap' END AS stratum FROM part WHERE p_size < 20 OR p_retailprice < 1200""")
 def w10_gold_strata(spark, d):
     p = _t(spark, d, "part")
     one = lambda where: p.where(where).select("p_partkey")
@@ -417,33 +468,47 @@ def w10_gold_strata(spark, d):
 # Text.
 
 
-@query(r"""SELECT doc_id, len(list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''), '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x, ' ')), lambda x: x <> '')) AS n_sentences FROM documents""")
+@query(r"""SELECT doc_id, len(list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''), '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x,
+    ' ')), lambda x: x <> '')) AS n_sentences
+  FROM documents""")
 def t3_sentences(spark, d):
     return _t(spark, d, "documents").select("doc_id", F.size(text.sentences(F.col("text"))).alias("n_sentences"))
 
 
 @query(r"""WITH w AS (SELECT doc_id, len(regexp_extract_all(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g'), '[^ ]+')) AS n FROM documents)
-SELECT doc_id, CASE WHEN n = 0 THEN 0 WHEN n <= 100 THEN 1 ELSE 1 + ceil((n - 100) / 70)::INT END AS n_chunks, CASE WHEN n <= 100 THEN n ELSE n - 70 * ceil((n - 100) / 70)::INT END AS last_words FROM w""")
+SELECT doc_id, CASE WHEN n = 0 THEN 0 WHEN n <= 100 THEN 1 ELSE 1 + ceil((n - 100) / 70)::INT END AS n_chunks, CASE WHEN n <= 100 THEN n
+    ELSE n - 70 * ceil((n - 100) / 70)::INT END AS last_words
+  FROM w""")
 def w3_chunks(spark, d):
     c = _t(spark, d, "documents").select("doc_id", text.chunks(F.coalesce("text", F.lit(""))).alias("c"))
     last = F.when(F.size("c") > 0, F.size(F.split(F.element_at("c", -1), " "))).otherwise(0)
     return c.select("doc_id", F.size("c").alias("n_chunks"), last.alias("last_words"))
 
 
-@query("""WITH s AS (SELECT p_partkey, lower(p_type) AS t FROM part), k AS (SELECT p_partkey, least(1, 0.2 * ((contains(t, 'brass'))::INT + (contains(t, 'plated'))::INT + (contains(t, 's'))::INT)) AS h, least(1, 0.25 * ((contains(t, 'tin'))::INT + (contains(t, 'small'))::INT)) AS c FROM s)
-SELECT p_partkey, CASE WHEN greatest(h, c) = 0 THEN 'unknown' WHEN h >= c THEN 'heatmap' ELSE 'scatter_plot' END AS topology, round(greatest(h, c), 3)::DOUBLE AS confidence FROM k""")
+@query("""WITH s AS (SELECT p_partkey, lower(p_type) AS t
+  FROM part), k AS (SELECT p_partkey, least(1, 0.2 * ((contains(t, 'brass'))::INT + (contains(t, 'plated'))::INT + (contains(t, 's'))::INT)) AS h, least(1,
+    0.25 * ((contains(t, 'tin'))::INT + (contains(t, 'small'))::INT)) AS c
+  FROM s)
+SELECT p_partkey, CASE WHEN greatest(h, c) = 0 THEN 'unknown' WHEN h >= c THEN 'heatmap' ELSE 'scatter_plot' END AS topology, round(greatest(h, c), 3)::DOUBLE
+    AS confidence
+  FROM k""")
 def t34_topology(spark, d):
     words = {"heatmap": ("brass", "plated", "s"), "scatter_plot": ("tin", "small")}
     return _t(spark, d, "part").select("p_partkey", text.topology(F.col("p_type"), words).alias("t")).select("p_partkey", "t.topology", "t.confidence")
 
 
-@query("""WITH c AS (SELECT conv_id, turn, lower(coalesce(text, '')) AS t FROM conversations), n AS (SELECT *, contains(t, 'the')::INT + contains(t, 'and')::INT + contains(t, 'was')::INT AS p, contains(t, 'of')::INT + contains(t, 'der')::INT + contains(t, 'que')::INT AS m FROM c)
+@query("""WITH c AS (SELECT conv_id, turn, lower(coalesce(text, '')) AS t
+  FROM conversations), n AS (SELECT *, contains(t, 'the')::INT + contains(t, 'and')::INT + contains(t, 'was')::INT AS p, contains(t, 'of')::INT + contains(t,
+    'der')::INT + contains(t, 'que')::INT AS m
+  FROM c)
 SELECT conv_id, turn, CASE WHEN p > m THEN 'positive' WHEN m > p THEN 'negative' ELSE 'unrelated' END AS label FROM n""")
 def t24_marker_label(spark, d):
     return _t(spark, d, "conversations").select("conv_id", "turn", text.marker_label(F.col("text"), ("the", "and", "was"), ("of", "der", "que")).alias("label"))
 
 
-@query("""SELECT p_partkey, CASE WHEN p_type LIKE '%STEEL%' THEN 'steel' WHEN p_type LIKE '%TIN%' THEN 'tin' END AS modality, regexp_extract(lower(p_type), '\\b(copper|brass|nickel)\\b', 1) AS place FROM part""".replace("\\\\", "\\"))
+@query("""SELECT p_partkey, CASE WHEN p_type LIKE '%STEEL%' THEN 'steel' WHEN p_type LIKE '%TIN%' THEN 'tin' END AS modality, regexp_extract(lower(p_type),
+    '\\b(copper|brass|nickel)\\b', 1) AS place
+  FROM part""".replace("\\\\", "\\"))
 def t12_detection(spark, d):
     p = _t(spark, d, "part")
     place = F.coalesce(text.body_location(F.col("p_type"), ("copper", "brass", "nickel")), F.lit(""))
@@ -456,7 +521,10 @@ def t27_json(spark, d):
     return e.select("event_id", "json", F.get_json_object("json", "$.k").cast("int").alias("k"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, abs(l_discount * 30 - 1) <= 1.05 AS in_range, CASE WHEN abs(l_discount * 30 - 1) < 0.1 OR l_linestatus = 'O' AND l_returnflag = 'N' THEN 'near_zero_or_inconclusive_pass' WHEN (l_discount * 30 - 1 > 0) = (l_returnflag <> 'R') THEN 'sign_agrees' ELSE 'sign_disagrees' END AS sign FROM lineitem""")
+@query("""SELECT l_orderkey, l_linenumber, abs(l_discount * 30 - 1) <= 1.05 AS in_range, CASE WHEN abs(l_discount * 30 - 1) < 0.1 OR l_linestatus = 'O'
+    AND l_returnflag = 'N' THEN 'near_zero_or_inconclusive_pass' WHEN (l_discount * 30 - 1 > 0) = (l_returnflag <> 'R') THEN 'sign_agrees' ELSE 'sign_disagrees' END
+    AS sign
+  FROM lineitem""")
 def t30_gates(spark, d):
     li = _t(spark, d, "lineitem")
     r = F.col("l_discount") * 30 - 1
@@ -464,7 +532,9 @@ def t30_gates(spark, d):
     return li.select("l_orderkey", "l_linenumber", gates.range_gate(r)["passed"].alias("in_range"), gates.sign_gate(r, seen)["reason"].alias("sign"))
 
 
-@query("""SELECT l_returnflag AS p, l_linestatus AS v, CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'both_verifiers_pass' WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN 'both_verifiers_reject' WHEN l_returnflag = 'A' OR l_linestatus = 'F' THEN 'review' ELSE 'review' END AS outcome, count(*) AS n FROM lineitem GROUP BY ALL""")
+@query("""SELECT l_returnflag AS p, l_linestatus AS v, CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'both_verifiers_pass' WHEN l_returnflag = 'R'
+    AND l_linestatus = 'O' THEN 'both_verifiers_reject' WHEN l_returnflag = 'A' OR l_linestatus = 'F' THEN 'review' ELSE 'review' END AS outcome, count(*) AS n
+  FROM lineitem GROUP BY ALL""")
 def t32_consensus(spark, d):
     li = _t(spark, d, "lineitem")
     p = F.when(F.col("l_returnflag") == "A", "pass").when(F.col("l_returnflag") == "R", "fail").otherwise("inconclusive")
@@ -486,37 +556,59 @@ def t29_caption_gate(spark, d):
     return _t(spark, d, "conversations").select("conv_id", "turn", gates.caption_gate(F.col("text"))["reason"].alias("reason"))
 
 
-@query("""WITH g AS (SELECT p_brand AS surface, 'C' || p_partkey AS cui, CASE WHEN p_size % 3 = 0 THEN 'T007' ELSE 'T999' END AS tui, (p_partkey % 100) / 100 AS s FROM part WHERE p_brand <> 'Brand#11'),
+@query("""WITH g AS (SELECT p_brand AS surface, 'C' || p_partkey AS cui, CASE WHEN p_size % 3 = 0 THEN 'T007' ELSE 'T999' END AS tui, (p_partkey % 100) / 100 AS s
+  FROM part WHERE p_brand <> 'Brand#11'),
 b AS (SELECT surface, arg_max(cui, (tui = 'T007', s, cui)) AS cui, max((tui = 'T007')::INT) AS ok, arg_max(s, (tui = 'T007', s, cui)) AS s FROM g GROUP BY surface)
-SELECT p_brand AS surface, CASE WHEN b.surface IS NULL THEN 'no_umls_match' WHEN ok = 0 THEN 'tui_not_in_accept_set' WHEN s < 0.95 THEN 'low' ELSE '' END AS reason, count(*) AS n FROM part LEFT JOIN b ON p_brand = b.surface GROUP BY ALL""")
+SELECT p_brand AS surface, CASE WHEN b.surface IS NULL THEN 'no_umls_match' WHEN ok = 0 THEN 'tui_not_in_accept_set' WHEN s < 0.95 THEN 'low' ELSE '' END AS reason,
+    count(*) AS n
+  FROM part LEFT JOIN b ON p_brand = b.surface GROUP BY ALL""")
 def t36_ground(spark, d):
     p = _t(spark, d, "part")
-    g = p.where("p_brand <> 'Brand#11'").select(F.col("p_brand").alias("surface"), F.concat(F.lit("C"), F.col("p_partkey").cast("string")).alias("cui"), F.when(F.col("p_size") % 3 == 0, "T007").otherwise("T999").alias("tui"), ((F.col("p_partkey") % 100) / 100).alias("similarity"), F.lit("x").alias("official_name"))
+    g = p.where("p_brand <> 'Brand#11'").select(F.col("p_brand").alias("surface"), F.concat(F.lit("C"), F.col("p_partkey").cast("string")).alias("cui"),
+        F.when(F.col("p_size") % 3 == 0, "T007").otherwise("T999").alias("tui"), ((F.col("p_partkey") % 100) / 100).alias("similarity"),
+            F.lit("x").alias("official_name"))
     out = mentions.ground(p.select(F.col("p_brand").alias("surface")), g, ["T007"], floor=0.95)
     reason = F.when(F.col("drop_reason").startswith("low_similarity"), "low").otherwise(F.col("drop_reason"))
     return out.groupBy("surface", reason.alias("reason")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) - 1 AS i, (row_number() OVER (ORDER BY p_partkey)) % (SELECT count(*) FROM part) AS next FROM part")
+@query("""
+SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) - 1 AS i, (row_number() OVER (ORDER BY p_partkey)) % (SELECT count(*) FROM part) AS next FROM part""")
 def w2_rotation(spark, d):
     p = _t(spark, d, "part").select("p_partkey")
     n = p.count()
     return ordering.ordinals(p, "p_partkey", "i").withColumn("next", F.pmod(F.col("i") + 1, F.lit(n)))
 
 
-@query("SELECT o_orderkey, TRY_CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS f, TRY_CAST(TRY_CAST(o_totalprice::VARCHAR AS DOUBLE) AS BIGINT) >= 0 AS positive, o_orderpriority LIKE '1%' AS b FROM orders")
+@query("""
+SELECT o_orderkey, TRY_CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS f, TRY_CAST(TRY_CAST(o_totalprice::VARCHAR AS DOUBLE) AS BIGINT) >= 0 AS positive,
+    o_orderpriority LIKE '1%' AS b
+  FROM orders""")
 def casts(spark, d):
     o = _t(spark, d, "orders")
     one = F.substring("o_orderpriority", 1, 1)
-    return o.select("o_orderkey", text.safe_float(one).alias("f"), (text.safe_int(F.col("o_totalprice").cast("string")) >= 0).alias("positive"), F.coalesce(text.safe_bool(one), F.lit(False)).alias("b"))
+    return o.select("o_orderkey", text.safe_float(one).alias("f"), (text.safe_int(F.col("o_totalprice").cast("string")) >= 0).alias("positive"),
+        F.coalesce(text.safe_bool(one), F.lit(False)).alias("b"))
+
+
+_BLOCKS = "|".join(files._BLOCKS)
 
 
-@query()
+@query(rf"""
+WITH a AS (SELECT page_id, regexp_replace(coalesce(html, ''), '<(?:script|style|noscript)\b[^>]*>.*?</(?:script|style|noscript)\s*>', '', 'gis') AS h FROM pages),
+b AS (SELECT page_id, regexp_replace(regexp_replace(h, '<!--.*?-->|<![^>]*>', '', 'gs'), '</?(?:{_BLOCKS})\b[^>]*>', chr(10), 'gi') AS h FROM a),
+c AS (SELECT page_id, regexp_replace(h, '</?[a-zA-Z][^>]*>', '', 'g') AS h FROM b),
+e AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(h, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS h FROM c),
+t AS (SELECT page_id, trim(regexp_replace(h, '[\s\x0B\x{{A0}}\x{{85}}]+', ' ', 'g')) AS t FROM e),
+u AS (SELECT page_id, t, greatest(strpos(lower(t), 'abstract'), 1) AS first, strpos(reverse(lower(t)), 'secnerefer') AS tail FROM t)
+SELECT page_id, trim(CASE WHEN tail > 0 AND length(t) - tail - 9 > first THEN substr(t, first, length(t) - tail - 9 - first + 1) ELSE substr(t, first) END) AS text FROM u""")
 def s7_article_text(spark, d):
     return _t(spark, d, "pages").select("page_id", files.article_text(F.col("html")).alias("text"))
 
 
-@query("SELECT CASE WHEN contains(lower(coalesce(text, '')), 'the') AND NOT contains(lower(text), 'was') THEN 'yes' ELSE 'no' END AS hit, count(*) AS n FROM documents GROUP BY 1")
+@query("""
+SELECT CASE WHEN contains(lower(coalesce(text, '')), 'the') AND NOT contains(lower(text), 'was') THEN 'yes' ELSE 'no' END AS hit, count(*) AS n
+  FROM documents GROUP BY 1""")
 def s11_query_filter(spark, d):
     hit = F.when(files.matches_query(F.col("text"), [["the"]], ["was"]), "yes").otherwise("no")
     return _t(spark, d, "documents").groupBy(hit.alias("hit")).agg(F.count("*").alias("n"))
@@ -528,8 +620,7 @@ def s11_query_filter(spark, d):
 @query("SELECT event_id, user_id, event_type, value FROM events")
 def stream_ingest(spark, d):
     """A stream of the table's files into a sink; a second run over the same files adds nothing."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="corvina-")
-    at = f"{base.rstrip('/')}/ingest-{uuid.uuid4().hex}"
+    at = f"{shared_folder(spark)}/ingest-{uuid.uuid4().hex}"
     like = _t(spark, d, "events").select("event_id", "user_id", "event_type", "value")
     path = f"{d}/events.parquet"
     path = path if os.path.isdir(path) else f"{d}/events*.parquet"
@@ -559,17 +650,21 @@ def f1_violations(spark, d):
     return violations(o, "o_orderkey", ["missing"], {"o_orderstatus": ("O", "F")}, {"o_totalprice": (1000, 400000)})
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_returnflag = 'R' THEN 'REJECT_GATE' WHEN l_linestatus = 'F' AND l_returnflag = 'A' THEN 'ACCEPT' WHEN l_linestatus = 'O' AND l_returnflag = 'N' THEN 'REVIEW' ELSE 'REJECT_DUAL' END AS verdict FROM lineitem""")
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_returnflag = 'R' THEN 'REJECT_GATE' WHEN l_linestatus = 'F' AND l_returnflag = 'A' THEN 'ACCEPT'
+    WHEN l_linestatus = 'O' AND l_returnflag = 'N' THEN 'REVIEW' ELSE 'REJECT_DUAL' END AS verdict
+  FROM lineitem""")
 def e10_audit_verdict(spark, d):
     li = _t(spark, d, "lineitem")
-    gate = gates.chain(caption=gates.caption_gate(F.when(F.col("l_returnflag") == "R", "log fold change").otherwise("Pearson r = 0.1")), range_sanity=gates.range_gate(F.col("l_discount")))
+    gate = gates.chain(caption=gates.caption_gate(F.when(F.col("l_returnflag") == "R", "log fold change").otherwise("Pearson r = 0.1")),
+        range_sanity=gates.range_gate(F.col("l_discount")))
     accept = (F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "A")
     review = (F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "N")
     outcome = gates.consensus(F.when(accept | review, "pass").otherwise("fail"), F.when(accept, "pass").otherwise("fail"))
     return li.select("l_orderkey", "l_linenumber", "l_partkey", gates.audit_verdict(gate, outcome).alias("verdict"))
 
 
-@query("""SELECT p_partkey, CASE WHEN p_size % 6 = 0 THEN 'generic_microbe_term' WHEN p_size % 6 = 1 THEN 'missing_subject_node' WHEN p_size % 6 = 2 THEN 'subject_wordpiece_fragment' END AS reason,
+@query("""SELECT p_partkey, CASE WHEN p_size % 6 = 0 THEN 'generic_microbe_term' WHEN p_size % 6 = 1 THEN 'missing_subject_node' WHEN p_size % 6 = 2
+    THEN 'subject_wordpiece_fragment' END AS reason,
 CASE WHEN p_size % 6 > 2 THEN 'genus' || p_partkey END AS canonical FROM part""")
 def t5_clean_subject(spark, d):
     from ..functions import spans
@@ -577,7 +672,8 @@ def t5_clean_subject(spark, d):
     p = _t(spark, d, "part")
     g = F.concat(F.lit("Genus"), F.col("p_partkey").cast("string"))
     six = F.col("p_size") % 6
-    raw = F.when(six == 0, "certain Gram-negative bacteria").when(six == 1, " abundance levels ").when(six == 2, F.concat(F.lit("##"), g)).when(six == 3, F.concat(F.lit(" ("), g, F.lit("  abundance)"))).when(six == 4, F.concat(g, F.lit("-containing capsules"))).otherwise(F.concat(g, F.lit(" 2")))
+    raw = F.when(six == 0, "certain Gram-negative bacteria").when(six == 1, " abundance levels ").when(six == 2, F.concat(F.lit("##"), g)).when(six == 3,
+        F.concat(F.lit(" ("), g, F.lit("  abundance)"))).when(six == 4, F.concat(g, F.lit("-containing capsules"))).otherwise(F.concat(g, F.lit(" 2")))
     return p.select("p_partkey", spans.clean_subject(raw).alias("c")).select("p_partkey", "c.reason", "c.canonical")
 
 
@@ -588,7 +684,8 @@ def t6_clean_disease(spark, d):
 
     p = _t(spark, d, "part")
     metal, five = F.split_part("p_type", F.lit(" "), F.lit(1)), F.col("p_size") % 5
-    raw = F.when(five == 0, F.concat(F.lit("increased "), metal)).when(five == 1, F.concat(metal, F.lit(" in which there is more of a thing"))).when(five == 2, "the Disease").when(five == 3, F.concat(F.lit("in patients with the "), metal, F.lit(" cancer cases")))
+    raw = F.when(five == 0, F.concat(F.lit("increased "), metal)).when(five == 1, F.concat(metal, F.lit(" in which there is more of a thing"))).when(five == 2,
+        "the Disease").when(five == 3, F.concat(F.lit("in patients with the "), metal, F.lit(" cancer cases")))
     raw = F.when(five == 4, F.concat(F.lit("high "), metal, F.lit(" in obesity"))).otherwise(raw)
     raw2 = p.select("p_partkey", F.when(five == 2, "disease").otherwise(raw).alias("raw"))
     c = spans.clean_text_disease(F.col("raw"))
@@ -596,9 +693,16 @@ def t6_clean_disease(spark, d):
     return out.withColumn("eligible", F.coalesce(spans.eligible_disease(F.col("canonical")), F.lit(False)))
 
 
-@query("""WITH m AS (SELECT 'part ' || p_partkey AS canonical_feature, p_brand AS body_location, p_container AS modality, p_partkey AS ord FROM (SELECT *, CASE WHEN p_size % 2 = 0 THEN 'CT' ELSE ' mri ' END AS p_container FROM part))
-SELECT canonical_feature AS source_node, 'BodyLocation' AS target_node_type, lower(body_location) AS target_node, 'MEASURED_AT' AS rel_type FROM m UNION SELECT canonical_feature, 'ImagingModality', upper(trim(modality)), 'ACQUIRED_VIA' FROM m""")
+@query("""WITH m AS (SELECT 'part ' || p_partkey AS canonical_feature, p_brand AS body_location, p_container AS modality, p_partkey AS ord
+  FROM (SELECT *, CASE WHEN p_size % 2 = 0 THEN 'CT' ELSE ' mri ' END AS p_container FROM part))
+SELECT canonical_feature AS source_node, 'BodyLocation' AS target_node_type, lower(body_location) AS target_node, 'MEASURED_AT' AS rel_type
+  FROM m UNION SELECT canonical_feature, 'ImagingModality', upper(trim(modality)), 'ACQUIRED_VIA' FROM m""")
 def a9_backbone(spark, d):
     p = _t(spark, d, "part")
-    m = p.select(F.lit("RadiomicFeature").alias("node_type"), F.concat(F.lit("part "), F.col("p_partkey").cast("string")).alias("canonical_feature"), F.col("p_brand").alias("body_location"), F.when(F.col("p_size") % 2 == 0, "CT").otherwise(" mri ").alias("modality"), F.lit("1").alias("pmid"), F.col("p_partkey").alias("ord"))
+    m = p.select(F.lit("RadiomicFeature").alias("node_type"), F.concat(F.lit("part "), F.col("p_partkey").cast("string")).alias("canonical_feature"),
+        F.col("p_brand").alias("body_location"), F.when(F.col("p_size") % 2 == 0, "CT").otherwise(" mri ").alias("modality"), F.lit("1").alias("pmid"),
+            F.col("p_partkey").alias("ord"))
     return edges.backbone(m).select("source_node", "target_node_type", "target_node", "rel_type")
+
+
+from . import edge_queries, figure_queries, text_queries  # noqa: E402,F401  they register themselves
