@@ -24,6 +24,8 @@ from pyspark.sql import types as T
 from .common import extra_columns, quoted, scratch
 
 CHUNK, OVERLAP = 1 << 14, 1 << 9
+#: Chunks of a text of more characters than this are spread over tasks; those of a shorter one, a second's work, stay in one.
+SPREAD = 1 << 20
 #: From so many bytes on a pre-token is merged by a heap; pre-tokens that are held for the next time, and their longest.
 HEAP_BYTES, HELD, HELD_CHARS = 256, 300_000, 64
 
@@ -240,21 +242,22 @@ def _encode_long(rows: DataFrame, ranks_path: str, pattern: str, chunk: int, ove
     return tokens.unionByName(rest.select("row", "tokens"))
 
 
-def encode(df: DataFrame, ranks_path: str, text: str = "text", pattern: str = public_tokenizers.PATTERN, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+def encode(df: DataFrame, ranks_path: str, text: str = "text", pattern: str = public_tokenizers.PATTERN, chunk: int = CHUNK, overlap: int = OVERLAP, spread: int = SPREAD) -> DataFrame:
     """df with tokens, an array of the ids of the whole text; such a column of df is replaced.
 
     Equals encoding every match of pattern on its own, without special tokens.
-    A text longer than chunk characters is cut into chunks that overlap, each a
-    row of its own: tasks pre-tokenise them side by side, neighbours are stitched
-    where their boundaries meet, and the pieces are encoded side by side too. A text of one
-    chunk stays where it is. A null or empty text has no tokens; repeated rows,
+    A text longer than chunk characters is cut into chunks that overlap and are
+    pre-tokenised on their own; neighbours are stitched where their boundaries
+    meet, and the pieces between are encoded. From spread characters on, each
+    chunk is a row, and tasks work on the chunks of a text side by side; only
+    such texts are shuffled. A null or empty text has no tokens; repeated rows,
     nulls elsewhere and an empty table need nothing special. A text's length is
-    bounded only by what one row can hold. Only texts of several chunks are shuffled.
+    bounded only by what one row can hold.
     """
     df = df.select(*[quoted(c) for c in extra_columns(df, "tokens")])
     at = [c.lower() for c in df.columns].index(text.lower())
     made = T.StructField("tokens", T.ArrayType(T.IntegerType(), False))
-    many: Column = F.coalesce(F.length(quoted(text)) > chunk, F.lit(False))
+    many: Column = F.coalesce(F.length(quoted(text)) > max(chunk, spread), F.lit(False))
     short = df.where(~many).mapInArrow(_encoder(ranks_path, pattern, chunk, overlap, at), T.StructType([*df.schema, made]))
     long = scratch(df.where(many).withColumn("_cv_row", F.monotonically_increasing_id()))  # fixed once it is written
     if long.isEmpty():

@@ -35,8 +35,9 @@ def test_rows_of_chunks_against_the_library(spark, encoding):
     texts += ["a" * 300, " " * 200 + "b", "word " * 100, "word " * 100, "x" * 64, "x " * 32, "ab " * 30 + "z" * 90 + " cd" * 40]
     df = spark.createDataFrame([(i, t, "k") for i, t in enumerate(texts)], "doc_id bigint, text string, tokens string").repartition(3)
     for chunk, overlap in ((64, 16), (64, 63), (16, 4), (1000, 50)):
-        got = {r.doc_id: list(r.tokens) for r in bpe.encode(df, RANKS, chunk=chunk, overlap=overlap).collect()}
-        assert got == {i: encoding.encode_ordinary(t or "") for i, t in enumerate(texts)}
+        for spread in (0, 100, 10**9):
+            got = {r.doc_id: list(r.tokens) for r in bpe.encode(df, RANKS, chunk=chunk, overlap=overlap, spread=spread).collect()}
+            assert got == {i: encoding.encode_ordinary(t or "") for i, t in enumerate(texts)}
 
 
 def test_chunks_of_one_text_are_spread_over_tasks(spark, encoding):
@@ -45,5 +46,5 @@ def test_chunks_of_one_text_are_spread_over_tasks(spark, encoding):
     cut = rows.mapInArrow(bpe._chunks(bpe.CHUNK, bpe.OVERLAP), "row bigint, n bigint, start bigint, last boolean, chunk string")
     assert cut.count() == -(-len(text) // bpe.CHUNK) > 16
     df = spark.createDataFrame([(1, text), (2, None)], "doc_id bigint, text string")
-    got = {r.doc_id: list(r.tokens) for r in bpe.encode(df, RANKS).collect()}
+    got = {r.doc_id: list(r.tokens) for r in bpe.encode(df, RANKS, spread=100_000).collect()}
     assert got == {1: encoding.encode_ordinary(text), 2: []}
