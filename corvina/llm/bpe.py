@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import sys
 from itertools import chain
 
 import numpy as np
@@ -27,7 +28,7 @@ CHUNK, OVERLAP = 1 << 14, 1 << 9
 #: Chunks of a text of more characters than this are spread over tasks; those of a shorter one, a second's work, stay in one.
 SPREAD = 1 << 20
 #: From so many bytes on a pre-token is merged by a heap; pre-tokens that are held for the next time, and their longest.
-HEAP_BYTES, HELD, HELD_CHARS = 256, 300_000, 64
+HEAP_BYTES, HELD, HELD_CHARS = 256, 250_000, 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -35,8 +36,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
-def merged(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The ids of a pre-token: of all neighbours those of the lowest rank, the leftmost at a tie, are joined until none has a rank."""
+def merged(raw: bytes, ranks: dict[bytes, int]) -> list[bytes]:
+    """The tokens of a pre-token: of all neighbours those of the lowest rank, the leftmost at a tie, are joined until none has a rank."""
     if len(raw) >= HEAP_BYTES:
         return _merged_long(raw, ranks)
     none = len(ranks) + (1 << 30)
@@ -52,10 +53,10 @@ def merged(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
             pair[i - 1] = ranks.get(raw[cut[i - 1] : cut[i + 1]], none)
         if i < len(pair):
             pair[i] = ranks.get(raw[cut[i] : cut[i + 2]], none)
-    return [ranks[raw[x:y]] for x, y in zip(cut, cut[1:], strict=False)]
+    return [raw[x:y] for x, y in zip(cut, cut[1:], strict=False)]
 
 
-def _merged_long(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
+def _merged_long(raw: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     """The same with a heap of neighbours, in n log n steps."""
     n = len(raw)
     end, back = list(range(1, n + 1)), list(range(-1, n - 1))  # of the part that begins at a place: its end, and the beginning of the one before
@@ -74,21 +75,29 @@ def _merged_long(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
                 heapq.heappush(heap, (r, i, end[stop]))
         if i and (r := ranks.get(raw[back[i] : stop])) is not None:
             heapq.heappush(heap, (r, back[i], stop))
-    return [ranks[raw[i : end[i]]] for i in range(n) if alive[i]]
+    return [raw[i : end[i]] for i in range(n) if alive[i]]
 
 
 class Pieces(dict):
-    """pre-token -> its ids; forgets all when too large. A long pre-token is not held."""
+    """pre-token -> its ids, as the bytes of 32-bit integers.
+
+    Once HELD pre-tokens are known, they are set aside and only those that come
+    again are taken over, so that at most twice as many are held. A long one is not.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-
-    def __missing__(self, piece: str) -> list[int]:
-        raw = piece.encode("utf-8", "replace")
-        rank = self.ranks.get(raw)
-        ids = [rank] if rank is not None else merged(raw, self.ranks)
+        self.id_bytes = {token: rank.to_bytes(4, sys.byteorder) for token, rank in ranks.items()}
+        self.aside: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.aside.get(piece)
+        if ids is None:
+            raw = piece.encode("utf-8", "replace")
+            ids = self.id_bytes.get(raw) or b"".join(map(self.id_bytes.__getitem__, merged(raw, self.ranks)))
         if len(piece) < HELD_CHARS:
-            if len(self) > HELD:
+            if len(self) >= HELD:
+                self.aside = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -104,60 +113,110 @@ def pieces_of(ranks_path: str) -> Pieces:
     return _known[ranks_path]
 
 
-def _ends(pattern, text: str, start: int, end: int) -> list[int]:
-    """The boundaries of the pre-tokens of text[start:end], from start on. Only those are listed that the cut at end can't have moved."""
-    chunk = text[start:end]
-    ends = [start]
-    ends += [start + m.end() for m in pattern.finditer(chunk, concurrent=True)]
-    return ends if end == len(text) else ends[: max(1, len(ends) - 2)]
+class Cutter:
+    """Cuts texts into pre-tokens; a long text by chunks that overlap and are stitched."""
+
+    def __init__(self, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP):
+        self.pattern, self.chunk, self.overlap = regex.compile(pattern), chunk, overlap
+
+    def found(self, text: str, start: int = 0) -> list[str]:
+        """The pre-tokens from a place on; a pattern that leaves something out can't be stitched by lengths and is an error."""
+        out = self.pattern.findall(text, start)
+        if out and isinstance(out[0], tuple) or sum(map(len, out)) != len(text) - start:
+            raise ValueError("the pattern has groups or leaves out a part of the text")
+        return out
+
+    def sure(self, pieces: list[str], goes_on: bool) -> int:
+        """How many pre-tokens of a chunk are not touched by its end."""
+        return max(0, len(pieces) - 2) if goes_on else len(pieces)
+
+    def heads(self, pieces: list[str], n: int) -> list[int]:
+        """Boundaries in the first overlap characters, of n pre-tokens that are sure."""
+        out, at = [0], 0
+        for p in pieces[:n]:
+            at += len(p)
+            if at > self.overlap:
+                break
+            out.append(at)
+        return out
+
+    def tails(self, pieces: list[str], n: int) -> list[tuple[int, int]]:
+        """(boundary, pre-tokens before it) from the chunk's length on, of n pre-tokens that are sure, in order."""
+        out, at = [], sum(map(len, pieces[:n]))
+        for k in range(n, -1, -1):
+            if at < self.chunk:
+                break
+            out.append((at, k))
+            at -= len(pieces[k - 1]) if k else 0
+        return out[::-1]
+
+    def __call__(self, text: str) -> list[str]:
+        """All pre-tokens of a text."""
+        n = len(text)
+        if n <= self.chunk:
+            return self.found(text)
+        out: list[str] = []
+        start, pieces = 0, self.found(text[: self.chunk + self.overlap])
+        skip = 0  # pre-tokens of this chunk that the one before has told
+        while True:
+            goes_on = start + self.chunk + self.overlap < n
+            if not goes_on:
+                return out + pieces[skip:]
+            after = start + self.chunk
+            follow = self.found(text[after : after + self.chunk + self.overlap])
+            told = self.sure(pieces, True)
+            heads = self.heads(follow, self.sure(follow, after + self.chunk + self.overlap < n))
+            place = {h: k for k, h in enumerate(heads)}
+            met = next(((at, k) for at, k in self.tails(pieces, told) if at - self.chunk in place), None)
+            if met is None or met[1] < skip:
+                # No boundary in common: go on from the last one that is sure, by a stretch that grows until something is.
+                last = start + sum(map(len, pieces[:told]))
+                out += pieces[skip:told]
+                reach = self.chunk + self.overlap
+                while True:
+                    pieces = self.found(text[last : last + reach])
+                    if last + reach >= n:
+                        return out + pieces
+                    if self.sure(pieces, True):
+                        break
+                    reach *= 2
+                told = self.sure(pieces, True)
+                out += pieces[:told]
+                start = last + sum(map(len, pieces[:told]))
+                pieces, skip = self.found(text[start : start + self.chunk + self.overlap]), 0
+                continue
+            at, k = met
+            out += pieces[skip:k]
+            start, pieces, skip = after, follow, place[at - self.chunk]
+
 
+def encoded(text: str, pieces: Pieces, cut: Cutter) -> bytes:
+    return b"".join(map(pieces.__getitem__, cut(text)))
 
-def boundaries(pattern, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
-    """All pre-token boundaries of a text, by chunks that are cut independently and stitched."""
-    n = len(text)
-    parts = [_ends(pattern, text, s, min(n, s + chunk + overlap)) for s in range(0, n, chunk) or [0]]
-    out = parts[0]
-    for part in parts[1:]:
-        if out and out[-1] == n:
-            break
-        if not part or out[-1] < part[0] or not (meet := set(out[-overlap - 1 :]).intersection(part)):
-            # No boundary in common: go on from the last one that is sure, as far as needed.
-            reach = max(part[-1] if part else 0, out[-1]) + chunk + overlap
-            more = [out[-1]]
-            while len(more) < 2 and out[-1] < n:
-                more = _ends(pattern, text, out[-1], min(n, reach))
-                reach += 2 * (reach - out[-1])
-            out += more[1:]
-            continue
-        at = min(meet)
-        del out[out.index(at, max(0, len(out) - overlap - 1)) :]
-        out += part[part.index(at) :]
-    while out[-1] < n:  # what the last stitch left
-        out += _ends(pattern, text, out[-1], n)[1:]
-    return out
+
+def encode_text(text: str, pieces: Pieces, cut: Cutter) -> list[int]:
+    """The ids of one text, in one task."""
+    return np.frombuffer(encoded(text, pieces, cut), np.int32).tolist()
 
 
-def encode_text(text: str, pieces: Pieces, pattern, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
-    """The ids of one text in one task; of a text of one chunk there is nothing to stitch."""
-    if len(text) <= chunk:
-        return list(chain.from_iterable(map(pieces.__getitem__, pattern.findall(text))))
-    ends = boundaries(pattern, text, chunk, overlap)
-    return list(chain.from_iterable(pieces[text[a:b]] for a, b in zip(ends, ends[1:], strict=False)))
+def _ids(values: list[bytes]) -> pa.ListArray:
+    sizes = np.cumsum([0, *(len(v) // 4 for v in values)])
+    return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.frombuffer(b"".join(values), np.int32)))
 
 
-def _lists(values: list[list[int]], kind: pa.DataType) -> pa.ListArray:
+def _lists(values: list[list[int]]) -> pa.ListArray:
     sizes = np.cumsum([0, *map(len, values)])
-    return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.fromiter(chain.from_iterable(values), np.int64, sizes[-1]), kind))
+    return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.fromiter(chain.from_iterable(values), np.int64, sizes[-1])))
 
 
 def _encoder(ranks_path: str, pattern: str, chunk: int, overlap: int, at: int):
     def run(batches):
-        pieces, compiled = pieces_of(ranks_path), regex.compile(pattern)
+        pieces, cut = pieces_of(ranks_path), Cutter(pattern, chunk, overlap)
         for b in batches:
             for lo in range(0, b.num_rows, 500):  # so that the ids of few texts are held at once
                 part = b.slice(lo, 500)
-                ids = [encode_text(x.as_py() or "", pieces, compiled, chunk, overlap) for x in part.column(at)]
-                yield pa.RecordBatch.from_arrays([*part.columns, _lists(ids, pa.int32())], [*part.schema.names, "tokens"])
+                ids = [encoded(x or "", pieces, cut) for x in part.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, _ids(ids)], [*part.schema.names, "tokens"])
 
     return run
 
@@ -182,18 +241,16 @@ def _cutter(pattern: str, chunk: int, overlap: int):
     """Adds the boundaries in what a chunk shares with the one before (head) and with the next (tail)."""
 
     def run(batches):
-        compiled = regex.compile(pattern)
+        cut = Cutter(pattern, chunk, overlap)
         for b in batches:
             head, tail = [], []
-            for s, x in zip(b.column(2).to_pylist(), b.column(4), strict=True):
-                text = x.as_py()
+            for s, text in zip(b.column(2).to_pylist(), b.column(4).to_pylist(), strict=True):
+                pieces = cut.found(text)
                 # A whole length means that the text goes on, or ends here: then the last boundaries are sure too, but not known to be.
-                cut = len(text) == chunk + overlap
-                ends = [0] + [m.end() for m in compiled.finditer(text, concurrent=True)]
-                sure = ends[: max(1, len(ends) - 2)] if cut else ends
-                head.append([s + e for e in sure if e <= overlap])
-                tail.append([s + e for e in sure if e >= chunk])
-            yield pa.RecordBatch.from_arrays([*b.columns, _lists(head, pa.int64()), _lists(tail, pa.int64())], [*b.schema.names, "head", "tail"])
+                n = cut.sure(pieces, len(text) == chunk + overlap)
+                head.append([s + e for e in cut.heads(pieces, n)])
+                tail.append([s + e for e, _ in cut.tails(pieces, n)])
+            yield pa.RecordBatch.from_arrays([*b.columns, _lists(head), _lists(tail)], [*b.schema.names, "head", "tail"])
 
     return run
 
@@ -202,18 +259,18 @@ def _piecewise(ranks_path: str, pattern: str):
     """(row, n, ids) of what a chunk has between its stitches."""
 
     def run(batches):
-        pieces, compiled = pieces_of(ranks_path), regex.compile(pattern)
+        pieces, cut = pieces_of(ranks_path), Cutter(pattern)
         for b in batches:
             ids = []
-            for x, s, a, e in zip(b.column(2), *(b.column(i).to_pylist() for i in (3, 4, 5)), strict=True):
-                text, own = x.as_py(), []
-                stop = len(text) if e is None else e - s
-                for m in compiled.finditer(text, a - s, concurrent=True):  # the whole chunk, so that a stitch cuts no look ahead
-                    if m.end() > stop:
+            for text, s, a, e in zip(*(b.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True):
+                own, at = [], a
+                for p in cut.found(text, a - s):  # the whole chunk, so that a stitch cuts no look ahead
+                    at += len(p)
+                    if e is not None and at > e:
                         break
-                    own += pieces[m[0]]
-                ids.append(own)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _lists(ids, pa.int32())], ["row", "n", "ids"])
+                    own.append(p)
+                ids.append(b"".join(map(pieces.__getitem__, own)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _ids(ids)], ["row", "n", "ids"])
 
     return run
 
@@ -274,7 +331,8 @@ def _decoder(ranks_path: str, at: int):
         for token, rank in ranks.items():
             raw[rank] = token
         for b in batches:
-            out = [b"".join(map(raw.__getitem__, x.as_py() or ())) for x in b.column(at)]
+            flat, ends = np.asarray(b.column(at).values).tolist(), np.asarray(b.column(at).offsets).tolist()
+            out = [b"".join(map(raw.__getitem__, flat[x:y])) for x, y in zip(ends, ends[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], [*b.schema.names, "decoded"])
 
     return run

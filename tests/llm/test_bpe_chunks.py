@@ -23,9 +23,19 @@ def test_merges_against_the_library(encoding, monkeypatch):
     raws += [bytes(rng.randrange(256) for _ in range(rng.randint(1, 60))) for _ in range(1000)] + [b"a" * n for n in (1, 2, 255, 256, 257, 5000)]
     raws += ["".join(rng.choice("aabcd") for _ in range(n)).encode() for n in (300, 3000)]
     want = [encoding._encode_single_piece(r) for r in raws]
-    assert [bpe.merged(r, ranks) for r in raws] == want
+    ids = lambda: [[ranks[t] for t in bpe.merged(r, ranks)] for r in raws]
+    assert ids() == want
     monkeypatch.setattr(bpe, "HEAP_BYTES", 1)
-    assert [bpe.merged(r, ranks) for r in raws] == want
+    assert ids() == want
+
+
+def test_pieces_are_held_in_bounds(encoding, monkeypatch):
+    monkeypatch.setattr(bpe, "HELD", 50)
+    rng, pieces = random.Random(2), bpe.Pieces(bpe.read_ranks(RANKS))
+    words = [f" word{i}" for i in range(300)]
+    for _ in range(3000):
+        w = words[min(299, int(rng.expovariate(0.02)))]
+        assert pieces[w] == b"".join(i.to_bytes(4, "little") for i in encoding.encode_ordinary(w)) and len(pieces) <= 50 and len(pieces.aside) <= 50
 
 
 def test_rows_of_chunks_against_the_library(spark, encoding):

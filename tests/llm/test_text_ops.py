@@ -4,7 +4,6 @@ import re
 
 import pytest
 import public_tokenizers
-import regex
 import tiktoken
 
 from corvina.llm import bpe, decontam, licenses, pii
@@ -20,10 +19,11 @@ def encoding():
 def test_chunks_are_stitched_as_if_whole(encoding):
     rng = random.Random(1)
     parts = [*"ab1 '\n\t!é日s", "  ", "\n\n", "'s", "aaaa" * 30, " " * 40, "!!!'s", "'re'll"]
-    pieces, pattern = bpe.Pieces(bpe.read_ranks(RANKS)), regex.compile(public_tokenizers.PATTERN)
+    pieces = bpe.Pieces(bpe.read_ranks(RANKS))
     for _ in range(1500):
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 300)))
-        assert bpe.encode_text(text, pieces, pattern, rng.choice([5, 16, 64]), rng.choice([2, 4, 8])) == encoding.encode_ordinary(text)
+        cut = bpe.Cutter(public_tokenizers.PATTERN, rng.choice([5, 16, 64]), rng.choice([2, 4, 8]))
+        assert bpe.encode_text(text, pieces, cut) == encoding.encode_ordinary(text)
 
 
 def test_bpe_round_trip(spark, corpus, encoding):
