@@ -28,7 +28,9 @@ CHUNK, OVERLAP = 1 << 14, 1 << 9
 #: Chunks of a text of more characters than this are spread over tasks; those of a shorter one, a second's work, stay in one.
 SPREAD = 1 << 20
 #: From so many bytes on a pre-token is merged by a heap; pre-tokens that are held for the next time, and their longest.
-HEAP_BYTES, HELD, HELD_CHARS = 256, 250_000, 64
+HEAP_BYTES, HELD, HELD_CHARS = 256, 150_000, 64
+#: Rows of which the texts and ids are held as Python objects at once.
+STEP = 500
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -213,8 +215,8 @@ def _encoder(ranks_path: str, pattern: str, chunk: int, overlap: int, at: int):
     def run(batches):
         pieces, cut = pieces_of(ranks_path), Cutter(pattern, chunk, overlap)
         for b in batches:
-            for lo in range(0, b.num_rows, 500):  # so that the ids of few texts are held at once
-                part = b.slice(lo, 500)
+            for lo in range(0, b.num_rows, STEP):
+                part = b.slice(lo, STEP)
                 ids = [encoded(x or "", pieces, cut) for x in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, _ids(ids)], [*part.schema.names, "tokens"])
 
@@ -331,9 +333,12 @@ def _decoder(ranks_path: str, at: int):
         for token, rank in ranks.items():
             raw[rank] = token
         for b in batches:
-            flat, ends = np.asarray(b.column(at).values).tolist(), np.asarray(b.column(at).offsets).tolist()
-            out = [b"".join(map(raw.__getitem__, flat[x:y])) for x, y in zip(ends, ends[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], [*b.schema.names, "decoded"])
+            ids, ends = np.asarray(b.column(at).values), np.asarray(b.column(at).offsets)
+            for lo in range(0, b.num_rows, STEP):
+                cut = ends[lo : lo + STEP + 1].tolist()
+                flat = ids[cut[0] : cut[-1]].tolist()
+                out = [b"".join(map(raw.__getitem__, flat[x - cut[0] : y - cut[0]])) for x, y in zip(cut, cut[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([*b.slice(lo, STEP).columns, pa.array(out, pa.binary())], [*b.schema.names, "decoded"])
 
     return run
 
