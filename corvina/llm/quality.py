@@ -20,8 +20,8 @@ SYMBOLS = "#*$%&|<>"
 NOISE = SYMBOLS + "!?=~^{}[]\\_"
 #: Marks that end sentences or clauses: Latin and Greek, CJK, Arabic and Urdu, Indic, Armenian, Ethiopic, Burmese, Khmer, Tibetan.
 STOPS = ".!?:;…;。！？｡．؟۔؛।॥։።፧၊။។៕།"
-#: Ends of a line of prose: a mark, perhaps followed by closing quotes or brackets.
-ENDS = "[" + STOPS + r"""][\s"'”’»)\]]*$"""
+#: What may stand after such a mark at the end of a line: blanks, closing quotes and brackets.
+CLOSERS = " \t\x0b\f\r\"'”’»)]"
 #: Marks between the items of a menu.
 SEPARATORS = "|>»•·"
 #: Fixed phrases of page furniture, in lower case.
@@ -54,7 +54,9 @@ def line_passes(line: Column, furnished: Column) -> Column:
     bare = F.length(without(line, SPACES))
     noise = F.regexp_count(line, F.lit("[" + re.escape(NOISE) + "]"))
     marks = F.regexp_count(line, F.lit("[" + re.escape(SEPARATORS) + "]"))
-    punctuation = line.rlike(ENDS) & (noise * 10 <= bare)
+    # The last character before closers, without a pattern that would be tried from every place of the line.
+    open_ = F.rtrim(line, F.lit(CLOSERS))
+    punctuation = (open_ != "") & F.lit(STOPS).contains(F.right(open_, F.lit(1))) & (noise * 10 <= bare)
     navigation = marks * 40 >= F.greatest(bare, F.lit(120))
     return ~line.rlike(WORD_CHAR) | (punctuation & ~navigation & ~(furnished & _has_phrase(line)))
 

@@ -119,7 +119,7 @@ FROM c LEFT JOIN n ON n.doc_id = c.doc_id
 """
 
 _PASSES = (
-    f"length(bare) = 0 OR (regexp_matches(line, '[{quality.STOPS}][\\s\"''”’»)\\]]*$') AND noise * 10 <= length(bare) "
+    f"length(bare) = 0 OR (regexp_matches(line, '[{quality.STOPS}][\\x20\\x09\\x0B\\x0C\\x0D\"''”’»)\\]]*$') AND noise * 10 <= length(bare) "
     "AND NOT (marks >= 3 AND marks * 40 >= length(bare)) AND NOT ("
     + " OR ".join(f"contains(lower(line), '{p}')" for p in quality.BOILERPLATE)
     + "))"
