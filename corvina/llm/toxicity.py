@@ -90,11 +90,14 @@ class Field:
         p[np.arange(steps)[:, None] >= n] = 0
         return p.T, a.T, b.T
 
-    def gradient(self, f: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """That of the mean log-likelihood per token, by weights, bias and transitions; f: (sequences, steps, features), y: (sequences, steps) of 0 and 1."""
-        live = np.arange(f.shape[1]) < n[:, None]
-        pair = live[:, 1:]
-        e = (self.w[f].sum(2) + self.bias) * live
+    def gradient(self, f: np.ndarray, y: np.ndarray, n: np.ndarray, ready: tuple | None = None) -> np.ndarray:
+        """That of the mean log-likelihood per token, by weights, bias and transitions; f: (sequences, steps, features), y: (sequences, steps) of 0 and 1.
+
+        ready is what readied() makes of them, where many steps are taken with the same ones.
+        """
+        live, own, pair, truth = ready or readied(f, y, n)
+        e = np.zeros(live.shape)
+        e[live] = self.w[own].sum(1) + self.bias
         p, a, b = self.marginals(e, n)
         off = (y - p)[live]
         x, t = np.exp(np.clip(e[:, 1:], -30, 30)), np.exp(self.t)
@@ -102,18 +105,23 @@ class Field:
         xi = [[(a0 if i else 1 - a0) * t[i, j] * (x * b0 if j else 1 - b0) for j in (0, 1)] for i in (0, 1)]
         norm = xi[0][0] + xi[0][1] + xi[1][0] + xi[1][1]
         pairs = np.array([[(xi[i][j] / norm)[pair].sum() for j in (0, 1)] for i in (0, 1)])
-        truth = np.array([[((y[:, :-1] == i) & (y[:, 1:] == j) & pair).sum() for j in (0, 1)] for i in (0, 1)], float)
-        return np.concatenate([np.bincount(f[live].ravel(), np.repeat(off, f.shape[2]), BUCKETS), [off.sum()], (truth - pairs).ravel()]) / live.sum()
+        return np.concatenate([np.bincount(own.ravel(), np.repeat(off, own.shape[1]), len(self.w)), [off.sum()], (truth - pairs).ravel()]) / len(own)
 
     def fit(self, f: np.ndarray, y: np.ndarray, n: np.ndarray, steps: int = 60, rate: float = 0.3, decay: float = 1e-4) -> None:
-        """Adam on the mean log-likelihood."""
-        m, v = np.zeros(BUCKETS + 5), np.zeros(BUCKETS + 5)
+        """Adam on the mean log-likelihood; only features that occur are moved, the others stay at 0."""
+        used, inner = np.unique(f, return_inverse=True)
+        inner = inner.reshape(f.shape)
+        whole, self.w = self.w, self.w[used]
+        ready, k_w = readied(inner, y, n), len(used)
+        m, v = np.zeros(k_w + 5), np.zeros(k_w + 5)
         for k in range(1, steps + 1):
             now = np.concatenate([self.w, [self.bias], self.t.ravel()])
-            g = self.gradient(f, y, n) - decay * np.concatenate([self.w, np.zeros(5)]) / 10
+            g = self.gradient(inner, y, n, ready) - decay * np.concatenate([self.w, np.zeros(5)]) / 10
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
             now += rate * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-8)
-            self.w, self.bias, self.t = now[:BUCKETS], float(now[BUCKETS]), now[BUCKETS + 1 :].reshape(2, 2)
+            self.w, self.bias, self.t = now[:k_w], float(now[k_w]), now[k_w + 1 :].reshape(2, 2)
+        whole[used] = self.w
+        self.w = whole
 
     def score(self, p: np.ndarray) -> float:
         """A document's score from the marginals of its tokens."""
@@ -129,6 +137,14 @@ class Field:
         self.level = w
 
 
+def readied(f: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple:
+    """(which steps there are, the features of their tokens, which of them follow one, the transitions in the labels)"""
+    live = np.arange(f.shape[1]) < n[:, None]
+    pair = live[:, 1:]
+    truth = np.array([[((y[:, :-1] == i) & (y[:, 1:] == j) & pair).sum() for j in (0, 1)] for i in (0, 1)], float)
+    return live, f[live], pair, truth
+
+
 def aggregates(p: np.ndarray) -> np.ndarray:
     """What a document's score is told from: a constant, the sum of its squared marginals, in which many small ones count little, and its length."""
     return np.array([1.0, np.log(float(p @ p) + 0.1), np.log(len(p) + 10.0)])
