@@ -150,7 +150,7 @@ def aggregates(p: np.ndarray) -> np.ndarray:
     return np.array([1.0, np.log(float(p @ p) + 0.1), np.log(len(p) + 10.0)])
 
 
-def token_labels(docs: list[tuple[str, int]], least: int = 8, ratio: float = 0.15, most: int = 5) -> set[int]:
+def token_labels(docs: list[tuple[str, int]], least: int = 8, ratio: float = 0.15, most: int = 5, known: dict[str, list[int]] | None = None) -> set[int]:
     """Feature buckets that are far commoner in toxic documents of a labelled sample than in clean ones.
 
     A document counts a bucket up to most times. A bucket is marked with least
@@ -159,7 +159,7 @@ def token_labels(docs: list[tuple[str, int]], least: int = 8, ratio: float = 0.1
     """
     by = (Counter(), Counter())
     sizes = [0, 0]
-    known: dict[str, list[int]] = {}
+    known = {} if known is None else known  # features of words
     for text, toxic in docs:
         words = Counter(w for w in TOKEN.findall(text) if w not in ".!?\n")
         own: Counter = Counter()
@@ -187,12 +187,12 @@ def train(docs: list[tuple[str, int]], seed: int = 7) -> Field:
     most TOXIC_PIECES with a toxic token and OTHER_PIECES others are drawn.
     """
     field = Field()
-    marks = token_labels(docs)
+    known: dict[str, list[int]] = {}
+    marks = token_labels(docs, known=known)
     if not marks or len({t for _, t in docs}) < 2:
         return field
     rng = np.random.default_rng(seed)
     with_label, without = [], []
-    known: dict[str, list[int]] = {}
     for text, toxic in docs:
         for s in sequences(text):
             fs = [known.get(w := text[a:b]) or known.setdefault(w, features(w)) for a, b in s]
@@ -208,7 +208,13 @@ def train(docs: list[tuple[str, int]], seed: int = 7) -> Field:
         y[i, : len(one)] = one
     field.fit(f, y, n)
     scorer = Scorer(field)
-    field.fit_level([p for text, _ in docs for p in scorer.marginals([text])], [t for _, t in docs])
+    told, lo, held = [], 0, 0
+    for i, (text, _) in enumerate(docs, 1):  # as many texts together as scoring takes
+        held += len(text)
+        if held >= BATCH_CHARS or i == len(docs):
+            told += scorer.marginals([t for t, _ in docs[lo:i]])
+            lo, held = i, 0
+    field.fit_level(told, [t for _, t in docs])
     return field
 
 
