@@ -131,6 +131,34 @@ def microbe_features(entity_sentences: DataFrame, terms: Sequence[tuple[str, str
     return first_by(one.drop("m"), ["pmid", "microbe", "feature"], F.col("ord"), F.col("sentence"))
 
 
+def gated_features(candidates: DataFrame, grounded: DataFrame) -> DataFrame:
+    """microbe_features() with drop_reason, null for those that stay, and cui, tui, similarity and official_name, from grounded(surface, accepted, ...).
+
+    Surfaces are compared trimmed and in lower case; one that was not grounded is dropped as such.
+    """
+    told = ("cui", "tui", "similarity", "official_name")
+    g = grounded.groupBy(F.lower(F.trim("surface")).alias("_k")).agg(F.max_by(F.struct("accepted", "drop_reason", *told), F.struct("accepted", "similarity")).alias("_g"))
+    joined = candidates.join(g, F.col("microbe") == F.col("_k"), "left")
+    reason = F.when(F.coalesce("_g.accepted", F.lit(False)), None).otherwise(F.coalesce(F.nullif("_g.drop_reason", F.lit("")), F.lit("not_grounded")))
+    return joined.withColumns({"drop_reason": reason} | {f"microbe_{c}": F.col(f"_g.{c}") for c in told}).drop("_k", "_g")
+
+
+def feature_edges(candidates: DataFrame, samples: DataFrame, node_types: Mapping[str, str] | None = None) -> DataFrame:
+    """CORRELATES_WITH edges of candidates(pmid, microbe, feature, sentence) that all answers call associated.
+
+    samples(pmid, microbe, feature, label) are the answers of repeated calls; a candidate without any is no edge.
+    """
+    key = ["pmid", "microbe", "feature"]
+    votes = samples.groupBy(*key).agg(F.bool_and(F.coalesce("label", F.lit("")) == "associated").alias("_all"), F.count("*").alias("n_samples"))
+    kinds = F.create_map(*[F.lit(x) for p in (node_types or {"": ""}).items() for x in p])
+    good = candidates.join(votes.where("_all"), key)
+    return good.select(
+        text.stable_id(*[F.col(k) for k in key]).alias("record_id"), "pmid", F.lit("Microbe").alias("source_node_type"), F.col("microbe").alias("source_node"),
+        F.coalesce(F.try_element_at(kinds, F.col("feature")), text.feature_node_type(F.col("feature"))).alias("target_node_type"), F.col("feature").alias("target_node"),
+        F.lit("CORRELATES_WITH").alias("rel_type"), F.concat(F.lit("PMID "), "pmid", F.lit(": "), F.substring("sentence", 1, 250)).alias("evidence"), F.lit(1.0).alias("confidence"), "n_samples",
+    )
+
+
 def ground(surfaces: DataFrame, groundings: DataFrame, tuis: Sequence[str], deny: Mapping[str, str] | None = None, floor: float = 0.85) -> DataFrame:
     """surfaces(surface, ...) with cui, tui, similarity, official_name, accepted and drop_reason.
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,15 +35,35 @@ def schema(name: str) -> T.StructType:
     return T.StructType.fromDDL(DDL[name])
 
 
-def violations(rows: DataFrame, key: str, required: Sequence[str] = (), enums: Mapping[str, Sequence[str]] | None = None, ranges: Mapping[str, tuple[float, float]] | None = None) -> DataFrame:
-    """One row (record_id, path, rule) per rule that a row breaks: a required column that is null, a value outside its list or its range.
+def _broken(path: str, test: Callable[[Column], Column]) -> Column:
+    """Whether a value at a path breaks a rule; a[].b is looked at in every element of a."""
 
-    Rules on columns that the rows don't have are broken by every row where the
-    column is required, and by none otherwise. All rules are checked in one pass.
+    def at(value: Column, rest: list[str]) -> Column:
+        return F.exists(value, lambda e: at(_inner(e, rest[0]), rest[1:])) if rest else test(value)
+
+    first, *rest = path.split("[].")
+    return at(F.col(first), rest)
+
+
+def _inner(element: Column, path: str) -> Column:
+    for name in path.split("."):
+        element = element[name]
+    return element
+
+
+def violations(
+    rows: DataFrame, key: str, required: Sequence[str] = (), enums: Mapping[str, Sequence[str]] | None = None, ranges: Mapping[str, tuple[float, float]] | None = None
+) -> DataFrame:
+    """One row (record_id, path, rule) per rule that a row breaks: a required value that is null, one outside its list or its range.
+
+    A path is a column, a field a.b, or a field of array elements, a[].b. Rules
+    on columns that the rows don't have are broken by every row where the column
+    is required, and by none otherwise. All rules are checked in one pass.
     """
-    checks = [(c, "required", F.col(c).isNull() if c in rows.columns else F.lit(True)) for c in required]
-    checks += [(c, "enum", F.col(c).isNotNull() & ~F.col(c).isin(*v)) for c, v in (enums or {}).items() if c in rows.columns]
-    checks += [(c, "range", ~F.col(c).between(*v)) for c, v in (ranges or {}).items() if c in rows.columns]
+    there = lambda path: path.split("[")[0].split(".")[0] in rows.columns
+    checks = [(c, "required", _broken(c, lambda x: x.isNull()) if there(c) else F.lit(True)) for c in required]
+    checks += [(c, "enum", _broken(c, lambda x, v=v: x.isNotNull() & ~x.isin(*v))) for c, v in (enums or {}).items() if there(c)]
+    checks += [(c, "range", _broken(c, lambda x, v=v: ~x.between(*v))) for c, v in (ranges or {}).items() if there(c)]
     if not checks:
         return rows.select(F.col(key).cast("string").alias("record_id"), F.lit("").alias("path"), F.lit("").alias("rule")).limit(0)
     found = F.array(*[F.when(F.coalesce(bad, F.lit(False)), F.struct(F.lit(c).alias("path"), F.lit(rule).alias("rule"))) for c, rule, bad in checks])
