@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 from operator import and_, or_
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -136,7 +137,7 @@ def download_texts(papers: DataFrame, texts: DataFrame, fetch: Callable[[str], s
     if fetch is not None:
 
         @F.pandas_udf("string")
-        def fetched(batches: Iterator) -> Iterator:
+        def fetched(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for s in batches:
                 yield s.map(lambda p: _tried(fetch, p) if p else None)
 
