@@ -23,12 +23,14 @@ def scratch(df: DataFrame, rows: int | None = None) -> DataFrame:
     table would leave a file per pair of partitions in every later shuffle.
 
     The folder is the one that the session names in spark.checkpoint.dir; a
-    session without one (tests on one machine) gets a temporary folder. A lost
-    executor costs nothing that was written before.
+    session without one gets a temporary folder if it runs on one machine, else
+    an error. A lost executor costs nothing that was written before.
     """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
+        named, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+        if named is None and (not master.startswith("local") or master.startswith("local-cluster")):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="corvina-"))
     out = df.checkpoint(eager=True)
     if rows is None:
@@ -73,8 +75,8 @@ def content_key(text: Column) -> Column:
     return F.struct(F.xxhash64(whole).alias("k1"), F.xxhash64(F.lit(1), whole, F.lit(7)).alias("k2"))
 
 
-#: Rows that a broadcast side has at most, and parts that a hot key is dealt into beyond that.
-BROADCAST_ROWS, SALT = 50_000, 32
+#: Rows that a broadcast side has at most, rows of one number each, and parts that a hot key is dealt into beyond that.
+BROADCAST_ROWS, BROADCAST_KEYS, SALT = 50_000, 400_000, 32
 
 
 def met(big: DataFrame, small: DataFrame, keys: list[str], spread: str, how: str = "inner", weight: int | None = None) -> DataFrame:

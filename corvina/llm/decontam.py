@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import content_key, met, quoted, scratch
-from .minhash import U, mix
+from .common import BROADCAST_ROWS, content_key, met, quoted, scratch
+from .hashing import U, bits_for, bloom, mix, passes
 
 #: Fixed words for units of measure, as they follow a number.
 UNITS = frozenset(
@@ -37,9 +37,6 @@ NUM_CODE, UNIT_CODE, NAME_CODE = U(0x1), U(0x2), U(0x3)
 #: first on its own (as in Then Tom), all are and the first belongs to a run that it begins (as in Tom Smith).
 NO_NAMES, INNER, FIRST_ALONE, FIRST_JOINED = READINGS = range(4)
 WINDOW = 5
-#: Bits of a Bloom filter: about so many for each window, a power of two and MOST_BITS (16 MB) at most.
-#: With more windows than that more documents' windows pass it, and the join is still exact.
-BITS_EACH, MOST_BITS, PROBES_EACH = 16, 1 << 27, 3
 #: Characters of documents that are read together, about.
 READ_CHARS = 200_000
 
@@ -327,41 +324,6 @@ def leak(item: str, text: str, size: int = WINDOW, share: float = 0.8) -> tuple[
     return best
 
 
-# Bloom filters.
-
-
-def _place(h: np.ndarray, i: int, bits: int) -> np.ndarray:
-    return (mix(h + U(0xA24BAED4963EE407 * i % 2**64)) if i else h) & U(bits - 1)
-
-
-def _bloom(hashes: DataFrame, bits: int) -> np.ndarray:
-    """A filter of the hashes in column h, made in parts and joined bit by bit."""
-
-    def run(batches):
-        for b in batches:
-            h = np.asarray(b.column(0)).view(U)
-            at = np.unique(np.concatenate([_place(h, i, bits) for i in range(PROBES_EACH)]))
-            word, first = np.unique(at >> U(6), return_index=True)
-            value = np.bitwise_or.reduceat(U(1) << (at & U(63)), first) if len(at) else at
-            yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(value.view(np.int64))], ["word", "value"])
-
-    out = np.zeros(bits >> 6, U)
-    rows = hashes.select("h").mapInArrow(run, "word bigint, value bigint").groupBy("word").agg(F.bit_or("value")).collect()
-    if rows:
-        word, value = (np.array(x, np.int64) for x in zip(*rows, strict=True))
-        out[word] = value.view(U)
-    return out
-
-
-def _passes(h: np.ndarray, bloom: np.ndarray) -> np.ndarray:
-    """Indices of the hashes that a filter lets pass."""
-    left = np.arange(len(h))
-    for i in range(PROBES_EACH):
-        at = _place(h[left], i, len(bloom) << 6)
-        left = left[(bloom[(at >> U(6)).astype(np.int64)] >> (at & U(63)) & U(1)) == 1]
-    return left
-
-
 # Both sides, and their join.
 
 
@@ -411,7 +373,7 @@ def _together(texts: list[str]) -> list[tuple[int, int]]:
     return out
 
 
-def _reader(sizes: list[int], probe_bloom: np.ndarray, bloom: np.ndarray):
+def _reader(sizes: list[int], probe_filter: np.ndarray, filter_: np.ndarray):
     """What may have a partner of each document, reading and size that holds what may be a probe."""
 
     def run(batches):
@@ -421,13 +383,13 @@ def _reader(sizes: list[int], probe_bloom: np.ndarray, bloom: np.ndarray):
             texts = [x or "" for x in b.column(b.num_columns - 1).to_pylist()]
             for lo, hi in _together(texts):
                 for names, size, h, at, of, fill in document_windows(read(texts[lo:hi]), sizes):
-                    some = _passes(h, probe_bloom)
+                    some = passes(h, probe_filter)
                     if not len(some):
                         continue
                     hit = np.zeros(hi - lo, bool)
                     hit[of[some]] = True
                     mine = np.flatnonzero(hit[of])
-                    mine = mine[_passes(h[mine], bloom)]
+                    mine = mine[passes(h[mine], filter_)]
                     v = fill(at[mine]).view(np.int64)
                     cut, cut_some = np.searchsorted(of[mine], np.flatnonzero(hit)), np.searchsorted(of[some], np.flatnonzero(hit))
                     parts = (np.split(h[some].view(np.int64), cut_some[1:]), *(np.split(x, cut[1:]) for x in (h[mine].view(np.int64), v, at[mine])))
@@ -475,10 +437,9 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, item_id: str, item_text: str,
     if not about[1]:
         return docs.sparkSession.createDataFrame([], result)
     probes = scratch(_probes(items, share))
-    bits = lambda n: min(MOST_BITS, max(64, 1 << (BITS_EACH * n - 1).bit_length()))
-    blooms = _bloom(probes, bits(probes.count())), _bloom(items.select(F.explode("h").alias("h")), bits(about[1]))
+    filters = bloom(probes, bits_for(probes.count())), bloom(items.select(F.explode("h").alias("h")), bits_for(about[1]))
     made = T.StructType.fromDDL("names int, size int, probes array<bigint>, h array<bigint>, v array<bigint>, at array<bigint>")
-    seen = docs.mapInArrow(_reader(sorted(about[0]), *blooms), T.StructType([*docs.schema.fields[:-1], *made]))
+    seen = docs.mapInArrow(_reader(sorted(about[0]), *filters), T.StructType([*docs.schema.fields[:-1], *made]))
     seen = scratch(seen.withColumn("row", F.monotonically_increasing_id()))  # fixed once it is written
     # The hash join of template windows, and the windows of the pairs that it finds.
     hits = met(seen.select("row", F.explode(F.array_distinct("probes")).alias("h")), probes, ["h"], "row")
@@ -535,5 +496,5 @@ def decontaminate(
 
 def without_keys(df: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
     """df without the rows whose key is listed in gone(_cv_1, _cv_2); rows stay where they are if the list is short."""
-    gone = F.broadcast(gone) if gone.count() <= 500_000 else gone
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
     return df.join(gone, (key["k1"] == F.col("_cv_1")) & (key["k2"] == F.col("_cv_2")), "left_anti")

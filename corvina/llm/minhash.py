@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import content_key, extra_columns, met, met_where_hot, quoted, scratch
+from .common import BROADCAST_KEYS, content_key, extra_columns, met, met_where_hot, quoted, scratch
 from .components import components
+from .hashing import U, mix
 
 #: 32 bands of 5 slots: a pair at 0.8 is missed by all bands in 3 of 1,000,000 cases.
 BANDS, ROWS = 32, 5
@@ -35,16 +36,6 @@ PAIRS, WIDE = 50_000, 5_000
 #: The members of a bucket that is dealt out.
 HOT = 500
 
-U = np.uint64
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser."""
-    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
-
-
 class WordHashes(dict):
     """64-bit hashes of words; forgets them all when it grows too large."""
 
@@ -171,9 +162,12 @@ def _comparer(size: int, with_rest: bool):
 
 
 def _texts(digests: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(digest, t): a text of each class in digests(digest), fetched once."""
-    keys = classes.join(digests, "digest", "left_semi").select("digest", "key.k1", "key.k2")
-    return scratch(docs.select("k.k1", "k.k2", "text").join(keys, ["k1", "k2"]).groupBy("digest").agg(F.min("text").alias("t")), WIDE)
+    """(digest, t): a text of each class in digests(digest), fetched once; the others stay where they lie, unless the keys are too many to be sent there."""
+    keys = scratch(classes.join(digests, "digest", "left_semi").select("digest", "key.k1", "key.k2"), PAIRS)
+    rows = docs.select("k.k1", "k.k2", "text")
+    if keys.count() <= BROADCAST_KEYS:
+        rows = rows.join(F.broadcast(keys.select("k1").distinct()), "k1", "left_semi")
+    return scratch(rows.join(keys, ["k1", "k2"]).groupBy("digest").agg(F.min("text").alias("t")), WIDE)
 
 
 def _compared(pairs: DataFrame, texts: DataFrame, size: int, with_rest: bool) -> DataFrame:
@@ -240,9 +234,11 @@ def _linked(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     differ = " + ".join(f"bit_count(x.bits[{i}] ^ y.bits[{i}])" for i in range(2 * SLOTS // 64))
     alike = F.expr(f"x.root <> y.root AND 100 * least(x.na, y.na) >= {percent} * greatest(x.na, y.na) AND {differ} <= {MAX_BITS}")
     # Pairs that share a shingle outside R: only shingles that reach over components are looked at.
-    apart = left.select("a", "b", "na", "c", "root", "bits", F.explode("own").alias("s"))
-    across = apart.groupBy("b", "s").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("b", "s")
-    apart = apart.join(across, ["b", "s"], "left_semi")
+    # What is shuffled for that are hashes of the hub and the root with the shingle.
+    apart = left.select("a", "b", "na", "c", "root", "bits", F.xxhash64("b").alias("hub"), F.explode("own").alias("s"))
+    told = left.select(F.xxhash64("b").alias("hub"), F.xxhash64("root").alias("r"), F.explode("own").alias("s"))
+    across = told.groupBy("hub", "s").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo <> hi").select("hub", "s")
+    apart = apart.join(across, ["hub", "s"], "left_semi").drop("hub")
     touch = apart.alias("x").join(apart.alias("y"), ["b", "s"]).where("x.a < y.a").where(alike)
     touch = touch.groupBy("b", "x.a", F.col("y.a").alias("z")).agg(F.count("*").alias("o"), F.min(F.least("x.c", "y.c")).alias("c"), F.min(F.col("x.na") + F.col("y.na")).alias("n"))
     one = touch.where(f"(c + o) * {100 + percent} >= {percent} * n").select("a", F.col("z").alias("b"))
