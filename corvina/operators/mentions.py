@@ -155,7 +155,8 @@ def feature_edges(candidates: DataFrame, samples: DataFrame, node_types: Mapping
     return good.select(
         text.stable_id(*[F.col(k) for k in key]).alias("record_id"), "pmid", F.lit("Microbe").alias("source_node_type"), F.col("microbe").alias("source_node"),
         F.coalesce(F.try_element_at(kinds, F.col("feature")), text.feature_node_type(F.col("feature"))).alias("target_node_type"), F.col("feature").alias("target_node"),
-        F.lit("CORRELATES_WITH").alias("rel_type"), F.concat(F.lit("PMID "), "pmid", F.lit(": "), F.substring("sentence", 1, 250)).alias("evidence"), F.lit(1.0).alias("confidence"), "n_samples",
+        F.lit("CORRELATES_WITH").alias("rel_type"), F.concat(F.lit("PMID "), "pmid", F.lit(": "), F.substring("sentence", 1, 250)).alias("evidence"),
+            F.lit(1.0).alias("confidence"), "n_samples",
     )
 
 

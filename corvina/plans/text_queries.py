@@ -404,14 +404,19 @@ def e9_feature_edges(spark, d):
 
 @query("""
 SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN -0.5 WHEN 1 THEN -1 END::DOUBLE AS low, CASE p_size % 5 WHEN 0 THEN 0.5 WHEN 1 THEN 2 END::DOUBLE AS high,
-       CASE p_size % 5 WHEN 0 THEN 'read off' WHEN 1 THEN 'vlm_extracted' WHEN 2 THEN 'no_numeric_ticks' WHEN 3 THEN 'non_numeric_response' ELSE 'vlm_extracted' END AS reason,
+       CASE p_size % 5 WHEN 0 THEN 'read off' WHEN 1 THEN 'vlm_extracted' WHEN 2 THEN 'no_numeric_ticks' WHEN 3 THEN 'non_numeric_response' ELSE 'vlm_extracted' END
+           AS reason,
        CASE WHEN p_size % 5 = 4 OR p_partkey % 4 = 3 THEN 'unknown' ELSE ['positive', 'neutral', 'unknown'][p_partkey % 4 + 1] END AS hemisphere,
-       CASE WHEN p_partkey % 4 = 3 THEN 'bbox_invalid' WHEN p_size % 5 = 4 THEN 'hemisphere_missing' WHEN p_partkey % 4 = 2 THEN 'hemisphere_unrecognized' ELSE 'vlm_judgment' END AS seen FROM part""")
+       CASE WHEN p_partkey % 4 = 3 THEN 'bbox_invalid' WHEN p_size % 5 = 4 THEN 'hemisphere_missing' WHEN p_partkey % 4 = 2 THEN 'hemisphere_unrecognized'
+           ELSE 'vlm_judgment' END AS seen
+         FROM part""")
 def v7_readers(spark, d):
     from ..operators import figures
 
-    bar = _case("p_size", ['{"min": 0.5, "max": -0.5, "reason": "read off"}', '```json\n{"min": "-1", "max": 2}\n```', '{"min": null, "max": 1, "reason": "no_numeric_ticks"}', '{"min": "low", "max": 1}', "none"])
-    cell = F.when(F.col("p_size") % 5 == 4, "{}").otherwise(_case("p_partkey", ['{"hemisphere": " Positive"}', 'so {"hemisphere": "NEUTRAL", "reason": ""}', '{"hemisphere": "warm"}', '{"hemisphere": "negative"}']))
+    bar = _case("p_size", ['{"min": 0.5, "max": -0.5, "reason": "read off"}', '```json\n{"min": "-1", "max": 2}\n```',
+        '{"min": null, "max": 1, "reason": "no_numeric_ticks"}', '{"min": "low", "max": 1}', "none"])
+    cell = F.when(F.col("p_size") % 5 == 4, "{}").otherwise(_case("p_partkey",
+        ['{"hemisphere": " Positive"}', 'so {"hemisphere": "NEUTRAL", "reason": ""}', '{"hemisphere": "warm"}', '{"hemisphere": "negative"}']))
     area = F.when(F.col("p_partkey") % 4 != 3, F.array(*map(F.lit, (1, 2, 3, 4)))).otherwise(F.array(F.lit(1)))
     p = table(spark, d, "part").select("p_partkey", figures.colourbar_range(bar).alias("b"), figures.hemisphere(cell, area).alias("h"))
     return p.select("p_partkey", "b.low", "b.high", "b.reason", "h.hemisphere", F.col("h.reason").alias("seen"))
@@ -419,11 +424,13 @@ def v7_readers(spark, d):
 
 @query("""
 SELECT p_partkey::VARCHAR AS record_id, 'items[].kind' AS path, 'enum' AS rule FROM part WHERE p_size % 3 = 0
-UNION ALL SELECT p_partkey::VARCHAR, 'items[].score', 'range' FROM part WHERE p_size > 40 UNION ALL SELECT p_partkey::VARCHAR, 'one.name', 'required' FROM part WHERE p_size % 4 = 0""")
+UNION ALL SELECT p_partkey::VARCHAR, 'items[].score', 'range' FROM part WHERE p_size > 40
+  UNION ALL SELECT p_partkey::VARCHAR, 'one.name', 'required' FROM part WHERE p_size % 4 = 0""")
 def f1_nested_violations(spark, d):
     from ..schemas import violations
 
     item = lambda k, x: F.struct(k.alias("kind"), x.alias("score"))
     kind = F.when(F.col("p_size") % 3 == 0, "other").otherwise("a")
-    p = table(spark, d, "part").select("p_partkey", F.array(item(F.lit("a"), F.lit(0.5)), item(kind, F.col("p_size") / 40)).alias("items"), F.struct(F.when(F.col("p_size") % 4 != 0, "x").alias("name")).alias("one"))
+    p = table(spark, d, "part").select("p_partkey", F.array(item(F.lit("a"), F.lit(0.5)), item(kind, F.col("p_size") / 40)).alias("items"),
+        F.struct(F.when(F.col("p_size") % 4 != 0, "x").alias("name")).alias("one"))
     return violations(p, "p_partkey", ["one.name"], {"items[].kind": ("a", "b")}, {"items[].score": (0, 1)})

@@ -13,21 +13,78 @@ _VERIFICATION = "struct<pass_fail:boolean,verified:boolean,support_fraction:doub
 
 #: Record type -> DDL.
 DDL = {
-    "papers": "pmid string, title string, abstract string, query string, retrieval_date string, source string, pmcid string, doi string, journal string, issn string, year int, language string, impact_factor double, quartile string, full_text_path string",
-    "figures": "figure_id string, pmid string, pmcid string, caption string, image_path string, topology string, topology_confidence double, heuristic_hits array<string>",
-    "text_mentions": "mention_id string, pmid string, sentence string, span_start int, span_end int, raw_feature string, canonical_feature string, ibsi_id string, confidence double, mapping_method string, evidence string, feature_family string, node_type string, ontology_namespace string, modality string, body_location string, disease string, claim_hint string, subject_node_type string, subject_node string",
-    "entity_sentences": f"record_id string, pmid string, sentence string, sentence_index int, diseases {_ENTITY}, microbes {_ENTITY}, source_text string, extraction_meta struct<disease_mode:string,microbe_model:string,umls_linker:boolean>, paper_title string",
-    "relation_input": "row_id string, pmid string, sentence string, microbe string, disease string, subject_node_type string, subject_node string, impact_factor double, quartile string, entity_sentence_id string, disease_cui string, microbe_cui string, radiomic_features array<string>, has_radiomics_context boolean, source string",
-    "augmented_relations": "row_id string, source_row_id string, kind string, text string, microbe string, disease string, metadata map<string,string>",
-    "relation_predictions": "prediction_id string, pmid string, microbe string, subject_node_type string, subject_node string, disease string, sentence string, final_label string, accepted boolean, full_consistency boolean, label_entropy double, zero_entropy boolean, sample_labels array<string>, vote_counts map<string,int>, model_backend string, model_family string, model_id string, temperatures array<double>, impact_factor string, quartile string",
-    "relation_aggregated": "pmid string, microbe string, disease string, subject_node_type string, subject_node string, final_label string, accepted boolean, evidence string, sentence_count int, vote_counts map<string,int>, impact_factor string, quartile string",
-    "vision_proposals": f"proposal_id string, pmid string, figure_id string, panel_id string, topology string, candidate_r double, effect_type string, ci_lower double, ci_upper double, p_value double, bbox array<int>, legend_bbox array<int>, heatmap_bbox array<int>, modality string, status string, backend string, image_path string, microbe string, radiomic_feature string, disease string, verification {_VERIFICATION}",
-    "verification_results": "verification_id string, proposal_id string, pmid string, figure_id string, proposed_r double, verified boolean, pass_fail boolean, reason_code string, observed_range array<double>, distance_metric double, nearest_r double, support_pixels int, required_support int, support_fraction double, diagnostics variant",
-    "edge_candidates": "edge_id string, pmid string, subject_node_type string, subject_node string, object_node_type string, object_node string, graph_rel_type string, r_value double, evidence_type string, confidence double, figure_id string, evidence string, verification_passed boolean, feature_family string, claim_hint string, journal string, title string, pmcid string, publication_year int, impact_factor double, quartile string, issn string, assertion_level string",
-    "bridge_hypotheses": "hypothesis_id string, pmid string, microbe_or_signature string, microbe_or_signature_type string, phenotype string, phenotype_node_type string, disease string, evidence_fragments array<string>, bridge_reason string, confidence double, not_for_graph_ingestion boolean",
-    "axis_candidates": "candidate_id string, mention_id string, pmid string, subject_node_type string, subject_node string, phenotype string, phenotype_node_type string, feature_family string, disease_context string, evidence string, confidence double, claim_hint string, not_for_graph_ingestion boolean",
-    "signed_edges": "edge_id string, pmid string, subject_node_type string, subject_node string, object_node_type string, object_node string, graph_rel_type string, relation_direction string, evidence string, confidence double, positive_support bigint, negative_support bigint, net_confidence double, supporting_pmids string",
-    "gold_labels": "record_id string, pmid string, stratum string, microbe string, candidate_feature_canonical string, inferred_feature_canonical string, label string, evidence_type string, quantitative string, confidence string",
+    "papers": (
+        "pmid string, title string, abstract string, query string, retrieval_date string, source string, pmcid string, doi string, "
+        "journal string, issn string, year int, language string, impact_factor double, quartile string, full_text_path string"
+    ),
+    "figures": (
+        "figure_id string, pmid string, pmcid string, caption string, image_path string, topology string, topology_confidence double, "
+        "heuristic_hits array<string>"
+    ),
+    "text_mentions": (
+        "mention_id string, pmid string, sentence string, span_start int, span_end int, raw_feature string, canonical_feature string, "
+        "ibsi_id string, confidence double, mapping_method string, evidence string, feature_family string, node_type string, "
+        "ontology_namespace string, modality string, body_location string, disease string, claim_hint string, subject_node_type string, "
+        "subject_node string"
+    ),
+    "entity_sentences": (
+        f"record_id string, pmid string, sentence string, sentence_index int, diseases {_ENTITY}, microbes {_ENTITY}, source_text string, "
+        "extraction_meta struct<disease_mode:string,microbe_model:string,umls_linker:boolean>, paper_title string"
+    ),
+    "relation_input": (
+        "row_id string, pmid string, sentence string, microbe string, disease string, subject_node_type string, subject_node string, "
+        "impact_factor double, quartile string, entity_sentence_id string, disease_cui string, microbe_cui string, "
+        "radiomic_features array<string>, has_radiomics_context boolean, source string"
+    ),
+    "augmented_relations": (
+        "row_id string, source_row_id string, kind string, text string, microbe string, disease string, metadata map<string,string>"
+    ),
+    "relation_predictions": (
+        "prediction_id string, pmid string, microbe string, subject_node_type string, subject_node string, disease string, "
+        "sentence string, final_label string, accepted boolean, full_consistency boolean, label_entropy double, zero_entropy boolean, "
+        "sample_labels array<string>, vote_counts map<string,int>, model_backend string, model_family string, model_id string, "
+        "temperatures array<double>, impact_factor string, quartile string"
+    ),
+    "relation_aggregated": (
+        "pmid string, microbe string, disease string, subject_node_type string, subject_node string, final_label string, accepted boolean, "
+        "evidence string, sentence_count int, vote_counts map<string,int>, impact_factor string, quartile string"
+    ),
+    "vision_proposals": (
+        "proposal_id string, pmid string, figure_id string, panel_id string, topology string, candidate_r double, effect_type string, "
+        "ci_lower double, ci_upper double, p_value double, bbox array<int>, legend_bbox array<int>, heatmap_bbox array<int>, "
+        "modality string, status string, backend string, image_path string, microbe string, radiomic_feature string, disease string, "
+        f"verification {_VERIFICATION}"
+    ),
+    "verification_results": (
+        "verification_id string, proposal_id string, pmid string, figure_id string, proposed_r double, verified boolean, "
+        "pass_fail boolean, reason_code string, observed_range array<double>, distance_metric double, nearest_r double, "
+        "support_pixels int, required_support int, support_fraction double, diagnostics variant"
+    ),
+    "edge_candidates": (
+        "edge_id string, pmid string, subject_node_type string, subject_node string, object_node_type string, object_node string, "
+        "graph_rel_type string, r_value double, evidence_type string, confidence double, figure_id string, evidence string, "
+        "verification_passed boolean, feature_family string, claim_hint string, journal string, title string, pmcid string, "
+        "publication_year int, impact_factor double, quartile string, issn string, assertion_level string"
+    ),
+    "bridge_hypotheses": (
+        "hypothesis_id string, pmid string, microbe_or_signature string, microbe_or_signature_type string, phenotype string, "
+        "phenotype_node_type string, disease string, evidence_fragments array<string>, bridge_reason string, confidence double, "
+        "not_for_graph_ingestion boolean"
+    ),
+    "axis_candidates": (
+        "candidate_id string, mention_id string, pmid string, subject_node_type string, subject_node string, phenotype string, "
+        "phenotype_node_type string, feature_family string, disease_context string, evidence string, confidence double, claim_hint string, "
+        "not_for_graph_ingestion boolean"
+    ),
+    "signed_edges": (
+        "edge_id string, pmid string, subject_node_type string, subject_node string, object_node_type string, object_node string, "
+        "graph_rel_type string, relation_direction string, evidence string, confidence double, positive_support bigint, "
+        "negative_support bigint, net_confidence double, supporting_pmids string"
+    ),
+    "gold_labels": (
+        "record_id string, pmid string, stratum string, microbe string, candidate_feature_canonical string, "
+        "inferred_feature_canonical string, label string, evidence_type string, quantitative string, confidence string"
+    ),
 }
 
 
