@@ -432,7 +432,8 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, item_id: str, item_text: str,
     items = _items(benchmark, item_id, item_text, size)
     keys = docs.columns[:-1]
     kind = items.schema["item_id"].dataType
-    result = T.StructType([*docs.schema.fields[:-1], T.StructField("item_id", kind), *T.StructType.fromDDL("n_found bigint, n_windows bigint, n_slots bigint, n_changed bigint")])
+    result = T.StructType([*docs.schema.fields[:-1], T.StructField("item_id", kind),
+        *T.StructType.fromDDL("n_found bigint, n_windows bigint, n_slots bigint, n_changed bigint")])
     about = items.agg(F.collect_set("size"), F.sum(F.size("h"))).first()
     if not about[1]:
         return docs.sparkSession.createDataFrame([], result)
@@ -444,7 +445,8 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, item_id: str, item_text: str,
     # The hash join of template windows, and the windows of the pairs that it finds.
     hits = met(seen.select("row", F.explode(F.array_distinct("probes")).alias("h")), probes, ["h"], "row")
     pairs = hits.select("row", "k", "names").distinct()
-    pairs = met(pairs, items.select("k", "names", F.col("item_id").alias("item"), F.col("h").alias("ih"), F.col("v").alias("iv"), F.col("at").alias("iat")), ["k", "names"], "row", weight=about[1])
+    pairs = met(pairs, items.select("k", "names", F.col("item_id").alias("item"), F.col("h").alias("ih"), F.col("v").alias("iv"), F.col("at").alias("iat")),
+        ["k", "names"], "row", weight=about[1])
     sides = pairs.drop("names").join(seen, "row").select(*keys, "row", "k", F.col("item").alias("item_id"), "names", "size", "ih", "iv", "iat", "h", "v", "at")
     fixed = [*docs.schema.fields[:-1], *T.StructType.fromDDL("row bigint, k bigint").fields, T.StructField("item_id", kind), T.StructField("names", T.IntegerType())]
     checked = sides.mapInArrow(_checker(share, len(fixed)), T.StructType([*fixed, *result.fields[-4:]]))
@@ -452,7 +454,8 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, item_id: str, item_text: str,
 
 
 def contaminated(
-    df: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = WINDOW, share: float = 0.8
+    df: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = WINDOW,
+        share: float = 0.8
 ) -> DataFrame:
     """One row (id, item_id, n_found, n_windows, n_slots, n_changed) per document and item it leaks; ids keep their types.
 

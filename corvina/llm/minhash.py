@@ -220,11 +220,13 @@ def _linked(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     common = met(often, mates, ["b"], "s").where("n * 4 >= mates").select("b", "s")
     commons = scratch(common.groupBy("b").agg(F.collect_set("s").alias("common")))  # four times a set's size at most
     weight = commons.agg(F.coalesce(F.sum(F.size("common")), F.lit(0))).first()[0]
-    inside = met(open_, commons, ["b"], "a", "left", weight).withColumn("own", F.when(F.col("common").isNull(), F.col("rest")).otherwise(F.array_except("rest", "common")))
+    inside = met(open_, commons, ["b"], "a", "left", weight).withColumn("own",
+        F.when(F.col("common").isNull(), F.col("rest")).otherwise(F.array_except("rest", "common")))
     inside = scratch(inside.select("a", "b", "na", (F.col("na") - F.size("own")).alias("c"), "own", F.col("ra").alias("root")), WIDE)
     # The nearest mate is the second hub.
     nearest = inside.groupBy("b").agg(F.max(F.struct("c", "a", "root")).alias("m")).select("b", F.col("m.a").alias("y"), F.col("m.root").alias("ry"))
-    second = met(inside.select("a", "b", "root"), scratch(nearest), ["b"], "a").where("root <> ry").select(F.least("a", "y").alias("a"), F.greatest("a", "y").alias("b")).distinct()
+    second = met(inside.select("a", "b", "root"), scratch(nearest), ["b"], "a").where("root <> ry").select(F.least("a", "y").alias("a"),
+        F.greatest("a", "y").alias("b")).distinct()
     known = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     second = scratch(second.join(known, ["a", "b"], "left_anti"), PAIRS)
     links = scratch(links.unionByName(_compared(second, texts, size, False).where(enough).select("a", "b")), PAIRS)
@@ -240,7 +242,8 @@ def _linked(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     across = told.groupBy("hub", "s").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo <> hi").select("hub", "s")
     apart = apart.join(across, ["hub", "s"], "left_semi").drop("hub")
     touch = apart.alias("x").join(apart.alias("y"), ["b", "s"]).where("x.a < y.a").where(alike)
-    touch = touch.groupBy("b", "x.a", F.col("y.a").alias("z")).agg(F.count("*").alias("o"), F.min(F.least("x.c", "y.c")).alias("c"), F.min(F.col("x.na") + F.col("y.na")).alias("n"))
+    touch = touch.groupBy("b", "x.a", F.col("y.a").alias("z")).agg(F.count("*").alias("o"), F.min(F.least("x.c", "y.c")).alias("c"),
+        F.min(F.col("x.na") + F.col("y.na")).alias("n"))
     one = touch.where(f"(c + o) * {100 + percent} >= {percent} * n").select("a", F.col("z").alias("b"))
     # Pairs within R, by the sizes that remain for a mate outside the hub's component.
     most = F.least(F.floor(F.col("c") * (100 + percent) / percent - F.col("na")), F.floor(F.col("na") * 100 / percent)).cast("long")
@@ -289,12 +292,14 @@ def near_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size:
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component"))
     # One row for each text: rows with the same content share their set.
     by_class = rooted.join(smallest, "root").select("digest", "component")
-    by_text = full.select("k1", "k2", "n", "digest").distinct().join(by_class, "digest").select(F.col("k1").alias("_cv_1"), F.col("k2").alias("_cv_2"), F.col("n").alias("_cv_n"), F.col("component").alias("_cv_c"))
+    by_text = full.select("k1", "k2", "n", "digest").distinct().join(by_class, "digest").select(F.col("k1").alias("_cv_1"), F.col("k2").alias("_cv_2"),
+        F.col("n").alias("_cv_n"), F.col("component").alias("_cv_c"))
     rest = [quoted(c) for c in extra_columns(df, *made)]
     keyed = df.select(*rest, content_key(quoted(text)).alias("_cv_k"))
     joined = keyed.join(by_text, (F.col("_cv_k.k1") == F.col("_cv_1")) & (F.col("_cv_k.k2") == F.col("_cv_2")), "left")
     own = quoted(doc_id)
     component = F.when(F.col("_cv_n").isNull(), own).otherwise(F.col("_cv_c"))
     return joined.select(
-        *rest, F.coalesce("_cv_n", F.lit(0)).cast("long").alias("n_shingles"), component.alias("component_id"), F.coalesce(own.eqNullSafe(component), F.lit(True)).alias("kept")
+        *rest, F.coalesce("_cv_n", F.lit(0)).cast("long").alias("n_shingles"), component.alias("component_id"),
+            F.coalesce(own.eqNullSafe(component), F.lit(True)).alias("kept")
     )

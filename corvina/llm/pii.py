@@ -194,7 +194,8 @@ def patterns(seen: DataFrame, rounds: int, min_values: int, confidence: float) -
         before = now
         step = met(edges, known, ["v"], "word", "left")
         scored = step.select(
-            "side", "word", "v", F.when(F.col("kind") != "", F.col("kind")).otherwise(F.coalesce("of", F.lit(""))).alias("kind"), F.when(F.col("kind") != "", 1.0).otherwise(F.coalesce("c", F.lit(0.0))).alias("score")
+            "side", "word", "v", F.when(F.col("kind") != "", F.col("kind")).otherwise(F.coalesce("of", F.lit(""))).alias("kind"),
+                F.when(F.col("kind") != "", 1.0).otherwise(F.coalesce("c", F.lit(0.0))).alias("score")
         )
     return good.withColumnRenamed("of", "kind")
 

@@ -158,7 +158,8 @@ def plan(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str
     """
     payload = F.encode(F.coalesce(quoted(html), F.lit("")), "UTF-8")
     keyed = pages.select(
-        quoted(page_id).alias("page_id"), quoted(url).alias("url"), payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha2(payload, 256).alias("payload_digest")
+        quoted(page_id).alias("page_id"), quoted(url).alias("url"), payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"),
+            F.sha2(payload, 256).alias("payload_digest")
     )
     # Decided on ids and digests alone. Payloads that occur once, or are too short, need no partner.
     small = keyed.where(F.col("payload_bytes") >= LEAST_REVISIT).groupBy(F.col("payload_digest").alias("d"))
@@ -168,7 +169,8 @@ def plan(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str
     if again.count() <= BROADCAST_ROWS:  # the payloads stay where they are
         joined = wide.join(F.broadcast(again), "d", "left")
     else:
-        joined = met_where_hot(wide.where("d IS NOT NULL"), again, ["d"], "page_id", F.col("n") > HOT, "left").unionByName(wide.where("d IS NULL"), allowMissingColumns=True)
+        joined = met_where_hot(wide.where("d IS NOT NULL"), again, ["d"], "page_id", F.col("n") > HOT, "left").unionByName(wide.where("d IS NULL"),
+            allowMissingColumns=True)
     refers = F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     told = met(joined.withColumn("refers_to", refers).drop("d", "first", "n"), twice, ["page_id"], "payload_digest", "left")
     return told.withColumn("repeated", F.coalesce("repeated", F.col("page_id").isNull()))
