@@ -310,13 +310,13 @@ def f13_retracted(spark, d):
 
 
 @query("""
-SELECT c_name AS source_node, 'Microbe' AS subject_node_type, 'RadiomicFeature' AS object_node_type, c_mktsegment AS radiomic_feature, c_name AS microbe, NULL AS disease,
+SELECT c_name AS source_node, 'Microbe' AS subject_node_type, 'RadiomicFeature' AS object_node_type, c_mktsegment AS radiomic_feature, c_name AS microbe, NULL::VARCHAR AS disease,
     'radiomic' AS feature_family,
   CASE WHEN c_custkey % 5 = 0 THEN 'text_rule_verified' ELSE 'quantitatively_verified' END AS evidence_type, CASE WHEN c_custkey % 5 = 0 THEN 'TEXT_ASSOCIATION'
       ELSE 'VISION_OR_TEXT_CORRELATION' END AS relation_type,
-  'direct_evidence' AS assertion_level, 0.5::DOUBLE AS confidence, CASE WHEN c_custkey % 3 = 0 THEN c_custkey::VARCHAR END AS pmid, NULL AS journal, NULL AS title, NULL
-      AS issn, NULL AS pmcid, NULL AS figure_id, NULL AS claim_hint, NULL AS microbe_cui,
-  NULL AS microbe_official_name, NULL AS disease_cui, NULL AS disease_official_name FROM customer""")
+  'direct_evidence' AS assertion_level, 0.5::DOUBLE AS confidence, CASE WHEN c_custkey % 3 = 0 THEN c_custkey::VARCHAR END AS pmid, NULL::VARCHAR AS journal, NULL::VARCHAR AS title, NULL
+      AS issn, NULL::VARCHAR AS pmcid, NULL::VARCHAR AS figure_id, NULL::VARCHAR AS claim_hint, NULL::VARCHAR AS microbe_cui,
+  NULL::VARCHAR AS microbe_official_name, NULL::VARCHAR AS disease_cui, NULL::VARCHAR AS disease_official_name FROM customer""")
 def t38_record_columns(spark, d):
     r = graph.records(_rows(spark, d))
     columns = (
