@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 U = np.uint64
 #: Bits of a filter: about so many for each hash, a power of two and MOST_BITS (16 MB) at most. With more
 #: hashes than that more passes that is not in it, and what passes is always joined exactly.
-BITS_EACH, MOST_BITS, PROBES_EACH = 16, 1 << 27, 3
+BITS_EACH, MOST_BITS, PROBES_EACH = 32, 1 << 27, 4
 
 
 def mix(x: np.ndarray) -> np.ndarray:
