@@ -92,6 +92,11 @@ class Pieces(dict):
         self.id_bytes = {token: rank.to_bytes(4, sys.byteorder) for token, rank in ranks.items()}
         self.aside: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Lets go of all pre-tokens: a worker goes on to other stages, which need the memory."""
+        self.clear()
+        self.aside = {}
+
     def __missing__(self, piece: str) -> bytes:
         ids = self.aside.get(piece)
         if ids is None:
@@ -109,7 +114,7 @@ _known: dict[str, Pieces] = {}
 
 
 def pieces_of(ranks_path: str) -> Pieces:
-    """One for all tasks that a worker runs after one another."""
+    """One table of ranks for all tasks that a worker runs after one another."""
     if ranks_path not in _known:
         _known[ranks_path] = Pieces(read_ranks(ranks_path))
     return _known[ranks_path]
@@ -214,11 +219,14 @@ def _lists(values: list[list[int]]) -> pa.ListArray:
 def _encoder(ranks_path: str, pattern: str, chunk: int, overlap: int, at: int):
     def run(batches):
         pieces, cut = pieces_of(ranks_path), Cutter(pattern, chunk, overlap)
-        for b in batches:
-            for lo in range(0, b.num_rows, STEP):
-                part = b.slice(lo, STEP)
-                ids = [encoded(x or "", pieces, cut) for x in part.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, _ids(ids)], [*part.schema.names, "tokens"])
+        try:
+            for b in batches:
+                for lo in range(0, b.num_rows, STEP):
+                    part = b.slice(lo, STEP)
+                    ids = [encoded(x or "", pieces, cut) for x in part.column(at).to_pylist()]
+                    yield pa.RecordBatch.from_arrays([*part.columns, _ids(ids)], [*part.schema.names, "tokens"])
+        finally:
+            pieces.forget()
 
     return run
 
@@ -262,17 +270,20 @@ def _piecewise(ranks_path: str, pattern: str):
 
     def run(batches):
         pieces, cut = pieces_of(ranks_path), Cutter(pattern)
-        for b in batches:
-            ids = []
-            for text, s, a, e in zip(*(b.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True):
-                own, at = [], a
-                for p in cut.found(text, a - s):  # the whole chunk, so that a stitch cuts no look ahead
-                    at += len(p)
-                    if e is not None and at > e:
-                        break
-                    own.append(p)
-                ids.append(b"".join(map(pieces.__getitem__, own)))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _ids(ids)], ["row", "n", "ids"])
+        try:
+            for b in batches:
+                ids = []
+                for text, s, a, e in zip(*(b.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True):
+                    own, at = [], a
+                    for p in cut.found(text, a - s):  # the whole chunk, so that a stitch cuts no look ahead
+                        at += len(p)
+                        if e is not None and at > e:
+                            break
+                        own.append(p)
+                    ids.append(b"".join(map(pieces.__getitem__, own)))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _ids(ids)], ["row", "n", "ids"])
+        finally:
+            pieces.forget()
 
     return run
 

@@ -40,7 +40,7 @@ class WordHashes(dict):
     """64-bit hashes of words; forgets them all when it grows too large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word)
         return h
