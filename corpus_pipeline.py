@@ -47,7 +47,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether decoding them gives the text again; a null or empty text has none and is decoded to nothing."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    both = bpe.decode(bpe.encode(docs.select(*COLUMNS), ranks), ranks)
+    # Written in between: a task never has two Python workers with tables of their own at once.
+    both = bpe.decode(scratch(bpe.encode(docs.select(*COLUMNS), ranks)), ranks)
     whole = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return both.select("doc_id", "lang", "source", "tokens", F.size("tokens").cast("long").alias("n_tokens"), (F.col("decoded") == whole).alias("round_trip"))
 
