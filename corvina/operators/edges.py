@@ -33,7 +33,7 @@ def journal_metrics(papers: DataFrame, journals: DataFrame) -> DataFrame:
     """impact_factor, quartile and metric_source: the paper's own values, else those of its ISSN in journals(issn, factor, quartile)."""
     known = journals.select(F.col("issn").alias("_i"), text.impact_factor(F.col("factor")).alias("_f"), text.quartile(F.col("quartile")).alias("_q"))
     own_f, own_q = text.impact_factor(F.col("impact_factor")), text.quartile(F.col("quartile"))
-    joined = papers.join(first_by(known, ["_i"], F.col("_f").desc_nulls_last(), F.col("_q")), F.col("issn") == F.col("_i"), "left")
+    joined = papers.join(first_by(known, ["_i"], F.col("_f").isNull(), -F.col("_f"), F.col("_q")), F.col("issn") == F.col("_i"), "left")
     source = (
         F.when(own_f.isNotNull() | own_q.isNotNull(), "inline")
         .when(F.coalesce(F.col("issn"), F.lit("")) == "", "missing_issn")

@@ -6,6 +6,7 @@ the smaller ord, so results don't depend on partitioning.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,7 +19,12 @@ KEY = ("pmid", "subject_node_type", "subject_node", "disease")
 
 
 def first_by(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
-    """The first row of each key in an order that should be total, nulls first; one aggregation that combines before the shuffle."""
+    """The first row of each key in an order that should be total, nulls first; one aggregation that combines before the shuffle.
+
+    The order is of values, ascending: a sort direction (desc() and the like) is refused.
+    """
+    if any(re.search(r" (ASC|DESC)( NULLS (FIRST|LAST))?'", repr(o)) for o in order):
+        raise ValueError("first_by orders by values, without sort directions: negate a number instead of desc()")
     rest = [c for c in df.columns if c not in keys]
     by = F.struct(*[o.alias(f"_{i}") for i, o in enumerate(order)])
     return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), by).alias("_r")).select(*keys, "_r.*").select(*df.columns) if rest else df.distinct()
