@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, licenses, linededup, minhash, pii, quality, sharding, toxicity, warc
+from . import bpe, decontam, fim, licenses, linededup, minhash, packing, pii, quality, repair, sharding, toxicity, warc
 from .common import scratch, table
 
 
@@ -76,6 +76,22 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dealt damage, then the repair of every conversation; digests of the repaired turns."""
+    return repair.digests(repair.repair(repair.damaged(table(spark, sf_dir, "conversations"))))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fim.digests(fim.fill_in_middle(docs))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), ids=False)
+    return packing.pack(cut).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 OP1_SQL = r"""
 WITH lines AS (
   SELECT doc_id, source, text, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at,
@@ -183,6 +199,82 @@ SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS
 FROM s
 """
 
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS us,
+             list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(h, i, 8))::BIGINT) AS hs FROM d),
+c AS (SELECT *, least(hs[1] % (len(us) + 1), hs[2] % (len(us) + 1)) AS a, greatest(hs[1] % (len(us) + 1), hs[2] % (len(us) + 1)) AS b,
+             CASE WHEN t = '' OR hs[3] % 100 >= 50 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+                  WHEN hs[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, coalesce(array_to_string(us[1 : a], ''), '') AS pre, coalesce(array_to_string(us[a + 1 : b], ''), '') AS mid,
+             coalesce(array_to_string(us[b + 1 :], ''), '') AS suf FROM c)
+SELECT doc_id, len(us)::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+OP11_SQL = f"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))), '..'), lambda x: ('0x' || x)::BIGINT),
+                         lambda c, b: xor(c >> 8, ({_CRC}::BIGINT[])[1 + (xor(c, b) & 255)]), 4294967295::BIGINT), 4294967295) % 20 AS how
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE how WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE how WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE how WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM k WHERE how <> 0),
+seen AS (
+  SELECT *, sha256(role || chr(0) || text) AS h,
+         trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS kept FROM damaged),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, h, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, h ORDER BY turn NULLS FIRST, copy) AS again FROM seen),
+f AS (
+  SELECT conv_id, turn, role, text, i, left(role, 1) AS first, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+         CASE WHEN kept = '' THEN 'blank' WHEN again > 1 THEN 'duplicate' WHEN right(kept, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM r),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+         count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE before || first NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM f GROUP BY conv_id),
+every AS (
+  SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+         coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(n, 0) AS n
+  FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id),
+-- Every state is a struct of cost, edits and repaired turns after i rows, with turns inserted before the next row.
+steps AS (
+  SELECT conv_id, 0 AS i, 'b' AS state, 0 AS cost, '' AS audit, []::VARCHAR[] AS told FROM every
+  UNION ALL
+  SELECT conv_id, i, state, cost, audit, told FROM (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, state ORDER BY cost, audit) AS best FROM (
+      SELECT s.conv_id, f.i, m.m['to'] AS state, s.cost + m.m['cost'] AS cost, s.audit || m.m['edit'] AS audit, s.told || m.m['told'] AS told
+      FROM (
+        SELECT conv_id, i, x.s AS state, cost + x.c AS cost, audit || x.e AS audit, told || x.t AS told FROM (
+          SELECT *, unnest([{{'s': state, 'c': 0, 'e': '', 't': []::VARCHAR[]}},
+            {{'s': CASE state WHEN 'u' THEN 'a' ELSE 'u' END, 'c': 2, 'e': 'I', 't': CASE state WHEN 'u' THEN ['assistant:'] ELSE ['user:'] END}},
+            {{'s': CASE state WHEN 'u' THEN 'u' ELSE 'a' END, 'c': 4, 'e': 'II', 't': CASE state WHEN 'u' THEN ['assistant:', 'user:'] ELSE ['user:', 'assistant:'] END}}]) AS x FROM steps)) s
+      JOIN f ON s.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = s.i + 1,
+      unnest([{{'to': s.state, 'cost': 3, 'edit': 'D', 'told': []::VARCHAR[]}},
+        {{'to': CASE WHEN f.fault IN ('blank', 'duplicate') THEN NULL WHEN f.first = 's' AND s.state = 'b' THEN 's' WHEN f.first = 'u' AND s.state <> 'u' THEN 'u'
+                     WHEN f.first = 'a' AND s.state = 'u' THEN 'a' END,
+          'cost': CASE f.fault WHEN 'truncated' THEN 1 ELSE 0 END, 'edit': 'K', 'told': [f.role || ':' || f.text]}},
+        {{'to': CASE WHEN f.fault IN ('blank', 'duplicate') THEN NULL WHEN s.state = 'u' THEN 'a' ELSE 'u' END,
+          'cost': CASE f.fault WHEN 'truncated' THEN 3 ELSE 2 END, 'edit': 'R',
+          'told': [CASE s.state WHEN 'u' THEN 'assistant' ELSE 'user' END || ':' || f.text]}}]) AS m(m)
+      WHERE m.m['to'] IS NOT NULL)) WHERE best = 1),
+ends AS (
+  SELECT e.*, s.cost + CASE s.state WHEN 's' THEN 4 WHEN 'u' THEN 2 ELSE 0 END AS cost,
+         s.audit || CASE s.state WHEN 's' THEN 'II' WHEN 'u' THEN 'I' ELSE '' END AS audit,
+         s.told || CASE s.state WHEN 's' THEN ['user:', 'assistant:'] WHEN 'u' THEN ['assistant:'] ELSE []::VARCHAR[] END AS told
+  FROM every e JOIN steps s ON e.conv_id IS NOT DISTINCT FROM s.conv_id AND s.i = e.n)
+SELECT conv_id, gaps::BIGINT AS gaps, blank, duplicate, truncated, illegal, cost::BIGINT AS cost, audit,
+       sha256(coalesce(array_to_string(told, chr(10)), '')) AS repaired_sha256
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY cost, audit) AS best FROM ends) WHERE best = 1
+"""
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_license_scan": op2_license_scan,
@@ -194,6 +286,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
     "op10_warc": op10_warc,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
 
 ORACLES = {
@@ -202,4 +297,6 @@ ORACLES = {
     "op7_sharding": OP7_SQL,
     "op9_quality_rules": OP9_SQL,
     "op10_warc": OP10_SQL,
+    "op11_conversation_repair": OP11_SQL,
+    "op12_fill_in_middle": OP12_SQL,
 }
