@@ -16,6 +16,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,9 @@ from .common import extra_columns, quoted, scratch
 #: Room that a nearly full bin may have left; items that a task packs at once; bins that a group of the tree holds.
 NEARLY, LOCAL, GROUP = 4, 200_000, 100_000
 #: Characters that are tokenised at once; words that are held for the next time, and their longest.
-CHARS, HELD, HELD_CHARS = 1 << 22, 250_000, 48
+CHARS, HELD, HELD_CHARS = 1 << 22, 400_000, 48
+#: Words that are tokenised at once, and words in a text of theirs.
+WORDS, JOINED = 10_000, 200
 #: Marks that are cut from the end of a word before it is looked up.
 MARKS = ".,;:!?"
 
@@ -49,14 +52,28 @@ class Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.held: dict[str, bytes] = {}
         self.aside: dict[str, bytes] = {}
 
     def _learn(self, words: set[str]) -> dict[str, bytes]:
-        order = list(words)
+        """The ids of words. Words of letters alone are one pre-token each, whose last id alone ends a word: they are told apart in a text of many."""
+        plain = [w for w in words if w.isalpha() and w.lower().isalpha() and is_normalized("NFC", w)]
         ids: dict[str, bytes] = {}
-        for i in range(0, len(order), 5000):
-            some = order[i : i + 5000]
+        for i in range(0, len(plain), WORDS):
+            some = plain[i : i + WORDS]
+            text = [" ".join(some[k : k + JOINED]) for k in range(0, len(some), JOINED)]
+            flat = np.array([x for e in self.tokenizer.encode_batch_fast(text, add_special_tokens=False) for x in e.ids], "<u4")
+            ends = 4 * (1 + np.flatnonzero(self.ends[flat]))
+            raw, first = flat.tobytes(), 0
+            if len(ends) == len(some):
+                for word, end in zip(some, ends.tolist(), strict=True):
+                    ids[word], first = raw[first:end], end
+        order = list(words - ids.keys())
+        for i in range(0, len(order), WORDS):
+            some = order[i : i + WORDS]
             for word, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
                 ids[word] = np.array(e.ids, "<u4").tobytes()
         return ids
@@ -70,13 +87,14 @@ class Words:
         new: dict[str, tuple[str, str]] = {}
         for w in words:
             ids = held.get(w)
-            if ids is None and (ids := aside.get(w)) is not None:
-                held[w] = ids
-            if ids is None and w not in new:
-                low = w.lower() if w.isascii() else w
-                stem = low.rstrip(MARKS)
-                whole = not stem or not (stem[-1].isalnum() if stem[-1].isascii() else ord(stem[-1]) < 0x250 and stem[-1].isalpha())
-                new[w] = (low, "") if whole else (stem, low[len(stem) :])
+            if ids is None:
+                if (ids := aside.get(w)) is not None:
+                    held[w] = ids
+                else:
+                    low = w.lower() if w.isascii() else w
+                    stem = low.rstrip(MARKS)
+                    whole = not stem or not (stem[-1].isalnum() if stem[-1].isascii() else ord(stem[-1]) < 0x250 and stem[-1].isalpha())
+                    new[w] = (low, "") if whole else (stem, low[len(stem) :])
             out.append(ids)
         if new:
             parts = {p for both in new.values() for p in both if p}
