@@ -164,7 +164,7 @@ def test_heatmap_values(spark):
     data = bytearray(rgb[..., ::-1].tobytes())
     df = spark.createDataFrame([("a", 0.4, None, None, ("o", 120, 160, 3, 16, data)), ("b", 0.4, None, None, None)], "proposal_id string, candidate_r double, legend_bbox array<int>, heatmap_bbox array<int>, image struct<origin:string,height:int,width:int,nChannels:int,mode:int,data:binary>")
     assert {r.proposal_id: r.reason_code for r in images.verify_images(df).collect()} == {"a": "verified", "b": "missing_image"}
-    assert images.topology_scores(rgb)[0] > 0
+    assert images.make_up(rgb)["matrix_score"] > 0
 
 
 def test_scoring(spark):
