@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import spans, text, vocab
+from .containment import containment_pairs
 from .relations import first_by, keep_best, last_by, signed_evidence
 
 META = ("journal", "title", "pmcid", "publication_year", "impact_factor", "quartile", "issn")
@@ -108,7 +109,7 @@ def disease_match(a: Column, b: Column) -> Column:
 
 
 def bridge_hypotheses(mentions: DataFrame, relations: DataFrame, least: float = 0.6) -> DataFrame:
-    """Relations and mentions of one paper whose diseases match; for audit, never for the graph."""
+    """Relations and mentions of one paper whose diseases are equal or part of one another; for audit, never for the graph."""
     good = mentions.where(spans.mention_supported(F.col("confidence"), F.col("canonical_feature"), F.col("evidence"), least)).where("pmid <> ''")
     m = good.select("pmid", "mention_id", F.trim("canonical_feature").alias("phenotype"), F.col("confidence").alias("mc"), F.col("evidence").alias("me"),
         text.normalize(F.col("disease")).alias("md"))
@@ -118,7 +119,8 @@ def bridge_hypotheses(mentions: DataFrame, relations: DataFrame, least: float =
     r = relations.where("accepted").where("pmid <> ''").select("pmid", text.normalize(F.col("disease")).alias("disease"), who.alias("s"),
         F.lower("final_label").alias("label"), F.trim(F.coalesce("evidence", F.lit(""))).alias("re"))
     r = r.where((F.col("disease") != "") & F.col("s.type").isNotNull() & F.col("s.name").isNotNull())
-    both = r.join(m, "pmid").where(disease_match(F.col("md"), F.col("disease")))
+    match = containment_pairs(r, m, ["pmid"], "disease", "md")
+    both = r.join(match, ["pmid", "disease"]).join(m, ["pmid", "md"])
     label = F.when(F.col("label").isin("positive", "negative"), 1.0).otherwise(0.5)
     return both.select(
         text.stable_id("bridge", F.col("pmid"), F.col("s.name"), F.col("phenotype"), F.col("disease"), F.col("mention_id")).alias("hypothesis_id"),

@@ -2,76 +2,15 @@
 
 from __future__ import annotations
 
-import difflib
-import re
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text, vocab
+from .aliases import alias_matches
 from .relations import first_by
 
-MATCH = "array<struct<start:int,end:int,raw:string,canonical:string,ontology_id:string,family:string,node_type:string,method:string>>"
-
-
-class AliasMatcher:
-    """Finds aliases in normalised sentences: one scan with all aliases as whole words, the longest first at each place."""
-
-    def __init__(self, aliases: Mapping[str, tuple], ambiguous: Sequence[str] = vocab.AMBIGUOUS_ALIASES, cutoff: float = 0.92):
-        self.aliases, self.ambiguous, self.cutoff = dict(aliases), frozenset(ambiguous), cutoff
-        self.each = [(a, re.compile(rf"\b{re.escape(a)}\b")) for a in sorted(aliases, key=len, reverse=True)]
-        self.context = re.compile("|".join(map(re.escape, (*vocab.RADIOMICS_CONTEXT, *vocab.BODYCOMP_CONTEXT))))
-        self.some = re.compile("|".join(rf"\b{re.escape(a)}\b" for a in sorted(aliases, key=len, reverse=True))) if aliases else None
-
-    def _allowed(self, sentence: str, start: int, end: int, alias: str) -> bool:
-        if alias not in self.ambiguous:
-            return True
-        near = sentence[max(0, start - 40) : end + 40]
-        if alias == "mean":
-            return not re.search(vocab.MEAN_NOT, near) and bool(re.search(vocab.MEAN_ONLY, near))
-        return bool(self.context.search(sentence))  # the window is a part of the sentence
-
-    def exact(self, sentence: str) -> list[tuple]:
-        if self.some is None or not self.some.search(sentence):
-            return []
-        found = [(m.start(), m.end(), a) for a, p in self.each for m in p.finditer(sentence) if self._allowed(sentence, m.start(), m.end(), a)]
-        out, last = [], 0
-        for start, end, alias in sorted(found, key=lambda x: (x[0], -x[1])):
-            if start >= last:
-                out.append((start, end, alias, *self.aliases[alias], "exact"))
-                last = end
-        return out
-
-    def fuzzy(self, sentence: str) -> list[tuple]:
-        """The first n-gram of 4 to 2 words that is close to an alias, in a sentence with imaging context."""
-        if not self.context.search(sentence):
-            return []
-        words, names = re.findall(r"[a-z0-9/\-]+", sentence), list(self.aliases)
-        for n in (4, 3, 2):
-            for i in range(len(words) - n + 1):
-                phrase = " ".join(words[i : i + n])
-                start = sentence.find(phrase) if len(phrase) >= 6 else -1
-                close = difflib.get_close_matches(phrase, names, 1, self.cutoff) if start >= 0 else []
-                if close and self._allowed(sentence, start, start + len(phrase), close[0]):
-                    return [(start, start + len(phrase), phrase, *self.aliases[close[0]], "fuzzy")]
-        return []
-
-
-def alias_matches(sentence: Column, aliases: Mapping[str, tuple] = vocab.ALIASES, fuzzy: bool = True) -> Column:
-    """Matches of a normalised sentence as an array of structs, by an Arrow-batched function."""
-    names = ("start", "end", "raw", "canonical", "ontology_id", "family", "node_type", "method")
-
-    @F.pandas_udf(MATCH)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        matcher = AliasMatcher(aliases)
-        for s in batches:
-            yield s.map(lambda x: [dict(zip(names, m, strict=True)) for m in (matcher.exact(x or "") or (matcher.fuzzy(x or "") if fuzzy else []))])
-
-    return run(sentence)
-
-
 def sentence_rows(papers: DataFrame, content: str = "content") -> DataFrame:
     """(pmid, title, sentence_index, sentence)"""
     return papers.select("pmid", "title", F.posexplode(text.sentences(F.col(content))).alias("sentence_index", "sentence"))

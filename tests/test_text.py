@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corvina.functions import spans, text, vocab
-from corvina.operators import mentions
+from corvina.operators import aliases, mentions
 
 
 def values(spark, rows, made, schema="x string"):
@@ -132,7 +132,7 @@ def test_stable_ids_match_plain_sha1(spark):
 
 
 def test_alias_matches():
-    m = mentions.AliasMatcher(vocab.ALIASES)
+    m = aliases.AliasMatcher(vocab.ALIASES)
     assert [(x[0], x[2], x[3]) for x in m.exact("glcm entropy and skeletal muscle index")] == [(0, "glcm entropy", "glcm_entropy"), (17, "skeletal muscle index", "skeletal_muscle_index")]
     assert m.exact("mean age of 60 in radiomics") == [] and m.exact("the mean intensity")[0][3] == "first_order_mean"
     assert m.exact("kurtosis of prices") == [] and m.exact("kurtosis of the histogram")[0][3] == "first_order_kurtosis"
