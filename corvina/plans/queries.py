@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import edges, gates, graph, mentions, ordering, relations, scoring, vectors
+from ..operators import containment, edges, gates, graph, mentions, ordering, relations, scoring, vectors
 from ..sources import files
 from ..streaming import incremental
-from .registry import ORACLES, QUERIES, query, shared_folder, table
+from ..storage import shared_folder
+from .registry import ORACLES, QUERIES, query, table
 
 _t = table
 
@@ -375,7 +376,8 @@ def j5_bridge_join(spark, d):
     p = _t(spark, d, "part")
     a = p.select("p_brand", F.col("p_partkey").alias("a"), text.normalize(F.col("p_name")).alias("x"))
     b = p.select("p_brand", F.col("p_partkey").alias("b"), F.lower(F.split_part("p_name", F.lit(" "), F.lit(2))).alias("y"))
-    return a.join(b, "p_brand").where((F.col("a") < F.col("b")) & edges.disease_match(F.col("x"), F.col("y"))).select("a", "b")
+    match = containment.containment_pairs(a, b, ["p_brand"], "x", "y")
+    return a.join(match, ["p_brand", "x"]).join(b, ["p_brand", "y"]).where("a < b").select("a", "b")
 
 
 @query("""WITH j AS (SELECT p_brand AS issn, max(p_retailprice) AS factor FROM part WHERE p_size > 10 GROUP BY 1)
@@ -444,6 +446,13 @@ def v1_top_k(spark, d):
     return vectors.top_k(concepts, e, 20, 0.1)
 
 
+@query()
+def v1_search_work(spark, d):
+    """How many vectors the exact search compares each query with, of how many: what the bounds spare."""
+    e = _t(spark, d, "embeddings").select("vec_id", "embedding")
+    return vectors.Search(e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("concept_id"), "embedding"), e, 20, 0.1).best_and_work()[1]
+
+
 @query("""WITH m AS (SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS x
   FROM embeddings), a AS (SELECT label, i, avg(x) AS x FROM m GROUP BY ALL)
 SELECT label, round(max(x) / sqrt(sum(x * x)), 5) AS largest FROM a GROUP BY label""")
@@ -705,4 +714,4 @@ def a9_backbone(spark, d):
     return edges.backbone(m).select("source_node", "target_node_type", "target_node", "rel_type")
 
 
-from . import edge_queries, figure_queries, text_queries  # noqa: E402,F401  they register themselves
+from . import edge_queries, figure_queries, service_queries, text_queries  # noqa: E402,F401  they register themselves

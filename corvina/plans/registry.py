@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict = {}
@@ -24,14 +22,3 @@ def query(sql: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the session names in spark.checkpoint.dir; on one machine without one, a folder of its own."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="corvina-")
-    return base.rstrip("/")

@@ -10,11 +10,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import spans, text, vocab
-from ..operators import edges, gates, images, mentions, relations, scoring, vectors
+from ..operators import aliases, edges, gates, images, mentions, relations, scoring, vectors
 from ..sources import files
 from ..streaming import incremental
+from ..storage import shared_folder
 from .figure_queries import _case, _case_sql
-from .registry import query, shared_folder, table
+from .registry import query, table
 
 def _key():
     return F.col("p_partkey").cast("string")
@@ -159,10 +160,36 @@ _HITS = ", ".join(f"({i}, {a}, {b}, '{c}', '{m}')" for i, x in enumerate(MENTION
 @query(f'SELECT p_partkey, t.s AS start, t.e AS "end", t.c AS canonical, t.m AS method FROM part JOIN (VALUES {_HITS}) t(i, s, e, c, m) ON p_partkey % {len(MENTIONS)} = t.i')
 def t9_alias_matches(spark, d):
     s = _case("p_partkey", list(MENTIONS))
-    found = table(spark, d, "part").select("p_partkey", F.inline(mentions.alias_matches(text.normalize(s))))
+    found = table(spark, d, "part").select("p_partkey", F.inline(aliases.alias_matches(text.normalize(s))))
     return found.select("p_partkey", "start", "end", "canonical", "method")
 
 
+_WORD = r"[\p{L}\p{N}_]+"
+_NORMAL = r"string_split(trim(regexp_replace(lower(coalesce({c}, '')), '[\s\x0B\x{{A0}}\x{{85}}]+', ' ', 'g')), ' ')"
+
+
+@query(rf"""
+WITH b AS (SELECT ws, unnest(generate_series(1, len(ws) - 2)) AS i FROM (SELECT {_NORMAL.format(c='text')} AS ws FROM benchmark)),
+aliases AS (
+  SELECT DISTINCT ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS alias FROM b
+  WHERE ws[i] <> ws[i + 1] AND ws[i] <> ws[i + 2] AND regexp_full_match(ws[i], '{_WORD}') AND regexp_full_match(ws[i + 1], '{_WORD}') AND regexp_full_match(ws[i + 2], '{_WORD}')
+  UNION SELECT array_to_string({_NORMAL.format(c='p_name')}, ' ') FROM part),
+d AS (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 1)) AS i FROM (SELECT doc_id, {_NORMAL.format(c='text')} AS ws FROM documents)),
+w AS (SELECT doc_id, regexp_extract(ws[i], '({_WORD})$', 1) AS a, ws[i + 1] AS b, regexp_extract(ws[i + 1], '^({_WORD})', 1) AS last, regexp_extract(coalesce(ws[i + 2], ''), '^({_WORD})', 1) AS c FROM d),
+found AS (
+  SELECT doc_id, a || ' ' || last AS alias FROM w WHERE a <> '' AND last <> ''
+  UNION ALL SELECT doc_id, a || ' ' || b || ' ' || c FROM w WHERE a <> '' AND b = last AND c <> '')
+SELECT doc_id, alias, count(*) AS n FROM found JOIN aliases USING (alias) GROUP BY ALL""")
+def t9_alias_vocabulary(spark, d):
+    """How often whole documents have each of thousands of aliases: three words of a benchmark item, and the names of parts."""
+    words = table(spark, d, "benchmark").select(F.split(text.normalize(F.col("text")), " ").alias("w"))
+    three = words.select(F.explode(F.expr("transform(sequence(1, greatest(size(w) - 2, 1)), i -> struct(get(w, i - 1) AS a, get(w, i) AS b, get(w, i + 1) AS c))")).alias("x")).select("x.*")
+    three = three.where("a <> b AND a <> c").where(F.concat("a", "b", "c").rlike(f"^{_WORD}$")).select(F.concat_ws(" ", "a", "b", "c").alias("alias"))
+    names = aliases.vocabulary(three.unionByName(table(spark, d, "part").select(text.normalize(F.col("p_name")).alias("alias"))), "alias")
+    found = table(spark, d, "documents").select("doc_id", F.inline(aliases.alias_counts(text.normalize(F.col("text")), names)))
+    return found.select("doc_id", "alias", "n")
+
+
 @query(f"""
 SELECT p_partkey::VARCHAR AS pmid, t.i // 10 AS sentence_index, t.c AS canonical_feature, round(least(1, 0.45 + CASE t.m WHEN 'exact' THEN 0.15 ELSE 0.05 END + t.x),
     2)::DOUBLE AS confidence
@@ -271,9 +298,9 @@ def s7_article_sections(spark, d):
 @query("""
 SELECT p_partkey::VARCHAR AS proposal_id, CASE WHEN p_size % 5 = 0 THEN 'missing_image' WHEN p_size % 5 = 1 THEN 'proposed_r_missing' WHEN p_size % 5 = 2
     THEN 'r_out_of_range' WHEN p_size % 5 = 3 THEN 'verified' ELSE 'insufficient_support' END AS reason_code,
-       CASE WHEN p_size % 5 = 0 THEN 'image_missing' ELSE 'legend_detected' END AS bar FROM part WHERE p_partkey % 100 = 0""")
+       CASE WHEN p_size % 5 = 0 THEN 'image_missing' ELSE 'legend_detected' END AS bar FROM part""")
 def v2_heatmap_values(spark, d):
-    """A left panel of one colour, and a colour bar at the right edge, as far as a proposal has a picture; every hundredth part has one."""
+    """A left panel of one colour, and a colour bar at the right edge, as far as a proposal has a picture."""
     height, width = 60, 80
     level = lambda y: (y * 255 / (height - 1)).cast("int")
     pixel = lambda r, b: F.concat(F.lpad(F.hex(b), 2, "0"), F.lit("28"), F.lpad(F.hex(r), 2, "0"))  # noqa: E731  blue, green, red
@@ -289,12 +316,28 @@ def v2_heatmap_values(spark, d):
     r = F.when(five == 1, None).when(five == 2, 2.0).when(five == 3, 0.5).otherwise(-0.9)
     image = F.struct(F.lit(height).alias("height"), F.lit(width).alias("width"), F.lit(3).alias("nChannels"), F.when(five != 0, data).alias("data"))
     none = F.lit(None).cast("array<int>")
-    rows = table(spark, d, "part").where("p_partkey % 100 = 0").select(_key().alias("proposal_id"), r.alias("candidate_r"), none.alias("legend_bbox"),
+    rows = table(spark, d, "part").select(_key().alias("proposal_id"), r.alias("candidate_r"), none.alias("legend_bbox"),
         none.alias("heatmap_bbox"), image.alias("image"))
     bars = images.colourbar_gate(rows).select("proposal_id", F.col("reason").alias("bar"))
     return images.verify_images(rows).select("proposal_id", "reason_code").join(bars, "proposal_id")
 
 
+@query("""
+SELECT p_partkey::VARCHAR AS proposal_id, least(1, (24 + 6 * (p_size % 5) - 1 + 7) / 80) AS matrix_score,
+       round(least(1, greatest(0, (p_size % 11 - p_size % 4) / (1 + p_size % 4 + 1e-6))), 6) AS forest_score FROM part""")
+def v4_image_make_up(spark, d):
+    """Grey pictures of 8 lines that go up and down by a number of steps, another number in the middle third."""
+    third = F.lit(8) + 2 * (F.col("p_size") % 5).cast("int")
+    up = lambda n: F.lpad(F.hex(100 + 2 * (F.lit(1) + n)), 2, "0")
+    side, middle = F.col("p_size") % 4, F.col("p_size") % 11
+    flat = F.repeat(F.lit("64"), 3 * third)
+    line = F.concat(F.repeat(up(side), third), F.repeat(up(middle), third), F.repeat(up(side), third))
+    data = F.unhex(F.repeat(F.concat(flat, line), F.lit(4)))
+    image = F.struct(F.lit(8).alias("height"), (3 * third).alias("width"), F.lit(1).alias("nChannels"), data.alias("data"))
+    told = images.image_heuristics(table(spark, d, "part").select(_key().alias("proposal_id"), image.alias("image")))
+    return told.select("proposal_id", "matrix_score", F.round("forest_score", 6).alias("forest_score"))
+
+
 # Metrics, windows, streams.
 
 

@@ -1,4 +1,4 @@
-"""Harvesting: query profiles, a paged search source, downloads with counters, credentials, bundles.
+"""Harvesting: query profiles, a paged search source, downloads with counters, credentials.
 
 Services are reached only through callables that are handed in; without them
 everything runs on what is there already.
@@ -6,7 +6,6 @@ everything runs on what is there already.
 
 from __future__ import annotations
 
-import json
 import time
 from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
@@ -14,12 +13,11 @@ from operator import and_, or_
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions import text, vocab
-from ..operators import graph
 from . import files
 
 # Queries.
@@ -216,64 +214,3 @@ def api_settings(model_id: str | None, base_url: str | None, key: str | None, en
             env.get("OPENAI_API_KEY"))
     keys = (env.get(k) for k in ("RELATION_API_KEY", "HUGGINGFACE_API_KEY", "HF_TOKEN", "OPENAI_API_KEY"))
     return first(base_url, env.get("RELATION_API_BASE_URL"), env.get("OPENAI_BASE_URL")), first(key, *keys)
-
-
-# Bundles of a graph.
-
-PARTS = ("nodes", "relationships", "import", "manifest")
-
-
-def write_bundle(spark: SparkSession, rels: DataFrame, dropped: DataFrame, path: str, at: str, sources: Mapping[str, str] | None = None, command: str = "") -> dict:
-    """Nodes, relationships, import statements and a manifest under a folder; returns the manifest."""
-    kept = rels.select(*[F.col(c) if c in rels.columns else F.lit("").alias(c) for c in vocab.RELATIONSHIP_COLUMNS])
-    files.write_csv(graph.nodes(kept), f"{path}/nodes", ("label", "name"))
-    files.write_csv(kept, f"{path}/relationships", vocab.RELATIONSHIP_COLUMNS)
-    lines = graph.import_statements(kept).repartitionByRange("section", "line").sortWithinPartitions("section", "line").select("line")
-    lines.write.mode("overwrite").text(f"{path}/import")
-    by = lambda df: {r.rel_type: r.n for r in graph.count_by_type(df).collect()}
-    after, gone = by(kept), by(dropped)
-    before = {k: after.get(k, 0) + gone.get(k, 0) for k in {*after, *gone}}
-    counts = {
-        "pre_audit_by_rel": before, "post_audit_by_rel": after, "pre_total": sum(before.values()), "post_total": sum(after.values()),
-        "nodes": graph.nodes(kept).count(), "dropped": sum(gone.values()),
-    }
-    manifest = {"stage": "graph_export", "generated_at": at, "sources": dict(sources or {}), "counts": counts, "command": command,
-        "outputs": {p: f"{path}/{p}" for p in PARTS[:3]}}
-    spark.createDataFrame([(json.dumps(manifest, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/manifest")
-    return manifest
-
-
-def read_bundle(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame, dict]:
-    """(nodes, relationships, statements, manifest); an error names the parts that are missing."""
-    missing = [p for p in PARTS if not files._exists(spark, f"{path}/{p}")]
-    if missing:
-        raise FileNotFoundError(f"the bundle at {path} has no {', '.join(missing)}")
-    manifest = json.loads(spark.read.text(f"{path}/manifest").first().value)
-    nodes = spark.read.schema("label string, name string").option("header", True).csv(f"{path}/nodes")
-    return nodes, files.read_relationships(spark, f"{path}/relationships"), statements(spark.read.text(f"{path}/import")), manifest
-
-
-def statements(lines: DataFrame) -> DataFrame:
-    """Statements of an import script, one per line, without comments, blank lines and the mark at their end."""
-    return lines.select(F.trim("value").alias("line")).where("line <> '' AND NOT startswith(line, '//')").select(F.regexp_replace("line", r";+$",
-        "").alias("statement")).where("statement <> ''")
-
-
-def explorer_records(rels: DataFrame, manifest: Mapping) -> DataFrame:
-    """Explorer records of a bundle's relationships; an error if there are not as many as the manifest says."""
-    out = graph.records(rels)
-    n, said = out.count(), manifest["counts"]["post_total"]
-    if n != said:
-        raise ValueError(f"{n} records, but the manifest says {said}")
-    return out
-
-
-def load_plan(bundle: tuple[DataFrame, DataFrame, DataFrame, dict], wipe: bool = False) -> list[tuple[str, int]]:
-    """What a load of a bundle would do, in order, with counts; nothing is sent anywhere."""
-    nodes, rels, lines, manifest = bundle
-    kinds = lines.groupBy(F.when(F.col("statement").startswith("CREATE"), "constraints").when(F.col("statement").startswith("MERGE"),
-        "nodes").otherwise("relationships").alias("k")).count()
-    by = {r.k: r["count"] for r in kinds.collect()}
-    if (nodes.count(), rels.count()) != (manifest["counts"]["nodes"], manifest["counts"]["post_total"]):
-        raise ValueError("the bundle does not hold what its manifest says")
-    return ([("wipe", 1)] if wipe else []) + [(k, by.get(k, 0)) for k in ("constraints", "nodes", "relationships")]

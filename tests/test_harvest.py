@@ -1,4 +1,4 @@
-"""Queries, downloads, settings, bundles."""
+"""Queries, downloads, settings."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,22 +80,6 @@ def test_settings():
     assert harvest.api_settings("xm-1:v", None, None, env, {"xm-": ("X", "default")}) == ("default", "x") and harvest.api_settings(None, None, None, {}) == (None, None)
 
 
-def test_bundles_are_held_against_their_manifest(spark, tmp_path):
-    base = dict.fromkeys(vocab.RELATIONSHIP_COLUMNS, "")
-    rows = [base | {"source_node_type": "Microbe", "source_node": f"m'{i}", "target_node_type": "Disease", "target_node": "d", "rel_type": "R"} for i in range(3)]
-    rels = spark.createDataFrame(rows).select(*vocab.RELATIONSHIP_COLUMNS)
-    path = f"file://{tmp_path}/b"
-    said = harvest.write_bundle(spark, rels.limit(2), rels.subtract(rels.limit(2)), path, "2024", command="run")
-    assert said["counts"]["pre_by_rel" if "pre_by_rel" in said["counts"] else "pre_audit_by_rel"] == {"R": 3} and (said["counts"]["post_total"], said["counts"]["dropped"], said["command"]) == (2, 1, "run")
-    nodes, back, lines, manifest = bundle = harvest.read_bundle(spark, path)
-    assert (nodes.count(), back.count(), manifest) == (3, 2, said) and harvest.load_plan(bundle, wipe=True) == [("wipe", 1), ("constraints", 2), ("nodes", 3), ("relationships", 2)]
-    assert harvest.explorer_records(back, manifest).count() == 2
-    with pytest.raises(ValueError, match="the manifest says 2"):
-        harvest.explorer_records(rels, manifest)
-    with pytest.raises(FileNotFoundError, match="nodes, relationships"):
-        harvest.read_bundle(spark, f"file://{tmp_path}/none")
-
-
 def test_evidence_without_joined_strings(spark):
     rows = spark.createDataFrame([("k", "positive", "1", "a", 0.5, 0), ("k", "positive", "1", "a", 0.7, 1), ("k", "negative", "2", "b", 0.5, 2), ("k", "unrelated", "3", "c", 0.5, 3)], "k string, label string, pmid string, evidence string, confidence double, ord int")
     net = relations.signed_evidence(rows, ["k"], joined=False).first()
