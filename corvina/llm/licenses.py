@@ -180,9 +180,12 @@ def evaluate(tree) -> tuple[set[str], set[str], int]:
             told = {node} if kind < len(_CLASS) else set()
             done.append((told, set(told), kind))
         elif node[0] == "with":
-            one, exception = evaluate(node[1]), node[2] if isinstance(node[2], str) else ""
-            named = {f"{x} with {exception}" for x in one[0]}
-            done.append((named, {f"{x} with {exception}" for x in one[1]}, min(one[2], 1) if one[2] == 2 and LINKING.fullmatch(exception) else one[2]))
+            if not ready:
+                todo += [(node, True), (node[1], False)]
+                continue
+            (named, every, kind), exception = done.pop(), node[2] if isinstance(node[2], str) else ""
+            told = ({f"{x} with {exception}" for x in some} for some in (named, every))
+            done.append((*told, 1 if kind == 2 and LINKING.fullmatch(exception) else kind))
         elif not ready:
             todo += [(node, True), (node[2], False), (node[1], False)]
         else:
@@ -205,13 +208,15 @@ def identifiers(tree) -> set[str]:
 
 def expressions(text: str) -> list[tuple[str, tuple | str | None]]:
     """(expression, its tree) after each tag: the longest run of parts on the tag's line that is well formed."""
-    found = []
+    found, line_end = [], -1
     for tag in TAG_TEXT.finditer(text):
-        line_end = text.find("\n", tag.end())
-        line = text[tag.end() : line_end if line_end >= 0 else len(text)]
-        parts, end, closed = [], 0, []
-        for m in PART.finditer(line):
-            if line[end : m.start()].strip(" \t"):
+        begin = tag.end()
+        if begin > line_end:  # the end of a line is looked for once, however many tags the line has
+            line_end = text.find("\n", begin)
+            line_end = line_end if line_end >= 0 else len(text)
+        parts, end, closed = [], begin, []
+        for m in PART.finditer(text, begin, line_end):
+            if text[end : m.start()].strip(" \t"):
                 break
             # Two operands in a row: the expression is over.
             if parts and m[0].lower() not in RANK and m[0] not in "()" and parts[-1].lower() not in RANK and parts[-1] != "(":
@@ -220,7 +225,7 @@ def expressions(text: str) -> list[tuple[str, tuple | str | None]]:
             end = m.end()
             closed.append(end)
         n = well_formed(parts)
-        found.append((line[: closed[n - 1]], parse(parts[:n])) if n else ("", None))
+        found.append((text[begin : closed[n - 1]], parse(parts[:n])) if n else ("", None))
     return found
 
 

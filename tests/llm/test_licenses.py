@@ -17,6 +17,30 @@ def test_long_and_deep_expressions_are_read_whole():
     assert text == "MIT OR ISC" and tree == ("or", "mit", "isc")
 
 
+def test_many_exceptions_are_evaluated():
+    ((_, tree),) = licenses.expressions(TAG + "GPL-2.0 " + "WITH x " * 10_000)
+    named, every, kind = licenses.evaluate(tree)
+    assert named == every and len(named) == 1 and licenses.OBLIGATIONS[kind] == "copyleft"
+    deep = "mit"
+    for i in range(10_000):
+        deep = ("with", deep, f"e{i}")
+    assert len(licenses.evaluate(deep)[0]) == 1
+
+
+def test_many_tags_on_a_line_cost_in_proportion():
+    import time
+
+    def seconds(n):
+        began = time.process_time()
+        found = licenses.expressions((TAG + "MIT ") * n)
+        assert len(found) == n and all(t == "mit" for _, t in found)
+        return time.process_time() - began
+
+    seconds(1000)
+    assert seconds(80_000) < 40 * max(seconds(4000), 0.01)
+    assert licenses.expressions(f"{TAG}MIT\n{TAG}\n{TAG}ISC OR MIT") == [("MIT", "mit"), ("", None), ("ISC OR MIT", ("or", "isc", "mit"))]
+
+
 def test_longest_prefix_against_brute_force():
     rng = random.Random(3)
     for _ in range(3000):
