@@ -29,7 +29,10 @@ def _place(h: np.ndarray, i: int, bits: int) -> np.ndarray:
 
 
 def bloom(hashes: DataFrame, bits: int) -> np.ndarray:
-    """A filter of the well-mixed hashes in column h, made in parts and joined bit by bit; its size is all that the driver holds."""
+    """A filter of the well-mixed hashes in column h, made in parts and joined bit by bit.
+
+    The driver holds the filter and its words with their places as Arrow blocks: three times its size.
+    """
 
     def run(batches):
         for b in batches:
@@ -40,10 +43,9 @@ def bloom(hashes: DataFrame, bits: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(value.view(np.int64))], ["word", "value"])
 
     out = np.zeros(bits >> 6, U)
-    rows = hashes.select("h").mapInArrow(run, "word bigint, value bigint").groupBy("word").agg(F.bit_or("value")).collect()
-    if rows:
-        word, value = (np.array(x, np.int64) for x in zip(*rows, strict=True))
-        out[word] = value.view(U)
+    words = hashes.select("h").mapInArrow(run, "word bigint, value bigint").groupBy("word").agg(F.bit_or("value").alias("value")).toArrow()
+    for b in words.to_batches():
+        out[np.asarray(b.column(0))] = np.asarray(b.column(1)).view(U)
     return out
 
 
