@@ -15,7 +15,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,14 +24,13 @@ from .common import extra_columns, quoted
 TOKEN = re.compile(r"\w+|[.!?\n]")
 BUCKETS = 1 << 18
 N_FEATURES = 6
-#: A sequence is a sentence. Of a longer one LONGEST tokens are told at a time, from a stretch that reaches
-#: OVERLAP tokens further on both sides: what stands beyond has no weight that could be seen.
-LONGEST, OVERLAP = 256, 32
-#: Labelled documents that are fitted to at most, of either label, and their longest text in characters.
-SAMPLE, SAMPLE_CHARS = 1200, 1 << 16
+#: Labelled documents that are fitted to at most, of either label, their longest text in characters, and all of a label's together.
+SAMPLE, SAMPLE_CHARS, SAMPLE_TOTAL = 1200, 1 << 16, 1 << 25
 #: Sequences are fitted to in pieces of so many tokens, and to so many pieces at most with a toxic token and without one.
 PIECE, TOXIC_PIECES, OTHER_PIECES = 48, 4000, 14000
 BATCH_CHARS = 4_000_000
+#: Tokens of sequences that are told together, about.
+TOGETHER = 4_000_000
 
 
 def features(word: str) -> list[int]:
@@ -49,8 +48,6 @@ def sequences(text: str | None) -> list[list[tuple[int, int]]]:
             if out[-1]:
                 out.append([])
         else:
-            if len(out[-1]) == LONGEST:
-                out.append([])
             out[-1].append(m.span())
     return [s for s in out if s]
 
@@ -249,24 +246,17 @@ class Scorer(dict):
             seq = np.cumsum(np.concatenate([[True], mark[:-1] | (doc[1:] != doc[:-1])]))[at]
             start = np.flatnonzero(np.concatenate([[True], seq[1:] != seq[:-1]]))
             n = np.diff(np.concatenate([start, [len(at)]]))
-            # Stretches of long sequences: what each tells, and what it looks at.
-            parts = -(-n // LONGEST)
-            of = np.repeat(np.arange(len(n)), parts)
-            told = (np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)) * LONGEST
-            lo, hi = np.maximum(told - OVERLAP, 0), np.minimum(told + LONGEST + OVERLAP, n[of])
-            first, last = told - lo, np.minimum(told + LONGEST, n[of]) - lo
-            start, n = start[of] + lo, hi - lo
             order = np.argsort(n, kind="stable")
             k = 0
-            while k < len(order):  # sequences of about the same length together
+            while k < len(order):  # sequences of about the same length together, each as long as it is
                 top = max(8, int(n[order[k]] * 1.3))
-                end = min(int(np.searchsorted(n[order], top, "right")), k + 20_000)
+                end = min(int(np.searchsorted(n[order], top, "right")), k + max(1, TOGETHER // top))
                 some = order[k:end]
                 steps = np.arange(int(n[some[-1]]))
+                live = steps < n[some][:, None]
                 index = np.minimum(start[some][:, None] + steps, len(at) - 1)
-                got, _, _ = self.field.marginals(np.where(steps < n[some][:, None], e[at[index]], 0.0), n[some])
-                mine = (steps >= first[some][:, None]) & (steps < last[some][:, None])
-                p[at[index[mine]]] = got[mine]
+                got, _, _ = self.field.marginals(np.where(live, e[at[index]], 0.0), n[some])
+                p[at[index[live]]] = got[live]
                 k = end
         return np.split(p, np.cumsum(ends)[:-1])
 
@@ -297,19 +287,22 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(quoted(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, most: int, most_chars: int) -> list[tuple[str, int]]:
-    """Up to most (text, toxic) pairs of either label from rows that are not held out, in the order of the ids' hashes."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, most: int, most_chars: int, total: int = SAMPLE_TOTAL) -> list[tuple[str, int]]:
+    """Up to most (text, toxic) pairs of either label, and total characters of each, from rows that are not held out, in the order of the ids' hashes.
+
+    An id gives one text, the first in order of those that its rows have; so no more than most texts and total characters of a label reach the driver.
+    """
     known = labels.where(F.col("toxic").isNotNull() & ~held_out("doc_id") & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("h", F.md5(F.col("doc_id").cast("string")))
     # Somewhat more than needed, as some may have no text or too long a one.
     picked = [known.where(c).orderBy("h", "doc_id").limit(most + most // 4) for c in ("toxic = 1", "toxic = 0")]
     few = picked[0].unionByName(picked[1])
     texts = docs.select(quoted(doc_id).alias("id"), quoted(text).alias("t")).where(F.length("t").between(1, most_chars))
-    rows = texts.join(F.broadcast(few), F.col("id") == F.col("doc_id")).select("h", "id", "t", "toxic").collect()
-    out: list[tuple[str, int]] = []
-    for label in (1, 0):
-        out += [(r.t, label) for r in sorted((r for r in rows if r.toxic == label), key=lambda r: (r.h, r.t))[:most]]
-    return out
+    one = texts.join(F.broadcast(few), F.col("id") == F.col("doc_id")).groupBy("h", "id", "toxic").agg(F.min("t").alias("t"))
+    order = Window.partitionBy("toxic").orderBy("h", "id")
+    so_far = F.sum(F.length("t")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    rows = one.withColumns({"_n": F.row_number().over(order), "_c": so_far}).where((F.col("_n") <= most) & (F.col("_c") <= total)).select("h", "t", "toxic").collect()
+    return [(r.t, label) for label in (1, 0) for r in sorted((r for r in rows if r.toxic == label), key=lambda r: (r.h, r.t))]
 
 
 def toxicity(df: DataFrame, field: Field, text: str = "text") -> DataFrame:

@@ -47,16 +47,43 @@ def test_gradient_against_finite_differences(monkeypatch):
         assert abs((moved(step) - moved(-step)) / (2 * step) - g[i]) < 1e-6
 
 
-def test_stretches_of_a_long_sequence_equal_the_whole(monkeypatch):
+def test_long_sentences_are_told_whole(monkeypatch):
+    """Against one forward and one backward pass over each sentence in plain Python, in groups of any size."""
     rng = np.random.default_rng(6)
     words = [f"w{i}" for i in range(50)]
     field = toxicity.Field()
-    field.w, field.bias, field.t = rng.normal(size=toxicity.BUCKETS), -0.5, np.array([[0.8, -0.5], [-0.4, 0.9]])
+    field.w, field.bias, field.t = rng.normal(size=toxicity.BUCKETS), -0.5, np.array([[1.8, -1.5], [-1.4, 1.9]])
     texts = [" ".join(rng.choice(words, k)) + ". b c!\n" for k in (1, 255, 256, 257, 1500)]
-    cut = toxicity.Scorer(field).marginals(texts)
-    monkeypatch.setattr(toxicity, "LONGEST", 10**6)
-    for a, b in zip(cut, toxicity.Scorer(field).marginals(texts), strict=True):
-        assert np.abs(a - b).max() < 1e-6
+
+    def alone(tokens):
+        x, t = [np.exp(field.w[toxicity.features(w)].sum() + field.bias) for w in tokens], np.exp(field.t)
+        ahead = [np.array([1.0, x[0]])]
+        for v in x[1:]:
+            now = ahead[-1] @ t * [1.0, v]
+            ahead.append(now / now.sum())
+        back = [np.ones(2)]
+        for v in x[:0:-1]:
+            now = t @ (back[-1] * [1.0, v])
+            back.append(now / now.sum())
+        both = [a * b for a, b in zip(ahead, back[::-1], strict=True)]
+        return [b[1] / b.sum() for b in both]
+
+    want = [[*alone(t.split(".")[0].split()), 0, *alone(["b", "c"]), 0, 0] for t in texts]
+    for together in (1, 300, 4_000_000):
+        monkeypatch.setattr(toxicity, "TOGETHER", together)
+        for a, b in zip(want, toxicity.Scorer(field).marginals(texts), strict=True):
+            assert np.abs(np.array(a) - b).max() < 1e-9
+
+
+def test_rows_that_repeat_an_id_give_one_text(spark):
+    docs = spark.createDataFrame([(i % 4, f"text {i} " * 20) for i in range(400)] + [(9, "x" * 50), (9, None)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in (0, 1, 2, 3, 9)], "doc_id bigint, toxic int")
+    got = toxicity.labelled_sample(docs, labels, "doc_id", "text", 100, 1 << 16)
+    ids = {i for i in (0, 1, 2, 3, 9) if crc32(str(i).encode()) % 5}
+    assert len(got) == len(ids) and all(t.startswith(("text", "xx")) for t, _ in got)
+    assert len(toxicity.labelled_sample(docs, labels, "doc_id", "text", 1, 1 << 16)) == 2
+    few = toxicity.labelled_sample(docs, labels, "doc_id", "text", 100, 1 << 16, total=200)
+    assert all(sum(len(t) for t, y in few if y == label) <= 200 for label in (0, 1)) and len(few) < len(got)
 
 
 def test_a_letter_that_grows_when_small_changes_nothing():
