@@ -445,9 +445,15 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, item_id: str, item_text: str,
     # The hash join of template windows, and the windows of the pairs that it finds.
     hits = met(seen.select("row", F.explode(F.array_distinct("probes")).alias("h")), probes, ["h"], "row")
     pairs = hits.select("row", "k", "names").distinct()
-    pairs = met(pairs, items.select("k", "names", F.col("item_id").alias("item"), F.col("h").alias("ih"), F.col("v").alias("iv"), F.col("at").alias("iat")),
+    # Of a document only the windows that the pair's item has: what a pair takes along is bounded by the item's own windows and how often they come again.
+    wanted = met(pairs, items.select("k", "names", F.explode(F.array_distinct("h")).alias("h")), ["k", "names"], "row", weight=about[1])
+    each = F.expr("inline(transform(sequence(0, size(h) - 1), i -> struct(h[i] AS h, slice(v, i * size + 1, size) AS v, at[i] AS at)))")
+    windows = seen.where("size(h) > 0").select("row", each).join(wanted.select("row", "k", "names", "h"), ["row", "h"])
+    held = windows.groupBy("row", "k", "names").agg(F.array_sort(F.collect_list(F.struct("at", "h", "v"))).alias("x"))
+    held = held.select("row", "k", "names", F.col("x.h").alias("h"), F.flatten("x.v").alias("v"), F.col("x.at").alias("at"))
+    both = met(held, items.select("k", "names", F.col("item_id").alias("item"), "size", F.col("h").alias("ih"), F.col("v").alias("iv"), F.col("at").alias("iat")),
         ["k", "names"], "row", weight=about[1])
-    sides = pairs.drop("names").join(seen, "row").select(*keys, "row", "k", F.col("item").alias("item_id"), "names", "size", "ih", "iv", "iat", "h", "v", "at")
+    sides = both.join(seen.select("row", *keys), "row").select(*keys, "row", "k", F.col("item").alias("item_id"), "names", "size", "ih", "iv", "iat", "h", "v", "at")
     fixed = [*docs.schema.fields[:-1], *T.StructType.fromDDL("row bigint, k bigint").fields, T.StructField("item_id", kind), T.StructField("names", T.IntegerType())]
     checked = sides.mapInArrow(_checker(share, len(fixed)), T.StructType([*fixed, *result.fields[-4:]]))
     return checked.select(*keys, "row", "k", "item_id", "names", *result.names[-4:])

@@ -193,3 +193,14 @@ def test_a_very_long_text_and_an_item_of_few_tokens(spark):
     df = spark.createDataFrame([(1, long + named("Anna", "Bob") + " " + long), (2, "Name it now"), (3, "Name it then")], "doc_id bigint, text string")
     bench = spark.createDataFrame([(9, TOM), (10, "Name it now")], "item_id bigint, text string")
     assert sorted((r.id, r.item_id) for r in decontam.contaminated(df, bench).collect()) == [(1, 9), (2, 10)]
+
+
+def test_a_document_that_holds_the_whole_benchmark(spark):
+    """Every item is found in it, from the windows of that item alone."""
+    rng = random.Random(7)
+    items = [(i, " ".join(f"w{rng.randint(0, 300)}" for _ in range(30)) + ".") for i in range(150)]
+    dump = "\n".join(t for _, t in items)
+    docs = [(1, dump), (2, dump + "\n" + dump), (3, items[3][1]), (4, "nothing of them")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {(r.id, r.item_id): (r.n_found, r.n_windows) for r in decontam.contaminated(df, spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert set(got) == {(d, i) for d in (1, 2) for i in range(150)} | {(3, 3)} and all(n == of for n, of in got.values())
