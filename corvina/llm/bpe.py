@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 from .common import extra_columns, quoted, scratch
 
 CHUNK, OVERLAP = 1 << 14, 1 << 9
-#: Chunks of a text of more characters than this are spread over tasks; those of a shorter one, a second's work, stay in one.
-SPREAD = 1 << 20
+#: Chunks of a text of more characters than this are spread over tasks; those of a shorter one, a tenth of a second's work, stay in one.
+SPREAD = 1 << 16
 #: From so many bytes on a pre-token is merged by a heap; pre-tokens that are held for the next time, and their longest.
 HEAP_BYTES, HELD, HELD_CHARS = 256, 150_000, 64
 #: Rows of which the texts and ids are held as Python objects at once.
