@@ -255,6 +255,12 @@ def read_only(statement: str) -> str:
     return statement
 
 
+def writes(statement: Column) -> Column:
+    """The first writing clause that a statement has, in the order of the clauses; null for one that only reads."""
+    upper = F.upper(statement)
+    return first_of((upper.contains(c), c.strip()) for c in vocab.WRITE_CLAUSES)
+
+
 def escape_quotes(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -55,7 +56,7 @@ def unlabelled_json(rows: DataFrame) -> DataFrame:
 
 
 def candidates(accepted: DataFrame, rejected: DataFrame, sentences: DataFrame) -> list[tuple[str, DataFrame]]:
-    """(stratum, rows) of the five strata, before sampling.
+    """(stratum, rows) of the five strata, before sampling, with ord and at, by which they are in the order of what they come from.
 
     accepted(pmid, source_node, target_node, target_node_type, evidence,
     source_file), rejected(pmid, microbe, feature_canonical, feature_node_type, sentence, source_file)
@@ -67,16 +68,18 @@ def candidates(accepted: DataFrame, rejected: DataFrame, sentences: DataFrame) -
 
     def shaped(df: DataFrame, prefix: str, stratum: str, state: str, parts: list, **columns) -> DataFrame:
         made = {"record_id": text.stable_id(prefix, *parts), "stratum": F.lit(stratum), "pipeline_state": F.lit(state)} | columns
-        return df.select(*[made.get(c, F.col(c) if c in df.columns else F.lit(None).cast("string")).alias(c) for c in ROW], "ord")
+        at = F.col("at") if "at" in df.columns else F.lit(0)
+        return df.select(*[made.get(c, F.col(c) if c in df.columns else F.lit(None).cast("string")).alias(c) for c in ROW], "ord", at.alias("at"))
 
-    named = accepted.withColumn("ord", F.xxhash64("pmid", "source_node", "target_node"))
+    placed = lambda df, *key: df if "ord" in df.columns else df.withColumn("ord", F.xxhash64(*key))
+    named = placed(accepted, "pmid", "source_node", "target_node")
     one = shaped(
         named, "acc", "accepted_edge", "accepted", [F.col("pmid"), F.col("source_node"), F.col("target_node")], sentence=cut,
         microbe=F.col("source_node"), candidate_feature_canonical=F.col("target_node"), candidate_feature_node_type=F.col("target_node_type"),
     )
     on = (F.col("pmid") == F.col("_p")) & (F.lower(F.trim("microbe")) == F.col("_m")) & (F.col("feature_canonical") == F.col("_f"))
     known = keys.select(F.col("pmid").alias("_p"), F.col("microbe").alias("_m"), F.col("feature").alias("_f"))
-    left = rejected.join(known, on, "left_anti").withColumn("ord", F.xxhash64("pmid", "microbe", "feature_canonical"))
+    left = placed(rejected.join(known, on, "left_anti"), "pmid", "microbe", "feature_canonical")
     two = shaped(
         left, "rej", "gemini_rejected", "rejected_by_gemini", [F.col("pmid"), F.col("microbe"), F.col("feature_canonical")],
         candidate_feature_canonical=F.col("feature_canonical"), candidate_feature_node_type=F.col("feature_node_type"),
@@ -100,8 +103,14 @@ def candidates(accepted: DataFrame, rejected: DataFrame, sentences: DataFrame) -
     return [("accepted_edge", one), ("gemini_rejected", two), ("vocab_excluded", three), ("recall_probe", four), ("random_co_occurrence", five)]
 
 
-def build(accepted: DataFrame, rejected: DataFrame, sentences: DataFrame, targets: Mapping[str, int] = vocab.GOLD_TARGETS, seed: int = 42) -> DataFrame:
-    """The gold set: a seeded sample of each stratum, without probes of sentences that an earlier stratum has, each record once."""
+def build(accepted: DataFrame, rejected: DataFrame, sentences: DataFrame, targets: Mapping[str, int] = vocab.GOLD_TARGETS, seed: int = 42, generator: bool = False) -> DataFrame:
+    """The gold set: a seeded sample of each stratum, without probes of sentences that an earlier stratum has, each record once.
+
+    Samples go by hashes of the records, or, with generator, by Python's
+    generator, one for all strata, in the order of ord; accepted and rejected
+    need a column ord then.
+    """
+    rng = random.Random(seed)
     strata = dict(candidates(accepted, rejected, sentences))
     picked = {}
     for name, df in strata.items():
@@ -112,8 +121,9 @@ def build(accepted: DataFrame, rejected: DataFrame, sentences: DataFrame, target
                 used = part if used is None else used.unionByName(part)
             on = (F.col("pmid") == F.col("_p")) & (F.col("microbe") == F.col("_m")) & (F.substring("sentence", 1, 80) == F.col("_s"))
             df = df.join(used.distinct(), on, "left_anti")
-        picked[name] = scoring.stratified_sample(df, "stratum", "record_id", {name: targets.get(name, 0)}, seed)
-    return scoring.gold_strata([(name, df.drop("stratum", "ord")) for name, df in picked.items()])
+        target = targets.get(name, 0)
+        picked[name] = scoring.generator_sample(df, target, rng, "ord", "at") if generator else scoring.stratified_sample(df, "stratum", "record_id", {name: target}, seed)
+    return scoring.gold_strata([(name, df.drop("stratum", "ord", "at")) for name, df in picked.items()])
 
 
 def suggest(gold: DataFrame, suggestions: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import scratch
+
 #: Rows of a range, about, and ranges at most.
 RANGE_ROWS, RANGES = 10_000, 4096
 
@@ -38,3 +40,29 @@ def ordinals(df: DataFrame, order: str, name: str) -> DataFrame:
     within = Window.partitionBy("_b").orderBy(order)
     ranked = dealt.withColumn("_r", F.row_number().over(within)).join(F.broadcast(counts), "_b")
     return ranked.withColumn(name, F.col("_before") + F.col("_r") - 1).drop("_b", "_r", "_before")
+
+
+def positions(df: DataFrame, name: str, *order: str) -> DataFrame:
+    """df with the 0-based position of each row in the order of some columns, which should be a total one; nulls come first.
+
+    The rows are sorted in ranges, written once, and numbered by the counts of
+    the ranges before theirs: no task sees more than a range, and only a count
+    for each range goes to all of them.
+    """
+    ranged = scratch(df.repartitionByRange(*order).sortWithinPartitions(*order)).withColumn("_id", F.monotonically_increasing_id())
+    part = F.shiftright("_id", 33)
+    counts = ranged.groupBy(part.alias("_p")).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    placed = ranged.join(F.broadcast(counts), part == F.col("_p"))
+    return placed.withColumn(name, F.col("_before") + F.col("_id") - F.shiftleft("_p", 33)).drop("_id", "_p", "_before")
+
+
+def evenly_spaced(df: DataFrame, n: int, *order: str) -> DataFrame:
+    """n rows of df, evenly spaced in the order of some columns, the first and the last among them; all of a table of no more."""
+    total = df.count()
+    if total <= n:
+        return df
+    places = np.unique(np.linspace(0, total - 1, n).astype(np.int64)) if n else np.array([], np.int64)
+    wanted = df.sparkSession.createDataFrame([(int(p),) for p in places], "_at bigint")  # as many rows as are asked for
+    return positions(df, "_at", *order).join(F.broadcast(wanted), "_at").drop("_at")

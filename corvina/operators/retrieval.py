@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,16 +23,30 @@ def concept_document(canonical: Column, synonyms: Column, preferred: Column) ->
     return F.array_join(F.filter(parts, lambda p: p.isNotNull() & (p != "")), " | ")
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), value being evaluated once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _run_lengths(s: Column) -> Column:
+    """How often each value is in a sorted array that isn't empty, as a map."""
+    n = F.size(s)
+    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+    lengths = lambda b: F.zip_with(b, F.concat(F.slice(b, 2, n), F.array(n)), lambda x, y: y - x)
+    return _bound(starts, lambda b: F.map_from_arrays(F.transform(b, lambda i: F.get(s, i)), lengths(b)))
+
+
 def hashed_embedding(content: Column, size: int = 64) -> Column:
-    """An offline encoder: counts of hashed words with a sign, at unit length; all zero for a text without words."""
+    """An offline encoder: counts of hashed words with a sign, at unit length; all zero for a text without words. Words are looked at once, sorted by slot."""
     words = text.tokens(text.normalize(content))
-    at = lambda w: F.pmod(F.xxhash64(w), F.lit(2 * size))
-    slots = F.transform(words, at)
-    counts = F.transform(
-        F.sequence(F.lit(0), F.lit(size - 1)),
-        lambda i: (F.size(F.filter(slots, lambda s: s == i)) - F.size(F.filter(slots, lambda s: s == i + size))).cast("double"),
-    )
-    return F.get(F.transform(F.array(counts), vectors.norm), F.lit(0))
+    slots = F.sort_array(F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(2 * size))))
+    none = F.transform(F.sequence(F.lit(1), F.lit(size)), lambda _: F.lit(0.0))
+
+    def counts(s: Column) -> Column:
+        n = lambda m, i: F.coalesce(F.try_element_at(m, F.lit(i).cast("bigint")), F.lit(0))
+        return F.when(F.size(s) > 0, _bound(_run_lengths(s), lambda m: F.array(*[(n(m, i) - n(m, i + size)).cast("double") for i in range(size)]))).otherwise(none)
+
+    return _bound(_bound(slots, counts), vectors.norm)
 
 
 def candidates(concepts: DataFrame, sentences: DataFrame, k: int = 200, require_microbe: bool = True, threshold: float | None = None) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import positions
 from .relations import first_by
 
 ASSOCIATED = ("positive", "negative", "associated")
@@ -103,6 +105,20 @@ def stratified_sample(rows: DataFrame, stratum: str, key: str, targets: dict[str
     return ranked.where(F.col("_n") <= most).drop("_n")
 
 
+def generator_sample(rows: DataFrame, target: int, rng: random.Random, *order: str) -> DataFrame:
+    """target rows of a table, those that Python's rng.sample() picks of a list in this order; all of a table of no more, without a draw.
+
+    Which positions are drawn depends on the count alone, so they are drawn on
+    the driver and looked up; the draws of one generator go on from table to
+    table, as they do from list to list.
+    """
+    n = rows.count()
+    if n <= target:
+        return rows
+    drawn = rows.sparkSession.createDataFrame([(p,) for p in rng.sample(range(n), target)], "_at bigint")  # target rows
+    return positions(rows, "_at", *order).join(F.broadcast(drawn), "_at").drop("_at")
+
+
 def gold_strata(strata: Sequence[tuple[str, DataFrame]], key: str = "record_id") -> DataFrame:
     """Candidates of several strata with their stratum; a key that an earlier stratum has is left out of later ones."""
     out = None

@@ -385,13 +385,15 @@ def t26_prompts(spark, d):
 
 # Concepts and retrieval.
 
-_CONCEPT_ROWS = ", ".join("('" + " | ".join([c.replace("_", " "), *s]) + f"', '{c}')" for c, s in vocab.CONCEPTS.items())
-
-
-@query(f"SELECT canonical, document, {vocab.CONCEPT_THRESHOLD}::DOUBLE AS threshold FROM (VALUES {_CONCEPT_ROWS}) t(document, canonical)")
+@query("""
+SELECT p_partkey, replace(replace(p_name, ' ', '_'), '_', ' ') || ' | ' || array_to_string(list_filter([p_type, nullif(p_brand, 'Brand#7')], lambda x: x IS NOT NULL), ' | ')
+  || CASE WHEN p_size % 2 = 0 THEN ' | C' || p_size ELSE '' END AS document FROM part""")
 def t42_concept_documents(spark, d):
-    c = retrieval.default_concepts(spark)
-    return c.select("canonical", retrieval.concept_document(F.col("canonical"), F.col("synonyms"), F.col("umls_preferred")).alias("document"), "threshold")
+    """Parts as concepts: their names, types and brands as synonyms, and for some a preferred term."""
+    named = F.replace("p_name", F.lit(" "), F.lit("_"))
+    synonyms = F.array("p_type", F.when(F.col("p_brand") != "Brand#7", F.col("p_brand")), F.lit(""))
+    preferred = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("C"), F.col("p_size").cast("string")))
+    return table(spark, d, "part").select("p_partkey", retrieval.concept_document(named, synonyms, preferred).alias("document"))
 
 
 @query("""

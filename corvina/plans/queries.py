@@ -6,7 +6,6 @@ associated with suppliers, returns are negative evidence, and so on.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -626,23 +625,37 @@ def s11_query_filter(spark, d):
 # Streams.
 
 
+def _fed(spark, d):
+    """A folder that files are put into, a function that puts the next part of the events there, and the stream of the folder."""
+    at, events = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}", _t(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    events.limit(0).write.parquet(f"{at}/in")
+    return at, lambda rows: events.where(rows).write.mode("append").parquet(f"{at}/in"), incremental.file_stream(spark, f"{at}/in", events, 4)
+
+
 @query("SELECT event_id, user_id, event_type, value FROM events")
 def stream_ingest(spark, d):
-    """A stream of the table's files into a sink; a second run over the same files adds nothing."""
-    at = f"{shared_folder(spark)}/ingest-{uuid.uuid4().hex}"
-    like = _t(spark, d, "events").select("event_id", "user_id", "event_type", "value")
-    path = f"{d}/events.parquet"
-    path = path if os.path.isdir(path) else f"{d}/events*.parquet"
-    for k in range(2):
-        stream = spark.readStream.schema(_t(spark, d, "events").schema).parquet(path).select(*like.columns)
-        incremental.ingest_new(stream, f"{at}/sink", f"{at}/checkpoint-{k}", "event_id").awaitTermination()
-    return spark.read.parquet(f"{at}/sink")
+    """Events in three runs, of which the later ones bring late events, and again all that came before."""
+    at, feed, stream = _fed(spark, d)
+    for rows in ("event_id % 3 = 0", "event_id % 3 <= 1", "true"):
+        feed(rows)
+        incremental.ingest_unseen(stream, f"{at}/sink", f"{at}/checkpoint", "event_id", time="ts", remembered="400 days").awaitTermination()
+    return spark.read.parquet(f"{at}/sink").select("event_id", "user_id", "event_type", "value")
 
 
-@query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
+@query("""
+WITH w AS (SELECT max(ts) FILTER (WHERE event_id % 10 <> 0) - INTERVAL 10 MINUTE AS one, max(ts) - INTERVAL 10 MINUTE AS two FROM events),
+e AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, event_id FROM events)
+SELECT start, event_type, count(*) AS n FROM e, w
+WHERE start + INTERVAL 1 HOUR <= two AND (event_id % 10 <> 0 OR start + INTERVAL 1 HOUR > one) GROUP BY ALL""")
 def windowed_counts(spark, d):
-    out = incremental.windowed_counts(_t(spark, d, "events"), "ts", "1 hour", "10 minutes", "event_type")
-    return out.select(F.col("window.start").alias("start"), "event_type", "n")
+    """Windows that a stream closes; every tenth event comes in a second run, too late for windows that the first has closed."""
+    at, feed, stream = _fed(spark, d)
+    counts = incremental.windowed_counts(stream, "ts", "1 hour", "10 minutes", "event_type").select(F.col("window.start").alias("start"), "event_type", "n")
+    for rows in ("event_id % 10 <> 0", "event_id % 10 = 0"):
+        feed(rows)
+        out = counts.writeStream.outputMode("append").format("parquet").option("checkpointLocation", f"{at}/checkpoint")
+        out.trigger(availableNow=True).start(f"{at}/sink").awaitTermination()
+    return spark.read.parquet(f"{at}/sink")
 
 
 # Schemas and further text operators.

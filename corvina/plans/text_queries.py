@@ -5,6 +5,7 @@ Sentences are made from a part's columns, in the same way on both sides.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import functions as F
@@ -14,7 +15,8 @@ from ..operators import aliases, edges, gates, images, mentions, relations, scor
 from ..sources import files
 from ..streaming import incremental
 from ..storage import shared_folder
-from .figure_queries import _case, _case_sql
+from . import tracks
+from .figure_queries import _case, _case_sql, _topology_sql
 from .registry import query, table
 
 def _key():
@@ -28,43 +30,96 @@ def _told(column: str, values: dict[str, str | None]) -> str:
 
 # Scalar functions.
 
-SPANS = {'  ("Glcm  entropy"), ': 'Glcm entropy"', "[a  b]. ": "a b", " , ; x : .": "x", "''": ""}
+# Texts are whole documents, each with terms of a vocabulary spliced into it, so that something is found; the SQL looks for the same terms in the same texts.
 
 
-@query(f"SELECT p_partkey, {_told('p_partkey', {' (\"Glcm  entropy\")': 'Glcm entropy', '[a  b].': 'a b', ' , ; x : .': 'x', '()': ''})} || p_size AS span, lower(p_type) AS low FROM part")
+def _spliced(*vocabularies):
+    """What makes the column of a document's text with a term of each vocabulary, by its id, in the middle and at the end, and SQL that does."""
+
+    def column():
+        whole = F.coalesce("text", F.lit(""))
+        half = F.floor(F.length(whole) / 2).cast("int")
+        out = F.concat(F.substr(whole, F.lit(1), half), F.lit("\n{0} "), F.substr(whole, half + 1), F.lit(" {1}."))
+        for i, terms in enumerate(vocabularies):
+            some = F.get(F.array(*map(F.lit, terms)), (F.col("doc_id") % (len(terms) + i)).cast("int"))
+            out = F.replace(out, F.lit(f"{{{i}}}"), F.coalesce(some, F.lit("of none")))
+        return out
+
+    sql = "coalesce(text, '')"
+    sql = f"substr({sql}, 1, length({sql}) // 2) || chr(10) || '{{0}} ' || substr({sql}, length({sql}) // 2 + 1) || ' {{1}}.'"
+    for i, terms in enumerate(vocabularies):
+        listed = ", ".join("'" + t.replace("'", "''") + "'" for t in terms)
+        sql = f"replace({sql}, '{{{i}}}', coalesce(([{listed}])[1 + doc_id % {len(terms) + i}], 'of none'))"
+    return column, sql
+
+
+_LOW = r"trim(regexp_replace(lower({x}), '[\s\x0B\x{{A0}}\x{{85}}]+', ' ', 'g'))"
+_NOT_WORD = r"[^\p{L}\p{N}_]"
+
+
+def _first_term(low, terms, bound=False):
+    """SQL for the label of the first of (term, label) that a text has."""
+    has = (lambda t: f"regexp_matches({low}, '(^|{_NOT_WORD}){re.escape(t)}($|{_NOT_WORD})')") if bound else (lambda t: f"contains({low}, '{t}')")
+    return "CASE " + " ".join(f"WHEN {has(t)} THEN '{label}'" for t, label in terms) + " END"
+
+
+_SPAN, _SPAN_SQL = _spliced(("(glcm", '"`entropy', "[a , b"), ("c)", 'x"', "y ];:"))
+
+
+@query(rf"""
+WITH d AS (SELECT doc_id, {_SPAN_SQL} AS t FROM documents),
+a AS (SELECT doc_id, t, regexp_replace(trim(regexp_replace(t, '[\s\x0B\x{{A0}}\x{{85}}]+', ' ', 'g')), '^["''`\[\]{{}}()]+|["''`\[\]{{}}()]+$', '', 'g') AS s FROM d)
+SELECT doc_id, md5(trim(regexp_replace(s, '^[ ,;:.]+|[ ,;:.]+$', '', 'g'))) AS span, md5({_LOW.format(x='t')}) AS low FROM a""")
 def t2_normalized(spark, d):
-    raw = _case("p_partkey", ['  ("Glcm  entropy', " {`[a \t b", " , ; x", "(("])
-    size = F.col("p_size").cast("string")
-    spaced = F.concat(F.lit("  "), F.replace("p_type", F.lit(" "), F.lit(" \n ")), F.lit("\t"))
-    # The number stands at the end, so that what is taken off is what stands before it.
-    return table(spark, d, "part").select("p_partkey", F.concat(spans.normalize_span(raw), size).alias("span"), text.normalize(spaced).alias("low"))
-
-
-DISEASES = {
-    "Dysbiosis drives colorectal cancer here.": "dysbiosis drives colorectal cancer",
-    "It is a disease of no name.": None,
-    "Plain words only.": None,
-    "Severe liver fibrosis was seen.": "severe liver fibrosis",
-    "patients in training reduces liver disease": None,
-}
+    docs = table(spark, d, "documents").select("doc_id", _SPAN().alias("t"))
+    return docs.select("doc_id", F.md5(spans.normalize_span(F.col("t"))).alias("span"), F.md5(text.normalize(F.col("t"))).alias("low"))
 
 
-@query(f"SELECT p_partkey, coalesce({_told('p_partkey', DISEASES)}, CASE WHEN p_size % 2 = 0 THEN 'type lung cancer' END) AS disease FROM part")
+_ILL, _ILL_SQL = _spliced(("Severe liver fibrosis", "patients in training reduces liver disease", "lung cancer", "Dysbiosis drives colorectal cancer", "no name"), ("It is a disease", "type 2 diabetes", "colorectal adenoma"))
+_STOPS = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+@query(rf"""
+WITH d AS (SELECT doc_id, {_ILL_SQL} AS t FROM documents),
+f AS (SELECT doc_id, list_transform(regexp_extract_all(t, '{vocab.DISEASE}', 1), lambda x: string_split({_LOW.format(x='x')}, ' ')) AS xs FROM d)
+SELECT doc_id, array_to_string(list_filter(xs, lambda w: NOT list_contains({_STOPS(vocab.DISEASE_LEAD_STOPWORDS)}, w[1])
+  AND NOT (len(w) > 3 AND list_has_any(w[:-2], {_STOPS(vocab.DISEASE_CONTEXT_STOPWORDS)})))[1], ' ') AS disease FROM f""")
 def t14_disease(spark, d):
-    title = F.when(F.col("p_size") % 2 == 0, "Type lung cancer").otherwise("A title")
-    return table(spark, d, "part").select("p_partkey", text.disease(_case("p_partkey", list(DISEASES)), title).alias("disease"))
+    return table(spark, d, "documents").select("doc_id", text.disease(_ILL(), F.lit("")).alias("disease"))
 
 
-HINTS = {"We predict survival": "predictive", "Survival was linked": "prognostic", "Detection rates": "diagnostic", "It was correlated": "association", "None": None}
+_HINT, _HINT_SQL = _spliced([t for _, terms in vocab.CLAIM_HINTS for t in terms][::2], [t for _, terms in vocab.CLAIM_HINTS for t in terms][1::2])
 
 
 @query(f"""
-SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN CASE WHEN {_told('p_partkey', HINTS)} = 'predictive' THEN 'predictive' ELSE 'prognostic' END
-    ELSE {_told('p_partkey', HINTS)} END AS hint
-  FROM part""")
+WITH d AS (SELECT doc_id, {_LOW.format(x=_HINT_SQL)} AS low FROM documents)
+SELECT doc_id, {_first_term('low', [(t, hint) for hint, terms in vocab.CLAIM_HINTS for t in terms])} AS hint FROM d""")
 def t15_claim_hint(spark, d):
-    title = F.when(F.col("p_size") % 3 == 0, "Outcome of a study").otherwise(F.lit(None))
-    return table(spark, d, "part").select("p_partkey", text.claim_hint(_case("p_partkey", list(HINTS)), title).alias("hint"))
+    return table(spark, d, "documents").select("doc_id", text.claim_hint(_HINT(), F.lit(None)).alias("hint"))
+
+
+_STATED, _STATED_SQL = _spliced([f"MATCH (n) {c.lower()}" for c in vocab.WRITE_CLAUSES], ["RETURN n", "SET n.x = 1", "CALL db.labels()", "call {x}"])
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, upper({_STATED_SQL}) AS t FROM documents)
+SELECT doc_id, CASE {' '.join(f"WHEN contains(t, '{c}') THEN '{c.strip()}'" for c in vocab.WRITE_CLAUSES)} END AS clause FROM d""")
+def f10_read_only(spark, d):
+    """The writing clause of each statement, a document's text with clauses in it."""
+    return table(spark, d, "documents").select("doc_id", text.writes(_STATED()).alias("clause"))
+
+
+_CAPTION, _CAPTION_SQL = _spliced([w for words in vocab.TOPOLOGY_KEYWORDS.values() for w in words], [w for words in vocab.TOPOLOGY_KEYWORDS.values() for w in words][::3])
+
+
+@query(f"""
+WITH c AS (SELECT doc_id, {_LOW.format(x=_CAPTION_SQL)} AS caption FROM documents), t AS (SELECT doc_id, {_topology_sql('caption')} AS topology FROM c)
+SELECT doc_id, topology FROM t WHERE topology IN ('heatmap', 'forest_plot')""")
+def f6_topology_filter(spark, d):
+    """Figures of two topologies; captions are whole documents with keywords in them."""
+    figures = table(spark, d, "documents").select(F.col("doc_id").alias("figure_id"), _CAPTION().alias("caption"))
+    none = spark.createDataFrame([], "proposal_id string, figure_id bigint, candidate_r double")
+    return tracks.figure_track(figures, none, ("heatmap", "forest_plot"))["figures"].select(F.col("figure_id").alias("doc_id"), "topology")
 
 
 SUBJECTS = {
@@ -86,42 +141,56 @@ def t16_subject(spark, d):
     return p.select("p_partkey", "a.type", "a.name", F.col("b.type").alias("type2"), F.col("b.name").alias("name2"))
 
 
-FEATURES = {" Sarcopenia": "body_composition", "glcm_entropy": "radiomic", "myosteatosis ": "body_composition", "": "radiomic"}
+_NAMES = (*vocab.BODYCOMP_CANONICAL, *vocab.RADIOMIC_CANONICAL)
+_FEATURES_SQL = "[" + ", ".join(f"'{n}'" for n in _NAMES) + "]"
 
 
 @query(f"""
-SELECT p_partkey, {_told('p_partkey', FEATURES)} AS family, CASE {_told('p_partkey', FEATURES)} WHEN 'radiomic' THEN 'RadiomicFeature' ELSE 'BodyCompositionFeature' END
-    AS node_type
-  FROM part""")
+WITH w AS (SELECT doc_id, unnest(list_distinct(string_split({_LOW.format(x="coalesce(text, '')")}, ' '))) AS w FROM documents),
+f AS (SELECT DISTINCT w, CASE WHEN crc % 3 = 0 THEN ({_FEATURES_SQL})[1 + crc % {len(_NAMES)}] ELSE w END AS f
+      FROM (SELECT w, max(length(w)) * 7 + min(doc_id) AS crc FROM w GROUP BY w)),
+b AS (SELECT w, f, list_contains({_STOPS(vocab.BODYCOMP_CANONICAL)}, f) AS body FROM f)
+SELECT w, CASE WHEN body THEN 'body_composition' ELSE 'radiomic' END AS family, CASE WHEN body THEN 'BodyCompositionFeature' ELSE 'RadiomicFeature' END AS node_type FROM b""")
 def t17_feature_family(spark, d):
-    f = _case("p_partkey", list(FEATURES))
-    return table(spark, d, "part").select("p_partkey", text.feature_family(f).alias("family"), text.feature_node_type(f).alias("node_type"))
+    """The words of all documents, a third of them taken for the names of features."""
+    words = table(spark, d, "documents").select("doc_id", F.explode(F.split(text.normalize(F.col("text")), " ")).alias("w"))
+    one = words.groupBy("w").agg((F.max(F.length("w")) * 7 + F.min("doc_id")).alias("n"))
+    f = F.when(F.col("n") % 3 == 0, F.get(F.array(*map(F.lit, _NAMES)), (F.col("n") % len(_NAMES)).cast("int"))).otherwise(F.col("w"))
+    name = F.initcap(F.concat(F.lit("  "), f))
+    return one.select("w", text.feature_family(name).alias("family"), text.feature_node_type(name).alias("node_type"))
 
 
-ANSWERS = {
-    "(A) because": "positive", "b": "negative", "C.": "unrelated", "The relation is positive, not negative": "positive", "Clearly NEGATIVE": "negative",
-        "na": "unrelated", "": "unrelated", "abc": "unrelated",
-}
+_ANSWER_SQL = "concat(([' (A) ', 'b', '\"C.\" ', 'positive', ' Clearly NEGATIVE', '[d]'])[1 + (conv_id * 5 + turn) % 13], ' ', coalesce(text, ''), ([' positive', ' negative'])[1 + turn % 5])"
 
 
-@query(f"SELECT p_partkey, {_told('p_partkey', ANSWERS)} AS label FROM part")
+@query(rf"""
+WITH a AS (SELECT conv_id, turn, lower(trim({_ANSWER_SQL})) AS low FROM conversations),
+f AS (SELECT conv_id, turn, low, regexp_replace(regexp_extract(low, '^(\S+)', 1), '^[()\[\]{{}}:;,."'']+|[()\[\]{{}}:;,."'']+$', '', 'g') AS first FROM a)
+SELECT conv_id, turn, CASE WHEN first = 'a' THEN 'positive' WHEN first = 'b' THEN 'negative' WHEN first IN ('c', 'd') THEN 'unrelated'
+  WHEN contains(low, 'positive') THEN 'positive' WHEN contains(low, 'negative') THEN 'negative' ELSE 'unrelated' END AS label FROM f""")
 def t23_relation_label(spark, d):
-    return table(spark, d, "part").select("p_partkey", text.relation_label(_case("p_partkey", list(ANSWERS))).alias("label"))
+    """What all turns say, some of them begun or ended as a model's answers are."""
+    begin = F.get(F.array(*map(F.lit, (" (A) ", "b", '"C." ', "positive", " Clearly NEGATIVE", "[d]"))), ((F.col("conv_id") * 5 + F.col("turn")) % 13).cast("int"))
+    end = F.get(F.array(F.lit(" positive"), F.lit(" negative")), (F.col("turn") % 5).cast("int"))
+    none = lambda c: F.coalesce(c, F.lit(""))
+    return table(spark, d, "conversations").select("conv_id", "turn", text.relation_label(F.concat(none(begin), F.lit(" "), none(F.col("text")), none(end))).alias("label"))
 
 
-@query("SELECT i::BIGINT AS i, round(0.45 + 0.4 * i / 6, 3)::DOUBLE AS temperature FROM range(7) t(i)")
+@query("SELECT conv_id, turn, round(0.45 + 0.4 * (turn % 7) / 6, 3)::DOUBLE AS temperature FROM conversations")
 def t25_temperatures(spark, d):
-    return spark.createDataFrame(list(enumerate(text.temperatures())), "i bigint, temperature double")
+    """The temperature of each turn, if turns are the samples of a conversation."""
+    each = F.array(*map(F.lit, text.temperatures()))
+    return table(spark, d, "conversations").select("conv_id", "turn", F.get(each, (F.col("turn") % 7).cast("int")).alias("temperature"))
 
 
-PLACES = {"the Abdominal aorta": "aorta", "a lung and liver": "liver", "livers": None, "hip bone on PET/CT": "bone", "DXA of the waist": "waist"}
-MODES = {"the Abdominal aorta": None, "a lung and liver": None, "livers": None, "hip bone on PET/CT": "CT", "DXA of the waist": "DXA"}
+_PLACED, _PLACED_SQL = _spliced(vocab.BODY_LOCATIONS, [t for t, _ in vocab.MODALITIES])
 
 
-@query(f"SELECT p_partkey, {_told('p_partkey', PLACES)} AS place, {_told('p_partkey', MODES)} AS modality FROM part")
+@query(f"""
+WITH d AS (SELECT doc_id, {_LOW.format(x=_PLACED_SQL)} AS low FROM documents)
+SELECT doc_id, {_first_term('low', [(t, t) for t in vocab.BODY_LOCATIONS], bound=True)} AS place, {_first_term('low', vocab.MODALITIES)} AS modality FROM d""")
 def t13_places(spark, d):
-    s = _case("p_partkey", list(PLACES))
-    return table(spark, d, "part").select("p_partkey", text.body_location(s).alias("place"), text.modality(s).alias("modality"))
+    return table(spark, d, "documents").select("doc_id", text.body_location(_PLACED()).alias("place"), text.modality(_PLACED()).alias("modality"))
 
 
 @query("SELECT p_partkey, p_size % 2 = 0 AND p_size >= 30 AS supported FROM part")

@@ -6,11 +6,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+#: How long an id is remembered after it was seen.
+REMEMBERED = "30 days"
+
+
+def unseen(stream: DataFrame, *key: str, time: str | None = None, remembered: str = REMEMBERED) -> DataFrame:
+    """Rows of a stream whose key wasn't seen before, by keyed state that forgets.
+
+    With time, an event time, a key is remembered until the newest event is that
+    much later than the key's; rows that come later still are left out, as
+    nobody can tell then whether they were seen. Without it a key is remembered
+    that long after it arrived. Of rows of one key one stays, of the first batch
+    that has any; rows of one batch should differ in nothing but the key's copies.
+    """
+    if time is None:
+        timed = stream.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", remembered)
+        return timed.dropDuplicatesWithinWatermark(list(key)).drop("_arrived")
+    return stream.withWatermark(time, remembered).dropDuplicatesWithinWatermark(list(key))
+
+
+def ingest_unseen(source: DataFrame, sink: str, checkpoint: str, *key: str, time: str | None = None, remembered: str = REMEMBERED) -> StreamingQuery:
+    """Appends the unseen rows of a stream to a parquet sink.
+
+    What was seen is state beside the checkpoint, dealt by key, and not read from
+    the sink; the sink's own log lets a batch that is repeated add nothing.
+    """
+    rows = unseen(source, *key, time=time, remembered=remembered)
+    return rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start(sink)
+
 
 def ingest_new(source: DataFrame, sink: str, checkpoint: str, key: str) -> StreamingQuery:
-    """Appends the rows of a stream to a parquet sink, but for keys that it has already. A batch that is repeated adds nothing.
+    """Appends the rows of a stream to a parquet sink, but for keys that it has already, however old. A batch that is repeated adds nothing.
 
-    Of the sink only the key column is read, and of that only where a row group
+    Of rows of one key in a batch the first in the order of all columns stays.
+    Where ids come again within a known time, ingest_unseen() spares reading the
+    sink. Of the sink only the key column is read, and of that only where a row group
     may hold a key between the batch's smallest and largest.
     """
 
