@@ -627,7 +627,7 @@ def s11_query_filter(spark, d):
 
 def _fed(spark, d):
     """A folder that files are put into, a function that puts the next part of the events there, and the stream of the folder."""
-    at, events = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}", _t(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    at, events = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}", _t(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
     events.limit(0).write.parquet(f"{at}/in")
     return at, lambda rows: events.where(rows).write.mode("append").parquet(f"{at}/in"), incremental.file_stream(spark, f"{at}/in", events, 4)
 
@@ -650,7 +650,7 @@ WHERE start + INTERVAL 1 HOUR <= two AND (event_id % 10 <> 0 OR start + INTERVAL
 def windowed_counts(spark, d):
     """Windows that a stream closes; every tenth event comes in a second run, too late for windows that the first has closed."""
     at, feed, stream = _fed(spark, d)
-    counts = incremental.windowed_counts(stream, "ts", "1 hour", "10 minutes", "event_type").select(F.col("window.start").alias("start"), "event_type", "n")
+    counts = incremental.windowed_counts(stream, "ts", "1 hour", "10 minutes", "event_type").select(F.col("window.start").cast("timestamp_ntz").alias("start"), "event_type", "n")
     for rows in ("event_id % 10 <> 0", "event_id % 10 = 0"):
         feed(rows)
         out = counts.writeStream.outputMode("append").format("parquet").option("checkpointLocation", f"{at}/checkpoint")

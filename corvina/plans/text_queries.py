@@ -76,12 +76,14 @@ def t2_normalized(spark, d):
 
 
 _ILL, _ILL_SQL = _spliced(("Severe liver fibrosis", "patients in training reduces liver disease", "lung cancer", "Dysbiosis drives colorectal cancer", "no name"), ("It is a disease", "type 2 diabetes", "colorectal adenoma"))
+#: Letters beyond ASCII; a word's border is beside them in one engine and not in the other, so the SQL takes them for an underscore.
+_LETTERS = r"[\x{AA}\x{B5}\x{BA}\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{2C1}\x{370}-\x{1FFF}\x{3040}-\x{D7FF}]"
 _STOPS = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
 
 
 @query(rf"""
 WITH d AS (SELECT doc_id, {_ILL_SQL} AS t FROM documents),
-f AS (SELECT doc_id, list_transform(regexp_extract_all(t, '{vocab.DISEASE}', 1), lambda x: string_split({_LOW.format(x='x')}, ' ')) AS xs FROM d)
+f AS (SELECT doc_id, list_transform(regexp_extract_all(regexp_replace(t, '{_LETTERS}', '_', 'g'), '{vocab.DISEASE}', 1), lambda x: string_split({_LOW.format(x='x')}, ' ')) AS xs FROM d)
 SELECT doc_id, array_to_string(list_filter(xs, lambda w: NOT list_contains({_STOPS(vocab.DISEASE_LEAD_STOPWORDS)}, w[1])
   AND NOT (len(w) > 3 AND list_has_any(w[:-2], {_STOPS(vocab.DISEASE_CONTEXT_STOPWORDS)})))[1], ' ') AS disease FROM f""")
 def t14_disease(spark, d):
