@@ -25,6 +25,7 @@ def small(tmp_path_factory):
     pq.write_table(pa.table({"item_id": pa.array([1], pa.int64()), "text": [item]}), d / "benchmark.parquet")
     pq.write_table(pa.table({"doc_id": pa.array(range(n), pa.int64()), "quality": pa.array([1] * n, pa.int32()), "toxic": pa.array([0] * n, pa.int32())}), d / "labels.parquet")
     pq.write_table(pa.table({"page_id": pa.array(range(n), pa.int64()), "url": ["u"] * n, "html": texts}), d / "pages.parquet")
+    pq.write_table(pa.table({"conv_id": pa.array([i // 2 for i in range(n)], pa.int64()), "turn": pa.array([i % 2 for i in range(n)], pa.int64()), "role": ["user", "assistant"] * (n // 2), "text": texts}), d / "conversations.parquet")
     return str(d)
 
 
@@ -50,6 +51,8 @@ def test_every_query_runs_over_its_whole_table(spark, small, name):
     rows = queries.QUERIES[name](spark, small).collect()
     if name.startswith("op3"):
         assert {r.doc_id for r in rows} == {35}
+    elif name.startswith("op11"):
+        assert sorted(r.conv_id for r in rows) == list(range(18))
     else:
         key = "page_id" if name.startswith("op10") else "doc_id"
         assert Counter(r[key] for r in rows) == Counter(range(36))
