@@ -47,9 +47,9 @@ def _types_of_parts(spark: SparkSession, d: str) -> DataFrame:
 WITH r AS (SELECT DISTINCT 'part ' || p_partkey AS a, p_type AS b FROM part)
 SELECT 'nodes' AS part, (SELECT count(*) FROM (SELECT a FROM r UNION ALL SELECT DISTINCT b FROM r)) AS n UNION ALL SELECT 'relationships', count(*) FROM r
 UNION ALL SELECT 'statements', 2 + (SELECT count(*) FROM (SELECT a FROM r UNION ALL SELECT DISTINCT b FROM r)) + count(*)
-  FROM r UNION ALL SELECT 'post_total', count(*) FROM r""")
+  FROM r UNION ALL SELECT 'records', count(*) FROM r UNION ALL SELECT 'post_total', count(*) FROM r""")
 def s18_bundle(spark: SparkSession, d: str) -> DataFrame:
-    """Publishes a bundle in the shared folder, then tries one with a wrong total: what is read back is the first."""
+    """Publishes a bundle in the shared folder, then tries one with a wrong total: what is read back is the first, as are its explorer records."""
     rels = _types_of_parts(spark, d)
     at = f"{shared_folder(spark)}/bundle-{uuid.uuid4().hex}"
     said = bundles.write_bundle(spark, rels, rels.limit(0), at, "2024-01-01T00:00:00Z")
@@ -61,7 +61,9 @@ def s18_bundle(spark: SparkSession, d: str) -> DataFrame:
         raise AssertionError("a bundle with a wrong total was published")
     nodes, back, lines, manifest = bundle = bundles.read_bundle(spark, at)
     bundles.load_plan(bundle)
-    counts = {"nodes": nodes.count(), "relationships": back.count(), "statements": lines.count(), "post_total": manifest["counts"]["post_total"]}
+    bundles.write_explorer(spark, bundle, f"{at}/explorer")
+    counts = {"nodes": nodes.count(), "relationships": back.count(), "statements": lines.count(), "records": bundles.read_explorer(spark, f"{at}/explorer").count(),
+        "post_total": manifest["counts"]["post_total"]}
     return spark.createDataFrame(list(counts.items()), "part string, n bigint")
 
 
