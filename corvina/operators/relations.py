@@ -165,13 +165,19 @@ def signed_evidence(rows: DataFrame, keys: Sequence[str], confidence: float = 0.
     )
 
 
-def keep_best(df: DataFrame, keys: Sequence[str], score: str = "confidence", evidence: str | None = "evidence", ord: str = "ord", joint: str = " || ") -> DataFrame:
-    """The row of highest score per key, the first at a tie; its evidence is joined with that of the ties, in order, unless it holds them already."""
+def keep_best(df: DataFrame, keys: Sequence[str], score: str = "confidence", evidence: str | None = "evidence", ord: str = "ord", joint: str = " || ", repeats: bool = False) -> DataFrame:
+    """The row of highest score per key, the first at a tie; its evidence is joined with that of the ties, in order, unless it holds them already.
+
+    With repeats, evidence that is held already is joined as well.
+    """
     rest = [c for c in df.columns if c not in keys]
     if evidence is None:
         return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(score, -F.col(ord))).alias("_r")).select(*keys, "_r.*").select(*df.columns)
     best = df.withColumn("_top", F.max(score).over(Window.partitionBy(*keys))).where(F.col(score) == F.col("_top")).drop("_top")
     grouped = best.groupBy(*keys).agg(F.min_by(F.struct(*rest), ord).alias("_r"), F.sort_array(F.collect_list(F.struct(ord, evidence))).alias("_all"))
+    if repeats:
+        told = F.when(F.exists("_all", lambda x: x[evidence].isNotNull()), F.array_join(F.transform("_all", lambda x: x[evidence]), joint))
+        return grouped.select(*keys, "_r.*", told.alias("_told")).withColumn(evidence, F.col("_told")).select(*df.columns)
     told = F.aggregate(
         F.slice("_all", 2, F.greatest(F.size("_all") - 1, F.lit(0))),
         F.coalesce(F.get("_all", F.lit(0))[evidence], F.lit("")),
