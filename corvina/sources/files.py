@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator, Sequence
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -98,20 +99,26 @@ class _Text(HTMLParser):
             self.parts.append(data)
 
 
-def html_to_text(html: str | None) -> str:
+def _ends(reference: re.Match) -> str:
+    known = reference[1] and (reference[1].startswith("#") or reference[1] in html5)
+    return reference[0] if known else "&amp;" + reference[0][1:]
+
+
+def html_to_text(html: str | None, bare: bool = True) -> str:
+    """The text of a page; references such as &amp count without their semicolon too, unless bare is False."""
     parser = _Text()
-    parser.feed(html or "")
+    parser.feed((html or "") if bare else re.sub(r"&(#[0-9]+;|#[xX][0-9a-fA-F]+;|[a-zA-Z][a-zA-Z0-9]*;)?", _ends, html or ""))
     parser.close()
     return " ".join("".join(parser.parts).split())
 
 
-def article_text(html: Column) -> Column:
-    """Text of an article's page, from the first "abstract" to the last "references" where there are such words."""
+def article_text(html: Column, bare: bool = True) -> Column:
+    """Text of an article's page, from the first "abstract" to the last "references" where there are such words; bare as in html_to_text()."""
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
-            yield s.map(html_to_text)
+            yield s.map(lambda h: html_to_text(h, bare))
 
     def cut(t: Column) -> Column:
         start = F.greatest(F.locate("abstract", F.lower(t)), F.lit(1))
