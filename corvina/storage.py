@@ -34,6 +34,15 @@ def scratch(df: DataFrame, rows: int | None = None) -> DataFrame:
     return out.coalesce(max(spark.sparkContext.defaultParallelism, -(-out.count() // rows)))
 
 
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """df dealt over as many tasks as its count needs at that many rows each.
+
+    Short rows lie in a file or two, which would be as many tasks, however much
+    is then made of each row.
+    """
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows)))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder or file by Spark's own file systems; one that isn't there is no error."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
