@@ -409,7 +409,7 @@ def v4_image_make_up(spark, d):
     line = F.concat(F.repeat(up(side), third), F.repeat(up(middle), third), F.repeat(up(side), third))
     data = F.unhex(F.repeat(F.concat(flat, line), F.lit(4)))
     image = F.struct(F.lit(8).alias("height"), (3 * third).alias("width"), F.lit(1).alias("nChannels"), data.alias("data"))
-    told = images.image_heuristics(table(spark, d, "part").select(_key().alias("proposal_id"), image.alias("image")))
+    told = images.image_heuristics(spread(table(spark, d, "part").select("p_partkey", "p_size"), PICTURES).select(_key().alias("proposal_id"), image.alias("image")))
     return told.select("proposal_id", "matrix_score", F.round("forest_score", 6).alias("forest_score"))
 
 
