@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -224,33 +224,47 @@ def vision_verdict(answer: Column) -> Column:
     return F.when(said.isin("pass", "fail"), said).otherwise("inconclusive")
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What use makes of a value that is told once, however often use names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def colourbar_range(answer: Column) -> Column:
     """struct(low, high, reason) of a reader's answer about the ends of a colour bar; both are null where it can't be told."""
     found = balanced_object(F.coalesce(answer, F.lit("")))
 
-    def told(x: Column) -> Column:
+    def read(x: Column) -> Column:
         raw = [F.get_json_object(x, f"$.{k}") for k in ("min", "max")]
-        a, b = (r.try_cast("double") for r in raw)
-        reason = F.coalesce(F.nullif(F.get_json_object(x, "$.reason"), F.lit("")), F.lit("vlm_extracted"))
+        return F.struct(raw[0].alias("lo"), raw[1].alias("hi"), raw[0].try_cast("double").alias("a"), raw[1].try_cast("double").alias("b"), F.get_json_object(x, "$.reason").alias("why"))
+
+    def told(x: Column) -> Column:
+        raw, a, b = (x.lo, x.hi), x.a, x.b
+        reason = F.coalesce(F.nullif(x.why, F.lit("")), F.lit("vlm_extracted"))
         numbers = a.isNotNull() & b.isNotNull()
         why = F.when(raw[0].isNull() | raw[1].isNull() | numbers, reason).otherwise("non_numeric_response")
         return F.struct(F.when(numbers, F.least(a, b)).alias("low"), F.when(numbers, F.greatest(a, b)).alias("high"), why.alias("reason"))
 
-    return F.get(F.transform(F.array(found), told), F.lit(0))
+    return _once(_once(found, read), told)
 
 
 def hemisphere(answer: Column, area: Column) -> Column:
     """struct(hemisphere, reason) of a reader's answer about the colour of an area, four whole numbers; unknown where it can't be told."""
     found = balanced_object(F.coalesce(answer, F.lit("")))
-    raw = F.get_json_object(found, "$.hemisphere")
-    low = F.lower(F.trim(raw))
-    good = low.isin("positive", "negative", "neutral", "unknown")
-    reason = text.first_of(
-        [(F.coalesce(F.size(area), F.lit(0)) != 4, "bbox_invalid"), (raw.isNull(), "hemisphere_missing"), (~good, "hemisphere_unrecognized")],
-        F.coalesce(F.nullif(F.get_json_object(found, "$.reason"), F.lit("")), F.lit("vlm_judgment")),
-    )
-    failed = reason.isin("bbox_invalid", "hemisphere_missing", "hemisphere_unrecognized")
-    return F.struct(F.when(failed, "unknown").otherwise(low).alias("hemisphere"), reason.alias("reason"))
+    wrong = F.coalesce(F.size(area), F.lit(0)) != 4
+
+    def read(x: Column) -> Column:
+        return F.struct(F.lower(F.trim(F.get_json_object(x, "$.hemisphere"))).alias("low"), F.get_json_object(x, "$.reason").alias("why"))
+
+    def told(x: Column) -> Column:
+        good = x.low.isin("positive", "negative", "neutral", "unknown")
+        reason = text.first_of(
+            [(wrong, "bbox_invalid"), (x.low.isNull(), "hemisphere_missing"), (~good, "hemisphere_unrecognized")],
+            F.coalesce(F.nullif(x.why, F.lit("")), F.lit("vlm_judgment")),
+        )
+        failed = reason.isin("bbox_invalid", "hemisphere_missing", "hemisphere_unrecognized")
+        return F.struct(F.when(failed, "unknown").otherwise(x.low).alias("hemisphere"), reason.alias("reason"))
+
+    return _once(_once(found, read), told)
 
 
 def dual_verification(proposals: DataFrame, pixel: DataFrame, vision: DataFrame) -> DataFrame:

@@ -235,7 +235,7 @@ _HITS = ", ".join(f"({i}, {a}, {b}, '{c}', '{m}')" for i, x in enumerate(MENTION
 @query(f'SELECT p_partkey, t.s AS start, t.e AS "end", t.c AS canonical, t.m AS method FROM part JOIN (VALUES {_HITS}) t(i, s, e, c, m) ON p_partkey % {len(MENTIONS)} = t.i')
 def t9_alias_matches(spark, d):
     s = _case("p_partkey", list(MENTIONS))
-    found = table(spark, d, "part").select("p_partkey", F.inline(aliases.alias_matches(text.normalize(s))))
+    found = spread(table(spark, d, "part").select("p_partkey"), PARTS).select("p_partkey", F.inline(aliases.alias_matches(text.normalize(s))))
     return found.select("p_partkey", "start", "end", "canonical", "method")
 
 
@@ -271,7 +271,7 @@ SELECT p_partkey::VARCHAR AS pmid, t.i // 10 AS sentence_index, t.c AS canonical
 FROM part, (VALUES (0, 'glcm_entropy', 'exact', 0.15), (0, 'skeletal_muscle_index', 'exact', 0.15), (20, 'visceral_adipose_tissue', 'exact', 0.30)) t(i, c, m, x)""")
 def t18_mentions(spark, d):
     content = F.lit("GLCM entropy and the skeletal muscle index differ. Nothing is told here. VAT on CT of the liver in liver cancer.")
-    papers = table(spark, d, "part").select(_key().alias("pmid"), F.lit("A title").alias("title"), content.alias("content"))
+    papers = spread(table(spark, d, "part").select("p_partkey"), PARTS).select(_key().alias("pmid"), F.lit("A title").alias("title"), content.alias("content"))
     return mentions.extract_mentions(papers).select("pmid", "sentence_index", "canonical_feature", F.round("confidence", 2).alias("confidence"))
 
 
@@ -536,7 +536,7 @@ def v7_readers(spark, d):
     cell = F.when(F.col("p_size") % 5 == 4, "{}").otherwise(_case("p_partkey",
         ['{"hemisphere": " Positive"}', 'so {"hemisphere": "NEUTRAL", "reason": ""}', '{"hemisphere": "warm"}', '{"hemisphere": "negative"}']))
     area = F.when(F.col("p_partkey") % 4 != 3, F.array(*map(F.lit, (1, 2, 3, 4)))).otherwise(F.array(F.lit(1)))
-    p = table(spark, d, "part").select("p_partkey", figures.colourbar_range(bar).alias("b"), figures.hemisphere(cell, area).alias("h"))
+    p = spread(table(spark, d, "part").select("p_partkey", "p_size"), PARTS).select("p_partkey", figures.colourbar_range(bar).alias("b"), figures.hemisphere(cell, area).alias("h"))
     return p.select("p_partkey", "b.low", "b.high", "b.reason", "h.hemisphere", F.col("h.reason").alias("seen"))
 
 
