@@ -73,10 +73,13 @@ def _foremost(starts: DataFrame, limit: int, *ends: DataFrame) -> DataFrame:
 
     Every edge whose feature all ends have begins a path at least, so no microbe
     beyond that of the limit-th such edge is needed: the rest is never expanded.
+    Edges without ends are left to the caller's join. Only the features of the
+    ends are held by a task, not the edges, which are many more.
     """
+    begun = starts
     for e in ends:
-        starts = starts.join(e.select("f_type", "f").distinct(), ["f_type", "f"], "left_semi")
-    last = starts.select("microbe").orderBy("microbe").limit(limit).agg(F.max("microbe").alias("_last"))
+        begun = begun.join(e.select("f_type", "f").distinct().hint("shuffle_hash"), ["f_type", "f"], "left_semi")
+    last = begun.select("microbe").orderBy("microbe").limit(limit).agg(F.max("microbe").alias("_last"))
     return starts.join(F.broadcast(last), F.col("microbe") <= F.col("_last")).drop("_last")  # one row
 
 

@@ -5,6 +5,10 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows of a big table that a task sorts or tells apart, about; rows of a broadcast side, and such of one number each.
+TASK_ROWS, BROADCAST_ROWS, BROADCAST_KEYS = 500_000, 50_000, 400_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -43,6 +47,24 @@ def spread(df: DataFrame, rows: int) -> DataFrame:
     return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows)))
 
 
+def tasks_for(*tables: DataFrame) -> int:
+    """As many tasks as the largest of the tables needs at TASK_ROWS each; they are counted, so they are tables as they are stored."""
+    return max(tables[0].sparkSession.sparkContext.defaultParallelism, *(-(-t.count() // TASK_ROWS) for t in tables))
+
+
+def dealt_join(big: DataFrame, small: DataFrame, left: str, right: str, tasks: int, how: str = "inner", rows: int | None = None) -> DataFrame:
+    """big joined with small on left = right; a task sorts its share of tasks of either side, however large they are.
+
+    By itself Spark puts as many rows into a task as 64 MB hold when they are
+    compressed, which may be millions. small goes to all tasks instead if its
+    rows, as counted, are few.
+    """
+    on = F.col(left) == F.col(right)
+    if rows is not None and rows <= (BROADCAST_KEYS if len(small.columns) == 1 else BROADCAST_ROWS):
+        return big.join(F.broadcast(small), on, how)
+    return big.repartition(tasks, left).join(small.repartition(tasks, right), on, how)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder or file by Spark's own file systems; one that isn't there is no error."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
