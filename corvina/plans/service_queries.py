@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import models, ordering, scoring
 from ..sources import bundles, fetching, files, graph_store, searching
-from ..storage import shared_folder
+from ..storage import shared_folder, tasks_for
 from .registry import query, table
 
 
@@ -89,7 +89,9 @@ def _supplies(spark: SparkSession, d: str) -> DataFrame:
     """Which supplier has delivered which part by which return flag, with the largest discount."""
     name = lambda kind, c: F.concat(F.lit(kind + " "), F.col(c).cast("string"))
     keys = (name("supplier", "l_suppkey").alias("source_node"), name("part", "l_partkey").alias("target_node"), F.concat(F.lit("FLAG_"), "l_returnflag").alias("rel_type"))
-    rows = table(spark, d, "lineitem").groupBy(*keys).agg(F.max("l_discount").alias("confidence"))
+    li = table(spark, d, "lineitem")
+    by = ("l_suppkey", "l_partkey", "l_returnflag")
+    rows = li.repartition(tasks_for(li), *by).groupBy(*by).agg(F.max("l_discount").alias("confidence")).select(*keys, "confidence")
     return rows.select(F.lit("Microbe").alias("source_node_type"), "source_node", F.lit("RadiomicFeature").alias("target_node_type"), "target_node", "rel_type", F.lit("").alias("pmid"), "confidence")
 
 

@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from ..storage import TASK_ROWS
+
 FORMAT = "graph_store"
 #: What tells one node or relationship from another.
 KEYS = {"nodes": ("label", "name"), "relationships": ("source_node_type", "source_node", "rel_type", "target_node_type", "target_node", "pmid")}
@@ -182,20 +184,26 @@ def publish(path: str, load: str, wipe: bool = False, parts: tuple[str, ...] = t
 
 
 def read(spark: SparkSession, path: str, part: str, schema: StructType | str | None = None) -> DataFrame:
-    """Published rows of a part, one for each key; of several the last load's counts. Without any load the schema tells the columns."""
+    """Published rows of a part, one for each key; of several the last load's counts. Without any load the schema tells the columns.
+
+    Rows are dealt by their keys over as many tasks as the manifest's count
+    needs: equal texts make files so small that a task would read millions of rows.
+    """
     state = manifest(path)
     named = state["parts"][part]["files"]
     if not named:
         return spark.createDataFrame([], schema or ", ".join(f"{k} string" for k in KEYS[part]))
     rows = spark.read.parquet(*[f"{path.rstrip('/')}/{f}" for f in named])
+    tasks = max(spark.sparkContext.defaultParallelism, -(-state["parts"][part]["rows"] // TASK_ROWS))
     load = F.regexp_extract(F.col("_metadata.file_path"), r"/data/([^/]+)/[^/]+/[^/]+$", 1)
     at = F.array_position(F.array(*map(F.lit, state["loads"])), load)
     keys = list(KEYS[part])
     rest = [c for c in rows.columns if c not in keys]
     if not rest or len(state["loads"]) == 1:
-        return rows.dropDuplicates(keys)
-    by = F.struct(at, *rest)
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), by).alias("_r")).select(*keys, "_r.*").select(*rows.columns)
+        return rows.repartition(tasks, *keys).dropDuplicates(keys)
+    told = rows.withColumn("_at", at).repartition(tasks, *keys)
+    by = F.struct("_at", *rest)
+    return told.groupBy(*keys).agg(F.max_by(F.struct(*rest), by).alias("_r")).select(*keys, "_r.*").select(*rows.columns)
 
 
 def load(spark: SparkSession, bundle: tuple[DataFrame, DataFrame, DataFrame, dict], path: str, load: str, wipe: bool = False) -> dict:
