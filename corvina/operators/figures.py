@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text, vocab
+from ..storage import dealt_join, tasks_for
 from . import gates
 from .relations import last_by
 
@@ -93,11 +94,13 @@ def figure_files(rows: DataFrame, files: DataFrame, folder: str = "", kinds: Seq
 
 
 def _first_existing(rows: DataFrame, paths: Sequence[Column], files: DataFrame) -> DataFrame:
-    keyed = rows.withColumn("_paths", F.filter(F.array(*paths), lambda p: p.isNotNull()))
+    tasks = tasks_for(rows, files)
+    keyed = rows.withColumn("_paths", F.filter(F.array(*paths), lambda p: p.isNotNull())).repartition(tasks, "_paths")
     # Equal lists of paths are looked up once.
     tried = keyed.select("_paths").distinct().select("_paths", F.posexplode("_paths").alias("_at", "path"))
-    found = tried.join(files.select("path").distinct(), "path").groupBy("_paths").agg(F.min_by("path", "_at").alias("resolved_path"))
-    return keyed.join(found, "_paths", "left").drop("_paths")
+    found = dealt_join(tried, files.select(F.col("path").alias("_file")), "path", "_file", tasks, "left_semi")
+    first = found.repartition(tasks, "_paths").groupBy("_paths").agg(F.min("_at").alias("_first"))
+    return keyed.join(first, "_paths", "left").withColumn("resolved_path", F.get("_paths", F.col("_first"))).drop("_paths", "_first")
 
 
 def historical(verifications: DataFrame, proposals: DataFrame, current: DataFrame, renamed: Mapping[str, str] | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import spans, text, vocab
 from ..operators import entities, figures, gates, goldset, retrieval, vectors
 from ..sources import files, harvest
+from ..storage import dealt_join, tasks_for
 from .registry import query, table
 
 def _key():
@@ -146,7 +147,7 @@ def s23_image_paths(spark, d):
     )
     one = figures.resolved_images(rows, listed, "d/").select("p_partkey", "resolved_path")
     two = figures.figure_files(p.select("p_partkey", made("PMC", "k", "_Fig1").alias("figure_id")), listed, "d/", ("png",))
-    return one.join(two.select("p_partkey", F.col("resolved_path").alias("file")), "p_partkey")
+    return dealt_join(one, two.select(F.col("p_partkey").alias("_k"), F.col("resolved_path").alias("file")), "p_partkey", "_k", tasks_for(p)).drop("_k")
 
 
 # Proposals.
