@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import spans, text, vocab
+from ..storage import looked_up, scratch, spread
 from .containment import containment_pairs
 from .relations import first_by, keep_best, last_by, signed_evidence
 
+#: Names that a task cleans, about.
+NAMES = 2_000
 META = ("journal", "title", "pmcid", "publication_year", "impact_factor", "quartile", "issn")
 
 
@@ -136,17 +139,30 @@ def bridge_hypotheses(mentions: DataFrame, relations: DataFrame, least: float =
     )
 
 
+def _clean_names(rows: DataFrame, key: str, made: Column, name: str) -> DataFrame:
+    """(key, name): the clean form, made, of each different value of key, where there is one.
+
+    A name is cleaned once, however many rows have it. Both tables are written:
+    otherwise the optimizer would move the test for null, and with it the
+    cleaning, back to the rows.
+    """
+    different = scratch(rows.select(key).where(F.col(key).isNotNull()).distinct())
+    return scratch(spread(different, NAMES).select(key, made.alias(name))).where(F.col(name).isNotNull())
+
+
 def signed_edges(relations: DataFrame, papers: DataFrame, confidence: float = 0.7) -> DataFrame:
     """Signed microbe-disease edges over all papers, from labelled relations with clean ends."""
-    labelled = relations.withColumn("label", F.lower("final_label")).where(F.col("label").isin("positive", "negative"))
     raw = F.coalesce(_filled(F.col("subject_node")), _filled(F.col("microbe")))
     kind = F.coalesce(_filled(F.col("subject_node_type")), F.lit("Microbe"))
-    named = labelled.where("pmid <> ''").withColumns({"subject_node_type": kind, "subject_node": spans.clean_subject(raw, kind)["canonical"],
-        "object_node": spans.clean_text_disease(F.col("disease"))["canonical"]})
-    named = named.where(F.col("subject_node").isNotNull() & F.col("object_node").isNotNull()).where(spans.eligible_disease(F.col("object_node")))
     sure = F.col("confidence") if "confidence" in relations.columns else F.lit(None).cast("double")
-    rows = named.select("subject_node_type", "subject_node", "object_node", "label", "pmid", F.trim(F.coalesce("evidence", F.lit(""))).alias("evidence"),
-        sure.alias("confidence"), "ord")
+    labelled = relations.withColumn("label", F.lower("final_label")).where(F.col("label").isin("positive", "negative")).where("pmid <> ''").select(
+        F.struct(kind.alias("type"), raw.alias("name")).alias("_s"), F.col("disease").alias("_d"), "label", "pmid",
+            F.trim(F.coalesce("evidence", F.lit(""))).alias("evidence"), sure.alias("confidence"), "ord")
+    subjects = _clean_names(labelled, "_s", spans.clean_subject(F.col("_s.name"), F.col("_s.type"))["canonical"], "subject_node")
+    diseases = _clean_names(labelled, "_d", spans.clean_text_disease(F.col("_d"))["canonical"], "object_node")
+    diseases = scratch(diseases.where(spans.eligible_disease(F.col("object_node"))))
+    rows = looked_up(looked_up(labelled, diseases, "_d", "ord"), subjects, "_s", "ord").select(F.col("_s.type").alias("subject_node_type"), "subject_node",
+        "object_node", "label", "pmid", "evidence", "confidence", "ord")
     net = signed_evidence(rows, ["subject_node_type", "subject_node", "object_node"], confidence)
     parts = (F.lit("microbe-disease"), *map(F.col, ("subject_node_type", "subject_node", "object_node", "relation_direction")))
     return with_papers(net.withColumns({"edge_id": text.stable_id(*parts), "object_node_type": F.lit("Disease"), "evidence_type": F.lit("text_model_verified")}), papers)

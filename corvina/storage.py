@@ -7,8 +7,8 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of a big table that a task sorts or tells apart, about; rows of a broadcast side, and such of one number each.
-TASK_ROWS, BROADCAST_ROWS, BROADCAST_KEYS = 500_000, 50_000, 400_000
+#: Rows of a big table that a task sorts or tells apart, about; rows of a broadcast side, such of one number each, and parts that a key is dealt into.
+TASK_ROWS, BROADCAST_ROWS, BROADCAST_KEYS, SALT = 500_000, 50_000, 400_000, 32
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -65,6 +65,18 @@ def dealt_join(big: DataFrame, small: DataFrame, left: str, right: str, tasks: i
     return big.repartition(tasks, left).join(small.repartition(tasks, right), on, how)
 
 
+def looked_up(big: DataFrame, small: DataFrame, key: str, by: str) -> DataFrame:
+    """big joined with small on key, whatever share of big one key holds; small, of short rows, is counted, so it is a table as it is stored.
+
+    If its rows are few, small goes to all tasks; else the rows of a key are dealt
+    into SALT parts by the hash of the column by, and small is repeated for each.
+    """
+    if small.count() <= BROADCAST_ROWS:
+        return big.join(F.broadcast(small), key)
+    parts = small.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALT - 1).cast("bigint"))))
+    return big.withColumn("_part", F.pmod(F.xxhash64(by), F.lit(SALT))).join(parts, [key, "_part"]).drop("_part")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder or file by Spark's own file systems; one that isn't there is no error."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
