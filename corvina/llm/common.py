@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,36 @@ def scratch(df: DataFrame, rows: int | None = None) -> DataFrame:
     return out.coalesce(max(spark.sparkContext.defaultParallelism, -(-out.count() // rows)))
 
 
+def shared_folder(spark: SparkSession, kind: str = "warc") -> str:
+    """A new folder, by URI, below the checkpoint folder that all executors share."""
+    scratch(spark.range(0))  # sets the folder where a session has none
+    base = spark.sparkContext.getCheckpointDir()
+    if "://" not in base:
+        base = "file://" + base.removeprefix("file:")
+    return f"{base.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def settled(df: DataFrame, folder: str, rows: int | None = None) -> DataFrame:
+    """df written to a new place in folder as Parquet and read from there: scratch() that forgets how large its plan was thought to be.
+
+    Spark takes a join to be as large as the product of its sides, and what
+    checkpoint() gives keeps that number. From join to join it has twice as many
+    digits, so in a loop of joins the number alone fills the driver's memory.
+    What is read from files has the size of the files.
+    """
+    spark, path = df.sparkSession, f"{folder}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    if rows is None:
+        return out
+    return out.coalesce(max(spark.sparkContext.defaultParallelism, -(-out.count() // rows)))
+
+
 def extra_columns(df: DataFrame, *made: str) -> list[str]:
     """Columns of df that an operator passes on: all but those that it makes itself."""
     own = {m.lower() for m in made}

@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import met_where_hot, scratch
+from .common import met_where_hot, remove_folder, scratch, settled, shared_folder
 
 #: Edges that a task reads, about; a node of more than HOT edges is dealt out.
 EDGES, HOT = 100_000, 500
@@ -58,13 +58,14 @@ def components(edges: DataFrame) -> DataFrame:
     Edges with a null end are ignored; loops and repeated edges change nothing;
     no edges give no rows. Partitions are contracted by union-find in bounded
     chunks, then large-star and small-star rounds run until every node hangs on
-    a root; each round is written to shared storage. Nothing but counts reaches
-    the driver.
+    a root; each round is written to shared storage, as files with their true
+    size, and removed at the end. Nothing but counts reaches the driver.
     """
+    folder = shared_folder(edges.sparkSession, "components")
     kind = edges.schema["a"].dataType.simpleString()
     e = edges.where("a IS NOT NULL AND b IS NOT NULL").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    loops = e.where("u = v").select(F.col("u").alias("node"))
-    e = scratch(e.where("u <> v").mapInArrow(_contract, f"u {kind}, v {kind}"), EDGES)
+    loops = settled(e.where("u = v").select(F.col("u").alias("node")).distinct(), folder)
+    e = settled(e.where("u <> v").mapInArrow(_contract, f"u {kind}, v {kind}"), folder, EDGES)
     while True:
         deep = e.select("v").distinct().join(e.select(F.col("u").alias("v")).distinct(), "v", "left_semi").limit(1).count()
         many = 0 if deep else e.groupBy("u").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where("lo <> hi").limit(1).count()
@@ -74,7 +75,9 @@ def components(edges: DataFrame) -> DataFrame:
         e = _with_least(both, True).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         # Each larger neighbour of a node hangs on the smallest one; the node does too.
         e = _with_least(e, False).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        e = scratch(e.where("u <> v").mapInArrow(_contract, f"u {kind}, v {kind}"), EDGES)
+        e = settled(e.where("u <> v").mapInArrow(_contract, f"u {kind}, v {kind}"), folder, EDGES)
     # Every node but the roots hangs on its root; a node with nothing but loops is its own.
     both = e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")))
-    return both.unionByName(loops.select("node", F.col("node").alias("root"))).groupBy("node").agg(F.min("root").alias("root"))
+    found = scratch(both.unionByName(loops.select("node", F.col("node").alias("root"))).groupBy("node").agg(F.min("root").alias("root")), EDGES)
+    remove_folder(edges.sparkSession, folder)
+    return found

@@ -208,7 +208,7 @@ def _linked(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
 
     def rooted(df: DataFrame, links: DataFrame) -> DataFrame:
         """df with the roots of a and b, for hubs whose mates are in several components."""
-        roots = scratch(components(links), PAIRS)
+        roots = components(links)
         ra, rb = (roots.select(F.col("node").alias(x), F.col("root").alias("r" + x)) for x in "ab")
         both = df.join(ra, "a", "left").join(rb, "b", "left").withColumns({"ra": F.coalesce("ra", "a"), "rb": F.coalesce("rb", "b")})
         return met(both, scratch(both.where("ra <> rb").select("b").distinct()), ["b"], "a")

@@ -19,10 +19,10 @@ from urllib.parse import quote, unquote
 import pyarrow as pa
 import pyarrow.fs
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, met, met_where_hot, quoted, scratch
+from .common import BROADCAST_ROWS, met, met_where_hot, quoted, remove_folder, scratch, shared_folder  # noqa: F401
 
 #: The magic number of the skippable frame that holds a dictionary.
 DICT_MAGIC = 0x184D2A5D
@@ -263,17 +263,3 @@ def read_warc(written: DataFrame, folder: str, id_type: str = "bigint") -> DataF
     schema = "page_id string, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to string, payload binary"
     rows = spread.mapInArrow(_reader(folder), schema)
     return rows.withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder, by URI, below the checkpoint folder that all executors share."""
-    scratch(spark.range(0))  # sets the folder where a session has none
-    base = spark.sparkContext.getCheckpointDir()
-    if "://" not in base:
-        base = "file://" + base.removeprefix("file:")
-    return f"{base.rstrip('/')}/warc-{uuid.uuid4().hex}"
-
-
-def remove_folder(spark: SparkSession, folder: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,4 +1,6 @@
 import random
+import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -130,3 +132,24 @@ def test_hot_nodes_and_buckets_are_dealt_out(spark, corpus, monkeypatch):
     edges = [(0, i) for i in range(1, 60)] + [(rng.randrange(300), rng.randrange(300)) for _ in range(150)]
     df = spark.createDataFrame(edges, "a bigint, b bigint").repartition(5)
     assert dict(components(df).collect()) == union_find(edges)
+
+
+def test_a_size_estimate_does_not_grow_from_join_to_join(spark):
+    """Spark multiplies the sizes of joined tables; the number that comes of it would fill the driver's memory."""
+    texts = [" ".join(f"w{j}" for j in range(i % 10, i % 10 + 30)) for i in range(40)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string")
+    told = minhash.near_dedup(docs, size=4)._jdf.queryExecution().optimizedPlan().stats().simpleString()
+    assert int((re.search(r"E\+(\d+)", told) or [0, 0])[1]) < 200
+
+
+def test_components_of_a_long_chain_leave_no_files_behind(spark):
+    before = {p.name for p in _checkpoints(spark)}
+    edges = [(f"n{i}", f"n{i + 1}") for i in range(0, 300)] + [("loop", "loop"), (None, "x")]
+    df = spark.createDataFrame(edges, "a string, b string").repartition(40)
+    want = union_find([e for e in edges if e[0]])
+    assert dict(components(df).collect()) == want
+    assert not [p for p in {p.name for p in _checkpoints(spark)} - before if p.startswith("components-")]
+
+
+def _checkpoints(spark):
+    return Path(spark.sparkContext.getCheckpointDir().removeprefix("file:")).iterdir() if spark.sparkContext.getCheckpointDir() else []
